@@ -175,3 +175,27 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def _is_dir(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.getFileStatus(p).isDirectory()
+
+
+_MATERIALIZED: dict = {}
+
+
+def materialize_index(index: Index, key=None) -> Index:
+    """Write ``index`` under the session's shared checkpoint folder and read
+    it back (cuts the lineage; every later query scans parquet).  With a
+    ``key``, the written index is reused for the same key in this process."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+
+    spark = index.postings.sparkSession
+    if key is not None and key in _MATERIALIZED:
+        path = _MATERIALIZED[key]
+        if _exists(spark, os.path.join(path, "stats")):
+            return read_index(spark, path)
+    base = ensure_checkpoint_dir(spark)
+    path = base.rstrip("/") + "/quarry-index-" + uuid.uuid4().hex
+    write_index(index, path)
+    if key is not None:
+        _MATERIALIZED[key] = path
+    return read_index(spark, path)

@@ -18,6 +18,7 @@ fields are fetched for the k hits only.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -173,3 +174,349 @@ def format_results(results: DataFrame) -> DataFrame:
     found = results.where(F.col("status") == "ok").groupBy("query_id").agg(
         F.lit(0).alias("rank"), F.concat(F.lit("Found: "), F.max("total_hits").cast("string")).alias("line"))
     return found.unionByName(lines)
+
+
+# ---------------------------------------------------------------------------
+# Structured clause queries
+# ---------------------------------------------------------------------------
+def clause_table(df: DataFrame) -> DataFrame:
+    """Normalise a clause table: defaults boost 1.0, slop 0, occur SHOULD."""
+    cols = set(df.columns)
+    return df.select(
+        F.col("query_id").cast("long").alias("query_id"),
+        F.col("clause_id").cast("int").alias("clause_id"),
+        F.upper(F.coalesce(F.col("occur"), F.lit("SHOULD"))).alias("occur") if "occur" in cols else F.lit("SHOULD").alias("occur"),
+        F.lower(F.col("kind")).alias("kind"),
+        F.col("text").cast("string").alias("text"),
+        (F.coalesce(F.col("boost").cast("double"), F.lit(1.0)) if "boost" in cols else F.lit(1.0)).alias("boost"),
+        (F.coalesce(F.col("slop").cast("int"), F.lit(0)) if "slop" in cols else F.lit(0)).alias("slop"),
+    )
+
+
+RANGE_RX = r"^([\[{])\s*(\S+)\s+TO\s+(\S+)\s*([\]}])$"
+
+
+def validate_clauses(clauses: DataFrame) -> DataFrame:
+    """QRY-19: an ``error`` column (null when the clause is valid)."""
+    text = F.col("text")
+    err = (
+        F.when(~F.col("occur").isin(*OCCURS), F.concat(F.lit("unknown occur: "), F.col("occur")))
+        .when(~F.col("kind").isin(*KINDS), F.concat(F.lit("unknown clause kind: "), F.col("kind")))
+        .when((F.col("kind") != "match_all") & (text.isNull() | (F.length(F.trim(text)) == 0)), F.lit("empty clause text"))
+        .when(F.col("kind").isin("wildcard", "prefix") & (text.startswith("*") | text.startswith("?")),
+              F.lit("'*' or '?' not allowed as first character in WildcardQuery"))
+        .when((F.col("kind") == "range") & ~text.rlike(RANGE_RX), F.lit("malformed range"))
+        .when(F.col("slop") < 0, F.lit("negative slop"))
+    )
+    return clauses.select("*", err.alias("error"))
+
+
+def _java_regex_error(spark, rx: str) -> str | None:
+    try:
+        spark.sparkContext._jvm.java.util.regex.Pattern.compile("^(?:" + rx + r")\z")
+        return None
+    except Exception as e:  # noqa: BLE001 - py4j wraps the Java exception
+        return "invalid regex: " + str(e).splitlines()[-1][:200]
+
+
+def _analyzed_clause_terms(clauses: DataFrame, stem: bool) -> DataFrame:
+    """(query_id, clause_id, occur, boost, slop, pos, ord, term) for term and
+    phrase clauses; the text goes through the query-mode analyser."""
+    a = analyze(clauses.select(F.struct("query_id", "clause_id").alias("key"), "text"), "key", "text",
+                query_options(stem), keep=())
+    t = a.select("key", F.explode("tokens").alias("t"))
+    t = t.select(F.col("key.query_id").alias("query_id"), F.col("key.clause_id").alias("clause_id"),
+                 F.col("t.pos").alias("pos"), F.col("t.ord").alias("ord"), F.col("t.term").alias("term"))
+    return t.join(clauses.select("query_id", "clause_id", "occur", "boost", "slop", "kind"), ["query_id", "clause_id"])
+
+
+def _score_phrase(index: Index, pterms: DataFrame, n: int) -> DataFrame:
+    """QRY-7/8: phrase clauses → (query_id, clause_id, doc_id, score).
+    Exact (slop 0): consecutive positions with the query's gaps; tf = number
+    of occurrences; idf = sum of the terms' idf.  Sloppy: each occurrence of
+    the first term is matched to the nearest occurrence of every other term
+    (distance = position offset difference); a match needs every distance
+    ≤ slop and contributes 1 / (1 + largest distance)."""
+    w = Window.partitionBy("query_id", "clause_id")
+    pt = pterms.where(F.col("ord") == 0).select(
+        "query_id", "clause_id", "boost", "slop", "term",
+        (F.col("pos") - F.min("pos").over(w)).alias("off"),
+        F.row_number().over(w.orderBy("pos")).alias("i"),
+        F.count(F.lit(1)).over(w).alias("n_terms"),
+    )
+    pt = pt.join(index.terms.select("term", "df"), "term", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+    stats = _stats(index)
+    idf_sum = pt.crossJoin(stats).groupBy("query_id", "clause_id").agg(
+        F.sum(idf(F.col("df"), F.col("n_docs"))).alias("idf_sum"), F.min("df").alias("min_df"))
+    pt = pt.join(idf_sum.where(F.col("min_df") > 0).select("query_id", "clause_id", "idf_sum"), ["query_id", "clause_id"])
+    pt = broadcast_if_small(pt, known_rows=n)
+    post = _postings_for_positions(index, pterms, n)
+    hits = post.join(pt, "term")
+    # documents holding every phrase term
+    full = hits.groupBy("query_id", "clause_id", "doc_id").agg(F.countDistinct("i").alias("k"), F.first("n_terms").alias("n_terms"))
+    full = full.where(F.col("k") == F.col("n_terms")).select("query_id", "clause_id", "doc_id")
+    occ = hits.join(full, ["query_id", "clause_id", "doc_id"], "left_semi").select(
+        "query_id", "clause_id", "doc_id", "dl", "boost", "slop", "idf_sum", "i", "n_terms", "off",
+        F.explode("positions").alias("p"))
+    exact = occ.where(F.col("slop") == 0).select("*", (F.col("p") - F.col("off")).alias("start"))
+    ex = exact.groupBy("query_id", "clause_id", "doc_id", "dl", "boost", "idf_sum", "n_terms", "start").agg(
+        F.countDistinct("i").alias("k")).where(F.col("k") == F.col("n_terms"))
+    ex = ex.groupBy("query_id", "clause_id", "doc_id", "dl", "boost", "idf_sum").agg(F.count(F.lit(1)).cast("double").alias("tf"))
+    sl = occ.where(F.col("slop") > 0)
+    anchor = sl.where(F.col("i") == 1).select("query_id", "clause_id", "doc_id", F.col("p").alias("pa"), F.col("off").alias("oa"))
+    others = sl.where(F.col("i") > 1)
+    d = others.join(anchor, ["query_id", "clause_id", "doc_id"]).select(
+        "query_id", "clause_id", "doc_id", "dl", "boost", "slop", "idf_sum", "n_terms", "pa", "i",
+        F.abs((F.col("p") - F.col("off")) - (F.col("pa") - F.col("oa"))).alias("dist"))
+    nearest = d.groupBy("query_id", "clause_id", "doc_id", "dl", "boost", "slop", "idf_sum", "n_terms", "pa", "i").agg(
+        F.min("dist").alias("dist"))
+    match = nearest.groupBy("query_id", "clause_id", "doc_id", "dl", "boost", "slop", "idf_sum", "n_terms", "pa").agg(
+        F.count(F.lit(1)).alias("k"), F.max("dist").alias("len"))
+    match = match.where((F.col("k") == F.col("n_terms") - 1) & (F.col("len") <= F.col("slop")))
+    sloppy = match.groupBy("query_id", "clause_id", "doc_id", "dl", "boost", "idf_sum").agg(
+        F.sum(F.lit(1.0) / (F.lit(1.0) + F.col("len"))).alias("tf"))
+    both = ex.unionByName(sloppy).crossJoin(stats)
+    return both.select(
+        "query_id", "clause_id", "doc_id",
+        (F.col("boost") * bm25(F.col("tf"), F.lit(0), F.col("dl"), F.col("n_docs"), F.col("avgdl"),
+                               idf_col=F.col("idf_sum"))).alias("score"))
+
+
+def _postings_for_positions(index: Index, terms: DataFrame, n_terms: int) -> DataFrame:
+    p = index.postings.select("term", "doc_id", "tf", "dl", "positions")
+    if n_terms <= PUSHDOWN_MAX_TERMS:
+        lits = [r[0] for r in terms.select("term").distinct().collect()]
+        p = p.where(F.col("term").isin(lits)) if lits else p.where(F.lit(False))
+    return p
+
+
+def _expand_prefix(index: Index, clauses: DataFrame) -> DataFrame:
+    """Vocabulary terms starting with a literal key: equi-join on the key
+    (one key column per distinct key length), never clause × vocabulary."""
+    keyed = clauses.where(F.length("key") > 0)
+    lens = [r[0] for r in keyed.select(F.length("key")).distinct().collect()]
+    if not lens:
+        return clauses.select("query_id", "clause_id", F.lit(None).cast("string").alias("term")).where(F.lit(False))
+    vocab = index.terms.select("term").where(F.col("term") >= min(
+        [r[0] for r in keyed.select(F.min("key")).collect()]))
+    vk = vocab.select("term", F.explode(F.array(*[
+        F.when(F.length("term") >= L, F.substring("term", 1, L)) for L in sorted(lens)])).alias("key")).where(F.col("key").isNotNull())
+    return vk.join(F.broadcast(keyed), "key").select("query_id", "clause_id", "term", "pattern")
+
+
+def _like_pattern(text: Column) -> Column:
+    esc = F.regexp_replace(text, r"([\\%_])", r"\\$1")
+    return F.translate(esc, "*?", "%_")
+
+
+def _literal_prefix(text: Column) -> Column:
+    return F.regexp_extract(text, r"^([^*?]*)", 1)
+
+
+def _expand_by_predicates(index: Index, specs: list[tuple[int, Column]]) -> DataFrame:
+    """Vocabulary terms matching per-clause predicates, evaluated in one scan
+    of the term table per chunk of clauses: (spec_idx, term)."""
+    out = None
+    for start in range(0, len(specs), PREDICATE_CHUNK):
+        chunk = specs[start:start + PREDICATE_CHUNK]
+        hit = F.array_compact(F.array(*[F.when(pred, F.lit(i)) for i, pred in chunk]))
+        part = index.terms.select("term", F.explode(hit).alias("spec_idx"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def osa_distance(a: str, b: str) -> int:
+    """Edit distance with adjacent transpositions (optimal string alignment)."""
+    la, lb = len(a), len(b)
+    prev2 = None
+    prev = list(range(lb + 1))
+    for i in range(1, la + 1):
+        cur = [i] + [0] * lb
+        for j in range(1, lb + 1):
+            cost = 0 if a[i - 1] == b[j - 1] else 1
+            v = min(prev[j] + 1, cur[j - 1] + 1, prev[j - 1] + cost)
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                v = min(v, prev2[j - 2] + 1)
+            cur[j] = v
+        prev2, prev = prev, cur
+    return prev[lb]
+
+
+def _osa_udf():
+    from pyspark.sql.types import IntegerType
+
+    @F.arrow_udf(IntegerType())
+    def osa(a: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.array([osa_distance(x, y) for x, y in zip(a.to_pylist(), b.to_pylist())], pa.int32())
+
+    return osa
+
+
+def _deletions(s: Column, k: int) -> Column:
+    """All strings obtained from ``s`` by deleting up to ``k`` characters."""
+    n = F.length(s)
+    d1 = F.transform(F.sequence(F.lit(0), n - 1),
+                     lambda i: F.concat(F.call_function("substr", s, F.lit(1), i), F.call_function("substr", s, i + 2)))
+    out = F.concat(F.array(s), F.when(n > 0, d1).otherwise(F.array().cast("array<string>")))
+    if k >= 2:
+        d2 = F.flatten(F.transform(d1, lambda t: F.transform(
+            F.sequence(F.lit(0), F.greatest(F.length(t) - 1, F.lit(0))),
+            lambda i: F.concat(F.call_function("substr", t, F.lit(1), i), F.call_function("substr", t, i + 2)))))
+        out = F.concat(out, F.when(n > 1, d2).otherwise(F.array().cast("array<string>")))
+    return F.array_distinct(out)
+
+
+def _expand_fuzzy(index: Index, fz: DataFrame, max_edits: int) -> DataFrame:
+    """QRY-12 candidates: symmetric-deletion join (shared deletion variant),
+    then the exact distance on the survivors; best FUZZY_MAX_EXPANSIONS per
+    clause by similarity, then term."""
+    lens = [r[0] for r in fz.select(F.length("text")).distinct().collect()]
+    lo, hi = max(0, min(lens) - max_edits), max(lens) + max_edits
+    vocab = index.terms.select("term").where(F.length("term").between(lo, hi))
+    vv = vocab.select("term", F.explode(_deletions(F.col("term"), max_edits)).alias("v"))
+    qv = fz.select("query_id", "clause_id", "text", F.explode(_deletions(F.col("text"), max_edits)).alias("v"))
+    cand = vv.join(F.broadcast(qv), "v").select("query_id", "clause_id", "text", "term").distinct()
+    cand = cand.where(F.abs(F.length("term") - F.length("text")) <= max_edits)
+    dist = _osa_udf()(F.col("text"), F.col("term"))
+    scored = cand.select("*", dist.alias("ed")).where(F.col("ed") <= max_edits)
+    sim = F.lit(1.0) - F.col("ed") / F.least(F.length("text"), F.length("term"))
+    scored = scored.select("query_id", "clause_id", "term", sim.alias("sim")).where(F.col("sim") > 0)
+    w = Window.partitionBy("query_id", "clause_id").orderBy(F.desc("sim"), F.asc("term"))
+    return scored.select("*", F.row_number().over(w).alias("r")).where(F.col("r") <= P.FUZZY_MAX_EXPANSIONS).drop("r")
+
+
+def _score_constant(index: Index, expanded: DataFrame, clauses: DataFrame, n: int) -> DataFrame:
+    """Constant-score multi-term clauses: every matching document scores the
+    clause boost."""
+    e = expanded.join(clauses.select("query_id", "clause_id", "boost"), ["query_id", "clause_id"])
+    e = broadcast_if_small(e, known_rows=None)
+    post = index.postings.select("term", "doc_id")
+    m = post.join(e, "term").select("query_id", "clause_id", "doc_id", "boost").distinct()
+    return m.select("query_id", "clause_id", "doc_id", F.col("boost").alias("score"))
+
+
+def _score_fuzzy(index: Index, expanded: DataFrame, clauses: DataFrame) -> DataFrame:
+    """Blended scoring: df = max df over the clause's expansions; each term
+    contributes similarity · bm25(tf, blended df)."""
+    e = expanded.join(index.terms.select("term", "df"), "term")
+    e = e.select("*", F.max("df").over(Window.partitionBy("query_id", "clause_id")).alias("bdf"))
+    e = e.join(clauses.select("query_id", "clause_id", "boost"), ["query_id", "clause_id"])
+    e = broadcast_if_small(e)
+    post = index.postings.select("term", "doc_id", "tf", "dl")
+    c = post.join(e, "term").crossJoin(_stats(index))
+    s = c.select("query_id", "clause_id", "doc_id",
+                 (F.col("boost") * F.col("sim") * bm25(F.col("tf"), F.col("bdf"), F.col("dl"), F.col("n_docs"), F.col("avgdl"))).alias("score"))
+    return s.groupBy("query_id", "clause_id", "doc_id").agg(F.sum("score").alias("score"))
+
+
+def search(index: Index, clauses: DataFrame, k: int = P.TOP_K, stem: bool = True,
+           max_edits: int = P.FUZZY_MAX_EDITS) -> DataFrame:
+    """QRY-3..15/19: boolean combination of clauses per query.  A document
+    matches when it matches every MUST clause, no MUST_NOT clause and — if
+    the query has no MUST clause — at least one SHOULD clause; its score is
+    the sum of its matching MUST/SHOULD clause scores.  A query with an
+    invalid clause yields one error row; the other queries are answered."""
+    spark = clauses.sparkSession
+    cl = validate_clauses(clause_table(clauses))
+    # regex clauses are compiled on the driver to report syntax errors per query
+    rx = [(r.query_id, r.clause_id, r.text) for r in cl.where((F.col("kind") == "regex") & F.col("error").isNull()).collect()]
+    rx_err = [(q, c, e) for q, c, t in rx if (e := _java_regex_error(spark, t))]
+    if rx_err:
+        errs = spark.createDataFrame(rx_err, "query_id long, clause_id int, rx_error string")
+        cl = cl.join(F.broadcast(errs), ["query_id", "clause_id"], "left").select(
+            *[c for c in cl.columns if c != "error"], F.coalesce("error", "rx_error").alias("error"))
+    mixed = cl.groupBy("query_id").agg(
+        F.sum(F.when(F.col("kind") == "match_all", 1).otherwise(0)).alias("n_all"), F.count(F.lit(1)).alias("n_cl"))
+    cl = cl.join(mixed, "query_id").select(
+        *[c for c in cl.columns if c != "error"],
+        F.coalesce(F.col("error"), F.when((F.col("n_all") > 0) & (F.col("n_all") < F.col("n_cl")),
+                                          F.lit("match_all cannot be combined with other clauses"))).alias("error"))
+    all_q = cl.where((F.col("kind") == "match_all") & F.col("error").isNull()).select("query_id", "boost").distinct()
+    bad_q = cl.where(F.col("error").isNotNull()).groupBy("query_id").agg(F.min(F.concat_ws(": ", F.col("clause_id").cast("string"), "error")).alias("message"))
+    good = cl.join(bad_q, "query_id", "left_anti").where(F.col("kind") != "match_all").drop("error", "n_all", "n_cl")
+    n = good.count()
+    good = broadcast_if_small(good, known_rows=n)
+
+    parts = []
+    # term clauses: each analysed position is a synonym group
+    tp = _analyzed_clause_terms(good.where(F.col("kind").isin("term", "phrase")), stem)
+    n_tp = tp.count()
+    terms = tp.where(F.col("kind") == "term").select("query_id", "clause_id", F.col("pos").alias("sub_id"), "term", "boost")
+    parts.append(score_term_groups(index, terms, known_rows=n_tp))
+    parts.append(_score_phrase(index, tp.where(F.col("kind") == "phrase"), n_tp))
+    # prefix / wildcard: literal key + pattern, equi-join on the key
+    pw = good.where(F.col("kind").isin("prefix", "wildcard")).select(
+        "query_id", "clause_id",
+        F.when(F.col("kind") == "prefix", F.col("text")).otherwise(_literal_prefix(F.col("text"))).alias("key"),
+        F.when(F.col("kind") == "prefix", F.concat(_like_pattern(F.col("text")), F.lit("%")))
+        .otherwise(_like_pattern(F.col("text"))).alias("pattern"))
+    exp_pw = _expand_prefix(index, pw).where(F.expr("term LIKE pattern")).select("query_id", "clause_id", "term")
+    # regex / range: per-clause predicates over one term-table scan
+    specs, spec_rows = [], []
+    for r in good.where(F.col("kind").isin("regex", "range")).select("query_id", "clause_id", "kind", "text").collect():
+        i = len(specs)
+        if r.kind == "regex":
+            pred = F.col("term").rlike("^(?:" + r.text + r")\z")
+        else:
+            import re as _re
+            m = _re.match(r"^([\[{])\s*(\S+)\s+TO\s+(\S+)\s*([\]}])$", r.text)
+            lo_inc, lo, hi, hi_inc = m.group(1) == "[", m.group(2), m.group(3), m.group(4) == "]"
+            pred = F.lit(True)
+            if lo != "*":
+                pred = pred & ((F.col("term") >= lo) if lo_inc else (F.col("term") > lo))
+            if hi != "*":
+                pred = pred & ((F.col("term") <= hi) if hi_inc else (F.col("term") < hi))
+        specs.append((i, pred))
+        spec_rows.append((i, r.query_id, r.clause_id))
+    const_exp = exp_pw
+    if specs:
+        ids = spark.createDataFrame(spec_rows, "spec_idx int, query_id long, clause_id int")
+        exp_rr = _expand_by_predicates(index, specs).join(F.broadcast(ids), "spec_idx").select("query_id", "clause_id", "term")
+        const_exp = const_exp.unionByName(exp_rr)
+    parts.append(_score_constant(index, const_exp, good, n))
+    fz = good.where(F.col("kind") == "fuzzy").select("query_id", "clause_id", "text")
+    if fz.count() > 0:
+        parts.append(_score_fuzzy(index, _expand_fuzzy(index, fz, max_edits), good))
+    # match_all queries are answered apart (first k documents, N hits)
+    scored = parts[0]
+    for p in parts[1:]:
+        scored = scored.unionByName(p)
+    occ = good.select("query_id", "clause_id", "occur")
+    sc = scored.join(F.broadcast(occ) if n <= BROADCAST_MAX_ROWS else occ, ["query_id", "clause_id"])
+    pos = sc.where(F.col("occur") != "MUST_NOT")
+    neg = sc.where(F.col("occur") == "MUST_NOT").select("query_id", "doc_id").distinct()
+    # clauses that analyse to nothing are dropped, as a parser would drop them
+    live = tp.select("query_id", "clause_id").distinct().unionByName(
+        good.where(~F.col("kind").isin("term", "phrase")).select("query_id", "clause_id")).join(occ, ["query_id", "clause_id"])
+    need = live.groupBy("query_id").agg(F.sum(F.when(F.col("occur") == "MUST", 1).otherwise(0)).alias("n_must"))
+    per_doc = pos.groupBy("query_id", "doc_id").agg(
+        F.sum("score").alias("score"),
+        F.countDistinct(F.when(F.col("occur") == "MUST", F.col("clause_id"))).alias("must_hit"),
+        F.count(F.when(F.col("occur") == "SHOULD", 1)).alias("should_hit"))
+    per_doc = per_doc.join(F.broadcast(need) if n <= BROADCAST_MAX_ROWS else need, "query_id")
+    per_doc = per_doc.where((F.col("must_hit") == F.col("n_must")) & ((F.col("n_must") > 0) | (F.col("should_hit") > 0)))
+    per_doc = per_doc.join(neg, ["query_id", "doc_id"], "left_anti").select("query_id", "doc_id", "score")
+    n_queries = good.select("query_id").distinct().count()
+    ok = rank_results(index, per_doc, k, max(n_queries, 1))
+    errors = bad_q.select(
+        "query_id", F.lit(None).cast("int").alias("rank"), F.lit(None).cast("long").alias("doc_id"),
+        F.lit(None).cast("string").alias("filepath"), F.lit(None).cast("double").alias("score"),
+        F.lit(None).cast("long").alias("total_hits"), F.concat(F.lit("error: "), F.col("message")).alias("status"))
+    return ok.unionByName(match_all(index, all_q, k)).unionByName(errors)
+
+
+def match_all(index: Index, queries: DataFrame, k: int = P.TOP_K) -> DataFrame:
+    """QRY-14: every document matches with score = boost; the hits are the
+    first k documents in index order and the total is the document count.
+    Only k documents are ever paired with the (bounded) query list."""
+    n_q = queries.count()
+    if n_q == 0:
+        return queries.sparkSession.createDataFrame([], ", ".join(
+            ["query_id long", "rank int", "doc_id long", "filepath string", "score double", "total_hits long", "status string"]))
+    first = index.docs.select("doc_id", "filepath").orderBy("doc_id").limit(k)
+    first = first.select("*", F.row_number().over(Window.orderBy("doc_id")).alias("rank"))  # k rows only
+    n_docs = index.docs.agg(F.count(F.lit(1)).alias("total_hits"))
+    qs = broadcast_if_small(queries, known_rows=n_q).crossJoin(F.broadcast(n_docs))
+    out = qs.crossJoin(F.broadcast(first))
+    return out.select("query_id", F.col("rank").cast("int").alias("rank"), "doc_id", "filepath",
+                      F.round(F.col("boost"), SCORE_DIGITS).alias("score"), "total_hits", F.lit("ok").alias("status"))

@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 VOWELS = set("aeiouăâî")
 
@@ -194,13 +195,13 @@ def _stem_list_array(arr: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, mapped, mask=arr.is_null())
 
 
-@F.arrow_udf("array<string>")
+@F.arrow_udf(ArrayType(StringType()))
 def stem_terms(terms: pa.Array) -> pa.Array:
     """Arrow UDF: array<string> → array<string>, each term stemmed."""
     return _stem_list_array(terms)
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def stem_term(term: pa.Array) -> pa.Array:
     """Arrow UDF: string → string (distinct terms of the batch stemmed once)."""
     if isinstance(term, pa.ChunkedArray):

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import retrieval
+from . import retrieval, structured
 
-MODULES = [retrieval]
+MODULES = [retrieval, structured]
 
 
 def queries() -> dict:

@@ -49,9 +49,9 @@ def is_final_sql(flags: str) -> str:
 def tokens_sql(source: str, id_col: str, text_col: str) -> str:
     """(id, pos, term) — tokeniser output with positions."""
     return f"""
-        SELECT {id_col} AS id, CAST(pos AS INTEGER) AS pos, term FROM (
-          SELECT {id_col}, unnest(toks) AS term, unnest(range(len(toks))) AS pos FROM (
-            SELECT {id_col}, list_filter(regexp_extract_all({text_col}, {q(P.TOKEN_RX)}, 0),
+        SELECT id, CAST(pos AS INTEGER) AS pos, term FROM (
+          SELECT id, unnest(toks) AS term, unnest(range(len(toks))) AS pos FROM (
+            SELECT {id_col} AS id, list_filter(regexp_extract_all({text_col}, {q(P.TOKEN_RX)}, 0),
                                       lambda t: regexp_matches(t, {q(P.ALNUM_RX)})) AS toks
             FROM {source}))"""
 
@@ -147,3 +147,17 @@ def rank_sql(per_doc: str, k: int = P.TOP_K) -> str:
            r.score, t.total_hits, 'ok' AS status
     FROM ranked r JOIN totals t ON t.query_id = r.query_id
     WHERE r.rnk <= {k}"""
+
+
+def rank_ctes(per_doc: str, name: str = "res", k: int = P.TOP_K) -> str:
+    """Like ``rank_sql`` but as CTEs ending in ``{name}`` (prefixed names)."""
+    return f"""
+      {name}_scored AS (SELECT query_id, doc_id, round(score, 6) AS score FROM {per_doc}),
+      {name}_totals AS (SELECT query_id, count(*) AS total_hits FROM {name}_scored GROUP BY query_id),
+      {name}_ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id ASC) AS rnk
+                        FROM {name}_scored),
+      {name} AS (
+        SELECT r.query_id, CAST(r.rnk AS INTEGER) AS rank, r.doc_id, CAST(r.doc_id AS VARCHAR) AS filepath,
+               r.score, t.total_hits, 'ok' AS status
+        FROM {name}_ranked r JOIN {name}_totals t ON t.query_id = r.query_id
+        WHERE r.rnk <= {k})"""
