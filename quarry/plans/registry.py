@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import retrieval, structured
+from . import dialogue, retrieval, structured
 
-MODULES = [retrieval, structured]
+MODULES = [retrieval, structured, dialogue]
 
 
 def queries() -> dict:
