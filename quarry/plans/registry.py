@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import dialogue, retrieval, structured
+from . import dialogue, retrieval, scoring, structured
 
-MODULES = [retrieval, structured, dialogue]
+MODULES = [retrieval, structured, dialogue, scoring]
 
 
 def queries() -> dict:
