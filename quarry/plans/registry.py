@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import dialogue, retrieval, scoring, structured
+from . import dialogue, ingest, retrieval, scoring, structured
 
-MODULES = [retrieval, structured, dialogue, scoring]
+MODULES = [ingest, retrieval, structured, dialogue, scoring]
 
 
 def queries() -> dict:
