@@ -257,9 +257,18 @@ def analyze(
     )
 
 
+def explode_token_rows(df: DataFrame, cols, arr: str = "tokens", name: str = "t") -> DataFrame:
+    """``explode`` of a token array.  ``explode_outer`` + a null filter is
+    used on purpose: a plain explode lets the optimizer infer a
+    ``size(tokens) > 0`` filter below the Arrow-evaluated stemming UDF, which
+    cannot be evaluated there."""
+    out = df.select(*cols, F.explode_outer(arr).alias(name))
+    return out.where(F.col(name).isNotNull())
+
+
 def explode_tokens(analyzed: DataFrame, id_col: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per token: id, pos, ord, pos_inc, term, flags, is_final."""
-    t = analyzed.select(F.col(id_col), *[F.col(k) for k in keep], F.explode("tokens").alias("t"))
+    t = explode_token_rows(analyzed, [F.col(id_col), *[F.col(k) for k in keep]])
     return t.select(
         F.col(id_col),
         *[F.col(k) for k in keep],

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .analyzer import AnalyzerOptions, analyze
+from .analyzer import AnalyzerOptions, analyze, explode_token_rows
 
 INDEX_TABLES = ("postings", "terms", "docs", "stats")
 
@@ -36,7 +36,7 @@ def build_postings(analyzed: DataFrame, norm: str = "lossy") -> DataFrame:
     """IDX-1: term, doc_id, tf, positions (sorted; overlaps repeat the
     position), dl (ranking length of the document)."""
     dl = analyzed["dl"] if norm == "exact" else T.lossy_length(analyzed["dl"])
-    tok = analyzed.select("doc_id", dl.alias("dl"), F.explode("tokens").alias("t"))
+    tok = explode_token_rows(analyzed, ["doc_id", dl.alias("dl")])
     return tok.groupBy(F.col("t.term").alias("term"), "doc_id", "dl").agg(
         F.count(F.lit(1)).cast("int").alias("tf"),
         F.sort_array(F.collect_list(F.col("t.pos"))).alias("positions"),

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..session import BROADCAST_MAX_ROWS, broadcast_if_small
-from .analyzer import AnalyzerOptions, analyze
+from .analyzer import AnalyzerOptions, analyze, explode_token_rows
 from .index import Index
 
 OCCURS = ("MUST", "SHOULD", "MUST_NOT")
@@ -68,7 +68,7 @@ def query_options(stem: bool = True) -> AnalyzerOptions:
 def analyze_queries(queries: DataFrame, stem: bool = True, id_col="query_id", text_col="query") -> DataFrame:
     """QRY-1: (query_id, pos, ord, term) for every surviving query token."""
     a = analyze(queries, id_col, text_col, query_options(stem))
-    t = a.select(F.col(id_col).alias("query_id"), F.explode("tokens").alias("t"))
+    t = explode_token_rows(a, [F.col(id_col).alias("query_id")])
     return t.select("query_id", F.col("t.pos").alias("pos"), F.col("t.ord").alias("ord"), F.col("t.term").alias("term"))
 
 
@@ -224,7 +224,7 @@ def _analyzed_clause_terms(clauses: DataFrame, stem: bool) -> DataFrame:
     phrase clauses; the text goes through the query-mode analyser."""
     a = analyze(clauses.select(F.struct("query_id", "clause_id").alias("key"), "text"), "key", "text",
                 query_options(stem), keep=())
-    t = a.select("key", F.explode("tokens").alias("t"))
+    t = explode_token_rows(a, ["key"])
     t = t.select(F.col("key.query_id").alias("query_id"), F.col("key.clause_id").alias("clause_id"),
                  F.col("t.pos").alias("pos"), F.col("t.ord").alias("ord"), F.col("t.term").alias("term"))
     return t.join(clauses.select("query_id", "clause_id", "occur", "boost", "slop", "kind"), ["query_id", "clause_id"])

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import dialogue, ingest, retrieval, scoring, structured
+from . import dialogue, ingest, live, retrieval, scoring, structured
 
-MODULES = [ingest, retrieval, structured, dialogue, scoring]
+MODULES = [ingest, retrieval, structured, dialogue, scoring, live]
 
 
 def queries() -> dict:
