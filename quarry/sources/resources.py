@@ -71,7 +71,7 @@ def read_queries(spark: SparkSession, paths) -> DataFrame:
     for p in paths:
         if not _exists(spark, p):
             raise FileNotFoundError(p)
-    t = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(paths)
+    t = spark.read.option("recursiveFileLookup", "true").text(paths, wholetext=True)
     t = t.select(F.col("_metadata.file_path").alias("source"), "value")
     lines = t.select("source", F.posexplode(F.split("value", "\n", -1)).alias("line_no", "query"))
     lines = lines.select("source", "line_no", F.regexp_replace("query", "\r$", "").alias("query")).where(F.length("query") > 0)
