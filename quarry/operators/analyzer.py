@@ -209,8 +209,11 @@ class AnalyzerOptions:
 
 def _front(text: Column, opts: AnalyzerOptions) -> Column:
     arr = token_array(text, opts.tokenizer, opts.rules)
-    arr = drop_punctuation(arr)
-    arr = emit_subtokens(arr, P.URL_SUBTOKEN_RX, ["UrlAddress"])
+    if opts.tokenizer != "standard":
+        # standard tokens always hold a letter or digit: never punctuation-only
+        arr = drop_punctuation(arr)
+    has_url = F.exists(arr, lambda x: F.array_contains(x["flags"], "UrlAddress"))
+    arr = F.when(has_url, emit_subtokens(arr, P.URL_SUBTOKEN_RX, ["UrlAddress"])).otherwise(arr)
     if opts.tokenizer != "standard":
         # the standard tokeniser breaks at '@', so e-mail tokens only exist here
         arr = emit_email_subtokens(arr)

@@ -159,12 +159,36 @@ def run_queries(index: Index, queries: DataFrame, k: int = P.TOP_K, stem: bool =
     n_queries = queries.count()
     qtok = analyze_queries(queries, stem, id_col, text_col)
     groups = free_text_groups(qtok)
-    n_terms = groups.count()
-    per_clause = score_term_groups(index, groups, known_rows=n_terms)
-    per_doc = per_clause.groupBy("query_id", "doc_id").agg(F.sum("score").alias("score"))
+    # positions holding one term (the usual case) collapse to (query, term,
+    # weight = repetitions); several terms at a position form a synonym group
+    size = Window.partitionBy("query_id", "clause_id")
+    g = groups.select("*", F.count(F.lit(1)).over(size).alias("_n"))
+    single = g.where(F.col("_n") == 1).groupBy("query_id", "term").agg(F.sum("boost").alias("weight"))
+    multi = g.where(F.col("_n") > 1).drop("_n")
+    n_single = single.count()
+    n_multi = multi.count()
+    per_doc = score_terms(index, single, known_rows=n_single)
+    if n_multi:
+        per_doc = per_doc.unionByName(score_term_groups(index, multi, known_rows=n_multi).select("query_id", "doc_id", "score"))
+    per_doc = per_doc.groupBy("query_id", "doc_id").agg(F.sum("score").alias("score"))
     return rank_results(index, per_doc, k, n_queries)
 
 
+def score_terms(index: Index, qterms: DataFrame, known_rows: int | None = None) -> DataFrame:
+    """Single-term clauses: ``qterms(query_id, term, weight)`` →
+    (query_id, doc_id, score) with score = weight · bm25 summed per doc.  The
+    postings join is map-side (broadcast query side) and the sum is partially
+    aggregated before the one exchange on (query_id, doc_id)."""
+    n = known_rows if known_rows is not None else qterms.count()
+    q = broadcast_if_small(qterms, known_rows=n)
+    with_df = index.terms.select("term", "df").join(q, "term")
+    post = _postings_for(index, qterms, n)
+    cand = post.join(broadcast_if_small(with_df, known_rows=n), "term").crossJoin(_stats(index))
+    s = cand.select("query_id", "doc_id",
+                    (F.col("weight") * bm25(F.col("tf"), F.col("df"), F.col("dl"), F.col("n_docs"), F.col("avgdl"))).alias("score"))
+    return s.groupBy("query_id", "doc_id").agg(F.sum("score").alias("score"))
+
+
 def format_results(results: DataFrame) -> DataFrame:
     """SNK-4: ``n. "filepath"`` lines and the ``Found`` line per query."""
     lines = results.where(F.col("status") == "ok").select(
