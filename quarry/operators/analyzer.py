@@ -41,10 +41,12 @@ def _with_term(x: Column, term: Column) -> Column:
 # ---------------------------------------------------------------------------
 # Steps (array → array)
 # ---------------------------------------------------------------------------
-def token_array(text: Column, tokenizer: str = "standard", rules=None) -> Column:
-    """TXT-1/2/3: tokens with their position (fixed before any removal) and flags."""
+def token_array(text: Column, tokenizer: str = "standard", rules=None, lower: bool = False) -> Column:
+    """TXT-1/2/3: tokens with their position (fixed before any removal) and
+    flags (always decided on the original spelling).  ``lower`` stores the
+    lowercased term right away (TXT-8 fused into the same pass)."""
     terms = T.tokenize(text) if tokenizer == "standard" else T.whitespace_tokenize(text)
-    return F.transform(terms, lambda t, i: _tok(i, F.lit(0), t, T.flags(t, rules)))
+    return F.transform(terms, lambda t, i: _tok(i, F.lit(0), F.lower(t) if lower else t, T.flags(t, rules)))
 
 
 def drop_punctuation(arr: Column) -> Column:
@@ -208,15 +210,18 @@ class AnalyzerOptions:
 
 
 def _front(text: Column, opts: AnalyzerOptions) -> Column:
+    if opts.tokenizer == "standard":
+        # Standard tokens always hold a letter or digit (never punctuation
+        # only) and never contain '@' (no e-mail tokens).  The URL subtoken
+        # class is case-insensitive, so cutting the lowercased term yields
+        # the lowercased pieces: lowercase is fused into the first pass.
+        arr = token_array(text, opts.tokenizer, opts.rules, lower=True)
+        has_url = F.exists(arr, lambda x: F.array_contains(x["flags"], "UrlAddress"))
+        return F.when(has_url, emit_subtokens(arr, P.URL_SUBTOKEN_RX, ["UrlAddress"])).otherwise(arr)
     arr = token_array(text, opts.tokenizer, opts.rules)
-    if opts.tokenizer != "standard":
-        # standard tokens always hold a letter or digit: never punctuation-only
-        arr = drop_punctuation(arr)
-    has_url = F.exists(arr, lambda x: F.array_contains(x["flags"], "UrlAddress"))
-    arr = F.when(has_url, emit_subtokens(arr, P.URL_SUBTOKEN_RX, ["UrlAddress"])).otherwise(arr)
-    if opts.tokenizer != "standard":
-        # the standard tokeniser breaks at '@', so e-mail tokens only exist here
-        arr = emit_email_subtokens(arr)
+    arr = drop_punctuation(arr)
+    arr = emit_subtokens(arr, P.URL_SUBTOKEN_RX, ["UrlAddress"])
+    arr = emit_email_subtokens(arr)
     return lowercase(arr)
 
 

@@ -36,11 +36,19 @@ def build_postings(analyzed: DataFrame, norm: str = "lossy") -> DataFrame:
     """IDX-1: term, doc_id, tf, positions (sorted; overlaps repeat the
     position), dl (ranking length of the document)."""
     dl = analyzed["dl"] if norm == "exact" else T.lossy_length(analyzed["dl"])
-    tok = explode_token_rows(analyzed, ["doc_id", dl.alias("dl")])
-    return tok.groupBy(F.col("t.term").alias("term"), "doc_id", "dl").agg(
+    tok = explode_token_rows(analyzed, ["doc_id", dl.alias("dl"), F.col("dl").alias("dl_exact")])
+    return tok.groupBy(F.col("t.term").alias("term"), "doc_id", "dl", "dl_exact").agg(
         F.count(F.lit(1)).cast("int").alias("tf"),
         F.sort_array(F.collect_list(F.col("t.pos"))).alias("positions"),
-    ).select("term", "doc_id", "tf", "positions", "dl")
+    ).select("term", "doc_id", "tf", "positions", "dl", "dl_exact")
+
+
+def lengths_from_postings(postings: DataFrame) -> DataFrame:
+    """IDX-3/4 from written postings (no second analysis pass): all tokens
+    = Σ tf, ranking length carried in every posting."""
+    per = postings.groupBy("doc_id").agg(F.sum("tf").cast("int").alias("n_tokens"), F.max("dl_exact").alias("dl_exact"))
+    return per.select("doc_id", "n_tokens", (F.col("n_tokens") - F.col("dl_exact")).alias("n_overlap"), "dl_exact",
+                      T.encode_length(F.col("dl_exact")).alias("norm"), T.lossy_length(F.col("dl_exact")).alias("dl"))
 
 
 def doc_lengths(analyzed: DataFrame) -> DataFrame:
@@ -136,7 +144,12 @@ def write_index(index: Index, path: str, postings_files: int | None = None) -> N
     written = spark.read.parquet(os.path.join(path, "postings"))
     term_stats(written).sortWithinPartitions("term").write.mode("overwrite").parquet(os.path.join(path, "terms"))
     collection_stats(written).coalesce(1).write.mode("overwrite").parquet(os.path.join(path, "stats"))
-    index.docs.write.mode("overwrite").parquet(os.path.join(path, "docs"))
+    stored = index.docs.select("doc_id", "filename", "filepath")
+    lengths = lengths_from_postings(written)
+    docs = stored.join(lengths, "doc_id", "left").select(
+        "doc_id", "filename", "filepath",
+        *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("n_tokens", "n_overlap", "dl_exact", "norm", "dl")])
+    docs.write.mode("overwrite").parquet(os.path.join(path, "docs"))
 
 
 def read_index(spark: SparkSession, path: str) -> Index:

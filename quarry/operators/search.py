@@ -18,6 +18,8 @@ fields are fetched for the k hits only.
 
 from __future__ import annotations
 
+import re
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -461,47 +463,57 @@ def search(index: Index, clauses: DataFrame, k: int = P.TOP_K, stem: bool = True
     n = good.count()
     good = broadcast_if_small(good, known_rows=n)
 
+    kinds = {r["kind"]: r["count"] for r in good.groupBy("kind").count().collect()}  # at most 8 rows
     parts = []
-    # term clauses: each analysed position is a synonym group
-    tp = _analyzed_clause_terms(good.where(F.col("kind").isin("term", "phrase")), stem)
-    n_tp = tp.count()
-    terms = tp.where(F.col("kind") == "term").select("query_id", "clause_id", F.col("pos").alias("sub_id"), "term", "boost")
-    parts.append(score_term_groups(index, terms, known_rows=n_tp))
-    parts.append(_score_phrase(index, tp.where(F.col("kind") == "phrase"), n_tp))
-    # prefix / wildcard: literal key + pattern, equi-join on the key
-    pw = good.where(F.col("kind").isin("prefix", "wildcard")).select(
-        "query_id", "clause_id",
-        F.when(F.col("kind") == "prefix", F.col("text")).otherwise(_literal_prefix(F.col("text"))).alias("key"),
-        F.when(F.col("kind") == "prefix", F.concat(_like_pattern(F.col("text")), F.lit("%")))
-        .otherwise(_like_pattern(F.col("text"))).alias("pattern"))
-    exp_pw = _expand_prefix(index, pw).where(F.expr("term LIKE pattern")).select("query_id", "clause_id", "term")
-    # regex / range: per-clause predicates over one term-table scan
-    specs, spec_rows = [], []
-    for r in good.where(F.col("kind").isin("regex", "range")).select("query_id", "clause_id", "kind", "text").collect():
-        i = len(specs)
-        if r.kind == "regex":
-            pred = F.col("term").rlike("^(?:" + r.text + r")\z")
-        else:
-            import re as _re
-            m = _re.match(r"^([\[{])\s*(\S+)\s+TO\s+(\S+)\s*([\]}])$", r.text)
-            lo_inc, lo, hi, hi_inc = m.group(1) == "[", m.group(2), m.group(3), m.group(4) == "]"
-            pred = F.lit(True)
-            if lo != "*":
-                pred = pred & ((F.col("term") >= lo) if lo_inc else (F.col("term") > lo))
-            if hi != "*":
-                pred = pred & ((F.col("term") <= hi) if hi_inc else (F.col("term") < hi))
-        specs.append((i, pred))
-        spec_rows.append((i, r.query_id, r.clause_id))
-    const_exp = exp_pw
-    if specs:
+    if kinds.get("term") or kinds.get("phrase"):
+        # term clauses: each analysed position is a synonym group
+        tp = _analyzed_clause_terms(good.where(F.col("kind").isin("term", "phrase")), stem)
+        n_tp = tp.count()
+    else:
+        tp = spark.createDataFrame([], "query_id long, clause_id int, occur string")
+        n_tp = 0
+    if kinds.get("term") and n_tp:
+        terms = tp.where(F.col("kind") == "term").select("query_id", "clause_id", F.col("pos").alias("sub_id"), "term", "boost")
+        parts.append(score_term_groups(index, terms, known_rows=n_tp))
+    if kinds.get("phrase") and n_tp:
+        parts.append(_score_phrase(index, tp.where(F.col("kind") == "phrase"), n_tp))
+    const_exp = None
+    if kinds.get("prefix") or kinds.get("wildcard"):
+        # prefix / wildcard: literal key + pattern, equi-join on the key
+        pw = good.where(F.col("kind").isin("prefix", "wildcard")).select(
+            "query_id", "clause_id",
+            F.when(F.col("kind") == "prefix", F.col("text")).otherwise(_literal_prefix(F.col("text"))).alias("key"),
+            F.when(F.col("kind") == "prefix", F.concat(_like_pattern(F.col("text")), F.lit("%")))
+            .otherwise(_like_pattern(F.col("text"))).alias("pattern"))
+        const_exp = _expand_prefix(index, pw).where(F.expr("term LIKE pattern")).select("query_id", "clause_id", "term")
+    if kinds.get("regex") or kinds.get("range"):
+        # regex / range: per-clause predicates over one term-table scan
+        specs, spec_rows = [], []
+        for r in good.where(F.col("kind").isin("regex", "range")).select("query_id", "clause_id", "kind", "text").collect():
+            i = len(specs)
+            if r.kind == "regex":
+                pred = F.col("term").rlike("^(?:" + r.text + r")\z")
+            else:
+                m = re.match(RANGE_RX, r.text)
+                lo_inc, lo, hi, hi_inc = m.group(1) == "[", m.group(2), m.group(3), m.group(4) == "]"
+                pred = F.lit(True)
+                if lo != "*":
+                    pred = pred & ((F.col("term") >= lo) if lo_inc else (F.col("term") > lo))
+                if hi != "*":
+                    pred = pred & ((F.col("term") <= hi) if hi_inc else (F.col("term") < hi))
+            specs.append((i, pred))
+            spec_rows.append((i, r.query_id, r.clause_id))
         ids = spark.createDataFrame(spec_rows, "spec_idx int, query_id long, clause_id int")
         exp_rr = _expand_by_predicates(index, specs).join(F.broadcast(ids), "spec_idx").select("query_id", "clause_id", "term")
-        const_exp = const_exp.unionByName(exp_rr)
-    parts.append(_score_constant(index, const_exp, good, n))
-    fz = good.where(F.col("kind") == "fuzzy").select("query_id", "clause_id", "text")
-    if fz.count() > 0:
+        const_exp = exp_rr if const_exp is None else const_exp.unionByName(exp_rr)
+    if const_exp is not None:
+        parts.append(_score_constant(index, const_exp, good, n))
+    if kinds.get("fuzzy"):
+        fz = good.where(F.col("kind") == "fuzzy").select("query_id", "clause_id", "text")
         parts.append(_score_fuzzy(index, _expand_fuzzy(index, fz, max_edits), good))
     # match_all queries are answered apart (first k documents, N hits)
+    if not parts:
+        parts.append(spark.createDataFrame([], "query_id long, clause_id int, doc_id long, score double"))
     scored = parts[0]
     for p in parts[1:]:
         scored = scored.unionByName(p)
