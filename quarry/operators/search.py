@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..session import BROADCAST_MAX_ROWS, broadcast_if_small
+from ..session import BROADCAST_MAX_ROWS, broadcast_if_small, ensure_checkpoint_dir
 from .analyzer import AnalyzerOptions, analyze, explode_token_rows
 from .index import Index
 
@@ -143,7 +143,10 @@ def fetch_docs(hits: DataFrame, index: Index, known_rows: int | None = None) ->
 
 def rank_results(index: Index, per_doc: DataFrame, k: int, n_queries: int) -> DataFrame:
     """Round, rank, count and fetch: the common tail of every search."""
-    scored = per_doc.select("query_id", "doc_id", F.round("score", SCORE_DIGITS).alias("score"))
+    # top-k and the hit totals both read the scored candidates: write them
+    # once to the shared checkpoint folder instead of scoring twice
+    ensure_checkpoint_dir(per_doc.sparkSession)
+    scored = per_doc.select("query_id", "doc_id", F.round("score", SCORE_DIGITS).alias("score")).checkpoint()
     hits = top_k(scored, k)
     totals = broadcast_if_small(total_hits(scored), known_rows=n_queries)
     hits = hits.join(totals, "query_id")
@@ -158,13 +161,16 @@ def run_queries(index: Index, queries: DataFrame, k: int = P.TOP_K, stem: bool =
                 id_col: str = "query_id", text_col: str = "query") -> DataFrame:
     """QRY-20 (QRY-1/2/5/6/16/17/18): every free-text query in one job.
     Default operator OR; a stopword-only query has no hits."""
+    ensure_checkpoint_dir(queries.sparkSession)
     n_queries = queries.count()
     qtok = analyze_queries(queries, stem, id_col, text_col)
     groups = free_text_groups(qtok)
     # positions holding one term (the usual case) collapse to (query, term,
-    # weight = repetitions); several terms at a position form a synonym group
+    # weight = repetitions); several terms at a position form a synonym group.
+    # The analysed query side is small: checkpoint it once to the shared
+    # folder so the size checks and the scoring job reuse it.
     size = Window.partitionBy("query_id", "clause_id")
-    g = groups.select("*", F.count(F.lit(1)).over(size).alias("_n"))
+    g = groups.select("*", F.count(F.lit(1)).over(size).alias("_n")).checkpoint()
     single = g.where(F.col("_n") == 1).groupBy("query_id", "term").agg(F.sum("boost").alias("weight"))
     multi = g.where(F.col("_n") > 1).drop("_n")
     n_single = single.count()
@@ -443,7 +449,10 @@ def search(index: Index, clauses: DataFrame, k: int = P.TOP_K, stem: bool = True
     the sum of its matching MUST/SHOULD clause scores.  A query with an
     invalid clause yields one error row; the other queries are answered."""
     spark = clauses.sparkSession
-    cl = validate_clauses(clause_table(clauses))
+    ensure_checkpoint_dir(spark)
+    # the clause table is small: validated once and checkpointed to the
+    # shared folder, so the driver-side checks below reuse it
+    cl = validate_clauses(clause_table(clauses)).checkpoint()
     # regex clauses are compiled on the driver to report syntax errors per query
     rx = [(r.query_id, r.clause_id, r.text) for r in cl.where((F.col("kind") == "regex") & F.col("error").isNull()).collect()]
     rx_err = [(q, c, e) for q, c, t in rx if (e := _java_regex_error(spark, t))]
@@ -460,6 +469,7 @@ def search(index: Index, clauses: DataFrame, k: int = P.TOP_K, stem: bool = True
     all_q = cl.where((F.col("kind") == "match_all") & F.col("error").isNull()).select("query_id", "boost").distinct()
     bad_q = cl.where(F.col("error").isNotNull()).groupBy("query_id").agg(F.min(F.concat_ws(": ", F.col("clause_id").cast("string"), "error")).alias("message"))
     good = cl.join(bad_q, "query_id", "left_anti").where(F.col("kind") != "match_all").drop("error", "n_all", "n_cl")
+    good = good.checkpoint()
     n = good.count()
     good = broadcast_if_small(good, known_rows=n)
 
@@ -467,7 +477,7 @@ def search(index: Index, clauses: DataFrame, k: int = P.TOP_K, stem: bool = True
     parts = []
     if kinds.get("term") or kinds.get("phrase"):
         # term clauses: each analysed position is a synonym group
-        tp = _analyzed_clause_terms(good.where(F.col("kind").isin("term", "phrase")), stem)
+        tp = _analyzed_clause_terms(good.where(F.col("kind").isin("term", "phrase")), stem).checkpoint()
         n_tp = tp.count()
     else:
         tp = spark.createDataFrame([], "query_id long, clause_id int, occur string")
@@ -517,6 +527,8 @@ def search(index: Index, clauses: DataFrame, k: int = P.TOP_K, stem: bool = True
     scored = parts[0]
     for p in parts[1:]:
         scored = scored.unionByName(p)
+    # read by the positive, negative and live branches: score once
+    scored = scored.checkpoint()
     occ = good.select("query_id", "clause_id", "occur")
     sc = scored.join(F.broadcast(occ) if n <= BROADCAST_MAX_ROWS else occ, ["query_id", "clause_id"])
     pos = sc.where(F.col("occur") != "MUST_NOT")
