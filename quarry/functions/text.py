@@ -98,7 +98,13 @@ def flags(term: Column, rules: list[TokenRule] | None = None) -> Column:
                 cond = cond | c
             items.append(F.when(cond, F.lit(flag)))
     found = F.array_compact(F.array(*items)) if items else F.array().cast("array<string>")
-    return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(P.DEFAULT_FLAG)))
+    flagged = F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(P.DEFAULT_FLAG)))
+    if rules is DEFAULT_RULES:
+        # No default rule can match without a digit, '.', '@' or a leading
+        # Roman letter: one anchored check settles most words.
+        plain = term.rlike(r"^[^MDCLXVI0-9.@][^0-9.@]*$")
+        return F.when(plain, F.array(F.lit(P.DEFAULT_FLAG))).otherwise(flagged)
+    return flagged
 
 
 def is_final(flag_array: Column) -> Column:
@@ -174,7 +180,8 @@ def fold_ascii(term: Column) -> Column:
     out = F.translate(term, src, dst)
     for ch, rep in multi:
         out = F.replace(out, F.lit(ch), F.lit(rep))
-    return out
+    # pure-ASCII terms (most of them) have nothing to fold
+    return F.when(term.rlike(r"^[\x00-\x7F]*$"), term).otherwise(out)
 
 
 def fold_ascii_py(s: str) -> str:

@@ -215,7 +215,8 @@ def _front(text: Column, opts: AnalyzerOptions) -> Column:
         # only) and never contain '@' (no e-mail tokens).  The URL subtoken
         # class is case-insensitive, so cutting the lowercased term yields
         # the lowercased pieces: lowercase is fused into the first pass.
-        arr = token_array(text, opts.tokenizer, opts.rules, lower=True)
+        # ``text`` is the token-array column here (see ``analyze``).
+        arr = text
         has_url = F.exists(arr, lambda x: F.array_contains(x["flags"], "UrlAddress"))
         return F.when(has_url, emit_subtokens(arr, P.URL_SUBTOKEN_RX, ["UrlAddress"])).otherwise(arr)
     arr = token_array(text, opts.tokenizer, opts.rules)
@@ -253,7 +254,12 @@ def analyze(
     the array is read from a column, never recomputed per element."""
     opts = opts or AnalyzerOptions()
     ids = [F.col(id_col)] + [F.col(k) for k in keep]
-    cur = df.select(*ids, _front(F.col(text_col), opts).alias("_t"))
+    if opts.tokenizer == "standard":
+        # the token array gets its own projection: the URL step reads it twice
+        cur = df.select(*ids, token_array(F.col(text_col), opts.tokenizer, opts.rules, lower=True).alias("_a"))
+        cur = cur.select(*ids, _front(F.col("_a"), opts).alias("_t"))
+    else:
+        cur = df.select(*ids, _front(F.col(text_col), opts).alias("_t"))
     if opts.mode == "index" and opts.use_synonyms and opts.synonyms:
         cur = cur.select(*ids, inject_synonyms(F.col("_t"), opts.synonyms).alias("_t"))
     cur = cur.select(*ids, _back(F.col("_t"), opts).alias("_t"))
