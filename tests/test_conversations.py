@@ -106,3 +106,18 @@ def test_vectors_and_metrics(spark):
     assert binary == pytest.approx(2 * 1 / (2 + 1))
     empty = M.mean_metric(spark.createDataFrame([], "v double"), "v").first().v
     assert empty == 0.0
+
+
+def test_extension_points_and_metric_sink(spark, tmp_path):
+    from quarry.operators.extension import accuracy, custom_metric, filter_with
+    from quarry.sources.sinks import append_metrics
+
+    p = spark.createDataFrame([(0, 0), (1, 1), (1, 0), (2, 2)], "pred int, ref int")
+    assert filter_with(p, lambda d: d.pred == d.ref).count() == 3
+    assert custom_metric(p, accuracy()).first().accuracy == pytest.approx(0.75)
+    out = str(tmp_path / "metrics")
+    m = spark.createDataFrame([("train", "loss", 0, 1.5), ("valid", "loss", 0, 2.0)], "split string, metric string, step int, value double")
+    append_metrics(m, out)
+    append_metrics(m, out)
+    back = spark.read.parquet(out)
+    assert back.count() == 4 and back.where("split = 'valid'").count() == 2

@@ -108,3 +108,15 @@ def test_format_results(spark, idx):
     q = spark.createDataFrame([(1, "pie")], "query_id long, query string")
     lines = {r.line for r in S.format_results(S.run_queries(idx, q, stem=False)).collect()}
     assert lines == {"Found: 1", '1. "2"'}
+
+
+def test_url_synonym_group(spark):
+    docs = spark.createDataFrame([(0, "see www.example.com now"), (1, "an example here"), (2, "nothing")],
+                                 "doc_id long, text string")
+    ix = I.build_index(docs, A.AnalyzerOptions(stem=False))
+    q = spark.createDataFrame([(1, "www.example.com")], "query_id long, query string")
+    res = {r.doc_id: r for r in S.run_queries(ix, q, stem=False).collect()}
+    assert set(res) == {0, 1}
+    st = ix.stats.first()
+    # doc 1: one synonym-group clause, tf = 1 (example), df = max df of the group = 2
+    assert res[1].score == pytest.approx(round(_bm25(1, 2, 3, st.n_docs, st.avgdl), 6), abs=1e-6)

@@ -130,3 +130,17 @@ def test_synonyms_index_mode_only(spark):
     assert (0, "auto") in got and (2, "nyc") in got
     q = A.analyze(df, opts=A.AnalyzerOptions(mode="query", stem=False, use_synonyms=True, synonyms=syn))
     assert "auto" not in [t.term for t in q.first().tokens]
+
+
+def test_whitespace_mode_email_subtokens(spark):
+    df = spark.createDataFrame([(1, "mail a@b.ro now")], "doc_id long, text string")
+    a = A.analyze(df, opts=A.AnalyzerOptions(stem=False, tokenizer="whitespace", stopwords=(), stopwords_folded=()))
+    got = [(t.pos, t.ord, t.term) for t in a.first().tokens]
+    assert got == [(0, 0, "mail"), (1, 0, "a@b.ro"), (1, 1, "a"), (1, 2, "a"), (1, 3, "b"), (1, 4, "ro"), (2, 0, "now")]
+
+
+def test_custom_token_rule(spark):
+    rules = T.DEFAULT_RULES + [T.TokenRule(r"[A-Z]{2}-\d+", "NamedEntity", "Number")]
+    df = spark.createDataFrame([("RO-12",), ("plain",)], "t string")
+    got = {r.t: r.f for r in df.select("t", T.flags(F.col("t"), rules).alias("f")).collect()}
+    assert got == {"RO-12": ["NamedEntity", "Number"], "plain": ["Word"]}
