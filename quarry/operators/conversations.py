@@ -237,16 +237,29 @@ def span_matrix(spans: DataFrame, tokens: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- CNV-15/18
-def pair_mask(utterances: DataFrame) -> DataFrame:
+def _bounded(utterances: DataFrame, max_len: int | None) -> DataFrame:
+    """Conversations above ``max_len`` turns are rejected (counted first) so
+    the per-conversation outer products stay bounded by max_len²."""
+    if max_len is None:
+        return utterances
+    long = reject_long(utterances, max_len).select("conversation_ID")
+    return utterances.join(long, "conversation_ID", "left_anti")
+
+
+def pair_mask(utterances: DataFrame, max_len: int | None = P.MAX_CONV_LEN) -> DataFrame:
     """Every (i, j) of valid turns of a conversation (outer product of the
-    conversation mask); self-join on the conversation key."""
+    conversation mask); self-join on the conversation key, at most max_len²
+    pairs per conversation."""
+    utterances = _bounded(utterances, max_len)
     a = utterances.select("conversation_ID", F.col("pos").alias("i"))
     b = utterances.select("conversation_ID", F.col("pos").alias("j"))
     return a.join(b, "conversation_ID").select("conversation_ID", "i", "j", F.lit(1).alias("mask"))
 
 
-def pair_table(features: DataFrame, feat: str = "features") -> DataFrame:
-    """(conversation_ID, i, j, features of i followed by features of j)."""
+def pair_table(features: DataFrame, feat: str = "features", max_len: int | None = P.MAX_CONV_LEN) -> DataFrame:
+    """(conversation_ID, i, j, features of i followed by features of j); at
+    most max_len² pairs per conversation."""
+    features = _bounded(features, max_len)
     a = features.select("conversation_ID", F.col("pos").alias("i"), F.col(feat).alias("fa"))
     b = features.select("conversation_ID", F.col("pos").alias("j"), F.col(feat).alias("fb"))
     return a.join(b, "conversation_ID").select("conversation_ID", "i", "j", F.concat("fa", "fb").alias("features"))

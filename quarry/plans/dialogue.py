@@ -450,7 +450,8 @@ SQL = {
     "units_per_utterance": "SELECT conv_id, turn, len(string_split(text, ' ')) AS n_units FROM conversations",
     "histogram": "SELECT len(string_split(text, ' ')) AS value, count(*) AS count FROM conversations GROUP BY 1",
     "category_counts": f"WITH {U} SELECT emotion AS category, count(*) AS count FROM u GROUP BY emotion",
-    "concat_text": "SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS text FROM conversations GROUP BY conv_id",
+    "concat_text": f"""SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS text FROM conversations
+        GROUP BY conv_id HAVING count(*) <= {X.MAX_CONCAT_ROWS}""",
     "top_terms": f"""WITH {U},
         t AS (SELECT emotion, lower(unnest(list_filter(regexp_extract_all(text, {_TOKRX}, 0),
                                                     lambda t: regexp_matches(t, {_ALNUM})))) AS term FROM u),
