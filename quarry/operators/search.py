@@ -36,6 +36,8 @@ SCORE_DIGITS = 6
 PUSHDOWN_MAX_TERMS = 5000
 # Clauses whose predicates are compiled into one vocabulary scan at a time.
 PREDICATE_CHUNK = 200
+# Regex / range clause specs pass through the driver: bounded per batch.
+MAX_PREDICATE_CLAUSES = 20_000
 
 CLAUSE_SCHEMA = "query_id long, clause_id int, occur string, kind string, text string, boost double, slop int"
 RESULT_COLUMNS = ["query_id", "rank", "doc_id", "filepath", "score", "total_hits", "status"]
@@ -453,7 +455,13 @@ def search(index: Index, clauses: DataFrame, k: int = P.TOP_K, stem: bool = True
     # the clause table is small: validated once and checkpointed to the
     # shared folder, so the driver-side checks below reuse it
     cl = validate_clauses(clause_table(clauses)).checkpoint()
-    # regex clauses are compiled on the driver to report syntax errors per query
+    # Regex and range clauses become literal predicates of one vocabulary scan
+    # (pairing clauses with the vocabulary would be a cross join); their specs
+    # pass through the driver, so their number is checked first.
+    n_pred = cl.where(F.col("kind").isin("regex", "range")).count()
+    if n_pred > MAX_PREDICATE_CLAUSES:
+        raise ValueError(f"{n_pred} regex/range clauses in one batch; split the batch "
+                         f"(at most {MAX_PREDICATE_CLAUSES})")
     rx = [(r.query_id, r.clause_id, r.text) for r in cl.where((F.col("kind") == "regex") & F.col("error").isNull()).collect()]
     rx_err = [(q, c, e) for q, c, t in rx if (e := _java_regex_error(spark, t))]
     if rx_err:
