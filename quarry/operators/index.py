@@ -7,12 +7,11 @@
 * ``docs(doc_id, filename, filepath, n_tokens, dl_exact, norm, dl)``.
 * ``stats(n_docs, sum_ttf, avgdl)`` — a single row.
 
-Build plan: the analyser runs per document row (no shuffle), tokens are
-exploded and aggregated by (term, doc_id).  All tokens of a document are
-in the same task, so the partial (map-side) aggregate already emits final
-postings; the only exchange moves postings, not tokens.  Postings are
-sorted by term inside each file, so parquet min/max statistics prune row
-groups for term lookups.
+Build plan: the analyser runs per document row and the postings of a
+document are cut from its own sorted token array, so building postings
+needs no shuffle at all.  Postings are sorted by term inside each file, so
+parquet min/max statistics prune row groups for term lookups.  Term and
+collection statistics are partial aggregates over the written postings.
 """
 
 from __future__ import annotations
@@ -34,13 +33,30 @@ def analyzed_docs(docs: DataFrame, opts: AnalyzerOptions | None = None, id_col="
 
 def build_postings(analyzed: DataFrame, norm: str = "lossy") -> DataFrame:
     """IDX-1: term, doc_id, tf, positions (sorted; overlaps repeat the
-    position), dl (ranking length of the document)."""
+    position), dl (ranking length), dl_exact.
+
+    A document's tokens are all in its own row, so its postings are built
+    inside the row: sort the (term, pos) array, find where each term's run
+    starts, and slice the runs.  No aggregation and no exchange; postings
+    stay with their document's partition."""
     dl = analyzed["dl"] if norm == "exact" else T.lossy_length(analyzed["dl"])
-    tok = explode_token_rows(analyzed, ["doc_id", dl.alias("dl"), F.col("dl").alias("dl_exact")])
-    return tok.groupBy(F.col("t.term").alias("term"), "doc_id", "dl", "dl_exact").agg(
-        F.count(F.lit(1)).cast("int").alias("tf"),
-        F.sort_array(F.collect_list(F.col("t.pos"))).alias("positions"),
-    ).select("term", "doc_id", "tf", "positions", "dl", "dl_exact")
+    srt = F.array_sort(F.transform("tokens", lambda x: F.struct(x["term"].alias("term"), x["pos"].alias("pos"))))
+    a = analyzed.select("doc_id", dl.alias("dl"), F.col("dl").alias("dl_exact"), srt.alias("_s"))
+    s = F.col("_s")
+    n = F.size(s)
+    idx = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    starts = F.filter(idx, lambda i: (i == 0) | (F.element_at(s, i + 1)["term"] != F.element_at(s, F.greatest(i, F.lit(1)))["term"]))
+    b = a.select("doc_id", "dl", "dl_exact", "_s", starts.alias("_st"))
+    st = F.col("_st")
+    ends = F.concat(F.slice(st, 2, F.greatest(F.size(st) - 1, F.lit(0))), F.array(F.size(s)))
+    runs = F.zip_with(st, ends, lambda a0, e0: F.struct(
+        F.element_at(s, a0 + 1)["term"].alias("term"),
+        (e0 - a0).cast("int").alias("tf"),
+        F.transform(F.slice(s, a0 + 1, e0 - a0), lambda x: x["pos"]).alias("positions")))
+    c = b.select("doc_id", "dl", "dl_exact", runs.alias("_r"))
+    r = explode_token_rows(c, ["doc_id", "dl", "dl_exact"], arr="_r", name="p")
+    return r.select(F.col("p.term").alias("term"), "doc_id", F.col("p.tf").alias("tf"),
+                    F.col("p.positions").alias("positions"), "dl", "dl_exact")
 
 
 def lengths_from_postings(postings: DataFrame) -> DataFrame:
