@@ -48,7 +48,9 @@ def build_postings(analyzed: DataFrame, norm: str = "lossy") -> DataFrame:
     starts = F.filter(idx, lambda i: (i == 0) | (F.element_at(s, i + 1)["term"] != F.element_at(s, F.greatest(i, F.lit(1)))["term"]))
     b = a.select("doc_id", "dl", "dl_exact", "_s", starts.alias("_st"))
     st = F.col("_st")
-    ends = F.concat(F.slice(st, 2, F.greatest(F.size(st) - 1, F.lit(0))), F.array(F.size(s)))
+    # exclusive run ends; empty when there is no run (zip_with would pad)
+    ends = F.when(F.size(st) > 0, F.concat(F.slice(st, 2, F.greatest(F.size(st) - 1, F.lit(0))), F.array(F.size(s)))
+                  ).otherwise(F.array().cast("array<int>"))
     runs = F.zip_with(st, ends, lambda a0, e0: F.struct(
         F.element_at(s, a0 + 1)["term"].alias("term"),
         (e0 - a0).cast("int").alias("tf"),
