@@ -28,20 +28,24 @@ from quarry.llm.common import WORD_TABLE, table
 from quarry.llm.ftrl import Ftrl, Row, scores, softmax, temperature
 
 #: Rows in the learner's sample (expected).
-LABELLED, POOL = 5_000, 3_000
-WORD_BITS, META_BITS = 20, 12
+LABELLED, POOL = 8_000, 3_000
+WORD_BITS, META_BITS = 21, 12
 ROUNDS, EPOCHS = 2, 2
 #: A view labels a pool row for the other view at this probability or above.
 SURE = 0.98
 THRESHOLD = 0.5
+#: How far the combination is held at an even vote of both views.
+RIDGE = 0.05
 HEADS = ("low_quality", "toxic")
 _SYMBOLS = b"#*$%&|<>!"
 
 
 def words_view(text: bytes) -> np.ndarray:
-    """Numbers of the distinct words of a text."""
-    mask = (1 << WORD_BITS) - 1
-    return np.unique(np.fromiter((zlib.crc32(w) & mask for w in set(text.translate(WORD_TABLE).split())), np.int64))
+    """Numbers of the distinct words of a text and of their first four to six
+    bytes, which stand for stems."""
+    words, mask = set(text.translate(WORD_TABLE).split()), (1 << WORD_BITS) - 1
+    stems = {w[:n] + b"-" for n in (4, 5, 6) for w in words if len(w) > n}
+    return np.unique(np.fromiter((zlib.crc32(w) & mask for w in words | stems), np.int64))
 
 
 def meta_view(text: bytes, source: str | None, lang: str | None) -> np.ndarray:
@@ -73,7 +77,8 @@ def _views(text: str | None, source: str | None, lang: str | None) -> tuple[np.n
 
 
 def _fit(bits: int, rows: list[Row], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return Ftrl(1 << bits, 2, alpha=0.3, l1=0.5, l2=0.05).fit(rows, y, EPOCHS).table()
+    """Many words, so a strong penalty keeps all but the telling ones at zero."""
+    return Ftrl(1 << bits, 2, alpha=0.3, l1=8.0 if bits == WORD_BITS else 1.0, l2=0.05).fit(rows, y, EPOCHS).table()
 
 
 def _combine(logits: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -83,7 +88,7 @@ def _combine(logits: np.ndarray, y: np.ndarray) -> np.ndarray:
     w = start.copy()
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.eye(3) * 1.0, x.T @ (p - y) + (w - start) * 1.0)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.eye(3) * RIDGE, x.T @ (p - y) + (w - start) * RIDGE)
         w -= step
         if np.abs(step).max() < 1e-8:
             break
@@ -99,24 +104,23 @@ def co_train(views: list[list[Row]], y: np.ndarray, held: np.ndarray, rounds: in
         return None
     given: list[dict[int, int]] = [{}, {}]  # pseudo-labels for each view
     rates = {c: (y[known] == c).mean() for c in (0, 1)}
-    fitted: list = []
+    at_held = np.flatnonzero(held & (y >= 0))
     for r in range(rounds + 1):
         fitted = []
         for v, bits in enumerate((WORD_BITS, META_BITS)):
             at = [*known, *given[v]]
             fitted.append(_fit(bits, [views[v][i] for i in at], np.array([*y[known], *given[v].values()])))
+        logits = [scores([views[v][i] for i in at_held], *fitted[v]) for v in (0, 1)]
+        heat = [temperature(x, y[at_held]) for x in logits]
         if r < rounds and len(pool):
-            for v in (0, 1):
-                p = softmax(scores([views[v][i] for i in pool], *fitted[v]))
+            for v in (0, 1):  # sure by its calibrated probability
+                p = softmax(scores([views[v][i] for i in pool], *fitted[v]) / heat[v])
                 for c in (0, 1):
                     most = max(1, int(len(pool) * rates[c] / (2 * rounds)))
                     best = np.argsort(-p[:, c], kind="stable")[:most]
                     given[1 - v] |= {int(pool[i]): c for i in best if p[i, c] >= SURE}
-    at = np.flatnonzero(held & (y >= 0))
-    logits = [scores([views[v][i] for i in at], *fitted[v]) for v in (0, 1)]
-    heat = [temperature(x, y[at]) for x in logits]
-    margins = np.column_stack([(x[:, 1] - x[:, 0]) / t for x, t in zip(logits, heat)]) if len(at) else np.zeros((0, 2))
-    vote = _combine(margins, y[at])
+    margins = np.column_stack([(x[:, 1] - x[:, 0]) / t for x, t in zip(logits, heat)]) if len(at_held) else np.zeros((0, 2))
+    vote = _combine(margins, y[at_held])
     return [((w[:, 1] - w[:, 0]).astype(np.float32) / t, float(b[1] - b[0]) / t) for (w, b), t in zip(fitted, heat)] + [vote]
 
 

@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import language, licences, repetition, url_rules
+from quarry.llm import cotrain, decontaminate, language, licences, repetition, simhash, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontaminate": decontaminate.query,
     "op3_repetition_rules": repetition.query,
+    "op4_simhash": simhash.query,
     "op5_url_rules": url_rules.query,
     "op6_licence_scan": licences.query,
     "op8_language_id": language.query,
+    "op10_quality_classifier": cotrain.query,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_url_rules": url_rules.oracle()}
+ORACLE_SQL: dict[str, str] = {"op2_decontaminate": decontaminate.oracle(), "op5_url_rules": url_rules.oracle()}
