@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import cotrain, decontaminate, language, licences, repetition, simhash, url_rules
+from quarry.llm import cotrain, decontaminate, language, licences, phrases, repetition, simhash, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": decontaminate.query,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_url_rules": url_rules.query,
     "op6_licence_scan": licences.query,
     "op8_language_id": language.query,
+    "op9_phrase_dedup": phrases.query,
     "op10_quality_classifier": cotrain.query,
 }
 
