@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import cotrain, decontaminate, language, licences, phrases, repetition, simhash, url_rules
+from quarry.llm import cotrain, decontaminate, katz, language, licences, packing, phrases, repetition, simhash, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_retrieval_packing": packing.query,
     "op2_decontaminate": decontaminate.query,
     "op3_repetition_rules": repetition.query,
     "op4_simhash": simhash.query,
     "op5_url_rules": url_rules.query,
     "op6_licence_scan": licences.query,
+    "op7_katz_score": katz.query,
     "op8_language_id": language.query,
     "op9_phrase_dedup": phrases.query,
     "op10_quality_classifier": cotrain.query,
