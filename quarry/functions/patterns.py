@@ -71,7 +71,7 @@ EMAIL_SUBTOKEN_RXS = [r"([a-zA-Z0-9_.+-]+)@", r"([a-zA-Z-_0-9]+|[a-zA-Z-_0-9]+\.
 # ---------------------------------------------------------------------------
 # Word tokeniser (approximation of Unicode word boundaries for alphabetic
 # scripts).  Valid in both Java regex and RE2; keep matches that contain a
-# letter or digit.  Tokens longer than MAX_TOKEN_LENGTH are dropped.
+# letter or digit.  Tokens longer than MAX_TOKEN_LENGTH are cut into pieces of that length.
 # ---------------------------------------------------------------------------
 TOKEN_RX = r"(?:\p{L}\p{M}*(?:[.:'’·]\p{L}\p{M}*)*|\p{N}(?:[.,;'’]\p{N})*|_)+"
 ALNUM_RX = r"[\p{L}\p{N}]"
@@ -83,7 +83,6 @@ MAX_TOKEN_LENGTH = 255
 BM25_K1 = 1.2
 BM25_B = 0.75
 TOP_K = 10
-TOTAL_HITS_THRESHOLD = 1000
 # One-byte length norm: values below this are stored exactly.
 NORM_FREE_VALUES = 24
 FUZZY_MAX_EXPANSIONS = 50

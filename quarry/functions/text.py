@@ -24,9 +24,17 @@ from . import patterns as P
 def tokenize(text: Column) -> Column:
     """Word tokens of ``text`` in order (array<string>); runs of letters /
     digits joined by the in-word punctuation of the tokeniser pattern, with
-    matches lacking any letter or digit (a lone ``_``) dropped."""
+    matches lacking any letter or digit (a lone ``_``) dropped and longer ones
+    cut into pieces of ``MAX_TOKEN_LENGTH``."""
     raw = F.regexp_extract_all(text, F.lit(P.TOKEN_RX), 0)
-    return F.filter(raw, lambda t: t.rlike(P.ALNUM_RX))
+    most = P.MAX_TOKEN_LENGTH
+
+    def cut(t):
+        starts = F.sequence(F.lit(0), F.floor((F.length(t) - 1) / most).cast("int"))
+        return F.transform(starts, lambda i: F.substr(t, i * most + 1, F.lit(most)))
+
+    pieces = F.when(F.exists(raw, lambda t: F.length(t) > most), F.flatten(F.transform(raw, cut))).otherwise(raw)
+    return F.filter(pieces, lambda t: t.rlike(P.ALNUM_RX))
 
 
 def whitespace_tokenize(text: Column) -> Column:
@@ -197,8 +205,10 @@ def fold_ascii_py(s: str) -> str:
 # ---------------------------------------------------------------------------
 @lru_cache(maxsize=1)
 def bundled_stopwords() -> tuple[str, ...]:
-    """The accented stopword list shipped in ``quarry/resources``."""
-    text = resources.files("quarry.resources").joinpath("stopwords_ro.txt").read_text("utf-8")
+    """A short list of Romanian function words (articles, pronouns,
+    prepositions, conjunctions, auxiliaries), with both spellings of s and t
+    with a mark below.  A fuller list is a parameter: see ``read_stopwords``."""
+    text = resources.files("quarry.resources").joinpath("function_words_ro.txt").read_text("utf-8")
     return tuple(w.strip() for w in text.split("\n") if w.strip())
 
 

@@ -115,12 +115,9 @@ def explode_utterances(df: DataFrame) -> DataFrame:
     return e.select("conversation_ID", F.col("pos").cast("int").alias("pos"), "u.*")
 
 
-def nest_utterances(flat: DataFrame, max_len: int | None = P.MAX_CONV_LEN) -> DataFrame:
-    """Inverse of ``explode_utterances`` (order by ``pos``).  Conversations
-    longer than ``max_len`` are rejected before collecting (see
-    ``reject_long``), so no group grows without bound."""
-    if max_len is not None:
-        flat = flat.join(reject_long(flat, max_len).select("conversation_ID"), "conversation_ID", "left_anti")
+def nest_utterances(flat: DataFrame) -> DataFrame:
+    """Inverse of ``explode_utterances`` (order by ``pos``), for conversations
+    of any length; the steps that pad raise on one over the maximum."""
     fields = [c for c in flat.columns if c not in ("conversation_ID", "pos")]
     g = flat.groupBy("conversation_ID").agg(F.sort_array(F.collect_list(F.struct("pos", *fields))).alias("c"))
     return g.select("conversation_ID", F.transform("c", lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias("conversation"))
@@ -161,16 +158,16 @@ def emotion_labels(df: DataFrame, n: int = P.MAX_CONV_LEN) -> DataFrame:
 def parse_pairs(df: DataFrame, full_span: bool = False) -> DataFrame:
     """(conversation_ID, pair_idx, utterance, cause, emotion, span): ids
     0-based; the span is the second ``_`` piece (``full_span``: everything
-    after the first ``_``)."""
+    after the first ``_``), null where a cause has none."""
     e = df.select("conversation_ID", F.posexplode(PAIRS).alias("pair_idx", "p"))
     eff, cau = F.element_at("p", 1), F.element_at("p", 2)
     eparts, cparts = F.split(eff, "_"), F.split(cau, "_")
-    span = (F.regexp_extract(cau, r"^[^_]*_(.*)$", 1) if full_span else F.element_at(cparts, 2))
+    span = (F.regexp_extract(cau, r"^[^_]*_(.*)$", 1) if full_span else F.try_element_at(cparts, F.lit(2)))
     return e.select(
         "conversation_ID", F.col("pair_idx").cast("int").alias("pair_idx"),
         (F.element_at(eparts, 1).try_cast("int") - 1).alias("utterance"),
         (F.element_at(cparts, 1).try_cast("int") - 1).alias("cause"),
-        F.element_at(eparts, 2).alias("emotion"),
+        F.try_element_at(eparts, F.lit(2)).alias("emotion"),
         span.alias("span"),
     )
 
@@ -197,16 +194,17 @@ def cause_labels(pairs: DataFrame, utterances: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- tokens
-def utterance_tokens(utterances: DataFrame, max_len: int = P.MAX_UTTR_LEN) -> DataFrame:
+def utterance_tokens(utterances: DataFrame, max_len: int | None = P.MAX_UTTR_LEN) -> DataFrame:
     """Word pieces of each utterance (split on single blanks, empty pieces
     skipped) with character offsets; token index 0 is the begin marker, so
-    content tokens are 1..max_len-2 (the rest is cut)."""
+    content tokens are 1..max_len-2 (the rest is cut; None: nothing is)."""
     words = F.split("text", " ", -1)
     lens = F.transform(words, lambda w: F.length(w) + 1)
     starts = F.transform(words, lambda w, i: F.aggregate(F.slice(lens, 1, i), F.lit(0), lambda a, x: a + x))
     pieces = F.arrays_zip(words.alias("w"), starts.alias("s"))
     t = utterances.select("conversation_ID", "pos", F.filter(pieces, lambda p: F.length(p["w"]) > 0).alias("tk"))
-    t = t.select("conversation_ID", "pos", F.slice("tk", 1, max_len - 2).alias("tk"))
+    if max_len is not None:
+        t = t.select("conversation_ID", "pos", F.slice("tk", 1, max_len - 2).alias("tk"))
     e = t.select("conversation_ID", "pos", F.posexplode("tk").alias("i", "t"))
     return e.select("conversation_ID", "pos", (F.col("i") + 1).cast("int").alias("token"),
                     F.col("t.w").alias("word"), F.col("t.s").alias("start"),
@@ -237,31 +235,21 @@ def span_matrix(spans: DataFrame, tokens: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- CNV-15/18
-def _bounded(utterances: DataFrame, max_len: int | None) -> DataFrame:
-    """Conversations above ``max_len`` turns are rejected (counted first) so
-    the per-conversation outer products stay bounded by max_len²."""
-    if max_len is None:
-        return utterances
-    long = reject_long(utterances, max_len).select("conversation_ID")
-    return utterances.join(long, "conversation_ID", "left_anti")
-
-
-def pair_mask(utterances: DataFrame, max_len: int | None = P.MAX_CONV_LEN) -> DataFrame:
+def pair_mask(utterances: DataFrame) -> DataFrame:
     """Every (i, j) of valid turns of a conversation (outer product of the
-    conversation mask); self-join on the conversation key, at most max_len²
-    pairs per conversation."""
-    utterances = _bounded(utterances, max_len)
+    conversation mask); self-join on the conversation key."""
     a = utterances.select("conversation_ID", F.col("pos").alias("i"))
     b = utterances.select("conversation_ID", F.col("pos").alias("j"))
     return a.join(b, "conversation_ID").select("conversation_ID", "i", "j", F.lit(1).alias("mask"))
 
 
-def pair_table(features: DataFrame, feat: str = "features", max_len: int | None = P.MAX_CONV_LEN) -> DataFrame:
-    """(conversation_ID, i, j, features of i followed by features of j); at
-    most max_len² pairs per conversation."""
-    features = _bounded(features, max_len)
+def pair_table(features: DataFrame, feat: str = "features", causes: DataFrame | None = None) -> DataFrame:
+    """(conversation_ID, i, j, features of i followed by features of j): every
+    turn as emotion with every turn as cause.  ``causes`` gives the cause side
+    features of its own; else both sides have the same."""
+    other = features if causes is None else causes
     a = features.select("conversation_ID", F.col("pos").alias("i"), F.col(feat).alias("fa"))
-    b = features.select("conversation_ID", F.col("pos").alias("j"), F.col(feat).alias("fb"))
+    b = other.select("conversation_ID", F.col("pos").alias("j"), F.col(feat).alias("fb"))
     return a.join(b, "conversation_ID").select("conversation_ID", "i", "j", F.concat("fa", "fb").alias("features"))
 
 

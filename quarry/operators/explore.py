@@ -33,16 +33,10 @@ def category_counts(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(F.col(col).alias("category")).agg(F.count(F.lit(1)).alias("count"))
 
 
-MAX_CONCAT_ROWS = 10_000
-
-
-def concat_text(df: DataFrame, key: str, order: str, text: str = "text", max_rows: int = MAX_CONCAT_ROWS) -> DataFrame:
-    """EDA-6: texts of a group joined by one blank in row order.  Groups
-    with more than ``max_rows`` rows are left out (counted first, never
-    collected); for word statistics use ``top_terms`` instead of building
-    giant strings."""
-    big = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_rows).select(key)
-    df = df.join(big, key, "left_anti")
+def concat_text(df: DataFrame, key: str, order: str, text: str = "text") -> DataFrame:
+    """EDA-6: texts of a group joined by one blank in row order.  The result
+    holds a group's whole text in one row; for word statistics use
+    ``top_terms``, which needs no such row."""
     g = df.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(order, text))).alias("s"))
     return g.select(key, F.array_join(F.transform("s", lambda x: x[text]), " ").alias("text"))
 

@@ -270,7 +270,8 @@ def _score_phrase(index: Index, pterms: DataFrame, n: int) -> DataFrame:
     of occurrences; idf = sum of the terms' idf.  Sloppy: each occurrence of
     the first term is matched to the nearest occurrence of every other term
     (distance = position offset difference); a match needs every distance
-    ≤ slop and contributes 1 / (1 + largest distance)."""
+    ≤ slop and contributes 1 / (1 + largest distance).  A term that occurs
+    twice in the phrase needs two places, and a phrase of one term is exact."""
     w = Window.partitionBy("query_id", "clause_id")
     pt = pterms.where(F.col("ord") == 0).select(
         "query_id", "clause_id", "boost", "slop", "term",
@@ -291,15 +292,17 @@ def _score_phrase(index: Index, pterms: DataFrame, n: int) -> DataFrame:
     full = full.where(F.col("k") == F.col("n_terms")).select("query_id", "clause_id", "doc_id")
     occ = hits.join(full, ["query_id", "clause_id", "doc_id"], "left_semi").select(
         "query_id", "clause_id", "doc_id", "dl", "boost", "slop", "idf_sum", "i", "n_terms", "off",
-        F.explode("positions").alias("p"))
+        "term", F.explode("positions").alias("p"))
+    occ = occ.withColumn("slop", F.when(F.col("n_terms") == 1, 0).otherwise(F.col("slop")))
     exact = occ.where(F.col("slop") == 0).select("*", (F.col("p") - F.col("off")).alias("start"))
     ex = exact.groupBy("query_id", "clause_id", "doc_id", "dl", "boost", "idf_sum", "n_terms", "start").agg(
         F.countDistinct("i").alias("k")).where(F.col("k") == F.col("n_terms"))
     ex = ex.groupBy("query_id", "clause_id", "doc_id", "dl", "boost", "idf_sum").agg(F.count(F.lit(1)).cast("double").alias("tf"))
     sl = occ.where(F.col("slop") > 0)
-    anchor = sl.where(F.col("i") == 1).select("query_id", "clause_id", "doc_id", F.col("p").alias("pa"), F.col("off").alias("oa"))
+    anchor = sl.where(F.col("i") == 1).select("query_id", "clause_id", "doc_id", F.col("p").alias("pa"), F.col("off").alias("oa"), F.col("term").alias("ta"))
     others = sl.where(F.col("i") > 1)
-    d = others.join(anchor, ["query_id", "clause_id", "doc_id"]).select(
+    apart = (F.col("term") != F.col("ta")) | (F.col("p") != F.col("pa"))
+    d = others.join(anchor, ["query_id", "clause_id", "doc_id"]).where(apart).select(
         "query_id", "clause_id", "doc_id", "dl", "boost", "slop", "idf_sum", "n_terms", "pa", "i",
         F.abs((F.col("p") - F.col("off")) - (F.col("pa") - F.col("oa"))).alias("dist"))
     nearest = d.groupBy("query_id", "clause_id", "doc_id", "dl", "boost", "slop", "idf_sum", "n_terms", "pa", "i").agg(

@@ -75,12 +75,12 @@ _VERB.update({s: "del" for s in VERB_DELETE})
 
 
 def _longest(word: str, table, lo: int = 0) -> str | None:
-    """Longest suffix of ``word`` in ``table`` that starts at or after ``lo``
-    is *not* required here: callers check the region themselves (Snowball
-    picks the longest suffix first, then tests the region)."""
+    """Longest suffix of ``word`` in ``table`` that starts at or after ``lo``.
+    The verb step searches inside RV only; the other steps take the longest
+    suffix of the whole word and then test its region themselves."""
     best = None
     for s in table:
-        if word.endswith(s) and (best is None or len(s) > len(best)):
+        if len(word) - len(s) >= lo and word.endswith(s) and (best is None or len(s) > len(best)):
             best = s
     return best
 
@@ -162,8 +162,8 @@ def stem_word(word: str) -> str:
 
     # step 3: verb suffixes, inside RV
     if not removed:
-        s = _longest(w, _VERB)
-        if s is not None and len(w) - len(s) >= rv:
+        s = _longest(w, _VERB, rv)
+        if s is not None:
             stem = w[: -len(s)]
             if _VERB[s] == "del":
                 w = stem

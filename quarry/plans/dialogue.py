@@ -51,8 +51,6 @@ def nested(spark, sf):
         F.concat(F.col("utterance_ID").cast("string"), F.lit("_"), F.col("emotion")),
         F.concat(F.col("pos").cast("string"), F.lit("_"), span)))
     u = u.select("*", pair.alias("pair"))
-    long = C.reject_long(u).select("conversation_ID")
-    u = u.join(long, "conversation_ID", "left_anti")
     g = u.groupBy("conversation_ID").agg(
         F.sort_array(F.collect_list(F.struct("pos", "utterance_ID", "text", "speaker", "emotion", "video_name"))).alias("c"),
         F.sort_array(F.collect_list(F.when(F.col("pair").isNotNull(), F.struct("pos", "pair")))).alias("p"))
@@ -150,8 +148,8 @@ def pair_mask(spark, sf):
 
 def encode_tokens(spark, sf):
     t = _tokens(spark, sf)
-    vocab = C.token_vocabulary(t)
     u = C.explode_utterances(nested(spark, sf))
+    vocab = C.token_vocabulary(C.utterance_tokens(u, None))  # counted on whole utterances; only the encoding cuts
     e = C.encode_tokens(t, vocab, u)
     return e.select("conversation_ID", "pos", _jn(F.col("input_ids")).alias("input_ids"),
                     F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_attended"))
@@ -298,8 +296,7 @@ U = f"""u AS (
          CAST((conv_id * 31 + turn * 7) % 7 AS INTEGER) AS label,
          CASE WHEN turn % 3 = 0 THEN 'clip' || CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VARCHAR) || '.mp4'
               WHEN turn % 3 = 1 THEN '' ELSE NULL END AS video_name
-  FROM conversations
-  WHERE conv_id NOT IN (SELECT conv_id FROM conversations GROUP BY conv_id HAVING count(*) > {P.MAX_CONV_LEN}))"""
+  FROM conversations)"""
 PAIRS_SQL = f"""{U},
   up AS (SELECT *, lag(text) OVER (PARTITION BY conversation_ID ORDER BY pos) AS prev FROM u),
   pr AS (SELECT conversation_ID, CAST(row_number() OVER (PARTITION BY conversation_ID ORDER BY pos) - 1 AS INTEGER) AS pair_idx,
@@ -367,8 +364,7 @@ _TOKCOUNT = f"len(list_filter(regexp_extract_all(text, {_TOKRX}, 0), lambda t: r
 
 SQL = {
     "conv_flags": "SELECT DISTINCT conv_id AS conversation_ID, true AS has_spans, true AS has_emotions, "
-                  f"true AS has_causes, false AS has_video FROM conversations WHERE conv_id NOT IN "
-                  f"(SELECT conv_id FROM conversations GROUP BY conv_id HAVING count(*) > {P.MAX_CONV_LEN})",
+                  "true AS has_causes, false AS has_video FROM conversations",
     "fill_video": f"""WITH {U}
         SELECT conversation_ID, pos, v AS video_name, '{VIDEO_DIR}/' || v AS video_path FROM (
           SELECT conversation_ID, pos, coalesce(nullif(video_name, ''),
@@ -400,7 +396,7 @@ SQL = {
         FROM u a JOIN u b ON a.conversation_ID = b.conversation_ID""",
     "encode_tokens": f"""WITH {PAIRS_SQL},
         vocab AS (SELECT word, CAST(row_number() OVER (ORDER BY n DESC, word ASC) - 1 + {C.FIRST_TERM_ID} AS INTEGER) AS id
-                  FROM (SELECT word, count(*) AS n FROM toks GROUP BY word)),
+                  FROM (SELECT word, count(*) AS n FROM w3 GROUP BY word)),
         ids AS (SELECT t.conversation_ID, t.pos, list(v.id ORDER BY t.token) AS l
                 FROM toks t JOIN vocab v USING (word) GROUP BY t.conversation_ID, t.pos)
         SELECT u.conversation_ID, u.pos,
@@ -450,8 +446,7 @@ SQL = {
     "units_per_utterance": "SELECT conv_id, turn, len(string_split(text, ' ')) AS n_units FROM conversations",
     "histogram": "SELECT len(string_split(text, ' ')) AS value, count(*) AS count FROM conversations GROUP BY 1",
     "category_counts": f"WITH {U} SELECT emotion AS category, count(*) AS count FROM u GROUP BY emotion",
-    "concat_text": f"""SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS text FROM conversations
-        GROUP BY conv_id HAVING count(*) <= {X.MAX_CONCAT_ROWS}""",
+    "concat_text": "SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS text FROM conversations GROUP BY conv_id",
     "top_terms": f"""WITH {U},
         t AS (SELECT emotion, lower(unnest(list_filter(regexp_extract_all(text, {_TOKRX}, 0),
                                                     lambda t: regexp_matches(t, {_ALNUM})))) AS term FROM u),

@@ -138,8 +138,8 @@ def _padded_predictions(spark, sf):
     """Conversations padded to MAX_CONV_LEN slots: real slots carry the
     derived label and a derived prediction, padding carries 0 and mask 0."""
     u = utterances(spark, sf).select("conversation_ID", "pos", C.encode_emotion(F.col("emotion")).alias("label"))
-    convs = u.select("conversation_ID").distinct()
-    slots = convs.select("conversation_ID", F.explode(F.sequence(F.lit(0), F.lit(P.MAX_CONV_LEN - 1))).alias("pos"))
+    convs = u.groupBy("conversation_ID").agg(F.max("pos").alias("last"))  # longer ones keep all their turns
+    slots = convs.select("conversation_ID", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(P.MAX_CONV_LEN - 1), "last"))).alias("pos"))
     j = slots.join(u, ["conversation_ID", "pos"], "left")
     real = F.col("label").isNotNull()
     pred = (F.col("conversation_ID") * 17 + F.col("pos") * 5) % 7
@@ -303,8 +303,8 @@ SQL = {
         UNION ALL SELECT 'embeddings', 'weighted', round(coalesce(sum(f1 * support) / sum(support), 0.0), 6) FROM pe""",
     "confusion": f"WITH {ROWS} SELECT {amax('el')} AS pred, label AS ref, count(*) AS n FROM rows GROUP BY 1, 2",
     "evaluate": f"""WITH {_U},
-        convs AS (SELECT DISTINCT conversation_ID FROM u),
-        slots AS (SELECT conversation_ID, CAST(unnest(range({P.MAX_CONV_LEN})) AS INTEGER) AS pos FROM convs),
+        convs AS (SELECT conversation_ID, greatest({P.MAX_CONV_LEN}, max(pos) + 1) AS n FROM u GROUP BY conversation_ID),
+        slots AS (SELECT conversation_ID, CAST(unnest(range(n)) AS INTEGER) AS pos FROM convs),
         j AS (SELECT s.conversation_ID, s.pos, u.label FROM slots s LEFT JOIN u USING (conversation_ID, pos)),
         pr AS (SELECT CASE WHEN label IS NOT NULL THEN 1 ELSE 0 END AS mask, coalesce(label, 0) AS ref,
                       CAST(CASE WHEN label IS NOT NULL THEN (conversation_ID * 17 + pos * 5) % 7 ELSE 0 END AS INTEGER) AS pred

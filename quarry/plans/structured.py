@@ -215,16 +215,17 @@ WITH {G.index_ctes()},
   phits AS (SELECT pt.*, p.doc_id, p.dl, p.positions FROM pt JOIN postings p USING (term)),
   pfull AS (SELECT query_id, clause_id, doc_id FROM phits GROUP BY query_id, clause_id, doc_id, n_terms
             HAVING count(DISTINCT i) = n_terms),
-  pocc AS (SELECT h.query_id, h.clause_id, h.doc_id, h.dl, h.boost, h.slop, h.idf_sum, h.i, h.n_terms, h.off,
+  pocc AS (SELECT h.query_id, h.clause_id, h.doc_id, h.dl, h.boost,
+                  CASE WHEN h.n_terms = 1 THEN 0 ELSE h.slop END AS slop, h.idf_sum, h.i, h.n_terms, h.off, h.term,
                   unnest(h.positions) AS p
            FROM phits h SEMI JOIN pfull f ON f.query_id = h.query_id AND f.clause_id = h.clause_id AND f.doc_id = h.doc_id),
   pex AS (SELECT query_id, clause_id, doc_id, dl, boost, idf_sum, count(*) * 1.0 AS tf FROM (
             SELECT query_id, clause_id, doc_id, dl, boost, idf_sum, n_terms, p - off AS start
             FROM pocc WHERE slop = 0 GROUP BY ALL HAVING count(DISTINCT i) = n_terms) GROUP BY ALL),
-  panchor AS (SELECT query_id, clause_id, doc_id, p AS pa, off AS oa FROM pocc WHERE slop > 0 AND i = 1),
+  panchor AS (SELECT query_id, clause_id, doc_id, p AS pa, off AS oa, term AS ta FROM pocc WHERE slop > 0 AND i = 1),
   pnear AS (SELECT o.query_id, o.clause_id, o.doc_id, o.dl, o.boost, o.slop, o.idf_sum, o.n_terms, a.pa, o.i,
                    min(abs((o.p - o.off) - (a.pa - a.oa))) AS dist
-            FROM pocc o JOIN panchor a USING (query_id, clause_id, doc_id) WHERE o.slop > 0 AND o.i > 1 GROUP BY ALL),
+            FROM pocc o JOIN panchor a USING (query_id, clause_id, doc_id) WHERE o.slop > 0 AND o.i > 1 AND (o.term <> a.ta OR o.p <> a.pa) GROUP BY ALL),
   pmatch AS (SELECT query_id, clause_id, doc_id, dl, boost, idf_sum, max(dist) AS len, count(*) AS k, n_terms, slop
              FROM pnear GROUP BY query_id, clause_id, doc_id, dl, boost, slop, idf_sum, n_terms, pa),
   psl AS (SELECT query_id, clause_id, doc_id, dl, boost, idf_sum, sum(1.0 / (1.0 + len)) AS tf

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,19 +35,29 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession, shared: str | None = None) -> str:
     """The cluster names a shared folder in ``spark.checkpoint.dir``; use it.
-    Only when it is unset (local tests) create a fresh scratch folder."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    Where that is unset, ``shared`` (a folder that all executors reach) is
+    used; only a local master, as in tests, gets a fresh scratch folder."""
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or shared or sc.getCheckpointDir()
     if not current:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir, or pass a folder that all executors reach")
         current = tempfile.mkdtemp(prefix="quarry-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return current
 
 
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: what follows
+    sees the same rows however often it reads them."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/quarry-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, known_rows: int | None = None) -> DataFrame:
     """Broadcast ``df`` only when its row count (counted, or a proven bound
     passed as ``known_rows``) is below ``max_rows``; otherwise leave the

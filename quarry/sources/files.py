@@ -111,8 +111,10 @@ def extract_text(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     media_type.  Text files are decoded in the JVM; docx in a
     ``mapInPandas`` step; any failure moves the file to ``rejects`` and the
     job continues.  No character limit."""
+    raw = F.col("content").cast("string")
+    valid = F.is_valid_utf8(raw)
     txt = files.where(F.col("media_type") == MEDIA_TXT).select(
-        "path", "media_type", F.decode("content", "UTF-8").alias("text"), F.lit(None).cast("string").alias("error"))
+        "path", "media_type", F.when(valid, raw).alias("text"), F.when(~valid, F.lit("not valid UTF-8")).alias("error"))
     other = files.where(F.col("media_type") != MEDIA_TXT).select("path", "media_type", "content")
     decoded = other.mapInPandas(_extract_batches, "path string, media_type string, text string, error string")
     allrows = txt.unionByName(decoded)

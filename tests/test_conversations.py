@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import vectors as V
 from quarry.operators import conversations as C
+from quarry.operators import explore as X
 from quarry.operators import metrics as M
 from quarry.operators import sampling as S
 from quarry.sources.conversations import read_all_splits, read_conversations
@@ -121,3 +122,16 @@ def test_extension_points_and_metric_sink(spark, tmp_path):
     append_metrics(m, out)
     back = spark.read.parquet(out)
     assert back.count() == 4 and back.where("split = 'valid'").count() == 2
+
+
+def test_long_conversations_and_pairs_without_span(spark):
+    flat = spark.createDataFrame([(1, i, f"u{i}") for i in range(40)], "conversation_ID long, pos int, text string")
+    assert C.nest_utterances(flat).select(F.size("conversation")).first()[0] == 40
+    assert C.pair_mask(flat).count() == 1600
+    df = spark.createDataFrame([(1, [["3_joy", "2"]])], "conversation_ID long, `emotion-cause_pairs` array<array<string>>")
+    assert C.parse_pairs(df).first().span is None
+
+
+def test_concat_text_of_a_large_group(spark):
+    df = spark.range(0, 10_001).select(F.lit(1).alias("k"), F.col("id").alias("o"), F.lit("x").alias("text"))
+    assert X.concat_text(df, "k", "o").select(F.length("text")).first()[0] == 20_001

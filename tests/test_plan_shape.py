@@ -27,3 +27,10 @@ def test_row_index_is_dense_and_ordered(spark):
     assert [r.idx for r in got] == list(range(5000))
     expect = sorted(range(5000), key=lambda i: (-(i % 7), i))
     assert [r.id for r in got] == expect
+
+
+def test_row_index_with_payload_over_many_partitions(spark):
+    df = spark.range(0, 400_000, numPartitions=8).select("id", F.xxhash64("id").alias("h"), F.concat(F.lit("payload "), "id").alias("p"))
+    out = with_row_index(df, ["h", "id"], "idx", num_partitions=9)
+    row = out.agg(F.count("*").alias("n"), F.countDistinct("idx").alias("d"), F.min("idx").alias("a"), F.max("idx").alias("b")).first()
+    assert tuple(row) == (400_000, 400_000, 0, 399_999)

@@ -120,3 +120,12 @@ def test_url_synonym_group(spark):
     st = ix.stats.first()
     # doc 1: one synonym-group clause, tf = 1 (example), df = max df of the group = 2
     assert res[1].score == pytest.approx(round(_bm25(1, 2, 3, st.n_docs, st.avgdl), 6), abs=1e-6)
+
+
+def test_sloppy_phrases_of_one_and_of_repeated_terms(spark, idx):
+    def hits(text):
+        rows = S.search(idx, _clauses(spark, [(1, 0, "SHOULD", "phrase", text, 1.0, 3)]), stem=False).collect()
+        return {r.doc_id for r in rows}
+
+    assert hits("apple") == {0, 2, 3}
+    assert hits("apple apple") == {0, 3}

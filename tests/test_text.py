@@ -75,8 +75,8 @@ def test_pos_inc_and_lengths(spark):
 def test_fold_and_second_list():
     assert T.fold_ascii_py("ăâîşţșț") == "aaistst"
     assert T.fold_ascii_py("Straße") == "Strasse"
-    assert len(T.bundled_stopwords()) == 230
-    assert T.bundled_stopwords_folded()[T.bundled_stopwords().index("aşadar")] == "asadar"
+    assert {"un", "și", "şi", "pentru"} <= set(T.bundled_stopwords())
+    assert T.bundled_stopwords_folded()[T.bundled_stopwords().index("şi")] == "si"
 
 
 def _lucene_norm(n):
