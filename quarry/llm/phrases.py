@@ -9,7 +9,7 @@ also start in a document with a smaller id.
    the first document, whose own words become the phrase.  A digest never
    removes anything: it only names the phrases a shard of documents needs.
 3. Automata: each shard of documents compiles its phrases into Aho-Corasick
-   automata (words as letters) and streams its documents through them; every
+   automata and streams its documents through them; every
    occurrence found is one on the words themselves.
 
 Shards are dealt by a hash of the id and have a bounded size; a passage that
@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from quarry.llm.common import Stages, map_batches, mix64, table
 
 WINDOW, SEED_WORDS = 13, 6
-#: Bytes of text a shard is meant to hold, and phrases in one automaton.
-SHARD_BYTES, PHRASES = 4 << 20, 100_000
+#: Bytes of text a shard is meant to hold, and blocks in one automaton.
+SHARD_BYTES, BLOCKS = 4 << 20, 100_000
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 SCHEMA = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
@@ -128,45 +128,82 @@ def passages(docs: DataFrame, needed: DataFrame, window: int) -> DataFrame:
 
 
 class Automata:
-    """Aho-Corasick automata over the windows of passages.  Each word of a
-    phrase becomes a letter, so a phrase is a string of ``window`` letters."""
+    """Aho-Corasick automata over the blocks of passages.
+
+    A block is half a window (7 of 13 words), at multiples of its length in the
+    passage: each window of the passage holds a whole block.  A block found in
+    a document is extended word by word in both directions; where passage and
+    document agree over a window or more, those words go.  Each word is written
+    with a fixed number of letters, its number to the base ``BASE``; the first
+    letter has an alphabet of its own, so that matches start at words, and no
+    state has many branches."""
+
+    BASE = 64
 
     def __init__(self, found: list[tuple[int, str]], window: int):
-        self.letters: dict[bytes, str] = {}
-        first: dict[str, int] = {}
-        for doc, passage in found:
-            text = "".join(self.letter(w) for w in passage.encode().split())
-            for i in range(len(text) - window + 1):
-                phrase = text[i : i + window]
-                first[phrase] = min(doc, first.get(phrase, doc))
-        self.parts, self.window, phrases = [], window, list(first.items())
-        for k in range(0, len(phrases), PHRASES):
+        passages = [(doc, passage.encode().split()) for doc, passage in found]
+        numbers: dict[bytes, int] = {}
+        for _, words in passages:
+            for w in words:
+                numbers.setdefault(w, len(numbers))
+        self.window, self.block, self.width = window, (window + 1) // 2, 1
+        while self.BASE**self.width < len(numbers):
+            self.width += 1
+        self.codes = {w: self.code(n) for w, n in numbers.items()}
+        self.passages = [(doc, "".join([self.codes[w] for w in words])) for doc, words in passages]
+        size, places = self.block * self.width, {}
+        for k, (_, text) in enumerate(self.passages):
+            for i in range(0, len(text) - size + 1, size):
+                places.setdefault(text[i : i + size], []).append((k, i // self.width))
+        self.parts, blocks = [], list(places.items())
+        for k in range(0, len(blocks), BLOCKS):
             part = ahocorasick.Automaton()
-            for phrase, doc in phrases[k : k + PHRASES]:
-                part.add_word(phrase, doc)
+            for block, at in blocks[k : k + BLOCKS]:
+                part.add_word(block, at)
             part.make_automaton()
             self.parts.append(part)
 
-    def letter(self, word: bytes) -> str:
-        found = self.letters.get(word)
-        if found is None:
-            n = len(self.letters) + 1
-            if n >= 0x10F7FF:
-                raise ValueError("a shard's phrases have more different words than there are letters; use smaller shards")
-            found = self.letters[word] = chr(n if n < 0xD800 else n + 0x800)
-        return found
+    def code(self, n: int) -> str:
+        out = ""
+        for _ in range(self.width - 1):
+            n, digit = divmod(n, self.BASE)
+            out = chr(1 + self.BASE + digit) + out
+        return chr(1 + n) + out
+
+    def agree(self, text: str, q: int, passage: str, p: int) -> tuple[int, int]:
+        """Start and end, in words of ``text``, of the agreement around the
+        block at word q of the text and word p of the passage."""
+        d = self.width
+        start, end = q, q + self.block
+        while start and p - (q - start) and text[(start - 1) * d : start * d] == passage[(p - (q - start) - 1) * d : (p - (q - start)) * d]:
+            start -= 1
+        step, most = 64, min(len(text) // d, len(passage) // d + q - p)
+        while step and end < most:
+            to = min(end + step, most)
+            if text[end * d : to * d] == passage[(end - q + p) * d : (to - q + p) * d]:
+                end = to
+            else:
+                step //= 2
+        return start, end
 
     def removed(self, words: list[bytes], doc: int | None) -> np.ndarray:
-        """Mask of the words inside phrases first found in a smaller id."""
+        """Mask of the words in windows that a smaller id's passage has."""
         edge = np.zeros(len(words) + 1, np.int64)
         if doc is not None and self.parts and len(words) >= self.window:
-            get = self.letters.get
-            text = "".join([get(w, "\0") for w in words])
+            get, unknown = self.codes.get, "\0" * self.width
+            text = "".join([get(w, unknown) for w in words])
             for part in self.parts:
-                for end, first in part.iter(text):
-                    if first < doc:
-                        edge[end - self.window + 1] += 1
-                        edge[end + 1] -= 1
+                reached: dict[tuple[int, int], int] = {}  # ends of the agreements that this part has found
+                for last, places in part.iter(text):
+                    q = (last + 1) // self.width - self.block
+                    for k, p in places:
+                        first, passage = self.passages[k]
+                        if first < doc and reached.get((k, q - p), -1) <= q:
+                            start, end = self.agree(text, q, passage, p)
+                            reached[k, q - p] = end
+                            if end - start >= self.window:
+                                edge[start] += 1
+                                edge[end] -= 1
         return np.cumsum(edge[:-1]) > 0
 
 
@@ -204,9 +241,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, keep: tuple[str, ...]
     stages.drop("shared")
     first = places.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "pos")).alias("f"), F.max("doc_id").alias("last"))
     first = first.where("f.doc_id < last").select("d1", "d2", F.col("f.doc_id").alias("m"), F.col("f.pos").alias("start"))
+    first = stages.write(first, "first")  # a stage of its own, so that its shuffle is gone before the next
     needed = places.join(first, ["d1", "d2"]).where("doc_id > m").select("m", "start", _shard(shards).alias("shard")).distinct()
     needed = stages.write(needed.groupBy("m", "shard").agg(F.collect_list("start").alias("starts")), "needed")
     stages.drop("places")
+    stages.drop("first")
     phrases = stages.write(passages(docs, needed, window), "passages")
     stages.drop("needed")
 
