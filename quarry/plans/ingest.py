@@ -1,16 +1,22 @@
-"""Registered source-operator plans over the driver tables (SRC-2/3/4/6).
+"""Registered source-operator plans over the driver tables (SRC-1..6, 9..11
+and SNK-5).
 
-File sources proper (directory scans, docx extraction, JSON arrays, query
-files) are exercised on fixture folders in the tests; here the same column
-logic runs on the ``pages`` and ``documents`` tables: URLs stand in for
-paths, page HTML and document text (as bytes) for file contents.
+Column logic runs on the ``pages`` and ``documents`` tables: URLs stand in for
+paths, page HTML and document text (as bytes) for file contents.  File sources
+read files that Spark has written from those tables into the shared folder.
+Docx extraction and JSON arrays are exercised on fixture folders in the tests.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from ..sources import files as SF
+from ..sources import resources as SR
+from ..sources import sinks
 from .sqlgen import q
 from .tables import load
 
@@ -41,7 +47,60 @@ def allowed_documents(spark, sf):
     return SF.filter_media_type(media_types(spark, sf)).select("source", "id", "media_type")
 
 
+def _written(spark, lines, name):
+    """A folder of text files with one line a row."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-{name}-{uuid.uuid4().hex}"
+    lines.write.text(path)
+    return path
+
+
+def _first_words(spark, sf, n):
+    """The first ``n`` blank-split words of every document, line ends as blanks."""
+    words = F.slice(F.split(F.translate("text", "\n", " "), " "), 1, n)
+    return load(spark, sf, "documents").select(F.array_join(words, " ").alias("line"))
+
+
+def read_files(spark, sf):
+    """SRC-1/5: text files scanned, decoded and counted, with the rejects."""
+    path = _written(spark, load(spark, sf, "documents", spread_rows=True).select("text"), "files")
+    files = SF.scan_files(spark, path, ("txt",))
+    docs, rejects = SF.extract_text(files.select("path", "content", SF.sniff_media_type(F.col("content")).alias("media_type")))
+    read = docs.agg(F.sum(F.length("text")).alias("n_chars"))
+    return read.crossJoin(F.broadcast(rejects.agg(F.count("*").alias("n_rejects"))))  # one row each
+
+
+def read_stopwords(spark, sf):
+    """SRC-9: a word list of padded lines."""
+    lines = _first_words(spark, sf, 1).select(F.concat(F.lit("  "), "line", F.lit(" ")))
+    return SR.read_stopwords(spark, _written(spark, lines, "stopwords"))
+
+
+def read_synonyms(spark, sf):
+    """SRC-10: pairs of words, the right side of up to two."""
+    return SR.read_synonyms(spark, _written(spark, _first_words(spark, sf, 3), "synonyms"))
+
+
+def read_queries(spark, sf):
+    """SRC-11: query lines of a folder of files."""
+    path = _written(spark, load(spark, sf, "benchmark").select("text"), "queries")
+    return SR.read_queries(spark, path).select("query")
+
+
+def metric_log(spark, sf):
+    """SNK-5: a log appended to twice and read back."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-metrics-{uuid.uuid4().hex}"
+    events = load(spark, sf, "documents").groupBy(F.col("lang").alias("split"))
+    for step in (0, 1):
+        sinks.append_metrics(events.agg(F.lit("n_chars").alias("metric"), F.lit(step).alias("step"), F.sum("n_chars").alias("value")), path)
+    return spark.read.parquet(path).select("split", "metric", "step", "value")
+
+
 QUERIES = {
+    "read_files": read_files,
+    "read_stopwords": read_stopwords,
+    "read_synonyms": read_synonyms,
+    "read_queries": read_queries,
+    "metric_log": metric_log,
     "has_extension": has_extension,
     "document_rows": document_rows,
     "media_types": media_types,
@@ -64,7 +123,18 @@ _TYPED = f"""typed AS (
     SELECT 'pages' AS source, page_id AS id, html AS t FROM pages
     UNION ALL SELECT 'documents', doc_id, text FROM documents))"""
 
+_LINE = "array_to_string(list_slice(string_split(replace(text, chr(10), ' '), ' '), 1, {n}), ' ')"
+
 SQL = {
+    "read_files": "SELECT CAST(sum(length(text) + 1) AS BIGINT) AS n_chars, CAST(0 AS BIGINT) AS n_rejects FROM documents",
+    "read_stopwords": f"""SELECT DISTINCT word FROM (SELECT trim({_LINE.format(n=1)}) AS word FROM documents)
+        WHERE length(word) > 0""",
+    "read_synonyms": f"""SELECT line[:strpos(line, ' ') - 1] AS term, line[strpos(line, ' ') + 1:] AS synonym
+        FROM (SELECT {_LINE.format(n=3)} AS line FROM documents) WHERE strpos(line, ' ') > 1""",
+    "read_queries": """SELECT query FROM (SELECT unnest(string_split(text, chr(10))) AS query FROM benchmark)
+        WHERE length(query) > 0""",
+    "metric_log": """SELECT lang AS split, 'n_chars' AS metric, CAST(step AS INTEGER) AS step,
+        CAST(sum(n_chars) AS DOUBLE) AS value FROM documents, (VALUES (0), (1)) s(step) GROUP BY lang, step""",
     "has_extension": f"SELECT page_id, url, regexp_full_match(url, {q(_EXT_RX)}) AS has_ext FROM pages",
     "document_rows": "SELECT page_id, string_split(url, '/')[-1] AS filename, url AS filepath FROM pages",
     "media_types": f"WITH {_TYPED} SELECT source, id, media_type, media_type IN {_ALLOWED} AS allowed FROM typed",

@@ -46,7 +46,7 @@ def read_synonyms(spark: SparkSession, path: str, required: bool = True) -> Data
         return None
     t = spark.read.text(path)
     parts = F.split("value", " ", 2)
-    return t.select(F.element_at(parts, 1).alias("term"), F.element_at(parts, 2).alias("synonym")).where(
+    return t.select(F.element_at(parts, 1).alias("term"), F.try_element_at(parts, F.lit(2)).alias("synonym")).where(
         F.col("term").isNotNull() & F.col("synonym").isNotNull() & (F.length("term") > 0))
 
 
