@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.analyzer import AnalyzerOptions
 from ..session import ensure_checkpoint_dir
+from ..sources import resources as SR
 from ..streaming import streams as ST
 from . import retrieval as R
 from .tables import load
@@ -22,12 +23,13 @@ def _scratch(spark, name):
 
 def stream_queries(spark, sf):
     """STR-1: benchmark passages written as query files (one line = one
-    query), answered micro-batch by micro-batch."""
+    query), answered micro-batch by micro-batch; each distinct line's hits."""
     qdir = _scratch(spark, "query-files")
     load(spark, sf, "benchmark").select("text").repartition(4).write.text(qdir)
     handle, out = ST.stream_queries(spark, qdir, R._index(spark, sf), stem=False)
     handle.awaitTermination()
-    return spark.read.parquet(out).select("query_id", "rank", "doc_id", "filepath", "score", "total_hits", "status")
+    hits = spark.read.parquet(out).select("query_id", "rank", "doc_id", "filepath", "score", "total_hits", "status")
+    return hits.join(SR.read_queries(spark, qdir).select("query_id", "query"), "query_id").drop("query_id").distinct()
 
 
 def stream_index_terms(spark, sf):
@@ -52,7 +54,11 @@ def stream_mean(spark, sf):
 
 QUERIES = {"stream_queries": stream_queries, "stream_index_terms": stream_index_terms, "stream_mean": stream_mean}
 
+_LINES = """qlines AS (SELECT DISTINCT line FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM benchmark)
+  WHERE length(line) > 0), """
+
 SQL = {
+    "stream_queries": f"SELECT * RENAME (query_id AS query) FROM ({R.search_sql('qlines', 'line', 'line', _LINES)})",
     "stream_index_terms": R.SQL["term_stats"],
     "stream_mean": "SELECT event_type, round(avg(value), 6) AS value, count(*) AS n FROM events GROUP BY event_type",
 }

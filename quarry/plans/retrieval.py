@@ -141,10 +141,12 @@ QUERIES = {
 # --------------------------------------------------------------------------- SQL
 _IDX = G.index_ctes()
 
-_Q_ANALYZED = G.analyzer_ctes("qtok", "benchmark", "item_id", "text")
 
-SEARCH_ANY_SQL = f"""
-WITH {_IDX}, {_Q_ANALYZED},
+def search_sql(queries: str, id_col: str, text_col: str, ctes: str = "") -> str:
+    """Top 10 of every query in a table or in one of the given CTEs."""
+    analyzed = G.analyzer_ctes("qtok", queries, id_col, text_col)
+    return f"""
+WITH {_IDX}, {ctes}{analyzed},
   groups AS (SELECT id AS query_id, pos AS clause_id, term FROM qtok),
   gterms AS (SELECT g.*, t.df, max(t.df) OVER (PARTITION BY g.query_id, g.clause_id) AS gdf
              FROM groups g JOIN terms t ON t.term = g.term),
@@ -158,6 +160,10 @@ WITH {_IDX}, {_Q_ANALYZED},
 {G.rank_sql('per_doc')}
 """
 
+
+SEARCH_ANY_SQL = search_sql("benchmark", "item_id", "text")
+
+
 SQL = {
     "tokenize": f"SELECT id AS doc_id, pos, term FROM ({G.tokens_sql('documents', 'doc_id', 'text')})",
     "flag_tokens": f"""

@@ -43,6 +43,7 @@ def stream_queries(spark: SparkSession, query_dir: str, index: I.Index, out_path
              .option("wholetext", "true").load(query_dir))
     lines = lines.select(F.col("_metadata.file_path").alias("source"), "value")
     q = lines.select("source", F.posexplode(F.split("value", "\n", -1)).alias("line_no", "query"))
+    q = q.withColumn("query", F.regexp_replace("query", "\r$", ""))  # as ``read_queries`` does
     q = q.where(F.length("query") > 0).select(F.xxhash64("source", "line_no").alias("query_id"), "query")
 
     def answer(batch: DataFrame, batch_id: int) -> None:
