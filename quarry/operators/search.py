@@ -28,6 +28,7 @@ from ..functions import patterns as P
 from ..session import BROADCAST_MAX_ROWS, broadcast_if_small, ensure_checkpoint_dir
 from .analyzer import AnalyzerOptions, analyze, explode_token_rows
 from .index import Index
+from .rowindex import with_row_index
 
 OCCURS = ("MUST", "SHOULD", "MUST_NOT")
 KINDS = ("term", "phrase", "prefix", "wildcard", "regex", "fuzzy", "range", "match_all")
@@ -471,16 +472,16 @@ def search(index: Index, clauses: DataFrame, k: int = P.TOP_K, stem: bool = True
         errs = spark.createDataFrame(rx_err, "query_id long, clause_id int, rx_error string")
         cl = cl.join(F.broadcast(errs), ["query_id", "clause_id"], "left").select(
             *[c for c in cl.columns if c != "error"], F.coalesce("error", "rx_error").alias("error"))
-    mixed = cl.groupBy("query_id").agg(
-        F.sum(F.when(F.col("kind") == "match_all", 1).otherwise(0)).alias("n_all"), F.count(F.lit(1)).alias("n_cl"))
-    cl = cl.join(mixed, "query_id").select(
-        *[c for c in cl.columns if c != "error"],
-        F.coalesce(F.col("error"), F.when((F.col("n_all") > 0) & (F.col("n_all") < F.col("n_cl")),
-                                          F.lit("match_all cannot be combined with other clauses"))).alias("error"))
-    all_q = cl.where((F.col("kind") == "match_all") & F.col("error").isNull()).select("query_id", "boost").distinct()
     bad_q = cl.where(F.col("error").isNotNull()).groupBy("query_id").agg(F.min(F.concat_ws(": ", F.col("clause_id").cast("string"), "error")).alias("message"))
-    good = cl.join(bad_q, "query_id", "left_anti").where(F.col("kind") != "match_all").drop("error", "n_all", "n_cl")
-    good = good.checkpoint()
+    valid = cl.join(bad_q, "query_id", "left_anti").drop("error")
+    negated = F.col("occur") == "MUST_NOT"
+    all_q = valid.where(F.col("kind") == "match_all").groupBy("query_id").agg(
+        F.sum(F.when(negated, 0.0).otherwise(F.col("boost"))).alias("all_boost"), F.max(negated).alias("none"))
+    all_q = all_q.checkpoint()
+    # a negated match-all clause leaves its query without hits
+    good = valid.where(F.col("kind") != "match_all").join(all_q.where("none"), "query_id", "left_anti").checkpoint()
+    mixed_q = all_q.where("not none").join(good.select("query_id").distinct(), "query_id", "left_semi").checkpoint()
+    all_q = all_q.where("not none").join(mixed_q, "query_id", "left_anti").select("query_id", F.col("all_boost").alias("boost"))
     n = good.count()
     good = broadcast_if_small(good, known_rows=n)
 
@@ -556,7 +557,18 @@ def search(index: Index, clauses: DataFrame, k: int = P.TOP_K, stem: bool = True
     per_doc = per_doc.where((F.col("must_hit") == F.col("n_must")) & ((F.col("n_must") > 0) | (F.col("should_hit") > 0)))
     per_doc = per_doc.join(neg, ["query_id", "doc_id"], "left_anti").select("query_id", "doc_id", "score")
     n_queries = good.select("query_id").distinct().count()
+    filled = None
+    if not mixed_q.isEmpty():
+        # with another MUST clause a match-all clause only adds its boost; else every document matches
+        held = need.where("n_must > 0").select("query_id")
+        per_doc = per_doc.join(mixed_q.drop("none"), "query_id", "left").select(
+            "query_id", "doc_id", (F.col("score") + F.coalesce("all_boost", F.lit(0.0))).alias("score"))
+        open_q = mixed_q.join(held, "query_id", "left_anti").select("query_id", F.col("all_boost").alias("boost"))
+        filled = match_rest(index, open_q, per_doc, neg, k)
+        per_doc = per_doc.join(open_q, "query_id", "left_anti")
     ok = rank_results(index, per_doc, k, max(n_queries, 1))
+    if filled is not None:
+        ok = ok.unionByName(filled)
     errors = bad_q.select(
         "query_id", F.lit(None).cast("int").alias("rank"), F.lit(None).cast("long").alias("doc_id"),
         F.lit(None).cast("string").alias("filepath"), F.lit(None).cast("double").alias("score"),
@@ -564,6 +576,29 @@ def search(index: Index, clauses: DataFrame, k: int = P.TOP_K, stem: bool = True
     return ok.unionByName(match_all(index, all_q, k)).unionByName(errors)
 
 
+def match_rest(index: Index, queries: DataFrame, scored: DataFrame, negated: DataFrame, k: int = P.TOP_K) -> DataFrame:
+    """Match-all next to optional and excluded clauses: every document but the
+    ``negated`` ones (query_id, doc_id) matches, the ``scored`` ones with their
+    score, the rest with the boost.  The rest of a query's first k is among its
+    first k + scored + negated documents, so only those are looked up."""
+    scored = scored.join(queries.select("query_id"), "query_id", "left_semi").checkpoint()
+    negated = negated.join(queries.select("query_id"), "query_id", "left_semi").checkpoint()
+    taken = scored.select("query_id", "doc_id").union(negated).distinct()
+    n_docs = F.broadcast(index.docs.agg(F.count(F.lit(1)).alias("n_docs")))  # one row
+    used = taken.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_taken"))
+    places = queries.join(used, "query_id", "left").crossJoin(n_docs).where("n_docs > 0")
+    last = F.least(F.col("n_docs"), F.lit(k) + F.coalesce("n_taken", F.lit(0))) - 1
+    places = places.select("query_id", "boost", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("place"))
+    numbered = with_row_index(index.docs.select("doc_id"), ["doc_id"], "place")
+    rest = places.join(numbered, "place").join(taken, ["query_id", "doc_id"], "left_anti").select("query_id", "doc_id", F.col("boost").alias("score"))
+    first = top_k(scored.unionByName(rest).select("query_id", "doc_id", F.round("score", SCORE_DIGITS).alias("score")), k)
+    out = negated.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_out"))
+    totals = queries.join(out, "query_id", "left").crossJoin(n_docs).select(
+        "query_id", (F.col("n_docs") - F.coalesce("n_out", F.lit(0))).alias("total_hits"))
+    return fetch_docs(first.join(totals, "query_id"), index).select(
+        "query_id", F.col("rank").cast("int").alias("rank"), "doc_id", "filepath", "score", "total_hits", F.lit("ok").alias("status"))
+
+
 def match_all(index: Index, queries: DataFrame, k: int = P.TOP_K) -> DataFrame:
     """QRY-14: every document matches with score = boost; the hits are the
     first k documents in index order and the total is the document count.

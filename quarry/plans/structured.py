@@ -95,6 +95,16 @@ def clauses_match_all(spark, sf):
     return _one(_words(spark, sf), "match_all", F.lit(None).cast("string"))
 
 
+def clauses_all_but(spark, sf):
+    """All documents but those with the passage's second word; those with its
+    third word first."""
+    w = _words(spark, sf)
+    parts = [(0, "SHOULD", "match_all", F.lit(None).cast("string")), (1, "MUST_NOT", "term", _w(2)), (2, "SHOULD", "term", _w(3))]
+    rows = [w.select("query_id", F.lit(i).alias("clause_id"), F.lit(o).alias("occur"), F.lit(k).alias("kind"), t.alias("text"),
+                     F.lit(1.0).alias("boost"), F.lit(0).alias("slop")) for i, o, k, t in parts]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 def clauses_errors(spark, sf):
     w = _words(spark, sf)
     bad = w.select((F.col("query_id") * 2).alias("query_id"), "w")
@@ -113,6 +123,7 @@ CLAUSES = {
     "search_range": clauses_range,
     "search_fuzzy": clauses_fuzzy,
     "search_match_all": clauses_match_all,
+    "search_all_but": clauses_all_but,
     "search_errors": clauses_errors,
 }
 
@@ -157,6 +168,9 @@ CLAUSE_SQL = {
     "search_range": _one_sql("range", f"'[' || {_fl(2)} || ' TO ' || {_fl(2)} || 'z]'"),
     "search_fuzzy": _one_sql("fuzzy", "regexp_replace(lower(w[3]), '[^\\p{L}]', '', 'g')"),
     "search_match_all": _one_sql("match_all", "NULL"),
+    "search_all_but": " UNION ALL ".join(
+        f"SELECT * REPLACE (CAST({i} AS INTEGER) AS clause_id) FROM ({x})" for i, x in enumerate(
+            [_one_sql("match_all", "NULL"), _one_sql("term", "w[2]", "MUST_NOT"), _one_sql("term", "w[3]")])),
     "search_errors": (_one_sql("wildcard", "'*' || lower(w[2])", qid="query_id * 2") + " UNION ALL " +
                       _one_sql("term", "w[2]", qid="query_id * 2 + 1")),
 }
@@ -184,14 +198,12 @@ WITH {G.index_ctes()},
           WHEN kind = 'range' AND NOT regexp_matches(text, {G.q(S.RANGE_RX)}) THEN 'malformed range'
           WHEN slop < 0 THEN 'negative slop'
      END AS error FROM cl0),
-  mixed AS (SELECT query_id, sum(CASE WHEN kind = 'match_all' THEN 1 ELSE 0 END) AS n_all, count(*) AS n_cl
-            FROM cl1 GROUP BY query_id),
-  cl2 AS (SELECT c.*, coalesce(c.error, CASE WHEN m.n_all > 0 AND m.n_all < m.n_cl
-                                         THEN 'match_all cannot be combined with other clauses' END) AS err
-          FROM cl1 c JOIN mixed m USING (query_id)),
+  cl2 AS (SELECT *, error AS err FROM cl1),
   bad_q AS (SELECT query_id, min(CAST(clause_id AS VARCHAR) || ': ' || err) AS message FROM cl2
             WHERE err IS NOT NULL GROUP BY query_id),
-  all_q AS (SELECT DISTINCT query_id, boost FROM cl2 WHERE kind = 'match_all' AND err IS NULL),
+  all_q AS (SELECT query_id, sum(CASE WHEN occur <> 'MUST_NOT' THEN boost ELSE 0 END) AS boost,
+                   bool_or(occur = 'MUST_NOT') AS none
+            FROM cl2 WHERE kind = 'match_all' AND query_id NOT IN (SELECT query_id FROM bad_q) GROUP BY query_id),
   cl AS (SELECT query_id, clause_id, occur, kind, text, boost, slop FROM cl2
          WHERE query_id NOT IN (SELECT query_id FROM bad_q) AND kind <> 'match_all'),
   {G.analyzer_ctes('ct', an_src, 'key', 'text')},
@@ -272,19 +284,19 @@ WITH {G.index_ctes()},
                  count(DISTINCT CASE WHEN occur = 'MUST' THEN clause_id END) AS must_hit,
                  count(CASE WHEN occur = 'SHOULD' THEN 1 END) AS should_hit
           FROM sc WHERE occur <> 'MUST_NOT' GROUP BY query_id, doc_id),
-  per_doc AS (SELECT a.query_id, a.doc_id, a.score FROM agg a JOIN need n USING (query_id)
+  matched AS (SELECT a.query_id, a.doc_id, a.score FROM agg a JOIN need n USING (query_id)
               WHERE a.must_hit = n.n_must AND (n.n_must > 0 OR a.should_hit > 0)
-                AND NOT EXISTS (SELECT 1 FROM neg g WHERE g.query_id = a.query_id AND g.doc_id = a.doc_id)),
-  docs_first AS (SELECT doc_id, CAST(doc_id AS VARCHAR) AS filepath,
-                        row_number() OVER (ORDER BY doc_id) AS rnk FROM documents),
-  ndocs AS (SELECT count(*) AS total_hits FROM documents),
+                AND query_id NOT IN (SELECT query_id FROM all_q)
+              UNION ALL
+              SELECT q.query_id, d.doc_id, q.boost + coalesce(a.score, 0) AS score
+              FROM all_q q CROSS JOIN documents d LEFT JOIN need n ON n.query_id = q.query_id
+              LEFT JOIN agg a ON a.query_id = q.query_id AND a.doc_id = d.doc_id
+              WHERE NOT q.none AND coalesce(a.must_hit, 0) = coalesce(n.n_must, 0)),
+  per_doc AS (SELECT * FROM matched a
+              WHERE NOT EXISTS (SELECT 1 FROM neg g WHERE g.query_id = a.query_id AND g.doc_id = a.doc_id)),
   {G.rank_ctes('per_doc')}
 SELECT * FROM res
 UNION ALL
-SELECT a.query_id, CAST(d.rnk AS INTEGER) AS rank, d.doc_id, d.filepath, round(a.boost, 6) AS score,
-       n.total_hits, 'ok' AS status
-FROM all_q a, ndocs n, docs_first d WHERE d.rnk <= 10
-UNION ALL
 SELECT query_id, NULL AS rank, NULL AS doc_id, NULL AS filepath, NULL AS score, NULL AS total_hits,
        'error: ' || message AS status FROM bad_q
 """

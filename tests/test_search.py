@@ -129,3 +129,17 @@ def test_sloppy_phrases_of_one_and_of_repeated_terms(spark, idx):
 
     assert hits("apple") == {0, 2, 3}
     assert hits("apple apple") == {0, 3}
+
+
+def test_match_all_next_to_other_clauses(spark, idx):
+    def run(*rows, k=10):
+        found = S.search(idx, _clauses(spark, [(1, i, *r) for i, r in enumerate(rows)]), k=k, stem=False).collect()
+        return [(r.doc_id, r.total_hits) for r in sorted(found, key=lambda r: r.rank)]
+
+    every = ("SHOULD", "match_all", None, 1.0, 0)
+    assert run(every, ("MUST_NOT", "term", "apple", 1.0, 0)) == [(1, 2), (4, 2)]
+    assert run(every, ("SHOULD", "term", "split", 1.0, 0)) == [(1, 5), (0, 5), (2, 5), (3, 5), (4, 5)]
+    assert run(every, ("SHOULD", "term", "split", 1.0, 0), k=2) == [(1, 5), (0, 5)]
+    assert run(every, ("MUST", "term", "banana", 1.0, 0), ("MUST_NOT", "term", "split", 1.0, 0)) == [(0, 1)]
+    assert run(("MUST_NOT", "match_all", None, 1.0, 0), ("SHOULD", "term", "apple", 1.0, 0)) == []
+    assert run(every, every) == [(i, 5) for i in range(5)]
