@@ -3,7 +3,6 @@ in the cluster's shared folder, and word splitting on UTF-8 bytes."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -12,6 +11,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from quarry.session import ensure_checkpoint_dir
+
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 #: ASCII A-Z to a-z; every other byte stays.
@@ -26,16 +27,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; a scratch folder of this
-    machine only where none is set, as in local tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="quarry-shared-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
 @contextmanager
 def shuffle_cleanup(spark: SparkSession):
     """Inside, the shuffle files of an action go as soon as it has ended: what
@@ -56,18 +47,39 @@ class Stages:
     lost executor costs only the tasks of the current stage."""
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self.spark, self.root = spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        self.written: set[str] = set()
+        _OPEN.append(self)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path, schema = f"{self.root}/{name}", df.schema
         with shuffle_cleanup(self.spark):
             df.write.option("compression", "zstd").parquet(path)
+        self.written.add(name)
         return self.spark.read.schema(schema).parquet(path)
 
     def drop(self, name: str) -> None:
         """Delete a stage table of this run that no later stage reads."""
         at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
         at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+        self.written.discard(name)
+
+
+#: The runs of this process whose tables may still be read.
+_OPEN: list[Stages] = []
+
+
+def drop_stages(since: int) -> None:
+    """Delete the stage tables of the runs begun after the first ``since``:
+    for a caller who has written their results."""
+    for run in _OPEN[since:]:
+        for name in sorted(run.written):
+            run.drop(name)
+    del _OPEN[since:]
+
+
+def open_runs() -> int:
+    return len(_OPEN)
 
 
 def byte_texts(column: pa.Array) -> list[bytes | None]:

@@ -151,12 +151,13 @@ class Katz:
 def train(docs: DataFrame, stages: Stages, slices: int = SLICES) -> Katz:
     words = stages.write(word_counts(docs), "word-counts")
     total, vocabulary = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    factors = discounts(counts_of_counts(words))
-    held = words.agg(F.sum(discounted(F.col("c"), factors))).first()[0] or 0.0
+    word_factors = discounts(counts_of_counts(words))
+    held = words.agg(F.sum(discounted(F.col("c"), word_factors))).first()[0] or 0.0
     # Without rare words there is no mass left over; the unknown word then counts once.
     scale = total if total - held > 1e-9 * total else total + 1
     unknown = 1 - held / scale if total else 1.0
-    own = words.select("w", "c", (discounted(F.col("c"), factors) / scale).alias("p")) if total else words.select("w", "c", F.lit(1.0).alias("p"))
+    alone = lambda c: discounted(c, word_factors) / max(scale, 1)
+    own = words.select("w", "c", alone(F.col("c")).alias("p"))
 
     counted = [stages.write(pair_counts(docs, s, slices), f"pair-counts-{s}") for s in range(slices)]
     of_counts: dict[int, int] = {}
@@ -166,11 +167,11 @@ def train(docs: DataFrame, stages: Stages, slices: int = SLICES) -> Katz:
     factors = discounts(of_counts)
     pairs, histories = [], []
     for s, part in enumerate(counted):
-        full = part.join(own.select(F.col("w").alias("w2"), F.col("c").alias("c2"), "p"), "w2")
-        full = stages.write(full.select("w1", "w2", "c", "c2", "p"), f"pairs-{s}")
+        full = part.join(words.select(F.col("w").alias("w2"), F.col("c").alias("c2")), "w2")
+        full = stages.write(full.select("w1", "w2", "c", "c2"), f"pairs-{s}")
         stages.drop(f"pair-counts-{s}")
         kept = discounted(F.col("c"), factors)
-        sums = full.groupBy("w1").agg(F.sum("c").alias("c1"), F.sum(kept).alias("kept"), F.sum("p").alias("seen"))
+        sums = full.groupBy("w1").agg(F.sum("c").alias("c1"), F.sum(kept).alias("kept"), F.sum(alone(F.col("c2"))).alias("seen"))
         # A history with frequent pairs only leaves nothing; an unseen word then counts once.
         c1 = F.when(F.col("c1") - F.col("kept") > 1e-9 * F.col("c1"), F.col("c1")).otherwise(F.col("c1") + 1)
         history = sums.select("w1", c1.alias("c1"), ((1 - F.col("kept") / c1) / (1 - F.col("seen"))).alias("alpha"))
@@ -188,15 +189,18 @@ def score(docs: DataFrame, model: Katz, stages: Stages) -> DataFrame:
     for s, (pairs, history) in enumerate(zip(model.pairs, model.histories)):
         found = document_pairs(docs, s, slices).join(pairs.hint("shuffle_hash"), ["w1", "w2"], "left")
         summed = [F.sum("n").alias("tokens"), F.sum(F.when(F.col("c2") > 0, F.col("n")).otherwise(0)).alias("known"), F.sum(F.col("n") * base).alias("base"), F.sum(F.col("n") * F.col("logp")).alias("logp")]
+        # One pass gives each document's sums and its list of pairs that are not in the table.
+        unseen = F.col("logp").isNull() & (F.col("n") > 0)
+        listed = F.collect_list(F.when(unseen, F.struct("w1", "w2", "n"))).alias("unseen")
         rows = F.sum(F.when(F.col("n") == 0, 1).otherwise(0)).alias("rows")
-        looked = found.withColumn("c2", F.col("c2").cast("long"))
-        missing = looked.where("logp is null and n > 0").select("doc_id", "text_key", "w1", "w2", "n")
-        seen = looked.where("logp is not null or n = 0").withColumn("c2", F.coalesce("c2", F.lit(0)))
-        seen = seen.groupBy("doc_id", "text_key").agg(*summed, rows)
+        at_seen = [F.sum(F.when(~unseen, F.col("n")).otherwise(0)).alias("tokens"), *summed[1:]]
+        seen = stages.write(found.groupBy("doc_id", "text_key").agg(*at_seen, rows, listed), f"seen-{s}")
+        missing = seen.select("doc_id", "text_key", F.explode("unseen").alias("u")).select("doc_id", "text_key", "u.*")
         backed = missing.join(history.select("w1", "alpha"), "w1", "left").join(model.words.select(F.col("w").alias("w2"), F.col("c").alias("c2"), "p"), "w2", "left")
         weight = F.log10(F.coalesce("alpha", F.lit(1.0))) + F.log10(F.coalesce("p", F.lit(model.unknown)))
         backed = backed.withColumn("logp", weight).withColumn("c2", F.coalesce("c2", F.lit(0))).groupBy("doc_id", "text_key").agg(*summed, F.lit(0).cast("long").alias("rows"))
-        part = stages.write(seen.unionByName(backed), f"scores-{s}")
+        part = stages.write(seen.drop("unseen").unionByName(backed), f"scores-{s}")
+        stages.drop(f"seen-{s}")
         parts = part if parts is None else parts.unionByName(part)
     total = parts.groupBy("doc_id", "text_key").agg(*[F.sum(c).alias(c) for c in ("tokens", "known", "base", "logp", "rows")])
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 1, F.lit(False))

@@ -179,3 +179,12 @@ def test_packing_prefers_near_documents():
 
 def test_packing_without_documents(none):
     assert packing.pack(none, packing.tokenizer_path()).count() == 0
+
+
+def test_remembered_words_give_the_same_ids(corpus, monkeypatch):
+    monkeypatch.setattr(packing, "CACHE", 20)
+    monkeypatch.setattr(packing, "TOGETHER", 7)
+    encoder = packing.Encoder(packing.tokenizer_path())
+    texts = [t for _, t in corpus] + ["It's 3.5%, isn't it?\nNo -- 你好　x", "a\n\nb", " a", "a ", " a b", "x y z", "<|endoftext|> a", "a <|endoftext|>"]
+    for k in range(0, len(texts), 9):
+        assert encoder.encode(texts[k : k + 9]) == encoder.whole(texts[k : k + 9])
