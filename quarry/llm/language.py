@@ -78,9 +78,10 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
 def sample(docs: DataFrame, per_lang: int) -> list[tuple[str, Row]]:
     """The bounded sample as sparse rows, in a fixed order."""
+    # One row a language, as the model has a column for each: small enough to broadcast.
     sizes = docs.groupBy("lang").agg(F.count("*").alias("lang_rows"))
     draw = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)) * F.col("lang_rows") < 1_000_000 * per_lang
-    drawn = docs.join(sizes, "lang").where(draw).select("doc_id", "lang", "text")
+    drawn = docs.join(F.broadcast(sizes), "lang").where(draw).select("doc_id", "lang", "text")
 
     def features(batch: pa.RecordBatch) -> dict:
         rows = [counted(t) for t in batch.column(2).to_pylist()]
