@@ -37,7 +37,8 @@ LEAST_ROWS = 3
 ROUNDS, EPOCHS = 2, 2
 #: A view labels a pool row for the other view at this probability or above.
 SURE = 0.98
-THRESHOLD = 0.5
+#: A document goes at this probability of either head: clean ones are to stay.
+THRESHOLD = 0.65
 #: How far the combination is held at an even vote of both views.
 RIDGE = 0.05
 HEADS = ("low_quality", "toxic")
