@@ -177,6 +177,14 @@ def test_packing_prefers_near_documents():
     assert index.near(1, np.array([False, True, False, False])) == [3]
 
 
+def test_packing_scores_all_terms_of_a_seed():
+    # Twenty rare terms that a chance document shares one by one, and many middling ones that the near document shares.
+    seed, near = np.arange(60), np.arange(20, 60)
+    chance, others = [np.array([t, 100 + t]) for t in range(20)], [np.array([20 + t, 200 + t]) for t in range(40)]
+    docs = [seed, near, *chance, *others]
+    assert packing.Bm25(docs).near(0, np.arange(len(docs)) == 0)[0] == 1
+
+
 def test_packing_without_documents(none):
     assert packing.pack(none, packing.tokenizer_path()).count() == 0
 
