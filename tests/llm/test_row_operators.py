@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarry.llm import language, licences, packing, repetition, url_rules
+from quarry.llm.common import Stages
 
 
 def ascii_lower(t):
@@ -185,6 +186,70 @@ def test_packing_scores_all_terms_of_a_seed():
     assert packing.Bm25(docs).near(0, np.arange(len(docs)) == 0)[0] == 1
 
 
+def test_packing_searches_all_documents(spark, corpus, monkeypatch):
+    """Neighbours are those of brute force over all documents, whatever the
+    partitions and blocks, and every document stands in one chain."""
+    monkeypatch.setattr(packing, "BLOCK", 30)
+    monkeypatch.setattr(packing, "NEAR", 4)
+    df = spark.createDataFrame([(i, t) for i, t in corpus], "doc_id long, text string").repartition(5)
+    stages = Stages(spark, "packing-test")
+    rows = stages.write(packing.tokenised(df, packing.tokenizer_path()), "tokens")
+    at = sorted(rows.collect(), key=lambda r: r.key)
+    index, place = packing.Bm25([np.frombuffer(r.ids, "<u4")[:-1] for r in at]), {r.key: i for i, r in enumerate(at)}
+    stats = packing.statistics(rows)
+    blocks = stages.write(packing.blocks(rows, stats), "index")
+    got = {}
+    for r in packing.neighbours(stages, blocks, blocks, stats[2][stats[3] * packing.COMMON > stats[0]], "test").collect():
+        got.setdefault(place[r.a], {})[place[r.b]] = r.score
+    hits = want = 0
+    for i in range(len(at)):
+        best = index.near(i, np.arange(len(at)) == i)[:4]
+        hits, want = hits + len(set(best) & set(got.get(i, ()))), want + len(best)
+    assert want > 300 and hits >= 0.9 * want  # equal scores may stand in another order
+    nodes = packing.ordered(Stages(spark, "packing-test"), rows).collect()
+    assert sorted(n.key for n in nodes) == [r.key for r in at]
+    chains = {}
+    for n in nodes:
+        chains.setdefault(n.head, []).append(n.pos)
+    assert all(sorted(p) == list(range(len(p))) for p in chains.values())
+    assert len(chains) <= 1 + sum(r.size == 0 for r in at)  # all texts here are near to some other
+
+
+def test_packing_rounds_join_like_the_driver(spark, monkeypatch):
+    nodes = spark.createDataFrame([(i, i, 0) for i in range(8)], "key long, head long, pos long")
+    pairs = spark.createDataFrame([(a, b, float((a * 5 + b * 3) % 11)) for a in range(8) for b in range(8) if a != b], "a long, b long, score float")
+    for most in (50, 1_000_000):
+        monkeypatch.setattr(packing, "DRIVER_PAIRS", most)
+        got = packing.linked(Stages(spark, "packing-test"), nodes, pairs, "test").collect()
+        assert sorted((r.key, r.pos) for r in got)[0][0] == 0 and sorted(r.pos for r in got) == list(range(8)) and len({r.head for r in got}) == 1
+
+
+@pytest.mark.parametrize("common", [[], [3, 4, 9], range(60)])
+def test_packing_scores_are_whole_in_every_cut(common, monkeypatch):
+    monkeypatch.setattr(packing, "ROWS", 7)
+    monkeypatch.setattr(packing, "EXPANDED", 20)
+    rnd = np.random.default_rng(3)
+    has = rnd.random((40, 60)) < 0.2
+    weight = rnd.random((40, 60)).astype("<f4")
+    place, term = np.nonzero(has)
+    raw = [np.arange(40, dtype="<i8").tobytes(), place.astype("<u4").tobytes(), term.astype("<u4").tobytes(), weight[has].tobytes()]
+    own = packing.Queries(*raw[:3], np.array(common, int))
+    own.meet(*raw)
+    scores = has @ np.where(has, weight, 0).T
+    np.fill_diagonal(scores, 0)
+    assert np.allclose(-np.sort(-own.scores, axis=1), -np.sort(-scores, axis=1)[:, : packing.NEAR], atol=1e-4)
+    assert np.allclose(np.take_along_axis(scores, own.near, 1), own.scores, atol=1e-4)
+
+
+def test_packing_joins_documents_of_other_partitions(spark):
+    texts = [" ".join(f"{c}{k}" for k in range(40)) for c in "abcdefgh"]
+    rows = [(i, t) for i, t in enumerate(texts + texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(8, "doc_id")
+    got = packing.pack(df, packing.tokenizer_path()).orderBy("sequence_id", "offset").collect()
+    order = list(dict.fromkeys(r.doc_id for r in got))
+    assert sum(abs(a - b) == 8 for a, b in zip(order, order[1:])) == 8
+
+
 def test_packing_without_documents(none):
     assert packing.pack(none, packing.tokenizer_path()).count() == 0
 
