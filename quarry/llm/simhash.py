@@ -54,11 +54,11 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp (long) of every row."""
+    """doc_id, fp (long) and text_hash of every row."""
     return map_batches(
-        docs.select("doc_id", "text"),
-        lambda b: {"doc_id": b.column(0), "fp": [fingerprint(t, shingle) for t in byte_texts(b.column(1))]},
-        "doc_id long, fp long",
+        docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")),
+        lambda b: {"doc_id": b.column(0), "fp": [fingerprint(t, shingle) for t in byte_texts(b.column(1))], "text_hash": b.column(2)},
+        "doc_id long, fp long, text_hash long",
     )
 
 
@@ -120,6 +120,12 @@ def links(stages: Stages, distinct: DataFrame, radius: int = RADIUS, bucket: int
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
     """doc_id, fp and component_id (the smallest doc_id reachable) of every row."""
+    return component_rows(docs, shingle, radius, bucket).select("doc_id", "fp", "component_id")
+
+
+def component_rows(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
+    """``near_duplicates`` with text_hash and root, a name that two components
+    never share (component_id they may, where an id is repeated)."""
     spark = docs.sparkSession
     stages = Stages(spark, "simhash")
     rows = stages.write(fingerprints(docs, shingle), "fingerprints")
@@ -130,8 +136,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     )
     stages.drop("members")
     named = rooted.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    by_fp = rooted.join(named, "root").select("fp", "component_id")
-    return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    by_fp = rooted.join(named, "root").select("fp", "root", "component_id")
+    return rows.join(by_fp, "fp").select("doc_id", "fp", "text_hash", "root", "component_id")
 
 
 def hexadecimal(fp: Column) -> Column:
