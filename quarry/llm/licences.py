@@ -38,7 +38,8 @@ NOTICES = {
     "released into the public domain": "public-domain",
     "all rights reserved": "all-rights-reserved",
 }
-TAG = b"spdx-license-identifier:"
+#: Tags before a licence expression, in lower case.
+TAGS = ("spdx-license-identifier:", "license-expression:")
 #: Identifier prefixes after a tag, longest first, and how freely each may be used.
 PREFIXES = [("mit", "mit"), ("apache-2", "apache-2"), ("cc-by-nc", "cc-by-nc"), ("cc-by-sa", "cc-by-sa"), ("cc-by-nd", "cc-by-nd"), ("cc-by", "cc-by"), ("cc0", "cc0"), ("agpl", "agpl"), ("lgpl", "lgpl"), ("gpl-2", "gpl-2"), ("gpl-3", "gpl-3"), ("mpl", "mpl"), ("epl", "epl"), ("bsd-2", "bsd-2"), ("bsd-3", "bsd-3"), ("isc", "isc"), ("unlicense", "public-domain")]
 FREEDOM = {"mit": 1.0, "apache-2": 1.0, "bsd-2": 1.0, "bsd-3": 1.0, "isc": 1.0, "cc0": 1.0, "public-domain": 1.0, "cc-by": 0.9, "cc-by-sa": 0.6, "mpl": 0.6, "epl": 0.6, "lgpl": 0.5, "gpl-2": 0.3, "gpl-3": 0.3, "agpl": 0.2, "cc-by-nc": 0.1, "cc-by-nd": 0.1, "all-rights-reserved": 0.0}
@@ -63,7 +64,8 @@ def licence_label(identifier: str) -> str:
 def evaluate(expression: str) -> tuple[set[str], float] | None:
     """Labels and freedom of a licence expression: ``or`` takes the freer side,
     ``and`` the stricter, ``with`` keeps the licence and names an exception.
-    None if it is malformed."""
+    It ends before the first token that cannot continue it, such as a bracket of
+    the prose around it.  None if it is malformed."""
     out: list[tuple[set[str], float]] = []
     pending: list[str] = []
 
@@ -87,11 +89,13 @@ def evaluate(expression: str) -> tuple[set[str], float] | None:
                 operand_next = True
             elif token == "(":
                 if not operand_next:
-                    return None
+                    break  # prose in brackets after the expression
                 pending.append(token)
             elif token == ")":
                 if operand_next:
                     return None
+                if "(" not in pending:
+                    break  # the end of prose that holds the tag
                 while pending[-1] != "(":
                     apply(pending.pop())
                 pending.pop()
@@ -110,12 +114,14 @@ def evaluate(expression: str) -> tuple[set[str], float] | None:
 
 @lru_cache(maxsize=8)
 def automaton(phrases: tuple[tuple[str, str, bool], ...]) -> ahocorasick.Automaton:
-    """One automaton over ``" word word "`` patterns; bytes are read as Latin-1
-    so that one character is one byte."""
+    """One automaton over ``" word word "`` patterns and tags, which have no
+    label; bytes are read as Latin-1 so that one character is one byte."""
     out = ahocorasick.Automaton()
     for phrase, label, base in phrases:
         pattern = f" {phrase} "
         out.add_word(pattern, (len(pattern), label, base))
+    for tag in TAGS:
+        out.add_word(tag, (len(tag), None, False))
     out.make_automaton()
     return out
 
@@ -130,16 +136,17 @@ def scan(text: bytes | None, phrases: tuple[tuple[str, str, bool], ...]) -> tupl
             base_labels.add(label)
             starts.append(end - size + 1)
     freedom += [FREEDOM.get(x, UNKNOWN) for x in labels]
-    lowered = (text or b"").lower() if text and b":" in text else b""
-    at = lowered.find(TAG)
-    while at >= 0:
-        line = text[at + len(TAG) :].split(b"\n", 1)[0].decode("utf-8", "replace").strip(" \t\r*/#-")
+    # Tags hold signs, which the words above have not; every tag holds a colon.
+    lowered = text.lower().decode("latin-1") if text and b":" in text else ""
+    for end, (_, label, _) in automaton(phrases).iter(lowered):
+        if label is not None:
+            continue
+        line = text[end + 1 :].split(b"\n", 1)[0].decode("utf-8", "replace").strip(" \t\r*/#-")
         found = evaluate(line)
         if found:
             expressions.append(line)
             labels |= found[0]
             freedom.append(found[1])
-        at = lowered.find(TAG, at + len(TAG))
     places = [padded.count(" ", 0, s) for s in (min(starts), max(starts))] if starts else [None, None]
     return len(words), len(starts), *places, ",".join(sorted(base_labels)), ",".join(sorted(labels)), min(freedom, default=0.0), expressions
 

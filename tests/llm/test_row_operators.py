@@ -83,6 +83,18 @@ def test_licence_expressions():
         assert licences.evaluate(bad) is None or bad == "MIT )"
 
 
+def test_licence_expressions_within_prose():
+    phrases = tuple((p, x, True) for p, x in BASE.items())
+    for text, labels in [
+        ("SPDX-License-Identifier: MIT (see LICENSE)", "mit"),
+        ("(SPDX-License-Identifier: MIT)", "mit"),
+        ("(SPDX-License-Identifier: (MIT OR ISC) AND Apache-2.0) and more", "apache-2,isc,mit"),
+        ("License-Expression: MIT\nx\nspdx-license-identifier: isc", "isc,mit"),
+        ("\u00e9 SPDX-License-Identifier: (MIT (see LICENSE", ""),
+    ]:
+        assert licences.scan(text.encode(), phrases)[5] == labels, text
+
+
 def test_licence_tags(edge):
     row = licences.scan_licences(edge).where("doc_id = 10").first()
     assert row.base_labels == "mit" and row.labels == "apache-2,gpl-2,mit" and row.n_base == 1 and 0 <= row.score <= 1
