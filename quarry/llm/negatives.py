@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,7 @@ SHARD_BYTES = 64 << 20
 BLOCK, GUESTS = 256, 64
 #: Widening of a score's interval, as a share of the product of the norms.
 SLACK = 1e-6
-FAR = 1 << 62
+FAR = (1 << 63) - 1
 
 FOUND = "anchor long, slot int, score long, row_id long, uid long"
 
@@ -245,9 +246,8 @@ def mine(rows: DataFrame, anchors: Column, positives: int = 5, negatives: int =
     order = Window.partitionBy("anchor").orderBy(F.desc("score"), "row_id", "uid")
     first = near.drop("rank").unionByName(far.drop("rank")).withColumn("slot", F.row_number().over(order)).where(F.col("slot") <= positives)
     pairs = stages.write(first.select("anchor", "slot", F.col("row_id").alias("positive_id"), F.col("score").alias("positive_score")), "positives")
-    score = F.col("positive_score")
-    floor = lambda x: F.expr("({0} - pmod({0}, 100L)) div 100L".format(x))
-    edges = pairs.withColumns({"low": -floor(f"(-{low}L * positive_score)"), "high": floor(f"({high}L * positive_score)")}).where((F.col("low") <= F.col("high")) & score.isNotNull())
+    share = lambda percent: F.col("positive_score").cast("decimal(20,0)") * F.lit(Decimal(percent) / 100)
+    edges = pairs.withColumns({"low": F.ceil(share(low)), "high": F.floor(share(high))}).where("low <= high")
     listed = edges.groupBy("anchor").agg(F.collect_list(window(F.col("slot"), F.col("low"), F.col("high"))).alias("windows"))
     found = visit(shards, guests(base.join(listed, F.col("anchor") == F.col("uid")).drop("anchor"), True), shards_of, dim, False, negatives)
     named = found.join(pairs, ["anchor", "slot"]).join(base.select(F.col("uid").alias("anchor"), F.col("row_id").alias("anchor_id")), "anchor")
