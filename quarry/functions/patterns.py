@@ -77,6 +77,48 @@ TOKEN_RX = r"(?:\p{L}\p{M}*(?:[.:'’·]\p{L}\p{M}*)*|\p{N}(?:[.,;'’]\p{N})*|_
 ALNUM_RX = r"[\p{L}\p{N}]"
 MAX_TOKEN_LENGTH = 255
 
+# ---------------------------------------------------------------------------
+# Word break classes for all scripts (Java).  A character takes
+# the marks and format characters behind it along.
+# ---------------------------------------------------------------------------
+_EXTEND = r"[\p{M}\u00AD\u200C-\u200F\u2060-\u2064\uFEFF\uFF9E\uFF9F]*"
+_KATAKANA = r"[\p{IsKatakana}\u3031-\u3035\u309B\u309C\u30A0\u30FC\uFF70&&[^\uFF9E\uFF9F]]"
+_SOUTHEAST = r"\p{IsThai}\p{IsLao}\p{IsMyanmar}\p{IsKhmer}"
+_SINGLE = r"\p{IsHan}\p{IsHiragana}"
+_JOIN = r"[_\u203F\u2040\u2054\uFE33\uFE34\uFE4D-\uFE4F\uFF3F]"
+_LETTER = rf"[\p{{L}}&&[^{_SINGLE}{_SOUTHEAST}\p{{IsKatakana}}\u3031-\u3035\u309B\u309C\u30FC\uFF70]]"
+_DIGIT = rf"[\p{{N}}&&[^{_SINGLE}{_SOUTHEAST}]]"
+_MID_LETTER = r"[.:'’·\u0387\u055F\u05F4\u2018\u2024\u2027\uFE13\uFE52\uFE55\uFF07\uFF0E\uFF1A]"
+_MID_DIGIT = r"[.,;'’\u037E\u0589\u060C\u060D\u066C\u07F8\u2018\u2024\u2044\uFE10\uFE14\uFE50\uFE52\uFE54\uFF07\uFF0C\uFF0E\uFF1B]"
+_EMOJI = r"(?:[\x{1F300}-\x{1F64F}\x{1F680}-\x{1F6FF}\x{1F900}-\x{1FAFF}](?:[\x{1F3FB}-\x{1F3FF}]|\uFE0F)?|[\u2194-\u27BF\u2B05-\u2B55]\uFE0F)"
+
+
+def _token_rx_all() -> str:
+    """Tokens of any script.  Runs of letters and digits, with the signs that
+    may stand between two of a kind, and runs of Katakana are words; joiners tie
+    words together; an ideograph or a Hiragana letter is a word of its own; a run
+    of a script without spaces (Thai, Lao, Burmese, Khmer) is one word; so is an
+    emoji sequence."""
+    x = _EXTEND
+    hebrew = rf"(?<=\p{{IsHebrew}})\"{x}\p{{IsHebrew}}{x}"
+    letters = rf"{_LETTER}{x}(?:{_MID_LETTER}{x}{_LETTER}{x}|{hebrew}|{_LETTER}{x})*+"
+    digits = rf"{_DIGIT}{x}(?:{_MID_DIGIT}{x}{_DIGIT}{x}|{_DIGIT}{x})*+"
+    word = rf"(?:(?:{letters}|{digits})+|(?:{_KATAKANA}{x})+)"
+    joined = rf"(?:{_JOIN}{x})*+{word}(?:(?:{_JOIN}{x})++{word})*(?:{_JOIN}{x})*+"
+    emoji = rf"[\x{{1F1E6}}-\x{{1F1FF}}]{{2}}|{_EMOJI}(?:\u200D{_EMOJI})*"
+    return rf"{joined}|[{_SINGLE}]{x}|(?:[{_SOUTHEAST}]{x})+|{emoji}"
+
+
+TOKEN_RX_ALL = _token_rx_all()
+# A quick check for texts of common Latin characters and dashes, quotes and spaces.
+LATIN_TEXT_RX = r"^[\x00-\u00AC\u00AE-\u02FF\u2010-\u2017\u2019-\u2023]*+\z"
+# Where no other character stands, TOKEN_RX finds the same words.
+OTHER_SCRIPT_RX = (
+    r"[^\x00-\u00AC\u00AE-\u02FF\u0370-\u0386\u0388-\u0482\u048A-\u055E\u0560-\u0588\u1E00-\u200B"
+    r"\u2010-\u2017\u2019-\u2023\u2025\u2026\u2030-\u203E\u20A0-\u20CF\u2100-\u2193]"
+)
+WORD_RX = rf"[\p{{L}}\p{{N}}]|{_EMOJI}|[\x{{1F1E6}}-\x{{1F1FF}}]"
+
 # ---------------------------------------------------------------------------
 # Retrieval defaults.
 # ---------------------------------------------------------------------------

@@ -22,19 +22,26 @@ from . import patterns as P
 # Tokenising
 # ---------------------------------------------------------------------------
 def tokenize(text: Column) -> Column:
-    """Word tokens of ``text`` in order (array<string>); runs of letters /
-    digits joined by the in-word punctuation of the tokeniser pattern, with
-    matches lacking any letter or digit (a lone ``_``) dropped and longer ones
-    cut into pieces of ``MAX_TOKEN_LENGTH``."""
-    raw = F.regexp_extract_all(text, F.lit(P.TOKEN_RX), 0)
+    """Word tokens of ``text`` in order (array<string>): Unicode word boundaries
+    for all scripts.  Matches without a letter or digit (a lone ``_``) are
+    dropped, longer ones cut into pieces of ``MAX_TOKEN_LENGTH``.  A text without
+    characters of further scripts is read with the short pattern, which finds the
+    same words."""
     most = P.MAX_TOKEN_LENGTH
-
     def cut(t):
         starts = F.sequence(F.lit(0), F.floor((F.length(t) - 1) / most).cast("int"))
         return F.transform(starts, lambda i: F.substr(t, i * most + 1, F.lit(most)))
 
-    pieces = F.when(F.exists(raw, lambda t: F.length(t) > most), F.flatten(F.transform(raw, cut))).otherwise(raw)
-    return F.filter(pieces, lambda t: t.rlike(P.ALNUM_RX))
+    def words(pattern, kept):
+        def pieces(found):
+            whole = F.when(F.exists(found, lambda t: F.length(t) > most), F.flatten(F.transform(found, cut))).otherwise(found)
+            return F.filter(whole, lambda t: t.rlike(kept))
+
+        # the matches are bound to a lambda variable, so that the pattern runs once a text
+        return F.element_at(F.transform(F.array(F.regexp_extract_all(text, F.lit(pattern), 0)), pieces), 1)
+
+    short = text.rlike(P.LATIN_TEXT_RX) | ~text.rlike(P.OTHER_SCRIPT_RX)
+    return F.when(short, words(P.TOKEN_RX, P.ALNUM_RX)).otherwise(words(P.TOKEN_RX_ALL, P.WORD_RX))
 
 
 def whitespace_tokenize(text: Column) -> Column:
