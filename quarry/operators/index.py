@@ -3,28 +3,42 @@
 * ``postings(term, doc_id, tf, positions, dl)`` — one row per (term, doc).
   The document's ranking length ``dl`` (lossy one-byte norm, decoded) is
   denormalised into every posting so scoring never joins ``docs``.
-* ``terms(term, df, ttf)`` — document / total frequency per term.
+* ``terms(term, df, ttf)`` — document / total frequency per term; with the
+  layout by term also ``first_bucket`` and ``last_bucket``, the directory of
+  the folders that hold a term's postings.
 * ``docs(doc_id, filename, filepath, n_tokens, dl_exact, norm, dl)``.
 * ``stats(n_docs, sum_ttf, avgdl)`` — a single row.
 
 Build plan: the analyser runs per document row and the postings of a
 document are cut from its own sorted token array, so building postings
-needs no shuffle at all.  Postings are sorted by term inside each file, so
-parquet min/max statistics prune row groups for term lookups.  Term and
-collection statistics are partial aggregates over the written postings.
+needs no shuffle at all.  Two layouts can be written:
+
+* ``document``: postings stay with their document's partition.  No exchange;
+  a batch of many queries sums a document's terms before its one exchange, and
+  every lookup opens every file.
+* ``term``: one more exchange deals the postings by range of (term, salt of the
+  document) into buckets of ``BUCKET_BYTES``, one folder each.  The range
+  bounds come from a sample of the postings, so a frequent term is cut into as
+  many buckets as its list needs, and a lookup opens the folders of its terms.
+
+Postings are sorted by term inside each file, so parquet min/max statistics
+prune row groups for term lookups.  Term and collection statistics are partial
+aggregates over the written postings.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from .analyzer import AnalyzerOptions, analyze, explode_token_rows
 
 INDEX_TABLES = ("postings", "terms", "docs", "stats")
+# Bytes of postings in a bucket of the layout by term.
+BUCKET_BYTES = 64 << 20
 
 
 def analyzed_docs(docs: DataFrame, opts: AnalyzerOptions | None = None, id_col="doc_id", text_col="text") -> DataFrame:
@@ -126,6 +140,11 @@ class Index:
         self.docs = docs
         self.stats = stats
 
+    @property
+    def by_term(self) -> bool:
+        """Whether the postings lie in buckets that the term table names."""
+        return "bucket" in self.postings.columns
+
 
 def build_index(
     docs: DataFrame,
@@ -150,17 +169,50 @@ def build_index(
     return Index(postings, term_stats(postings), docs_table, collection_stats(postings))
 
 
-def write_index(index: Index, path: str, postings_files: int | None = None) -> None:
+def posting_bytes() -> Column:
+    """Roughly the bytes of a posting."""
+    return F.length("term") + 24 + 4 * F.col("tf")
+
+
+def deal_by_term(postings: DataFrame, buckets: int) -> DataFrame:
+    """Postings in ``buckets`` ranges of (term, salt of the document), each in
+    the order of its terms, with the range's number in ``bucket``."""
+    dealt = postings.repartitionByRange(buckets, F.col("term"), F.hash("doc_id"))
+    return dealt.withColumn("bucket", F.spark_partition_id()).sortWithinPartitions("bucket", "term", "doc_id")
+
+
+def term_directory(postings: DataFrame) -> DataFrame:
+    """IDX-5 with the buckets of each term; ranges of terms are contiguous."""
+    return postings.groupBy("term").agg(
+        F.count(F.lit(1)).alias("df"), F.sum("tf").alias("ttf"),
+        F.min("bucket").alias("first_bucket"), F.max("bucket").alias("last_bucket"))
+
+
+def write_index(index: Index, path: str, postings_files: int | None = None, layout: str = "document",
+                bucket_bytes: int = BUCKET_BYTES) -> None:
     """SNK-1: create mode — replaces an earlier index at ``path``.  Postings
     are written first (the one expensive job); terms and stats are then
-    derived from the written postings, not from a second analysis pass."""
+    derived from the written postings, not from a second analysis pass.  With
+    ``layout="term"`` the written postings are dealt by term afterwards, into
+    ``postings_files`` buckets or as many as ``bucket_bytes`` asks for."""
+    if layout not in ("document", "term"):
+        raise ValueError("layout must be 'document' or 'term'")
+    spark = index.postings.sparkSession
+    by_document = os.path.join(path, "postings" if layout == "document" else "by_document")
     p = index.postings
-    if postings_files:
+    if postings_files and layout == "document":
         p = p.repartition(postings_files, "term")
-    p.sortWithinPartitions("term", "doc_id").write.mode("overwrite").parquet(os.path.join(path, "postings"))
-    spark = index.postings.sparkSession
-    written = spark.read.parquet(os.path.join(path, "postings"))
-    term_stats(written).sortWithinPartitions("term").write.mode("overwrite").parquet(os.path.join(path, "terms"))
+    p.sortWithinPartitions("term", "doc_id").write.mode("overwrite").parquet(by_document)
+    written = spark.read.parquet(by_document)
+    if layout == "document":
+        term_stats(written).sortWithinPartitions("term").write.mode("overwrite").parquet(os.path.join(path, "terms"))
+    else:
+        size = written.agg(F.sum(posting_bytes()).alias("n")).first().n or 0
+        buckets = postings_files or max(spark.sparkContext.defaultParallelism, -(-size // bucket_bytes))
+        at = os.path.join(path, "postings")
+        deal_by_term(written, buckets).write.mode("overwrite").partitionBy("bucket").parquet(at)
+        dealt = spark.read.schema(f"{_ddl(written.schema)}, bucket int").parquet(at)
+        term_directory(dealt).sortWithinPartitions("term").write.mode("overwrite").parquet(os.path.join(path, "terms"))
     collection_stats(written).coalesce(1).write.mode("overwrite").parquet(os.path.join(path, "stats"))
     stored = index.docs.select("doc_id", "filename", "filepath")
     lengths = lengths_from_postings(written)
@@ -168,6 +220,13 @@ def write_index(index: Index, path: str, postings_files: int | None = None) -> N
         "doc_id", "filename", "filepath",
         *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("n_tokens", "n_overlap", "dl_exact", "norm", "dl")])
     docs.write.mode("overwrite").parquet(os.path.join(path, "docs"))
+    if layout == "term":
+        fs, staged = _fs(spark, by_document)
+        fs.delete(staged, True)
+
+
+def _ddl(schema) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
 
 
 def read_index(spark: SparkSession, path: str) -> Index:
@@ -175,7 +234,7 @@ def read_index(spark: SparkSession, path: str) -> Index:
     if not _exists(spark, path):
         raise FileNotFoundError(path)
     if not _is_dir(spark, path):
-        raise NotADirectoryError(f"File at path does not represent a directory: {path}")
+        raise NotADirectoryError(f"an index is a folder of tables; {path} is a file")
     tables = {}
     for name in INDEX_TABLES:
         full = os.path.join(path, name)
@@ -211,7 +270,7 @@ def _is_dir(spark: SparkSession, path: str) -> bool:
 _MATERIALIZED: dict = {}
 
 
-def materialize_index(index: Index, key=None) -> Index:
+def materialize_index(index: Index, key=None, layout: str = "document") -> Index:
     """Write ``index`` under the session's shared checkpoint folder and read
     it back (cuts the lineage; every later query scans parquet).  With a
     ``key``, the written index is reused for the same key in this process."""
@@ -226,7 +285,7 @@ def materialize_index(index: Index, key=None) -> Index:
             return read_index(spark, path)
     base = ensure_checkpoint_dir(spark)
     path = base.rstrip("/") + "/quarry-index-" + uuid.uuid4().hex
-    write_index(index, path)
+    write_index(index, path, layout=layout)
     if key is not None:
         _MATERIALIZED[key] = path
     return read_index(spark, path)

@@ -19,6 +19,7 @@ fields are fetched for the k hits only.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -77,14 +78,42 @@ def analyze_queries(queries: DataFrame, stem: bool = True, id_col="query_id", te
     return t.select("query_id", F.col("t.pos").alias("pos"), F.col("t.ord").alias("ord"), F.col("t.term").alias("term"))
 
 
-def _postings_for(index: Index, terms: DataFrame, n_terms: int) -> DataFrame:
-    """Postings restricted to ``terms`` (term column).  A small literal list
-    is pushed to the parquet scan (row groups pruned by term statistics)."""
-    p = index.postings.select("term", "doc_id", "tf", "dl")
-    if n_terms <= PUSHDOWN_MAX_TERMS:
-        lits = [r[0] for r in terms.select("term").distinct().collect()]
-        p = p.where(F.col("term").isin(lits)) if lits else p.where(F.lit(False))
-    return p
+def _postings_for(index: Index, terms: DataFrame, n_terms: int, *more: str) -> DataFrame:
+    """Postings restricted to ``terms`` (term column), with the columns
+    ``more``.  A small literal list is pushed to the parquet scan (row groups
+    pruned by term statistics); in the layout by term the scan opens the buckets
+    that the directory names, and no others."""
+    p = index.postings.select("term", "doc_id", "tf", "dl", *more, *(["bucket"] if index.by_term else []))
+    if n_terms > PUSHDOWN_MAX_TERMS:
+        return p
+    wanted = terms.select("term").distinct()
+    if not index.by_term:
+        lits = [r[0] for r in wanted.collect()]
+        return p.where(F.col("term").isin(lits)) if lits else p.where(F.lit(False))
+    rows = index.terms.select("term", "first_bucket", "last_bucket").join(broadcast_if_small(wanted, known_rows=n_terms), "term").collect()
+    if not rows:
+        return p.where(F.lit(False))
+    return p.where(_in_buckets(rows) & F.col("term").isin([r.term for r in rows]))
+
+
+def _in_buckets(rows) -> Column:
+    """The buckets of the terms: a list of those with one, ranges for the rest."""
+    single = sorted({r.first_bucket for r in rows if r.first_bucket == r.last_bucket})
+    spans = sorted({(r.first_bucket, r.last_bucket) for r in rows if r.first_bucket < r.last_bucket})
+    found = F.col("bucket").isin(single) if single else F.lit(False)
+    for first, last in spans:
+        found = found | F.col("bucket").between(first, last)
+    return found
+
+
+def _dealt(index: Index, terms: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Query terms with the columns of the term table, and the columns that join
+    them with postings: in the layout by term also the bucket, so that a batch of
+    any size opens its buckets only (dynamic partition pruning)."""
+    if not index.by_term:
+        return index.terms.select("term", "df").join(terms, "term"), ["term"]
+    named = index.terms.select("term", "df", "first_bucket", "last_bucket").join(terms, "term")
+    return named.withColumn("bucket", F.explode(F.sequence("first_bucket", "last_bucket"))).drop("first_bucket", "last_bucket"), ["term", "bucket"]
 
 
 # ---------------------------------------------------------------------------
@@ -98,11 +127,11 @@ def score_term_groups(index: Index, groups: DataFrame, known_rows: int | None =
     n = known_rows if known_rows is not None else groups.count()
     g = broadcast_if_small(groups, known_rows=n)
     # unknown terms never match, so an inner join with the term table is enough
-    with_df = index.terms.select("term", "df").join(g, "term")
+    with_df, keys = _dealt(index, g)
     gdf = Window.partitionBy("query_id", "clause_id", "sub_id")
     qterms = with_df.select("*", F.max("df").over(gdf).alias("gdf"))
     post = _postings_for(index, groups, n)
-    cand = post.join(broadcast_if_small(qterms, known_rows=n), "term").crossJoin(_stats(index))
+    cand = post.join(broadcast_if_small(qterms, known_rows=n), keys).crossJoin(_stats(index))
     cand = cand.repartition("query_id", "doc_id")
     per_group = cand.groupBy("query_id", "clause_id", "sub_id", "doc_id", "dl", "gdf", "boost", "n_docs", "avgdl").agg(
         F.sum("tf").alias("tf"))
@@ -192,9 +221,9 @@ def score_terms(index: Index, qterms: DataFrame, known_rows: int | None = None)
     aggregated before the one exchange on (query_id, doc_id)."""
     n = known_rows if known_rows is not None else qterms.count()
     q = broadcast_if_small(qterms, known_rows=n)
-    with_df = index.terms.select("term", "df").join(q, "term")
+    with_df, keys = _dealt(index, q)
     post = _postings_for(index, qterms, n)
-    cand = post.join(broadcast_if_small(with_df, known_rows=n), "term").crossJoin(_stats(index))
+    cand = post.join(broadcast_if_small(with_df, known_rows=n), keys).crossJoin(_stats(index))
     s = cand.select("query_id", "doc_id",
                     (F.col("weight") * bm25(F.col("tf"), F.col("df"), F.col("dl"), F.col("n_docs"), F.col("avgdl"))).alias("score"))
     return s.groupBy("query_id", "doc_id").agg(F.sum("score").alias("score"))
@@ -267,65 +296,102 @@ def _analyzed_clause_terms(clauses: DataFrame, stem: bool) -> DataFrame:
 
 def _score_phrase(index: Index, pterms: DataFrame, n: int) -> DataFrame:
     """QRY-7/8: phrase clauses → (query_id, clause_id, doc_id, score).
-    Exact (slop 0): consecutive positions with the query's gaps; tf = number
-    of occurrences; idf = sum of the terms' idf.  Sloppy: each occurrence of
-    the first term is matched to the nearest occurrence of every other term
-    (distance = position offset difference); a match needs every distance
-    ≤ slop and contributes 1 / (1 + largest distance).  A term that occurs
-    twice in the phrase needs two places, and a phrase of one term is exact."""
+
+    A phrase is a row of slots: the analysed positions, each with the set of
+    terms there (URL subtokens share a position); any of them fills the slot.
+    A place in a document counts from its slot: position minus the slot's offset.
+    Exact (slop 0): tf is the number of starts that all slots share.  Sloppy:
+    the least windows that hold a place of every slot, at most ``slop`` wide, no
+    place of a term taken twice; each contributes 1 / (1 + width).  The idf is
+    the sum over the phrase's known terms."""
     w = Window.partitionBy("query_id", "clause_id")
-    pt = pterms.where(F.col("ord") == 0).select(
+    pt = pterms.select(
         "query_id", "clause_id", "boost", "slop", "term",
         (F.col("pos") - F.min("pos").over(w)).alias("off"),
-        F.row_number().over(w.orderBy("pos")).alias("i"),
-        F.count(F.lit(1)).over(w).alias("n_terms"),
-    )
-    pt = pt.join(index.terms.select("term", "df"), "term", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+        F.dense_rank().over(w.orderBy("pos")).alias("i"))
+    pt = pt.withColumn("n_slots", F.max("i").over(w))
+    known, keys = _dealt(index, pt)
     stats = _stats(index)
-    idf_sum = pt.crossJoin(stats).groupBy("query_id", "clause_id").agg(
-        F.sum(idf(F.col("df"), F.col("n_docs"))).alias("idf_sum"), F.min("df").alias("min_df"))
-    pt = pt.join(idf_sum.where(F.col("min_df") > 0).select("query_id", "clause_id", "idf_sum"), ["query_id", "clause_id"])
-    pt = broadcast_if_small(pt, known_rows=n)
-    post = _postings_for_positions(index, pterms, n)
-    hits = post.join(pt, "term")
-    # documents holding every phrase term
-    full = hits.groupBy("query_id", "clause_id", "doc_id").agg(F.countDistinct("i").alias("k"), F.first("n_terms").alias("n_terms"))
-    full = full.where(F.col("k") == F.col("n_terms")).select("query_id", "clause_id", "doc_id")
-    occ = hits.join(full, ["query_id", "clause_id", "doc_id"], "left_semi").select(
-        "query_id", "clause_id", "doc_id", "dl", "boost", "slop", "idf_sum", "i", "n_terms", "off",
-        "term", F.explode("positions").alias("p"))
-    occ = occ.withColumn("slop", F.when(F.col("n_terms") == 1, 0).otherwise(F.col("slop")))
-    exact = occ.where(F.col("slop") == 0).select("*", (F.col("p") - F.col("off")).alias("start"))
-    ex = exact.groupBy("query_id", "clause_id", "doc_id", "dl", "boost", "idf_sum", "n_terms", "start").agg(
-        F.countDistinct("i").alias("k")).where(F.col("k") == F.col("n_terms"))
-    ex = ex.groupBy("query_id", "clause_id", "doc_id", "dl", "boost", "idf_sum").agg(F.count(F.lit(1)).cast("double").alias("tf"))
-    sl = occ.where(F.col("slop") > 0)
-    anchor = sl.where(F.col("i") == 1).select("query_id", "clause_id", "doc_id", F.col("p").alias("pa"), F.col("off").alias("oa"), F.col("term").alias("ta"))
-    others = sl.where(F.col("i") > 1)
-    apart = (F.col("term") != F.col("ta")) | (F.col("p") != F.col("pa"))
-    d = others.join(anchor, ["query_id", "clause_id", "doc_id"]).where(apart).select(
-        "query_id", "clause_id", "doc_id", "dl", "boost", "slop", "idf_sum", "n_terms", "pa", "i",
-        F.abs((F.col("p") - F.col("off")) - (F.col("pa") - F.col("oa"))).alias("dist"))
-    nearest = d.groupBy("query_id", "clause_id", "doc_id", "dl", "boost", "slop", "idf_sum", "n_terms", "pa", "i").agg(
-        F.min("dist").alias("dist"))
-    match = nearest.groupBy("query_id", "clause_id", "doc_id", "dl", "boost", "slop", "idf_sum", "n_terms", "pa").agg(
-        F.count(F.lit(1)).alias("k"), F.max("dist").alias("len"))
-    match = match.where((F.col("k") == F.col("n_terms") - 1) & (F.col("len") <= F.col("slop")))
-    sloppy = match.groupBy("query_id", "clause_id", "doc_id", "dl", "boost", "idf_sum").agg(
-        F.sum(F.lit(1.0) / (F.lit(1.0) + F.col("len"))).alias("tf"))
-    both = ex.unionByName(sloppy).crossJoin(stats)
+    whole = known.dropDuplicates(["query_id", "clause_id", "i", "term"]).crossJoin(stats)
+    clause = whole.groupBy("query_id", "clause_id", "i").agg(F.sum(idf(F.col("df"), F.col("n_docs"))).alias("idf"), F.sum("df").alias("weight"), F.max("n_slots").alias("n_slots"))
+    clause = clause.groupBy("query_id", "clause_id").agg(
+        F.sum("idf").alias("idf_sum"), F.min(F.struct("weight", "i")).alias("rare"), F.count(F.lit(1)).alias("k"), F.max("n_slots").alias("n"))
+    # a slot without a known term can't be filled
+    clause = clause.where("k = n").select("query_id", "clause_id", "idf_sum", F.col("rare.i").alias("rare"))
+    known = broadcast_if_small(known.join(clause, ["query_id", "clause_id"]).drop("df"), known_rows=n)
+    hits = _postings_for(index, pterms, n, "positions").join(known, keys)
+    # documents of the rarest slot first: no other can hold the phrase
+    doc = ["query_id", "clause_id", "doc_id"]
+    seeds = hits.where("i = rare").select(*doc)
+    slots = hits.join(seeds, doc, "left_semi").groupBy(*doc, "dl", "boost", "slop", "idf_sum", "n_slots").agg(
+        F.collect_list(F.struct("i", "off", "term", "positions")).alias("s"))
+    slots = slots.where(F.size(F.array_distinct("s.i")) == F.col("n_slots"))
+    starts = lambda j: F.array_distinct(F.flatten(F.transform(
+        F.filter("s", lambda x: x["i"] == j), lambda x: F.transform(x["positions"], lambda p: p - x["off"]))))
+    shared = F.aggregate(F.sequence(F.lit(2), F.col("n_slots")), starts(F.lit(1)), lambda found, j: F.array_intersect(found, starts(j)))
+    exact = slots.where("slop = 0").withColumn("tf", F.size(shared).cast("double"))
+    sloppy = slots.where("slop > 0").withColumn("tf", _sloppy_udf()(F.col("s"), F.col("slop")))
+    both = exact.unionByName(sloppy).where("tf > 0").crossJoin(stats)
     return both.select(
-        "query_id", "clause_id", "doc_id",
-        (F.col("boost") * bm25(F.col("tf"), F.lit(0), F.col("dl"), F.col("n_docs"), F.col("avgdl"),
-                               idf_col=F.col("idf_sum"))).alias("score"))
-
-
-def _postings_for_positions(index: Index, terms: DataFrame, n_terms: int) -> DataFrame:
-    p = index.postings.select("term", "doc_id", "tf", "dl", "positions")
-    if n_terms <= PUSHDOWN_MAX_TERMS:
-        lits = [r[0] for r in terms.select("term").distinct().collect()]
-        p = p.where(F.col("term").isin(lits)) if lits else p.where(F.lit(False))
-    return p
+        *doc, (F.col("boost") * bm25(F.col("tf"), F.lit(0), F.col("dl"), F.col("n_docs"), F.col("avgdl"), idf_col=F.col("idf_sum"))).alias("score"))
+
+
+def _least_end(slots: list[list[tuple]], shared: bool, start: int, slop: int) -> int | None:
+    """The end of the least window from ``start`` on that has a place for every
+    slot; ``slots`` holds sorted (place from the slot, (term, position))."""
+    near = []
+    for places in slots:
+        at = bisect_left(places, (start,))
+        near.append(places[at:bisect_left(places, (start + slop + 1,))])
+        if not near[-1]:
+            return None
+    end = max(x[0][0] for x in near)
+    while shared and end <= start + slop and not _all_placed(near, end):
+        end += 1
+    return end if end <= start + slop else None
+
+
+def _all_placed(near: list[list[tuple]], end: int) -> bool:
+    """Whether the slots can take different places up to ``end`` (matching by
+    augmenting paths)."""
+    taken: dict = {}
+
+    def place(i: int, seen: set) -> bool:
+        for at, key in near[i]:
+            if at <= end and key not in seen:
+                seen.add(key)
+                if key not in taken or place(taken[key], seen):
+                    taken[key] = i
+                    return True
+        return False
+
+    return all(place(i, set()) for i in range(len(near)))
+
+
+def sloppy_frequency(entries: list[dict], slop: int) -> float:
+    """Sum of 1 / (1 + width) over the least windows of a document's slots."""
+    slots: dict[int, set] = {}
+    for x in entries:
+        slots.setdefault(x["i"], set()).update((p - x["off"], (x["term"], p)) for p in x["positions"])
+    rows = [sorted(x) for x in slots.values()]
+    terms = [{key[0] for _, key in x} for x in rows]
+    shared = sum(map(len, terms)) > len(set().union(*terms))
+    starts: dict[int, int] = {}
+    for start in sorted({at for x in rows for at, _ in x}):
+        end = _least_end(rows, shared, start, slop)
+        if end is not None:
+            starts[end] = start  # the latest start for an end
+    return sum(1.0 / (1 + end - start) for end, start in starts.items())
+
+
+def _sloppy_udf():
+    from pyspark.sql.types import DoubleType
+
+    @F.arrow_udf(DoubleType())
+    def frequency(s: pa.Array, slop: pa.Array) -> pa.Array:
+        return pa.array([sloppy_frequency(x, y) for x, y in zip(s.to_pylist(), slop.to_pylist(), strict=True)], pa.float64())
+
+    return frequency
 
 
 def _expand_prefix(index: Index, clauses: DataFrame) -> DataFrame:
@@ -427,21 +493,23 @@ def _score_constant(index: Index, expanded: DataFrame, clauses: DataFrame, n: in
     """Constant-score multi-term clauses: every matching document scores the
     clause boost."""
     e = expanded.join(clauses.select("query_id", "clause_id", "boost"), ["query_id", "clause_id"])
-    e = broadcast_if_small(e, known_rows=None)
-    post = index.postings.select("term", "doc_id")
-    m = post.join(e, "term").select("query_id", "clause_id", "doc_id", "boost").distinct()
+    e = e.checkpoint()
+    n_terms = e.count()
+    named, keys = _dealt(index, e)
+    post = _postings_for(index, e, n_terms)
+    m = post.join(broadcast_if_small(named, known_rows=n_terms), keys).select("query_id", "clause_id", "doc_id", "boost").distinct()
     return m.select("query_id", "clause_id", "doc_id", F.col("boost").alias("score"))
 
 
 def _score_fuzzy(index: Index, expanded: DataFrame, clauses: DataFrame) -> DataFrame:
     """Blended scoring: df = max df over the clause's expansions; each term
     contributes similarity · bm25(tf, blended df)."""
-    e = expanded.join(index.terms.select("term", "df"), "term")
-    e = e.select("*", F.max("df").over(Window.partitionBy("query_id", "clause_id")).alias("bdf"))
-    e = e.join(clauses.select("query_id", "clause_id", "boost"), ["query_id", "clause_id"])
-    e = broadcast_if_small(e)
-    post = index.postings.select("term", "doc_id", "tf", "dl")
-    c = post.join(e, "term").crossJoin(_stats(index))
+    e = expanded.join(clauses.select("query_id", "clause_id", "boost"), ["query_id", "clause_id"]).checkpoint()
+    n_terms = e.count()
+    named, keys = _dealt(index, e)
+    named = named.select("*", F.max("df").over(Window.partitionBy("query_id", "clause_id")).alias("bdf"))
+    post = _postings_for(index, e, n_terms)
+    c = post.join(broadcast_if_small(named, known_rows=n_terms), keys).crossJoin(_stats(index))
     s = c.select("query_id", "clause_id", "doc_id",
                  (F.col("boost") * F.col("sim") * bm25(F.col("tf"), F.col("bdf"), F.col("dl"), F.col("n_docs"), F.col("avgdl"))).alias("score"))
     return s.groupBy("query_id", "clause_id", "doc_id").agg(F.sum("score").alias("score"))
@@ -489,12 +557,16 @@ def search(index: Index, clauses: DataFrame, k: int = P.TOP_K, stem: bool = True
     parts = []
     if kinds.get("term") or kinds.get("phrase"):
         # term clauses: each analysed position is a synonym group
-        tp = _analyzed_clause_terms(good.where(F.col("kind").isin("term", "phrase")), stem).checkpoint()
+        tp = _analyzed_clause_terms(good.where(F.col("kind").isin("term", "phrase")), stem)
+        # a phrase of one position is a term clause
+        places = Window.partitionBy("query_id", "clause_id")
+        one = F.min("pos").over(places) == F.max("pos").over(places)
+        tp = tp.withColumn("kind", F.when(one, "term").otherwise(F.col("kind"))).checkpoint()
         n_tp = tp.count()
     else:
         tp = spark.createDataFrame([], "query_id long, clause_id int, occur string")
         n_tp = 0
-    if kinds.get("term") and n_tp:
+    if n_tp:
         terms = tp.where(F.col("kind") == "term").select("query_id", "clause_id", F.col("pos").alias("sub_id"), "term", "boost")
         parts.append(score_term_groups(index, terms, known_rows=n_tp))
     if kinds.get("phrase") and n_tp:

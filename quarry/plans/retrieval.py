@@ -30,13 +30,12 @@ def _analyzed(spark, sf):
     return A.analyze(_docs(spark, sf), "doc_id", "text", NOSTEM)
 
 
-def _index(spark, sf) -> I.Index:
-    """The documents index, written once per (tables, options) to the shared
-    checkpoint folder and read back as parquet."""
-    import os
-
-    stamp = os.stat(os.path.join(sf, "documents.parquet")).st_mtime_ns if os.path.exists(sf) else 0
-    return I.materialize_index(I.build_index(_docs(spark, sf), NOSTEM), key=(sf, stamp, "nostem"))
+def _index(spark, sf, layout: str = "document") -> I.Index:
+    """The documents index, written once per (tables, layout) to the shared
+    checkpoint folder and read back as parquet; a changed table is read anew."""
+    fs, path = I._fs(spark, f"{sf}/documents.parquet")
+    stamp = fs.getFileStatus(path).getModificationTime()
+    return I.materialize_index(I.build_index(_docs(spark, sf), NOSTEM), key=(sf, stamp, "nostem", layout), layout=layout)
 
 
 def _benchmark_queries(spark, sf) -> DataFrame:

@@ -6,12 +6,13 @@ grows with the tables and the corpus is the whole ``documents`` table:
 
 * all      — every word of the passage as a MUST term clause (AND);
 * bool     — first word MUST, last word MUST_NOT, the others SHOULD with boost 2;
-* phrase   — words 2..4 as one exact phrase;
-* near     — words 2 and 4 as a phrase with slop 3;
-* prefix / wildcard / regex / range — built from the first letters of word 2;
-* fuzzy    — word 3, lowercased, letters only, two edits;
+* phrase   — every three words in a row as one exact phrase each;
+* near     — from every word on, words 1, 3 and 4 as a phrase with slop 3;
+* prefix / wildcard / regex / range — from the first letters of every word;
+* fuzzy    — every word, lowercased, letters only, two edits;
 * match_all — one match-all clause per passage;
-* errors   — per passage one query with a leading wildcard (rejected) and
+* all_but  — a match-all clause next to every word, by turns excluded and optional;
+* errors   — for every word one query with a leading wildcard (rejected) and
   one valid term query.
 """
 
@@ -32,13 +33,13 @@ def _words(spark, sf):
     return b.select(F.col("item_id").alias("query_id"), F.split("text", " ").alias("w"))
 
 
-def _w(i: int):
-    return F.element_at(F.col("w"), i)
-
-
-def _one(df, kind, text, occur="SHOULD", boost=1.0, slop=0):
-    return df.select("query_id", F.lit(0).alias("clause_id"), F.lit(occur).alias("occur"), F.lit(kind).alias("kind"),
-                     text.alias("text"), F.lit(boost).alias("boost"), F.lit(slop).alias("slop"))
+def _each(df, kind, text, occur="SHOULD", boost=1.0, slop=0):
+    """One clause for every word ``w[clause_id]`` of every passage; ``text`` is
+    made of the words from there on (column ``rest``)."""
+    e = df.select("query_id", "w", F.posexplode("w").alias("clause_id", "word"))
+    e = e.withColumn("rest", F.expr("slice(w, clause_id + 1, size(w))"))
+    return e.select("query_id", "clause_id", F.lit(occur).alias("occur"), F.lit(kind).alias("kind"),
+                    text.alias("text"), F.lit(boost).alias("boost"), F.lit(slop).alias("slop"))
 
 
 def clauses_all(spark, sf):
@@ -59,57 +60,58 @@ def clauses_bool(spark, sf):
 
 
 def _first_letters(n):
-    return F.lower(F.substring(_w(2), 1, n))
+    return F.lower(F.substring(F.col("word"), 1, n))
 
 
 def clauses_phrase(spark, sf):
-    return _one(_words(spark, sf), "phrase", F.array_join(F.slice("w", 2, 3), " "))
+    return _each(_words(spark, sf), "phrase", F.array_join(F.slice("rest", 1, 3), " "))
 
 
 def clauses_near(spark, sf):
-    return _one(_words(spark, sf), "phrase", F.concat_ws(" ", _w(2), _w(4)), slop=3)
+    return _each(_words(spark, sf), "phrase", F.concat_ws(" ", F.get("rest", F.lit(0)), F.get("rest", F.lit(2)), F.get("rest", F.lit(3))), slop=3)
 
 
 def clauses_prefix(spark, sf):
-    return _one(_words(spark, sf), "prefix", _first_letters(3))
+    return _each(_words(spark, sf), "prefix", _first_letters(3))
 
 
 def clauses_wildcard(spark, sf):
-    return _one(_words(spark, sf), "wildcard", F.concat(_first_letters(2), F.lit("?*")))
+    return _each(_words(spark, sf), "wildcard", F.concat(_first_letters(2), F.lit("?*")))
 
 
 def clauses_regex(spark, sf):
-    return _one(_words(spark, sf), "regex", F.concat(_first_letters(2), F.lit("[a-z]*")))
+    letters = F.regexp_replace(_first_letters(2), r"[^\p{L}\p{N}]", "")
+    return _each(_words(spark, sf), "regex", F.concat(letters, F.lit("[a-z]*")))
 
 
 def clauses_range(spark, sf):
     lo = _first_letters(2)
-    return _one(_words(spark, sf), "range", F.concat(F.lit("["), lo, F.lit(" TO "), lo, F.lit("z]")))
+    return _each(_words(spark, sf), "range", F.concat(F.lit("["), lo, F.lit(" TO "), lo, F.lit("z]")))
 
 
 def clauses_fuzzy(spark, sf):
-    return _one(_words(spark, sf), "fuzzy", F.regexp_replace(F.lower(_w(3)), r"[^\p{L}]", ""))
+    return _each(_words(spark, sf), "fuzzy", F.regexp_replace(F.lower("word"), r"[^\p{L}]", "")).where("text != ''")
 
 
 def clauses_match_all(spark, sf):
-    return _one(_words(spark, sf), "match_all", F.lit(None).cast("string"))
+    w = _words(spark, sf)
+    return w.select("query_id", F.lit(0).alias("clause_id"), F.lit("SHOULD").alias("occur"), F.lit("match_all").alias("kind"),
+                    F.lit(None).cast("string").alias("text"), F.lit(1.0).alias("boost"), F.lit(0).alias("slop"))
 
 
 def clauses_all_but(spark, sf):
-    """All documents but those with the passage's second word; those with its
-    third word first."""
-    w = _words(spark, sf)
-    parts = [(0, "SHOULD", "match_all", F.lit(None).cast("string")), (1, "MUST_NOT", "term", _w(2)), (2, "SHOULD", "term", _w(3))]
-    rows = [w.select("query_id", F.lit(i).alias("clause_id"), F.lit(o).alias("occur"), F.lit(k).alias("kind"), t.alias("text"),
-                     F.lit(1.0).alias("boost"), F.lit(0).alias("slop")) for i, o, k, t in parts]
-    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+    """All documents but those with an odd word of the passage; those with its
+    even words first."""
+    occur = F.when(F.col("clause_id") % 2 == 1, "MUST_NOT").otherwise("SHOULD")
+    words = _each(_words(spark, sf), "term", F.col("word")).withColumn("occur", occur)
+    return clauses_match_all(spark, sf).withColumn("clause_id", F.lit(-1)).unionByName(words)
 
 
 def clauses_errors(spark, sf):
-    w = _words(spark, sf)
-    bad = w.select((F.col("query_id") * 2).alias("query_id"), "w")
-    good = w.select((F.col("query_id") * 2 + 1).alias("query_id"), "w")
-    return _one(bad, "wildcard", F.concat(F.lit("*"), F.lower(_w(2)))).unionByName(_one(good, "term", _w(2)))
+    words = _each(_words(spark, sf), "term", F.col("word"))
+    bad = words.select((F.col("query_id") * 2).alias("query_id"), "clause_id", "occur", F.lit("wildcard").alias("kind"),
+                       F.concat(F.lit("*"), F.lower("text")).alias("text"), "boost", "slop")
+    return bad.unionByName(words.withColumn("query_id", F.col("query_id") * 2 + 1))
 
 
 CLAUSES = {
@@ -130,7 +132,7 @@ CLAUSES = {
 
 def _runner(make):
     def run(spark, sf):
-        return S.search(_index(spark, sf), make(spark, sf), stem=False)
+        return S.search(_index(spark, sf, "term"), make(spark, sf), stem=False)
     run.__doc__ = make.__doc__
     return run
 
@@ -141,13 +143,19 @@ QUERIES = {name: _runner(make) for name, make in CLAUSES.items()}
 _WORDS = "SELECT item_id AS query_id, string_split(text, ' ') AS w FROM benchmark"
 
 
-def _one_sql(kind, text, occur="SHOULD", boost=1.0, slop=0, src=_WORDS, qid="query_id"):
-    return (f"SELECT {qid} AS query_id, 0 AS clause_id, '{occur}' AS occur, '{kind}' AS kind, "
-            f"CAST({text} AS VARCHAR) AS text, {boost} AS boost, {slop} AS slop FROM ({src})")
+_EACH = f"SELECT query_id, CAST(i AS INTEGER) AS clause_id, w[i + 1] AS word, w[i + 1:] AS rest FROM (SELECT query_id, w, unnest(range(len(w))) AS i FROM ({_WORDS}))"
+
+
+def _each_sql(kind, text, occur="'SHOULD'", boost=1.0, slop=0, qid="query_id"):
+    return (f"SELECT {qid} AS query_id, clause_id, {occur} AS occur, '{kind}' AS kind, "
+            f"CAST({text} AS VARCHAR) AS text, {boost} AS boost, {slop} AS slop FROM ({_EACH})")
 
 
 def _fl(n):
-    return f"lower(substr(w[2], 1, {n}))"
+    return f"lower(substr(word, 1, {n}))"
+
+
+_MATCH_ALL = f"SELECT query_id, CAST(0 AS INTEGER) AS clause_id, 'SHOULD' AS occur, 'match_all' AS kind, CAST(NULL AS VARCHAR) AS text, 1.0 AS boost, 0 AS slop FROM ({_WORDS})"
 
 
 CLAUSE_SQL = {
@@ -160,19 +168,18 @@ CLAUSE_SQL = {
                                CASE WHEN i = 1 THEN 'MUST' WHEN i = n THEN 'MUST_NOT' ELSE 'SHOULD' END AS occur
                         FROM (SELECT query_id, len(w) AS n, unnest(w) AS text, unnest(range(1, len(w) + 1)) AS i
                               FROM ({_WORDS})))""",
-    "search_phrase": _one_sql("phrase", "array_to_string(w[2:4], ' ')"),
-    "search_near": _one_sql("phrase", "concat_ws(' ', w[2], w[4])", slop=3),
-    "search_prefix": _one_sql("prefix", _fl(3)),
-    "search_wildcard": _one_sql("wildcard", f"{_fl(2)} || '?*'"),
-    "search_regex": _one_sql("regex", f"{_fl(2)} || '[a-z]*'"),
-    "search_range": _one_sql("range", f"'[' || {_fl(2)} || ' TO ' || {_fl(2)} || 'z]'"),
-    "search_fuzzy": _one_sql("fuzzy", "regexp_replace(lower(w[3]), '[^\\p{L}]', '', 'g')"),
-    "search_match_all": _one_sql("match_all", "NULL"),
-    "search_all_but": " UNION ALL ".join(
-        f"SELECT * REPLACE (CAST({i} AS INTEGER) AS clause_id) FROM ({x})" for i, x in enumerate(
-            [_one_sql("match_all", "NULL"), _one_sql("term", "w[2]", "MUST_NOT"), _one_sql("term", "w[3]")])),
-    "search_errors": (_one_sql("wildcard", "'*' || lower(w[2])", qid="query_id * 2") + " UNION ALL " +
-                      _one_sql("term", "w[2]", qid="query_id * 2 + 1")),
+    "search_phrase": _each_sql("phrase", "array_to_string(rest[1:3], ' ')"),
+    "search_near": _each_sql("phrase", "concat_ws(' ', rest[1], rest[3], rest[4])", slop=3),
+    "search_prefix": _each_sql("prefix", _fl(3)),
+    "search_wildcard": _each_sql("wildcard", f"{_fl(2)} || '?*'"),
+    "search_regex": _each_sql("regex", f"regexp_replace({_fl(2)}, '[^\\p{{L}}\\p{{N}}]', '', 'g') || '[a-z]*'"),
+    "search_range": _each_sql("range", f"'[' || {_fl(2)} || ' TO ' || {_fl(2)} || 'z]'"),
+    "search_fuzzy": "SELECT * FROM (" + _each_sql("fuzzy", "regexp_replace(lower(word), '[^\\p{L}]', '', 'g')") + ") WHERE text <> ''",
+    "search_match_all": _MATCH_ALL,
+    "search_all_but": f"SELECT * REPLACE (CAST(-1 AS INTEGER) AS clause_id) FROM ({_MATCH_ALL}) UNION ALL " +
+                      _each_sql("term", "word", "CASE WHEN clause_id % 2 = 1 THEN 'MUST_NOT' ELSE 'SHOULD' END"),
+    "search_errors": (_each_sql("wildcard", "'*' || lower(word)", qid="query_id * 2") + " UNION ALL " +
+                      _each_sql("term", "word", qid="query_id * 2 + 1")),
 }
 
 
@@ -186,7 +193,7 @@ def search_sql(clauses_sql: str) -> str:
     k1, b = 1.2, 0.75
     an_src = "(SELECT {'q': query_id, 'c': clause_id} AS key, text FROM cl WHERE kind IN ('term', 'phrase'))"
     return f"""
-WITH {G.index_ctes()},
+WITH RECURSIVE {G.index_ctes()},
   cl0 AS ({clauses_sql}),
   cl1 AS (SELECT *,
      CASE WHEN occur NOT IN ('MUST', 'SHOULD', 'MUST_NOT') THEN 'unknown occur: ' || occur
@@ -207,8 +214,11 @@ WITH {G.index_ctes()},
   cl AS (SELECT query_id, clause_id, occur, kind, text, boost, slop FROM cl2
          WHERE query_id NOT IN (SELECT query_id FROM bad_q) AND kind <> 'match_all'),
   {G.analyzer_ctes('ct', an_src, 'key', 'text')},
-  tp AS (SELECT t.id.q AS query_id, t.id.c AS clause_id, t.pos, t.ord, t.term, c.kind, c.boost, c.slop, c.occur
-         FROM ct t JOIN cl c ON c.query_id = t.id.q AND c.clause_id = t.id.c),
+  tp0 AS (SELECT t.id.q AS query_id, t.id.c AS clause_id, t.pos, t.ord, t.term, c.kind, c.boost, c.slop, c.occur
+          FROM ct t JOIN cl c ON c.query_id = t.id.q AND c.clause_id = t.id.c),
+  -- a phrase of one position is a term clause
+  tp AS (SELECT * REPLACE (CASE WHEN min(pos) OVER w = max(pos) OVER w THEN 'term' ELSE kind END AS kind)
+         FROM tp0 WINDOW w AS (PARTITION BY query_id, clause_id)),
   -- term clauses
   tg AS (SELECT x.*, max(t.df) OVER (PARTITION BY x.query_id, x.clause_id, x.pos) AS gdf
          FROM tp x JOIN terms t USING (term) WHERE x.kind = 'term'),
@@ -216,32 +226,34 @@ WITH {G.index_ctes()},
           FROM tg g JOIN postings p USING (term) GROUP BY ALL),
   term_scores AS (SELECT query_id, clause_id, doc_id, sum(boost * {G.bm25_sql('tf', 'gdf', 'dl')}) AS score
                   FROM tpg, stats s GROUP BY query_id, clause_id, doc_id),
-  -- phrase clauses
-  pt0 AS (SELECT query_id, clause_id, term, boost, slop,
-                 pos - min(pos) OVER w AS off, row_number() OVER (w ORDER BY pos) AS i, count(*) OVER w AS n_terms
-          FROM tp WHERE kind = 'phrase' AND ord = 0 WINDOW w AS (PARTITION BY query_id, clause_id)),
-  pt1 AS (SELECT p.*, coalesce(t.df, 0) AS df FROM pt0 p LEFT JOIN terms t USING (term)),
-  pidf AS (SELECT query_id, clause_id, sum(ln(1.0 + (s.n_docs - df + 0.5) / (df + 0.5))) AS idf_sum, min(df) AS min_df
-           FROM pt1, stats s GROUP BY query_id, clause_id),
-  pt AS (SELECT p.*, i2.idf_sum FROM pt1 p JOIN pidf i2 USING (query_id, clause_id) WHERE i2.min_df > 0),
-  phits AS (SELECT pt.*, p.doc_id, p.dl, p.positions FROM pt JOIN postings p USING (term)),
-  pfull AS (SELECT query_id, clause_id, doc_id FROM phits GROUP BY query_id, clause_id, doc_id, n_terms
-            HAVING count(DISTINCT i) = n_terms),
-  pocc AS (SELECT h.query_id, h.clause_id, h.doc_id, h.dl, h.boost,
-                  CASE WHEN h.n_terms = 1 THEN 0 ELSE h.slop END AS slop, h.idf_sum, h.i, h.n_terms, h.off, h.term,
-                  unnest(h.positions) AS p
-           FROM phits h SEMI JOIN pfull f ON f.query_id = h.query_id AND f.clause_id = h.clause_id AND f.doc_id = h.doc_id),
+  -- phrase clauses: slots are positions with sets of terms
+  pt0 AS (SELECT query_id, clause_id, term, boost, slop, pos - min(pos) OVER w AS off,
+                 dense_rank() OVER (w ORDER BY pos) AS i
+          FROM tp WHERE kind = 'phrase' WINDOW w AS (PARTITION BY query_id, clause_id)),
+  pt1 AS (SELECT p.*, max(i) OVER (PARTITION BY query_id, clause_id) AS n_slots FROM pt0 p),
+  pt2 AS (SELECT DISTINCT p.*, t.df FROM pt1 p JOIN terms t USING (term)),
+  pidf AS (SELECT query_id, clause_id, sum(ln(1.0 + (s.n_docs - df + 0.5) / (df + 0.5))) AS idf_sum
+           FROM pt2, stats s GROUP BY query_id, clause_id, n_slots HAVING count(DISTINCT i) = n_slots),
+  pocc AS (SELECT DISTINCT t.query_id, t.clause_id, t.boost, t.slop, t.i, t.n_slots, t.term, f.idf_sum, p.doc_id, p.dl,
+                  unnest(p.positions) AS p, t.off FROM pt2 t JOIN pidf f USING (query_id, clause_id) JOIN postings p USING (term)),
   pex AS (SELECT query_id, clause_id, doc_id, dl, boost, idf_sum, count(*) * 1.0 AS tf FROM (
-            SELECT query_id, clause_id, doc_id, dl, boost, idf_sum, n_terms, p - off AS start
-            FROM pocc WHERE slop = 0 GROUP BY ALL HAVING count(DISTINCT i) = n_terms) GROUP BY ALL),
-  panchor AS (SELECT query_id, clause_id, doc_id, p AS pa, off AS oa, term AS ta FROM pocc WHERE slop > 0 AND i = 1),
-  pnear AS (SELECT o.query_id, o.clause_id, o.doc_id, o.dl, o.boost, o.slop, o.idf_sum, o.n_terms, a.pa, o.i,
-                   min(abs((o.p - o.off) - (a.pa - a.oa))) AS dist
-            FROM pocc o JOIN panchor a USING (query_id, clause_id, doc_id) WHERE o.slop > 0 AND o.i > 1 AND (o.term <> a.ta OR o.p <> a.pa) GROUP BY ALL),
-  pmatch AS (SELECT query_id, clause_id, doc_id, dl, boost, idf_sum, max(dist) AS len, count(*) AS k, n_terms, slop
-             FROM pnear GROUP BY query_id, clause_id, doc_id, dl, boost, slop, idf_sum, n_terms, pa),
-  psl AS (SELECT query_id, clause_id, doc_id, dl, boost, idf_sum, sum(1.0 / (1.0 + len)) AS tf
-          FROM pmatch WHERE k = n_terms - 1 AND len <= slop GROUP BY query_id, clause_id, doc_id, dl, boost, idf_sum),
+            SELECT query_id, clause_id, doc_id, dl, boost, idf_sum, n_slots, p - off AS start
+            FROM pocc WHERE slop = 0 GROUP BY ALL HAVING count(DISTINCT i) = n_slots) GROUP BY ALL),
+  pslot AS (SELECT *, p - off AS a, term || ':' || p AS place FROM pocc WHERE slop > 0),
+  -- every choice of different places, one for each slot, that is narrow enough
+  choice AS (
+    SELECT query_id, clause_id, doc_id, 1 AS i, a AS lo, a AS hi, [place] AS used FROM pslot WHERE i = 1
+    UNION ALL
+    SELECT c.query_id, c.clause_id, c.doc_id, c.i + 1, least(lo, a), greatest(hi, a), list_append(used, place)
+    FROM choice c JOIN pslot o ON o.query_id = c.query_id AND o.clause_id = c.clause_id AND o.doc_id = c.doc_id AND o.i = c.i + 1
+    WHERE greatest(hi, a) - least(lo, a) <= o.slop AND NOT list_contains(used, place)),
+  pwin AS (SELECT DISTINCT c.query_id, c.clause_id, c.doc_id, o.dl, o.boost, o.idf_sum, c.lo, c.hi FROM choice c
+           JOIN (SELECT DISTINCT query_id, clause_id, doc_id, dl, boost, idf_sum, n_slots FROM pslot) o
+           ON o.query_id = c.query_id AND o.clause_id = c.clause_id AND o.doc_id = c.doc_id AND c.i = o.n_slots),
+  psl AS (SELECT query_id, clause_id, doc_id, dl, boost, idf_sum, sum(1.0 / (1.0 + hi - lo)) AS tf FROM pwin w
+          WHERE NOT EXISTS (SELECT 1 FROM pwin v WHERE v.query_id = w.query_id AND v.clause_id = w.clause_id AND v.doc_id = w.doc_id
+                            AND v.lo >= w.lo AND v.hi <= w.hi AND (v.lo > w.lo OR v.hi < w.hi))
+          GROUP BY query_id, clause_id, doc_id, dl, boost, idf_sum),
   phrase_scores AS (SELECT query_id, clause_id, doc_id,
                       boost * idf_sum * tf / (tf + {k1} * ({1 - b} + {b} * dl / s.avgdl)) AS score
                     FROM (SELECT * FROM pex UNION ALL SELECT * FROM psl), stats s),
