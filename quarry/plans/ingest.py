@@ -13,10 +13,13 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..functions import patterns as P
 from ..session import ensure_checkpoint_dir
+from ..sources import conversations as SC
 from ..sources import files as SF
 from ..sources import resources as SR
 from ..sources import sinks
+from .dialogue import EMO_SQL, nested
 from .sqlgen import q
 from .tables import load
 
@@ -54,10 +57,9 @@ def _written(spark, lines, name):
     return path
 
 
-def _first_words(spark, sf, n):
-    """The first ``n`` blank-split words of every document, line ends as blanks."""
-    words = F.slice(F.split(F.translate("text", "\n", " "), " "), 1, n)
-    return load(spark, sf, "documents").select(F.array_join(words, " ").alias("line"))
+def _words(spark, sf):
+    """The blank-split words of every document, line ends as blanks."""
+    return load(spark, sf, "documents", spread_rows=True).select(F.split(F.translate("text", "\n", " "), " ").alias("w"))
 
 
 def read_files(spark, sf):
@@ -70,14 +72,17 @@ def read_files(spark, sf):
 
 
 def read_stopwords(spark, sf):
-    """SRC-9: a word list of padded lines."""
-    lines = _first_words(spark, sf, 1).select(F.concat(F.lit("  "), "line", F.lit(" ")))
+    """SRC-9: a word list of padded lines, one for every word of every document."""
+    lines = _words(spark, sf).select(F.explode("w").alias("line")).select(F.concat(F.lit("  "), "line", F.lit(" ")))
     return SR.read_stopwords(spark, _written(spark, lines, "stopwords"))
 
 
 def read_synonyms(spark, sf):
-    """SRC-10: pairs of words, the right side of up to two."""
-    return SR.read_synonyms(spark, _written(spark, _first_words(spark, sf, 3), "synonyms"))
+    """SRC-10: every three words in a row of every document, one and two words."""
+    w = _words(spark, sf).select("w", F.explode(F.sequence(F.lit(1), F.size("w"))).alias("i"))
+    lines = w.select(F.array_join(F.expr("slice(w, i, 3)"), " ").alias("line"))
+    pairs = SR.read_synonyms(spark, _written(spark, lines, "synonyms"))
+    return pairs.groupBy("term", "synonym").agg(F.count("*").alias("n"))
 
 
 def read_queries(spark, sf):
@@ -86,6 +91,43 @@ def read_queries(spark, sf):
     return SR.read_queries(spark, path).select("query")
 
 
+def _arrays(batches):
+    """The JSON objects of a partition as the lines of one array."""
+    import pyarrow as pa
+
+    first = True
+    for batch in batches:
+        lines = [("[" if first and not i else ",") + x for i, x in enumerate(batch.column(0).to_pylist())]
+        first = first and not lines
+        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+    yield pa.RecordBatch.from_arrays([pa.array(["[]" if first else "]"])], names=["value"])
+
+
+def _conversation_files(spark, sf, subtask):
+    """The conversations as JSON arrays, a third of them in each split."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-conversations-{uuid.uuid4().hex}"
+    rows = nested(spark, sf)
+    for i, split in enumerate(P.SPLITS):
+        lines = rows.where(F.col("conversation_ID") % 3 == i).select(F.to_json(F.struct(*rows.columns)).alias("value"))
+        lines.mapInArrow(_arrays, "value string").write.text(SC.conversation_path(base, split, subtask))
+    return base
+
+
+def _conversation_columns(df):
+    return df.select("split", "conversation_ID", F.size("conversation").alias("n_utterances"), F.array_join("conversation.text", "|").alias("texts"),
+                     F.array_join("conversation.emotion", ",").alias("emotions"), F.size("emotion-cause_pairs").alias("n_pairs"), "has_spans", "has_emotions", "has_video")
+
+
+def read_conversations(spark, sf):
+    """SRC-7: the training conversations of subtask 2, read from JSON arrays."""
+    return _conversation_columns(SC.read_conversations(spark, _conversation_files(spark, sf, "2"), "train", "2"))
+
+
+def read_all_splits(spark, sf):
+    """SRC-8: the conversations of all splits."""
+    return _conversation_columns(SC.read_all_splits(spark, _conversation_files(spark, sf, "1"), "1"))
+
+
 def metric_log(spark, sf):
     """SNK-5: a log appended to twice and read back."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-metrics-{uuid.uuid4().hex}"
@@ -100,6 +142,8 @@ QUERIES = {
     "read_stopwords": read_stopwords,
     "read_synonyms": read_synonyms,
     "read_queries": read_queries,
+    "read_conversations": read_conversations,
+    "read_all_splits": read_all_splits,
     "metric_log": metric_log,
     "has_extension": has_extension,
     "document_rows": document_rows,
@@ -123,14 +167,27 @@ _TYPED = f"""typed AS (
     SELECT 'pages' AS source, page_id AS id, html AS t FROM pages
     UNION ALL SELECT 'documents', doc_id, text FROM documents))"""
 
-_LINE = "array_to_string(list_slice(string_split(replace(text, chr(10), ' '), ' '), 1, {n}), ' ')"
+_WORDS = "SELECT string_split(replace(text, chr(10), ' '), ' ') AS w FROM documents"
+_NESTED = f"""SELECT conv_id, count(*) AS n, string_agg(text, '|' ORDER BY turn) AS texts,
+  string_agg({EMO_SQL}[1 + CAST((conv_id * 31 + turn * 7) % 7 AS INTEGER)], ',' ORDER BY turn) AS emotions,
+  count(*) FILTER (turn >= 1) AS n_pairs FROM conversations GROUP BY conv_id"""
+
+
+def _conversation_sql(split, where, subtask):
+    return f"""SELECT {split} AS split, conv_id AS conversation_ID, CAST(n AS INTEGER) AS n_utterances, texts, emotions,
+        CAST(n_pairs AS INTEGER) AS n_pairs, {split} = 'train' AND {subtask} = 1 AS has_spans, {split} = 'train' AS has_emotions,
+        {subtask} = 2 AS has_video FROM ({_NESTED}) WHERE {where}"""
+
 
 SQL = {
     "read_files": "SELECT CAST(sum(length(text) + 1) AS BIGINT) AS n_chars, CAST(0 AS BIGINT) AS n_rejects FROM documents",
-    "read_stopwords": f"""SELECT DISTINCT word FROM (SELECT trim({_LINE.format(n=1)}) AS word FROM documents)
-        WHERE length(word) > 0""",
-    "read_synonyms": f"""SELECT line[:strpos(line, ' ') - 1] AS term, line[strpos(line, ' ') + 1:] AS synonym
-        FROM (SELECT {_LINE.format(n=3)} AS line FROM documents) WHERE strpos(line, ' ') > 1""",
+    "read_stopwords": f"""SELECT DISTINCT trim(word) AS word FROM (SELECT unnest(w) AS word FROM ({_WORDS}))
+        WHERE length(trim(word)) > 0""",
+    "read_synonyms": f"""SELECT line[:strpos(line, ' ') - 1] AS term, line[strpos(line, ' ') + 1:] AS synonym, count(*) AS n
+        FROM (SELECT array_to_string(list_slice(w, i, i + 2), ' ') AS line FROM (SELECT w, unnest(range(1, len(w) + 1)) AS i FROM ({_WORDS})))
+        WHERE strpos(line, ' ') > 1 GROUP BY ALL""",
+    "read_conversations": _conversation_sql("'train'", "conv_id % 3 = 0", 2),
+    "read_all_splits": _conversation_sql("['train', 'trial', 'test'][1 + CAST(conv_id % 3 AS INTEGER)]", "true", 1),
     "read_queries": """SELECT query FROM (SELECT unnest(string_split(text, chr(10))) AS query FROM benchmark)
         WHERE length(query) > 0""",
     "metric_log": """SELECT lang AS split, 'n_chars' AS metric, CAST(step AS INTEGER) AS step,

@@ -1,10 +1,9 @@
 """Conversation JSON source (SRC-7/8).
 
 Layout ``<data_dir>/<split>/subtask_<n>/<split>.json``; each file is one
-JSON array of conversations.  The schema is declared, so missing keys
-become nulls.  A single array file cannot be split, so the rows are spread
-over the cluster right after the read; at scale, JSON lines or parquet
-(``to_json_lines``) are the better input.
+JSON array of conversations (or a folder of such files).  The schema is
+declared, so missing keys become nulls.  A large array is read by many tasks:
+``splittable.json_objects`` finds its objects, each is parsed on its own.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..operators import conversations as C
-from ..session import spread
+from .splittable import json_objects
 
 
 def conversation_path(data_dir: str, split: str, subtask: str) -> str:
@@ -35,7 +34,8 @@ def read_conversations(spark: SparkSession, data_dir: str, split: str, subtask:
     p = jvm.org.apache.hadoop.fs.Path(path)
     if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
         raise FileNotFoundError(path)
-    df = spread(spark.read.schema(C.CONVERSATION).option("multiLine", "true").json(path))
+    parsed = json_objects(spark, path).select(F.from_json("json", C.CONVERSATION).alias("c"))
+    df = parsed.select("c.*")
     df = C.add_flags(df, split, subtask)
     df = C.fill_video(df, os.path.join(os.path.dirname(path), "video"), subtask)
     return df.withColumn("split", F.lit(split))

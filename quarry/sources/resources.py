@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .splittable import read_lines
+
 # Resources end up as literal sets inside the analyser expressions; they are
 # counted first and must stay below this size.
 MAX_RESOURCE_ROWS = 200_000
@@ -66,13 +68,10 @@ def synonym_map(syn: DataFrame | None) -> dict[str, list[str]]:
 def read_queries(spark: SparkSession, paths) -> DataFrame:
     """SRC-11: query lines of every file under ``paths`` (files or trees);
     empty lines dropped (no trimming).  ``query_id`` is stable: a hash of
-    (file, line number)."""
+    (file, line number).  A large file is read by many tasks."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     for p in paths:
         if not _exists(spark, p):
             raise FileNotFoundError(p)
-    t = spark.read.option("recursiveFileLookup", "true").text(paths, wholetext=True)
-    t = t.select(F.col("_metadata.file_path").alias("source"), "value")
-    lines = t.select("source", F.posexplode(F.split("value", "\n", -1)).alias("line_no", "query"))
-    lines = lines.select("source", "line_no", F.regexp_replace("query", "\r$", "").alias("query")).where(F.length("query") > 0)
+    lines = read_lines(spark, paths).withColumnRenamed("value", "query").where(F.length("query") > 0)
     return lines.select(F.xxhash64("source", "line_no").alias("query_id"), "source", "line_no", "query")

@@ -26,6 +26,7 @@ from ..operators import index as I
 from ..operators.analyzer import AnalyzerOptions, analyze
 from ..operators.search import run_queries
 from ..session import ensure_checkpoint_dir, spread
+from ..sources.splittable import number_lines, text_blocks
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -39,19 +40,16 @@ def stream_queries(spark: SparkSession, query_dir: str, index: I.Index, out_path
     Returns (streaming query handle, result path)."""
     out_path = out_path or _scratch(spark, "stream-results")
     ckpt = out_path.rstrip("/") + "-ckpt"
-    lines = (spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger)
-             .option("wholetext", "true").load(query_dir))
-    lines = lines.select(F.col("_metadata.file_path").alias("source"), "value")
-    q = lines.select("source", F.posexplode(F.split("value", "\n", -1)).alias("line_no", "query"))
-    q = q.withColumn("query", F.regexp_replace("query", "\r$", ""))  # as ``read_queries`` does
-    q = q.where(F.length("query") > 0).select(F.xxhash64("source", "line_no").alias("query_id"), "query")
+    lines = text_blocks(spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger).load(query_dir))
 
     def answer(batch: DataFrame, batch_id: int) -> None:
-        res = run_queries(index, batch, k=k, stem=stem).withColumn("batch_id", F.lit(batch_id))
+        numbered = number_lines(batch).withColumnRenamed("value", "query").where(F.length("query") > 0)
+        queries = numbered.select(F.xxhash64("source", "line_no").alias("query_id"), "query")  # as ``read_queries``
+        res = run_queries(index, queries, k=k, stem=stem).withColumn("batch_id", F.lit(batch_id))
         (res.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(out_path))
 
-    w = q.writeStream.foreachBatch(answer).option("checkpointLocation", ckpt)
+    w = lines.writeStream.foreachBatch(answer).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
     return w.start(), out_path
 
