@@ -49,7 +49,7 @@ def stream_mean(spark, sf):
           .option("maxFilesPerTrigger", 1).parquet(sf))
     handle, out = ST.stream_mean(ev, "value", ["event_type"])
     handle.awaitTermination()
-    return spark.read.parquet(out).select("event_type", F.round("value", 6).alias("value"), "n")
+    return ST.read_means(spark, out, ["event_type"]).select("event_type", F.round("value", 6).alias("value"), "n")
 
 
 QUERIES = {"stream_queries": stream_queries, "stream_index_terms": stream_index_terms, "stream_mean": stream_mean}

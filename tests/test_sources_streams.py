@@ -103,3 +103,53 @@ def test_stream_equals_batch(spark, tmpdir_fresh):
     ST.stream_index(spark, stream, ipath, A.AnalyzerOptions(stem=False)).awaitTermination()
     s_idx = ST.read_stream_index(spark, ipath)
     assert sorted(map(tuple, s_idx.terms.collect())) == sorted(map(tuple, idx.terms.collect()))
+
+
+def _batches(spark, folder, parts, schema):
+    """One file for each micro-batch, in order."""
+    for i, rows in enumerate(parts):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+        for name in os.listdir(folder):
+            if name.startswith("part-"):
+                os.rename(os.path.join(folder, name), os.path.join(folder, f"b{i}-{name}"))
+                os.utime(os.path.join(folder, f"b{i}-{name}"), (1_000_000_000 + i, 1_000_000_000 + i))
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def test_stream_statistics_add_up(spark, tmpdir_fresh):
+    parts = [[(0, "apple banana"), (1, "banana")], [(2, "apple pie"), (3, "")], [(4, "pie pie cherry")]]
+    stream = _batches(spark, f"{tmpdir_fresh}/d", parts, "doc_id long, text string")
+    opts, path = A.AnalyzerOptions(stem=False), f"{tmpdir_fresh}/ix"
+    ST.stream_index(spark, stream, path, opts).awaitTermination()
+    whole = I.build_index(spark.createDataFrame(sum(parts, []), "doc_id long, text string"), opts)
+
+    def same():
+        ix = ST.read_stream_index(spark, path)
+        assert sorted(map(tuple, ix.terms.select("term", "df", "ttf").collect())) == sorted(map(tuple, whole.terms.collect()))
+        assert tuple(ix.stats.first()) == tuple(whole.stats.first())
+        for df in (ix.terms, ix.stats):  # neither opens a file of postings
+            assert not any("/postings/" in f for f in df.inputFiles())
+
+    same()
+    assert ST.compact_stream_index(spark, path) == 2
+    assert ST.compact_stream_index(spark, path) == 2
+    same()
+    # a replayed batch overwrites its own deltas, which the base already holds
+    replay = spark.read.parquet(f"{path}/term_deltas").where("batch_id = 1")
+    rows = [tuple(r) for r in replay.collect()]
+    spark.createDataFrame(rows, replay.schema).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{path}/term_deltas")
+    same()
+
+
+def test_running_mean_writes_changed_keys_and_resets(spark, tmpdir_fresh):
+    parts = [[("a", 1, 2.0), ("b", 1, 4.0)], [("a", 1, 4.0)], [("a", 2, 10.0)], [("b", 1, 100.0), ("b", 2, 1.0)]]
+    stream = _batches(spark, f"{tmpdir_fresh}/m", parts, "k string, epoch long, v double")
+    handle, out = ST.stream_mean(stream, "v", ["k"], f"{tmpdir_fresh}/means", epoch="epoch")
+    handle.awaitTermination()
+    written = {}
+    for r in spark.read.parquet(out).collect():
+        written.setdefault(r.batch_id, []).append((r.k, r.epoch, r.v, r.n))
+    assert sorted(written[0]) == [("a", 1, 2.0, 1), ("b", 1, 4.0, 1)]
+    assert written[1] == [("a", 1, 3.0, 2)] and written[2] == [("a", 2, 10.0, 1)]
+    latest = {r.k: (r.epoch, r.v, r.n) for r in ST.read_means(spark, out, ["k"], "epoch").collect()}
+    assert latest == {"a": (2, 10.0, 1), "b": (2, 1.0, 1)}
