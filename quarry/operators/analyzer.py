@@ -133,7 +133,8 @@ def inject_synonyms(arr: Column, synonyms: dict[str, list[str]]) -> Column:
     multi-word left sides) has synonyms, add each synonym at the token's
     position; a multi-word synonym places its k-th word at ``pos + k``.
     Synonym tokens carry the default flag.  ``synonyms`` maps a left side
-    (words joined by NUL) to right sides (words joined by NUL)."""
+    (words joined by NUL) to right sides (words joined by NUL).  For a few pairs:
+    they become literals; ``synonyms.inject_synonyms_table`` takes a table."""
     if not synonyms:
         return arr
     max_left = max(len(k.split("\0")) for k in synonyms)
@@ -197,7 +198,7 @@ def with_pos_inc(arr: Column) -> Column:
 class AnalyzerOptions:
     mode: str = "index"  # "index" | "query"
     use_synonyms: bool = False
-    synonyms: dict[str, list[str]] | None = None
+    synonyms: dict[str, list[str]] | DataFrame | None = None  # a table (term, synonym) for lists of any size
     stopwords: tuple[str, ...] | None = None  # None → bundled list
     stopwords_folded: tuple[str, ...] | None = None  # None → bundled list folded
     stem: bool = True
@@ -260,7 +261,11 @@ def analyze(
         cur = cur.select(*ids, _front(F.col("_a"), opts).alias("_t"))
     else:
         cur = df.select(*ids, _front(F.col(text_col), opts).alias("_t"))
-    if opts.mode == "index" and opts.use_synonyms and opts.synonyms:
+    if opts.mode == "index" and opts.use_synonyms and isinstance(opts.synonyms, DataFrame):
+        from .synonyms import inject_synonyms_table
+
+        cur = inject_synonyms_table(cur, opts.synonyms, id_col, "_t")
+    elif opts.mode == "index" and opts.use_synonyms and opts.synonyms:
         cur = cur.select(*ids, inject_synonyms(F.col("_t"), opts.synonyms).alias("_t"))
     cur = cur.select(*ids, _back(F.col("_t"), opts).alias("_t"))
     out = cur.select(*ids, with_pos_inc(F.col("_t")).alias("tokens"))

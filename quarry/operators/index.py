@@ -134,7 +134,9 @@ def build_docs(docs: DataFrame, id_col="doc_id", path_col="filepath") -> DataFra
 class Index:
     """Handle on the four index tables (lazy DataFrames)."""
 
-    def __init__(self, postings: DataFrame, terms: DataFrame, docs: DataFrame, stats: DataFrame):
+    def __init__(self, postings: DataFrame, terms: DataFrame, docs: DataFrame, stats: DataFrame,
+                 deletions: DataFrame | None = None, grams: DataFrame | None = None):
+        self.deletions, self.grams = deletions, grams  # see ``expansion``; None where not written
         self.postings = postings
         self.terms = terms
         self.docs = docs
@@ -189,12 +191,13 @@ def term_directory(postings: DataFrame) -> DataFrame:
 
 
 def write_index(index: Index, path: str, postings_files: int | None = None, layout: str = "document",
-                bucket_bytes: int = BUCKET_BYTES) -> None:
+                bucket_bytes: int = BUCKET_BYTES, expansions: bool = False) -> None:
     """SNK-1: create mode — replaces an earlier index at ``path``.  Postings
     are written first (the one expensive job); terms and stats are then
     derived from the written postings, not from a second analysis pass.  With
     ``layout="term"`` the written postings are dealt by term afterwards, into
-    ``postings_files`` buckets or as many as ``bucket_bytes`` asks for."""
+    ``postings_files`` buckets or as many as ``bucket_bytes`` asks for.  With
+    ``expansions`` the tables for inexact clauses are written too."""
     if layout not in ("document", "term"):
         raise ValueError("layout must be 'document' or 'term'")
     spark = index.postings.sparkSession
@@ -223,6 +226,10 @@ def write_index(index: Index, path: str, postings_files: int | None = None, layo
     if layout == "term":
         fs, staged = _fs(spark, by_document)
         fs.delete(staged, True)
+    if expansions:
+        from .expansion import write_expansions
+
+        write_expansions(spark.read.parquet(os.path.join(path, "terms")), path)
 
 
 def _ddl(schema) -> str:
@@ -247,7 +254,8 @@ def read_index(spark: SparkSession, path: str) -> Index:
         missing = cols - set(tables[name].columns)
         if missing:
             raise ValueError(f"index table {name} lacks columns {sorted(missing)}")
-    return Index(tables["postings"], tables["terms"], tables["docs"], tables["stats"])
+    more = [spark.read.parquet(os.path.join(path, x)) if _exists(spark, os.path.join(path, x)) else None for x in ("deletions", "grams")]
+    return Index(tables["postings"], tables["terms"], tables["docs"], tables["stats"], *more)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -270,7 +278,7 @@ def _is_dir(spark: SparkSession, path: str) -> bool:
 _MATERIALIZED: dict = {}
 
 
-def materialize_index(index: Index, key=None, layout: str = "document") -> Index:
+def materialize_index(index: Index, key=None, layout: str = "document", expansions: bool = False) -> Index:
     """Write ``index`` under the session's shared checkpoint folder and read
     it back (cuts the lineage; every later query scans parquet).  With a
     ``key``, the written index is reused for the same key in this process."""
@@ -285,7 +293,7 @@ def materialize_index(index: Index, key=None, layout: str = "document") -> Index
             return read_index(spark, path)
     base = ensure_checkpoint_dir(spark)
     path = base.rstrip("/") + "/quarry-index-" + uuid.uuid4().hex
-    write_index(index, path, layout=layout)
+    write_index(index, path, layout=layout, expansions=expansions)
     if key is not None:
         _MATERIALIZED[key] = path
     return read_index(spark, path)

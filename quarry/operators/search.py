@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from ..functions import patterns as P
 from ..session import BROADCAST_MAX_ROWS, broadcast_if_small, ensure_checkpoint_dir
 from .analyzer import AnalyzerOptions, analyze, explode_token_rows
+from .expansion import fuzzy_candidates, pattern_candidates
 from .index import Index
 from .rowindex import with_row_index
 
@@ -400,12 +401,12 @@ def _expand_prefix(index: Index, clauses: DataFrame) -> DataFrame:
     keyed = clauses.where(F.length("key") > 0)
     lens = [r[0] for r in keyed.select(F.length("key")).distinct().collect()]
     if not lens:
-        return clauses.select("query_id", "clause_id", F.lit(None).cast("string").alias("term")).where(F.lit(False))
+        return clauses.select("text", F.lit(None).cast("string").alias("term")).where(F.lit(False))
     vocab = index.terms.select("term").where(F.col("term") >= min(
         [r[0] for r in keyed.select(F.min("key")).collect()]))
     vk = vocab.select("term", F.explode(F.array(*[
         F.when(F.length("term") >= L, F.substring("term", 1, L)) for L in sorted(lens)])).alias("key")).where(F.col("key").isNotNull())
-    return vk.join(F.broadcast(keyed), "key").select("query_id", "clause_id", "term", "pattern")
+    return vk.join(broadcast_if_small(keyed), "key").select("text", "term")
 
 
 def _like_pattern(text: Column) -> Column:
@@ -413,8 +414,47 @@ def _like_pattern(text: Column) -> Column:
     return F.translate(esc, "*?", "%_")
 
 
-def _literal_prefix(text: Column) -> Column:
-    return F.regexp_extract(text, r"^([^*?]*)", 1)
+def _expand_patterns(index: Index, patterns: DataFrame, kinds) -> DataFrame:
+    """QRY-9..11/13: (kind, text, term) for distinct patterns.  A prefix is
+    joined by its length; a wildcard or regular expression by the rarest gram of
+    its literal pieces, and then compared; patterns without such a piece, and
+    ranges, become literal predicates of one vocabulary scan per chunk."""
+    parts, rest = [], patterns.where("kind = 'range'")
+    if kinds.get("prefix"):
+        keyed = patterns.where("kind = 'prefix'").select("text", F.col("text").alias("key"))
+        parts.append(_expand_prefix(index, keyed).select(F.lit("prefix").alias("kind"), "text", "term"))
+    if kinds.get("wildcard") or kinds.get("regex"):
+        pairs, open_ = pattern_candidates(index, patterns.where("kind in ('wildcard', 'regex')"))
+        like = pairs.where("kind = 'wildcard'").withColumn("pattern", _like_pattern(F.col("text"))).where(F.expr("term LIKE pattern"))
+        rx = pairs.where("kind = 'regex'").withColumn("pattern", F.concat(F.lit("^(?:"), "text", F.lit(r")\z"))).where(F.expr("term RLIKE pattern"))
+        parts += [like.select("kind", "text", "term"), rx.select("kind", "text", "term")]
+        rest = rest.unionByName(open_)
+    specs = []
+    rows = rest.limit(MAX_PREDICATE_CLAUSES + 1).collect()
+    if len(rows) > MAX_PREDICATE_CLAUSES:
+        raise ValueError(f"more than {MAX_PREDICATE_CLAUSES} ranges and patterns without literals; split the batch")
+    for i, r in enumerate(rows):
+        if r.kind == "regex":
+            pred = F.col("term").rlike("^(?:" + r.text + r")\z")
+        elif r.kind == "wildcard":
+            pred = F.col("term").like(re.sub(r"([\\%_])", r"\\\1", r.text).replace("*", "%").replace("?", "_"))
+        else:
+            m = re.match(RANGE_RX, r.text)
+            lo_inc, lo, hi, hi_inc = m.group(1) == "[", m.group(2), m.group(3), m.group(4) == "]"
+            pred = F.lit(True)
+            if lo != "*":
+                pred = pred & ((F.col("term") >= lo) if lo_inc else (F.col("term") > lo))
+            if hi != "*":
+                pred = pred & ((F.col("term") <= hi) if hi_inc else (F.col("term") < hi))
+        specs.append((i, pred))
+    if specs:
+        ids = patterns.sparkSession.createDataFrame([(i, r.kind, r.text) for i, r in enumerate(rows)], "spec_idx int, kind string, text string")
+        # at most MAX_PREDICATE_CLAUSES rows
+        parts.append(_expand_by_predicates(index, specs).join(F.broadcast(ids), "spec_idx").select("kind", "text", "term"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def _expand_by_predicates(index: Index, specs: list[tuple[int, Column]]) -> DataFrame:
@@ -456,37 +496,17 @@ def _osa_udf():
     return osa
 
 
-def _deletions(s: Column, k: int) -> Column:
-    """All strings obtained from ``s`` by deleting up to ``k`` characters."""
-    n = F.length(s)
-    d1 = F.transform(F.sequence(F.lit(0), n - 1),
-                     lambda i: F.concat(F.call_function("substr", s, F.lit(1), i), F.call_function("substr", s, i + 2)))
-    out = F.concat(F.array(s), F.when(n > 0, d1).otherwise(F.array().cast("array<string>")))
-    if k >= 2:
-        d2 = F.flatten(F.transform(d1, lambda t: F.transform(
-            F.sequence(F.lit(0), F.greatest(F.length(t) - 1, F.lit(0))),
-            lambda i: F.concat(F.call_function("substr", t, F.lit(1), i), F.call_function("substr", t, i + 2)))))
-        out = F.concat(out, F.when(n > 1, d2).otherwise(F.array().cast("array<string>")))
-    return F.array_distinct(out)
-
-
 def _expand_fuzzy(index: Index, fz: DataFrame, max_edits: int) -> DataFrame:
-    """QRY-12 candidates: symmetric-deletion join (shared deletion variant),
-    then the exact distance on the survivors; best FUZZY_MAX_EXPANSIONS per
-    clause by similarity, then term."""
-    lens = [r[0] for r in fz.select(F.length("text")).distinct().collect()]
-    lo, hi = max(0, min(lens) - max_edits), max(lens) + max_edits
-    vocab = index.terms.select("term").where(F.length("term").between(lo, hi))
-    vv = vocab.select("term", F.explode(_deletions(F.col("term"), max_edits)).alias("v"))
-    qv = fz.select("query_id", "clause_id", "text", F.explode(_deletions(F.col("text"), max_edits)).alias("v"))
-    cand = vv.join(F.broadcast(qv), "v").select("query_id", "clause_id", "text", "term").distinct()
-    cand = cand.where(F.abs(F.length("term") - F.length("text")) <= max_edits)
-    dist = _osa_udf()(F.col("text"), F.col("term"))
-    scored = cand.select("*", dist.alias("ed")).where(F.col("ed") <= max_edits)
+    """QRY-12: candidates by shared deletion variants, then the exact distance
+    on the survivors; best FUZZY_MAX_EXPANSIONS per clause by similarity, then
+    term.  Equal texts are expanded once."""
+    cand = fuzzy_candidates(index, fz.select("text").distinct(), max_edits)
+    scored = cand.select("*", _osa_udf()(F.col("text"), F.col("term")).alias("ed")).where(F.col("ed") <= max_edits)
     sim = F.lit(1.0) - F.col("ed") / F.least(F.length("text"), F.length("term"))
-    scored = scored.select("query_id", "clause_id", "term", sim.alias("sim")).where(F.col("sim") > 0)
-    w = Window.partitionBy("query_id", "clause_id").orderBy(F.desc("sim"), F.asc("term"))
-    return scored.select("*", F.row_number().over(w).alias("r")).where(F.col("r") <= P.FUZZY_MAX_EXPANSIONS).drop("r")
+    scored = scored.select("text", "term", sim.alias("sim")).where(F.col("sim") > 0)
+    w = Window.partitionBy("text").orderBy(F.desc("sim"), F.asc("term"))
+    best = scored.select("*", F.row_number().over(w).alias("r")).where(F.col("r") <= P.FUZZY_MAX_EXPANSIONS).drop("r")
+    return best.join(broadcast_if_small(fz.select("query_id", "clause_id", "text")), "text").select("query_id", "clause_id", "term", "sim")
 
 
 def _score_constant(index: Index, expanded: DataFrame, clauses: DataFrame, n: int) -> DataFrame:
@@ -527,18 +547,14 @@ def search(index: Index, clauses: DataFrame, k: int = P.TOP_K, stem: bool = True
     # the clause table is small: validated once and checkpointed to the
     # shared folder, so the driver-side checks below reuse it
     cl = validate_clauses(clause_table(clauses)).checkpoint()
-    # Regex and range clauses become literal predicates of one vocabulary scan
-    # (pairing clauses with the vocabulary would be a cross join); their specs
-    # pass through the driver, so their number is checked first.
-    n_pred = cl.where(F.col("kind").isin("regex", "range")).count()
-    if n_pred > MAX_PREDICATE_CLAUSES:
-        raise ValueError(f"{n_pred} regex/range clauses in one batch; split the batch "
-                         f"(at most {MAX_PREDICATE_CLAUSES})")
-    rx = [(r.query_id, r.clause_id, r.text) for r in cl.where((F.col("kind") == "regex") & F.col("error").isNull()).collect()]
-    rx_err = [(q, c, e) for q, c, t in rx if (e := _java_regex_error(spark, t))]
+    # Whether a regular expression compiles is asked of the JVM, once for each.
+    if cl.where(F.col("kind") == "regex").select("text").distinct().count() > MAX_PREDICATE_CLAUSES:
+        raise ValueError(f"more than {MAX_PREDICATE_CLAUSES} regular expressions in one batch; split the batch")
+    rx = [r.text for r in cl.where((F.col("kind") == "regex") & F.col("error").isNull()).select("text").distinct().collect()]
+    rx_err = [("regex", t, e) for t in rx if (e := _java_regex_error(spark, t))]
     if rx_err:
-        errs = spark.createDataFrame(rx_err, "query_id long, clause_id int, rx_error string")
-        cl = cl.join(F.broadcast(errs), ["query_id", "clause_id"], "left").select(
+        errs = spark.createDataFrame(rx_err, "kind string, text string, rx_error string")
+        cl = cl.join(F.broadcast(errs), ["kind", "text"], "left").select(
             *[c for c in cl.columns if c != "error"], F.coalesce("error", "rx_error").alias("error"))
     bad_q = cl.where(F.col("error").isNotNull()).groupBy("query_id").agg(F.min(F.concat_ws(": ", F.col("clause_id").cast("string"), "error")).alias("message"))
     valid = cl.join(bad_q, "query_id", "left_anti").drop("error")
@@ -572,34 +588,12 @@ def search(index: Index, clauses: DataFrame, k: int = P.TOP_K, stem: bool = True
     if kinds.get("phrase") and n_tp:
         parts.append(_score_phrase(index, tp.where(F.col("kind") == "phrase"), n_tp))
     const_exp = None
-    if kinds.get("prefix") or kinds.get("wildcard"):
-        # prefix / wildcard: literal key + pattern, equi-join on the key
-        pw = good.where(F.col("kind").isin("prefix", "wildcard")).select(
-            "query_id", "clause_id",
-            F.when(F.col("kind") == "prefix", F.col("text")).otherwise(_literal_prefix(F.col("text"))).alias("key"),
-            F.when(F.col("kind") == "prefix", F.concat(_like_pattern(F.col("text")), F.lit("%")))
-            .otherwise(_like_pattern(F.col("text"))).alias("pattern"))
-        const_exp = _expand_prefix(index, pw).where(F.expr("term LIKE pattern")).select("query_id", "clause_id", "term")
-    if kinds.get("regex") or kinds.get("range"):
-        # regex / range: per-clause predicates over one term-table scan
-        specs, spec_rows = [], []
-        for r in good.where(F.col("kind").isin("regex", "range")).select("query_id", "clause_id", "kind", "text").collect():
-            i = len(specs)
-            if r.kind == "regex":
-                pred = F.col("term").rlike("^(?:" + r.text + r")\z")
-            else:
-                m = re.match(RANGE_RX, r.text)
-                lo_inc, lo, hi, hi_inc = m.group(1) == "[", m.group(2), m.group(3), m.group(4) == "]"
-                pred = F.lit(True)
-                if lo != "*":
-                    pred = pred & ((F.col("term") >= lo) if lo_inc else (F.col("term") > lo))
-                if hi != "*":
-                    pred = pred & ((F.col("term") <= hi) if hi_inc else (F.col("term") < hi))
-            specs.append((i, pred))
-            spec_rows.append((i, r.query_id, r.clause_id))
-        ids = spark.createDataFrame(spec_rows, "spec_idx int, query_id long, clause_id int")
-        exp_rr = _expand_by_predicates(index, specs).join(F.broadcast(ids), "spec_idx").select("query_id", "clause_id", "term")
-        const_exp = exp_rr if const_exp is None else const_exp.unionByName(exp_rr)
+    inexact = ("prefix", "wildcard", "regex", "range")
+    if any(kinds.get(x) for x in inexact):
+        # every distinct pattern is expanded once, for all of its clauses
+        asked = good.where(F.col("kind").isin(*inexact)).select("query_id", "clause_id", "kind", "text")
+        matched = _expand_patterns(index, asked.select("kind", "text").distinct().checkpoint(), kinds)
+        const_exp = matched.join(broadcast_if_small(asked), ["kind", "text"]).select("query_id", "clause_id", "term")
     if const_exp is not None:
         parts.append(_score_constant(index, const_exp, good, n))
     if kinds.get("fuzzy"):

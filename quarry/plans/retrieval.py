@@ -9,6 +9,8 @@ stemming off (no stemmer exists on the SQL side).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,9 @@ from ..functions import text as T
 from ..operators import analyzer as A
 from ..operators import index as I
 from ..operators import search as S
+from ..operators import stem_table as ST
+from ..operators import synonyms as SY
+from ..session import ensure_checkpoint_dir
 from . import sqlgen as G
 from .tables import load
 
@@ -30,12 +35,16 @@ def _analyzed(spark, sf):
     return A.analyze(_docs(spark, sf), "doc_id", "text", NOSTEM)
 
 
+def _stamp(spark, sf) -> int:
+    fs, path = I._fs(spark, f"{sf}/documents.parquet")
+    return fs.getFileStatus(path).getModificationTime()
+
+
 def _index(spark, sf, layout: str = "document") -> I.Index:
     """The documents index, written once per (tables, layout) to the shared
     checkpoint folder and read back as parquet; a changed table is read anew."""
-    fs, path = I._fs(spark, f"{sf}/documents.parquet")
-    stamp = fs.getFileStatus(path).getModificationTime()
-    return I.materialize_index(I.build_index(_docs(spark, sf), NOSTEM), key=(sf, stamp, "nostem", layout), layout=layout)
+    return I.materialize_index(I.build_index(_docs(spark, sf), NOSTEM), key=(sf, _stamp(spark, sf), "nostem", layout), layout=layout,
+                               expansions=layout == "term")
 
 
 def _benchmark_queries(spark, sf) -> DataFrame:
@@ -81,6 +90,41 @@ def unit_count(spark, sf):
     return load(spark, sf, "documents").select("doc_id", T.unit_count(F.col("text")).alias("n_units"))
 
 
+def _synonym_pairs(spark, sf) -> DataFrame:
+    """From every word of every passage on: it, and it with the next one, have
+    the next word, and the next two, as synonyms."""
+    letters = F.transform(F.split(F.lower("text"), " "), lambda w: F.regexp_replace(w, r"[^\p{L}]", ""))
+    w = load(spark, sf, "benchmark").select(F.filter(letters, lambda x: x != "").alias("w"))
+    e = w.select("w", F.explode(F.expr("sequence(0, size(w) - 4)")).alias("i")).where("i >= 0 and size(w) >= 4")
+    word = lambda n: F.get("w", F.col("i") + n)
+    nul = F.lit("\0")
+    one = e.select(word(0).alias("term"), word(1).alias("synonym"))
+    two = e.select(F.concat(word(0), nul, word(1)).alias("term"), F.concat(word(2), nul, word(3)).alias("synonym"))
+    return one.unionByName(two)
+
+
+def synonym_words(spark, sf):
+    """TXT-9: the synonym words that the passages' pairs add to the documents."""
+    tokens = _docs(spark, sf).select("doc_id", A.token_array(F.col("text"), lower=True).alias("t"))
+    words = SY.synonym_words(tokens.select("doc_id", A._front(F.col("t"), NOSTEM).alias("tokens")), _synonym_pairs(spark, sf))
+    return words.groupBy("doc_id", "pos", "word").agg(F.count("*").alias("n"))
+
+
+def stem_terms(spark, sf):
+    """TXT-11: the stem table of the documents' vocabulary, filled in two runs."""
+    terms = I.vocabulary(_index(spark, sf).postings)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-stems-{uuid.uuid4().hex}"
+    ST.update_stems(terms.where(F.pmod(F.hash("term"), F.lit(2)) == 0), path)
+    return ST.update_stems(terms, path)
+
+
+def search_stemmed(spark, sf):
+    """QRY-1/TXT-11: top 10 per passage over the stemmed index."""
+    options = A.AnalyzerOptions(stem=True)
+    index = I.materialize_index(I.build_index(_docs(spark, sf), options), key=(sf, _stamp(spark, sf), "stem"))
+    return S.run_queries(index, _benchmark_queries(spark, sf), stem=True)
+
+
 # --------------------------------------------------------------------------- IDX
 def postings(spark, sf):
     p = I.build_postings(_analyzed(spark, sf))
@@ -126,6 +170,9 @@ QUERIES = {
     "flag_tokens": flag_tokens,
     "analyze_tokens": analyze_tokens,
     "token_dump": token_dump,
+    "synonym_words": synonym_words,
+    "stem_terms": stem_terms,
+    "search_stemmed": search_stemmed,
     "unit_count": unit_count,
     "postings": postings,
     "doc_lengths": doc_lengths,
@@ -178,6 +225,18 @@ SQL = {
                '[' || term || ']: [' || array_to_string(flags, ', ') || '] ' ||
                CASE WHEN is_final THEN 'true' ELSE 'false' END AS line
         FROM tok""",
+    "synonym_words": f"""
+        WITH {G.analyzer_ctes('tok', 'documents', 'doc_id', 'text')},
+        w AS (SELECT list_filter(list_transform(string_split(lower(text), ' '), lambda x: regexp_replace(x, '[^\\p{{L}}]', '', 'g')), lambda x: x <> '') AS w FROM benchmark),
+        e AS (SELECT w, unnest(range(1, len(w) - 2)) AS i FROM w),
+        pairs AS (SELECT DISTINCT w[i] AS a, NULL AS b, [w[i + 1]] AS r FROM e UNION SELECT w[i], w[i + 1], [w[i + 2], w[i + 3]] FROM e),
+        hit AS (
+          SELECT t.id, t.pos, p.r FROM tok_t4 t JOIN pairs p ON p.b IS NULL AND p.a = t.term
+          UNION ALL
+          SELECT t.id, t.pos, p.r FROM tok_t4 t JOIN tok_t4 u ON u.id = t.id AND u.pos = t.pos + 1 AND t.ord = 0 AND u.ord = 0
+          JOIN pairs p ON p.a = t.term AND p.b = u.term)
+        SELECT id AS doc_id, CAST(pos + k AS INTEGER) AS pos, word, count(*) AS n
+        FROM (SELECT id, pos, unnest(r) AS word, unnest(range(len(r))) AS k FROM hit) GROUP BY ALL""",
     "unit_count": "SELECT doc_id, len(string_split(text, ' ')) AS n_units FROM documents",
     "postings": f"""
         WITH {_IDX}
