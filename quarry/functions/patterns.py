@@ -125,6 +125,7 @@ WORD_RX = rf"[\p{{L}}\p{{N}}]|{_EMOJI}|[\x{{1F1E6}}-\x{{1F1FF}}]"
 BM25_K1 = 1.2
 BM25_B = 0.75
 TOP_K = 10
+HITS_THRESHOLD = 1000
 # One-byte length norm: values below this are stored exactly.
 NORM_FREE_VALUES = 24
 FUZZY_MAX_EXPANSIONS = 50

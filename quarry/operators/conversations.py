@@ -200,8 +200,9 @@ def utterance_tokens(utterances: DataFrame, max_len: int | None = P.MAX_UTTR_LEN
     content tokens are 1..max_len-2 (the rest is cut; None: nothing is)."""
     words = F.split("text", " ", -1)
     lens = F.transform(words, lambda w: F.length(w) + 1)
-    starts = F.transform(words, lambda w, i: F.aggregate(F.slice(lens, 1, i), F.lit(0), lambda a, x: a + x))
-    pieces = F.arrays_zip(words.alias("w"), starts.alias("s"))
+    # one fold that carries the running sum; its last entry is the end of the text
+    starts = F.aggregate(lens, F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
+    pieces = F.filter(F.arrays_zip(words.alias("w"), starts.alias("s")), lambda p: p["w"].isNotNull())
     t = utterances.select("conversation_ID", "pos", F.filter(pieces, lambda p: F.length(p["w"]) > 0).alias("tk"))
     if max_len is not None:
         t = t.select("conversation_ID", "pos", F.slice("tk", 1, max_len - 2).alias("tk"))
@@ -222,16 +223,21 @@ def char_to_token(points: DataFrame, tokens: DataFrame, char_col: str, out_col:
     return j.select(*points.columns, F.col("_tok").alias(out_col))
 
 
-def span_matrix(spans: DataFrame, tokens: DataFrame) -> DataFrame:
+def span_matrix(spans: DataFrame, tokens: DataFrame, mask_mode: str = "sum") -> DataFrame:
     """(conversation_ID, utterance, cause) → start / stop token of the span;
-    a later pair overwrites an earlier one; no token → 0."""
+    a later pair overwrites an earlier one; no token → 0.  ``mask_mode`` "sum":
+    the mask is 1 unless start and stop are both 0, as the reference has it;
+    "present": 1 wherever a token was found, also at place 0."""
+    if mask_mode not in ("sum", "present"):
+        raise ValueError("mask_mode must be 'sum' or 'present'")
     s = char_to_token(spans, tokens, "boc", "start_tok")
     s = char_to_token(s, tokens, "eoc", "stop_tok")
     g = s.groupBy("conversation_ID", "utterance", "cause").agg(
-        F.max_by(F.struct(F.coalesce("start_tok", F.lit(0)).alias("start"), F.coalesce("stop_tok", F.lit(0)).alias("stop")),
-                 "pair_idx").alias("m"))
+        F.max_by(F.struct(F.coalesce("start_tok", F.lit(0)).alias("start"), F.coalesce("stop_tok", F.lit(0)).alias("stop"),
+                          (F.col("start_tok").isNotNull() | F.col("stop_tok").isNotNull()).alias("found")), "pair_idx").alias("m"))
+    mask = (F.col("m.start") + F.col("m.stop")) != 0 if mask_mode == "sum" else F.col("m.found")
     return g.select("conversation_ID", "utterance", "cause", F.col("m.start").alias("start"), F.col("m.stop").alias("stop"),
-                    ((F.col("m.start") + F.col("m.stop")) != 0).cast("int").alias("span_mask"))
+                    mask.cast("int").alias("span_mask"))
 
 
 # --------------------------------------------------------------------------- CNV-15/18

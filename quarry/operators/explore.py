@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import stage_table
+from .rowindex import with_row_index
 
 
 def conversation_lengths(utterances: DataFrame, key: str = "conv_id") -> DataFrame:
@@ -34,13 +36,26 @@ def category_counts(df: DataFrame, col: str) -> DataFrame:
 
 
 def concat_text(df: DataFrame, key: str, order: str, text: str = "text") -> DataFrame:
-    """EDA-6: texts of a group joined by one blank in row order.  The result
-    holds a group's whole text in one row; for word statistics use
-    ``top_terms``, which needs no such row."""
+    """EDA-6: texts of a group joined by one blank in row order, a group's whole
+    text in one row.  For groups of any size use ``text_parts``; for word
+    statistics ``top_terms``, which needs no such row."""
     g = df.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(order, text))).alias("s"))
     return g.select(key, F.array_join(F.transform("s", lambda x: x[text]), " ").alias("text"))
 
 
+def text_parts(df: DataFrame, key: str, order: list[str], text: str = "text", rows_a_part: int = 1000) -> DataFrame:
+    """EDA-6: texts of a group joined by one blank in row order, in numbered
+    parts of ``rows_a_part`` texts: (key, part, text).  The parts joined by a
+    blank are the group's whole text; a group of any size is dealt over tasks.
+    ``order`` with the key is a total order."""
+    numbered = with_row_index(df.select(key, *order, text), [key, *order], "_i")
+    numbered = stage_table(numbered, "texts")
+    first = numbered.groupBy(key).agg(F.min("_i").alias("_first"))
+    parts = numbered.join(first, key).withColumn("part", F.floor((F.col("_i") - F.col("_first")) / rows_a_part).cast("long"))
+    g = parts.groupBy(key, "part").agg(F.array_sort(F.collect_list(F.struct("_i", text))).alias("s"))
+    return g.select(key, "part", F.array_join(F.transform("s", lambda x: x[text]), " ").alias("text"))
+
+
 def top_terms(df: DataFrame, key: str, text: str = "text", k: int = 200) -> DataFrame:
     """EDA-7: the k most frequent lowercased word tokens per group (ties by
     term); counts are partially aggregated before the shuffle and the

@@ -121,6 +121,14 @@ def decode_spans(pairs: DataFrame, key: str = "conv_id", start_logits="start_log
     return s.where(F.col("start") + F.col("stop") != 0)
 
 
+def nest_spans(spans: DataFrame, lengths: DataFrame, key: str = "conv_id") -> DataFrame:
+    """PRD-2, nested: (key, effect, spans) with the (cause, start, stop) of each
+    effect utterance in the order of the causes; turns from ``n_valid`` on
+    (``lengths``) are padding.  Effects without a span have no row."""
+    real = spans.join(lengths.select(key, "n_valid"), key).where((F.col("effect") < F.col("n_valid")) & (F.col("cause") < F.col("n_valid")))
+    return real.groupBy(key, "effect").agg(F.array_sort(F.collect_list(F.struct("cause", "start", "stop"))).alias("spans"))
+
+
 def valid_length(pair_mask_sum: Column) -> Column:
     """PRD-3: √Σ(pair mask) = number of valid turns."""
     return F.floor(F.sqrt(pair_mask_sum)).cast("int")

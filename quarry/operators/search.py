@@ -168,6 +168,15 @@ def total_hits(scored: DataFrame) -> DataFrame:
     return scored.groupBy("query_id").agg(F.count(F.lit(1)).alias("total_hits"))
 
 
+def reported_hits(results: DataFrame, threshold: int = P.HITS_THRESHOLD) -> DataFrame:
+    """QRY-17: one row per answered query with the count as a searcher reports it
+    that stops counting: exact up to ``threshold``, beyond it a lower bound
+    (``hits_exact`` false)."""
+    per = results.where(F.col("status") == "ok").groupBy("query_id").agg(F.max("total_hits").alias("total_hits"))
+    exact = F.col("total_hits") <= threshold
+    return per.select("query_id", "total_hits", F.when(exact, F.col("total_hits")).otherwise(F.lit(threshold + 1)).alias("reported"), exact.alias("hits_exact"))
+
+
 def fetch_docs(hits: DataFrame, index: Index, known_rows: int | None = None) -> DataFrame:
     """QRY-18: stored fields of the hits only (hits side broadcast, checked)."""
     h = broadcast_if_small(hits, known_rows=known_rows)

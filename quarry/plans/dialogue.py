@@ -133,6 +133,13 @@ def span_matrix(spark, sf):
     return C.span_matrix(_spans(spark, sf), _tokens(spark, sf))
 
 
+def span_presence(spark, sf):
+    """CNV-12a: the span mask that also holds a span at token 0; tokens count
+    from 0 here."""
+    tokens = _tokens(spark, sf).withColumn("token", F.col("token") - 1)
+    return C.span_matrix(_spans(spark, sf), tokens, mask_mode="present")
+
+
 def pad_masks(spark, sf):
     """CNV-13/14: per utterance the token count and the padded mask."""
     t = _tokens(spark, sf).groupBy("conversation_ID", "pos").agg(F.count(F.lit(1)).alias("n_tok"))
@@ -268,7 +275,7 @@ def category_counts(spark, sf):
 
 
 def concat_text(spark, sf):
-    return X.concat_text(_utt_rows(spark, sf), "conv_id", "turn")
+    return X.text_parts(_utt_rows(spark, sf), "conv_id", ["turn"], rows_a_part=3)
 
 
 def top_terms(spark, sf):
@@ -279,7 +286,7 @@ QUERIES = {
     "conv_flags": conv_flags, "fill_video": fill_video, "check_video_names": check_video_names,
     "encode_emotion": encode_emotion, "explode_utterances": explode_utterances, "emotion_labels": emotion_labels,
     "parse_pairs": parse_pairs, "locate_spans": locate_spans, "cause_labels": cause_labels,
-    "char_to_token": char_to_token, "span_matrix": span_matrix, "pad_masks": pad_masks, "pair_mask": pair_mask,
+    "char_to_token": char_to_token, "span_matrix": span_matrix, "span_presence": span_presence, "pad_masks": pad_masks, "pair_mask": pair_mask,
     "encode_tokens": encode_tokens, "encode_conversations": encode_conversations, "pair_table": pair_table,
     "span_text": span_text,
     "split_exact": split_exact, "shuffle": shuffle, "assign_batches": assign_batches, "collate": collate,
@@ -385,6 +392,11 @@ SQL = {
     "char_to_token": f"""WITH {PAIRS_SQL}
         SELECT conversation_ID, pair_idx, utterance, cause, boc, eoc, start_tok, stop_tok FROM c2t""",
     "span_matrix": f"WITH {PAIRS_SQL} SELECT * FROM smat",
+    "span_presence": f"""WITH {PAIRS_SQL}
+        SELECT conversation_ID, utterance, cause, m.a AS start, m.b AS stop, m.found AS span_mask FROM (
+          SELECT conversation_ID, utterance, cause, max_by({{'a': coalesce(start_tok - 1, 0), 'b': coalesce(stop_tok - 1, 0),
+                 'found': CAST(start_tok IS NOT NULL OR stop_tok IS NOT NULL AS INTEGER)}}, pair_idx) AS m
+          FROM c2t GROUP BY conversation_ID, utterance, cause)""",
     "pad_masks": f"""WITH {PAIRS_SQL}
         SELECT u.conversation_ID, u.pos, coalesce(t.n, 0) + 2 AS n_tokens,
                repeat('1', least(coalesce(t.n, 0) + 2, {P.MAX_UTTR_LEN})) ||
@@ -446,7 +458,8 @@ SQL = {
     "units_per_utterance": "SELECT conv_id, turn, len(string_split(text, ' ')) AS n_units FROM conversations",
     "histogram": "SELECT len(string_split(text, ' ')) AS value, count(*) AS count FROM conversations GROUP BY 1",
     "category_counts": f"WITH {U} SELECT emotion AS category, count(*) AS count FROM u GROUP BY emotion",
-    "concat_text": "SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS text FROM conversations GROUP BY conv_id",
+    "concat_text": """SELECT conv_id, CAST(i // 3 AS BIGINT) AS part, string_agg(text, ' ' ORDER BY turn) AS text FROM (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS i FROM conversations) GROUP BY conv_id, i // 3""",
     "top_terms": f"""WITH {U},
         t AS (SELECT emotion, lower(unnest(list_filter(regexp_extract_all(text, {_TOKRX}, 0),
                                                     lambda t: regexp_matches(t, {_ALNUM})))) AS term FROM u),

@@ -69,6 +69,13 @@ def flag_tokens(spark, sf):
     return t.select("doc_id", "pos", "term", _flags_str(F.col("flags")).alias("flags"), "is_final")
 
 
+def custom_flags(spark, sf):
+    """UDF-1: tokens that a user's rules flag besides the standard ones."""
+    rules = [*T.DEFAULT_RULES, T.TokenRule(r"[A-Z][a-z]+", "NamedEntity"), T.TokenRule(r"\p{L}\p{L}", "Number", "Acronym")]
+    t = A.raw_tokens(_docs(spark, sf), rules=rules).withColumn("flags", _flags_str(F.col("flags")))
+    return t.groupBy("doc_id", "flags").agg(F.count("*").alias("n"))
+
+
 def analyze_tokens(spark, sf):
     """TXT-5..14 (stemming off): the surviving tokens of the whole chain."""
     t = A.explode_tokens(_analyzed(spark, sf))
@@ -160,6 +167,13 @@ def search_any(spark, sf):
     return S.run_queries(_index(spark, sf), _benchmark_queries(spark, sf), stem=False)
 
 
+def hit_counts(spark, sf):
+    """QRY-17: hit counts that are exact up to half of the documents."""
+    index = _index(spark, sf)
+    half = index.docs.count() // 2
+    return S.reported_hits(S.run_queries(index, _benchmark_queries(spark, sf), stem=False), half)
+
+
 def result_lines(spark, sf):
     """SNK-4: printed result lines."""
     return S.format_results(search_any(spark, sf))
@@ -168,6 +182,7 @@ def result_lines(spark, sf):
 QUERIES = {
     "tokenize": tokenize,
     "flag_tokens": flag_tokens,
+    "custom_flags": custom_flags,
     "analyze_tokens": analyze_tokens,
     "token_dump": token_dump,
     "synonym_words": synonym_words,
@@ -182,6 +197,7 @@ QUERIES = {
     "docs_table": docs_table,
     "search_any": search_any,
     "result_lines": result_lines,
+    "hit_counts": hit_counts,
 }
 
 # --------------------------------------------------------------------------- SQL
@@ -207,6 +223,7 @@ WITH {_IDX}, {ctes}{analyzed},
 """
 
 
+LETTERS = "\\p{L}\\p{L}"
 SEARCH_ANY_SQL = search_sql("benchmark", "item_id", "text")
 
 
@@ -216,6 +233,10 @@ SQL = {
         SELECT id AS doc_id, pos, term, array_to_string(f, ',') AS flags, {G.is_final_sql('f')} AS is_final
         FROM (SELECT id, pos, term, {G.flags_sql('term')} AS f
               FROM ({G.tokens_sql('documents', 'doc_id', 'text')}))""",
+    "custom_flags": f"""
+        SELECT id AS doc_id, array_to_string(f, ',') AS flags, count(*) AS n
+        FROM (SELECT id, {G.flags_sql('term', [("NamedEntity", '[A-Z][a-z]+'), ("Number", LETTERS), ("Acronym", LETTERS)])} AS f
+              FROM ({G.tokens_sql('documents', 'doc_id', 'text')})) GROUP BY ALL""",
     "analyze_tokens": f"""
         WITH {G.analyzer_ctes('tok', 'documents', 'doc_id', 'text')}
         SELECT id AS doc_id, pos, ord, pos_inc, term, array_to_string(flags, ',') AS flags, is_final FROM tok""",
@@ -258,6 +279,10 @@ SQL = {
                {G.decode_length_sql(G.encode_length_sql('l.dl_exact'))} AS dl
         FROM documents d LEFT JOIN dlen l ON l.doc_id = d.doc_id""",
     "search_any": SEARCH_ANY_SQL,
+    "hit_counts": f"""
+        WITH res AS ({SEARCH_ANY_SQL}), half AS (SELECT count(*) // 2 AS h FROM documents)
+        SELECT query_id, max(total_hits) AS total_hits, least(max(total_hits), max(h) + 1) AS reported, max(total_hits) <= max(h) AS hits_exact
+        FROM res, half GROUP BY query_id""",
     "result_lines": f"""
         WITH res AS ({SEARCH_ANY_SQL})
         SELECT query_id, 0 AS rank, 'Found: ' || CAST(max(total_hits) AS VARCHAR) AS line FROM res GROUP BY query_id

@@ -8,7 +8,8 @@ identically from ``embeddings`` (vec_id, embedding float[64], label 0..9):
 * cause logits = entries 11..12, cause label = 1 when label ≥ 5;
 * span start logits = entries 1..32, stop logits = entries 33..64, start
   label = label, stop label = label + 3, span present unless label mod 3 = 0;
-* batch = vec_id div 32; every row is a real (masked-in) utterance.
+* batch = vec_id div 32; rows with vec_id mod 5 = 2 are padding utterances and
+  rows with vec_id mod 7 = 3 padding pairs (mask 0).
 
 Binary F1 compares ``labels.toxic`` (prediction) with ``labels.quality``.
 """
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions import patterns as P
 from ..functions import vectors as V
 from ..operators import conversations as C
+from ..operators import extension as X
 from ..operators import metrics as M
 from ..operators import sampling as S
 from .dialogue import U as _U
@@ -41,8 +43,8 @@ def _rows(spark, sf):
         F.col("label").alias("start_label"),
         (F.col("label") + 3).alias("stop_label"),
         F.when(F.col("label") % 3 == 0, 0).otherwise(1).alias("span_mask"),
-        F.lit(1).alias("pair_mask"),
-        F.lit(1).alias("mask"),
+        F.when(F.col("vec_id") % 7 == 3, 0).otherwise(1).alias("pair_mask"),
+        F.when(F.col("vec_id") % 5 == 2, 0).otherwise(1).alias("mask"),
         F.floor(F.col("vec_id") / P.BATCH_SIZE).cast("long").alias("batch_id"),
     )
 
@@ -163,7 +165,7 @@ def epoch_report(spark, sf):
         F.sum(F.col("mask") * F.col("weight") * V.cross_entropy(F.col("emotion_logits"), F.col("emotion_label"))).alias("loss_emotion"),
         F.sum(F.col("mask") * V.cross_entropy(F.col("cause_logits"), F.col("cause_label"))).alias("loss_cause"),
         F.sum(M.span_loss_expr()).alias("loss_span")))
-    preds = r.select("split", "step", V.argmax(F.col("emotion_logits")).alias("pe"), F.col("emotion_label").alias("re"),
+    preds = r.where("mask = 1").select("split", "step", V.argmax(F.col("emotion_logits")).alias("pe"), F.col("emotion_label").alias("re"),
                      V.argmax(F.col("cause_logits")).alias("pc"), F.col("cause_label").alias("rc"))
     fe = M.f1_score(preds, "pe", "re", "weighted", by=("split", "step")).withColumnRenamed("f1", "f1_emotion")
     fc = M.f1_score(preds, "pc", "rc", "weighted", by=("split", "step")).withColumnRenamed("f1", "f1_cause")
@@ -181,6 +183,32 @@ def decode_spans(spark, sf):
     return M.decode_spans(r).select(F.col("conv_id").alias("vec_id"), "start", "stop")
 
 
+def nested_spans(spark, sf):
+    """PRD-2: per conversation of 16 vectors the spans of each valid effect,
+    effects and causes being places among its four valid turns."""
+    e = load(spark, sf, "embeddings", spread_rows=True).select(
+        F.floor(F.col("vec_id") / 16).cast("long").alias("conv_id"), (F.floor(F.col("vec_id") / 4) % 4).cast("int").alias("effect"),
+        (F.col("vec_id") % 4).cast("int").alias("cause"), V.to_double(F.col("embedding")).alias("e"))
+    pairs = e.select("conv_id", "effect", "cause", F.slice("e", 1, 32).alias("start_logits"), F.slice("e", 33, 32).alias("stop_logits"))
+    lengths = e.select("conv_id").distinct().withColumn("n_valid", (F.col("conv_id") % 4 + 1).cast("int"))
+    out = M.nest_spans(M.decode_spans(pairs), lengths)
+    line = F.transform("spans", lambda x: F.concat_ws("-", x["cause"], x["start"], x["stop"]))
+    return out.select("conv_id", "effect", F.array_join(line, ",").alias("spans"))
+
+
+def custom_metric(spark, sf):
+    """UDF-4: a user's accuracy per cause label."""
+    r = _rows(spark, sf).select("cause_label", V.argmax(F.col("emotion_logits")).alias("pred"), F.col("label").alias("ref"))
+    out = X.custom_metric(r, X.accuracy(), ["cause_label"])
+    return out.select("cause_label", _r(F.col("accuracy")).alias("accuracy"))
+
+
+def filter_with(spark, sf):
+    """UDF-2: a user's row predicate."""
+    kept = X.filter_with(_rows(spark, sf), lambda df: (df["mask"] == 1) & (F.array_max(df["emotion_logits"]) > 0.25))
+    return kept.select("vec_id", "label")
+
+
 def valid_length(spark, sf):
     pm = C.pair_mask(C.explode_utterances(nested(spark, sf)))
     s = pm.groupBy("conversation_ID").agg(F.sum("mask").alias("s"))
@@ -212,7 +240,8 @@ QUERIES = {
     "cross_entropy": cross_entropy, "emotion_loss": emotion_loss, "cause_loss": cause_loss, "span_loss": span_loss,
     "total_loss": total_loss, "mean_metric": mean_metric, "f1_scores": f1_scores, "confusion": confusion,
     "evaluate": evaluate, "epoch_report": epoch_report, "decode_predictions": decode_predictions,
-    "decode_spans": decode_spans, "valid_length": valid_length, "fit_head": fit_head, "fit_cause": fit_cause,
+    "decode_spans": decode_spans, "nested_spans": nested_spans, "custom_metric": custom_metric, "filter_with": filter_with,
+    "valid_length": valid_length, "fit_head": fit_head, "fit_cause": fit_cause,
 }
 
 # --------------------------------------------------------------------------- SQL
@@ -222,7 +251,8 @@ ROWS = f"""rows AS (
          CAST(embedding AS DOUBLE[])[1:32] AS sl, CAST(embedding AS DOUBLE[])[33:64] AS tl,
          label AS emotion_label, CASE WHEN label >= 5 THEN 1 ELSE 0 END AS cause_label,
          label AS start_label, label + 3 AS stop_label,
-         CASE WHEN label % 3 = 0 THEN 0 ELSE 1 END AS span_mask, 1 AS pair_mask, 1 AS mask,
+         CASE WHEN label % 3 = 0 THEN 0 ELSE 1 END AS span_mask, 
+         CASE WHEN vec_id % 7 = 3 THEN 0 ELSE 1 END AS pair_mask, CASE WHEN vec_id % 5 = 2 THEN 0 ELSE 1 END AS mask,
          CAST(vec_id // {P.BATCH_SIZE} AS BIGINT) AS batch_id
   FROM embeddings),
   wts AS (SELECT label, tot.n / (10.0 * count(*)) AS weight FROM embeddings, (SELECT count(*) AS n FROM embeddings) tot
@@ -319,8 +349,8 @@ SQL = {
                FROM r GROUP BY split, step, batch_id),
         lm AS (SELECT split, step, avg(loss_emotion + loss_cause + loss_span) AS loss, avg(loss_span) AS loss_span,
                       avg(loss_cause) AS loss_cause, avg(loss_emotion) AS loss_emotion FROM bl GROUP BY split, step),
-        pe_src AS (SELECT split, step, {amax('el')} AS pred, emotion_label AS ref FROM r),
-        pc_src AS (SELECT split, step, {amax('cl')} AS pred, cause_label AS ref FROM r),
+        pe_src AS (SELECT split, step, {amax('el')} AS pred, emotion_label AS ref FROM r WHERE mask = 1),
+        pc_src AS (SELECT split, step, {amax('cl')} AS pred, cause_label AS ref FROM r WHERE mask = 1),
         fe AS (SELECT split, step, coalesce(sum(f1 * support) / sum(support), 0.0) AS f1_emotion
                FROM {f1_sql('pe_src', 'split, step')} GROUP BY split, step),
         fc AS (SELECT split, step, coalesce(sum(f1 * support) / sum(support), 0.0) AS f1_cause
@@ -328,9 +358,18 @@ SQL = {
         wide AS (SELECT * FROM lm JOIN fe USING (split, step) JOIN fc USING (split, step))
         SELECT split, metric, CAST(step AS INTEGER) AS step, round(value, 6) AS value FROM (
           UNPIVOT wide ON loss, loss_span, loss_cause, loss_emotion, f1_cause, f1_emotion INTO NAME metric VALUE value)""",
-    "decode_predictions": f"WITH {ROWS} SELECT vec_id, {amax('el')} AS emotion, {amax('cl')} AS cause FROM rows",
+    "decode_predictions": f"WITH {ROWS} SELECT vec_id, {amax('el')} AS emotion, {amax('cl')} AS cause FROM rows WHERE mask = 1",
     "decode_spans": f"""WITH {ROWS} SELECT vec_id, start, stop FROM (
         SELECT vec_id, {amax('sl')} AS start, {amax('tl')} AS stop FROM rows) WHERE start + stop <> 0""",
+    "nested_spans": f"""WITH e AS (
+          SELECT vec_id // 16 AS conv_id, CAST(vec_id // 4 % 4 AS INTEGER) AS effect, CAST(vec_id % 4 AS INTEGER) AS cause,
+                 CAST(embedding AS DOUBLE[])[1:32] AS sl, CAST(embedding AS DOUBLE[])[33:64] AS tl FROM embeddings),
+        d AS (SELECT conv_id, effect, cause, {amax('sl')} AS start, {amax('tl')} AS stop FROM e)
+        SELECT CAST(conv_id AS BIGINT) AS conv_id, effect, string_agg(cause || '-' || start || '-' || stop, ',' ORDER BY cause) AS spans
+        FROM d WHERE start + stop <> 0 AND effect < conv_id % 4 + 1 AND cause < conv_id % 4 + 1 GROUP BY conv_id, effect""",
+    "custom_metric": f"""WITH {ROWS} SELECT cause_label, round(avg(CASE WHEN {amax('el')} = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy
+        FROM rows GROUP BY cause_label""",
+    "filter_with": f"WITH {ROWS} SELECT vec_id, label FROM rows WHERE mask = 1 AND list_max(el) > 0.25",
     "valid_length": f"""WITH {_U}
         SELECT conversation_ID, CAST(floor(sqrt(count(*) * count(*))) AS INTEGER) AS n_valid FROM u GROUP BY conversation_ID""",
 }

@@ -20,16 +20,17 @@ def in_list(words) -> str:
     return "(" + ", ".join(q(w) for w in words) + ")"
 
 
-def flags_sql(term: str) -> str:
+def flags_sql(term: str, more: list[tuple[str, str]] = ()) -> str:
+    """Flags by the standard rules and by ``more`` (flag, pattern)."""
     items = []
     rules = dict(P.FLAG_RULES_RE2)
     for flag in P.FLAG_ORDER:
-        if flag not in rules:
-            continue
-        cond = f"regexp_full_match({term}, {q(rules[flag])})"
-        if flag == "Roman":
-            cond = f"(length({term}) > 0 AND {cond})"
-        items.append(f"CASE WHEN {cond} THEN {q(flag)} END")
+        conds = [f"regexp_full_match({term}, {q(rx)})" for name, rx in more if name == flag]
+        if flag in rules:
+            cond = f"regexp_full_match({term}, {q(rules[flag])})"
+            conds.append(f"(length({term}) > 0 AND {cond})" if flag == "Roman" else cond)
+        if conds:
+            items.append(f"CASE WHEN {' OR '.join(conds)} THEN {q(flag)} END")
     found = f"list_filter([{', '.join(items)}], lambda x: x IS NOT NULL)"
     return f"(CASE WHEN len({found}) > 0 THEN {found} ELSE ['Word'] END)"
 

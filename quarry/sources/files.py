@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import io
 import re
+import uuid
 import zipfile
 from xml.etree import ElementTree
 
@@ -20,6 +21,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
+LISTING = "path string, length long"
+LISTING_ROWS = 10_000
+BINARY = "path string, modificationTime timestamp, length long, content binary"
+
 # Media types and the allowed document types.
 MEDIA_DOCX = "application/vnd.openxmlformats-officedocument.wordprocessingml.document"
 MEDIA_OLE2 = "application/x-tika-msoffice"
@@ -31,20 +38,67 @@ ALLOWED_MEDIA_TYPES = (MEDIA_DOCX, MEDIA_OLE2, MEDIA_PDF, MEDIA_TXT)
 SNIFF_BYTES = 1024
 
 
-def scan_files(spark: SparkSession, path: str, extensions=()) -> DataFrame:
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _passed_over(spark: SparkSession, path: str) -> DataFrame:
+    """Files that Spark's sources pass over: empty ones, and those with a part of
+    their path below ``path`` that begins with ``_`` or ``.``.  The listing is
+    read file by file and written down in pieces, so any number of files can be
+    listed; the other files are listed by Spark, on the cluster."""
+    fs, p = _fs(spark, path)
+    root = fs.resolvePath(p).toString().rstrip("/")
+    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-listing-{uuid.uuid4().hex}"
+    found, rows = fs.listFiles(p, True), []
+
+    def put() -> None:
+        spark.createDataFrame(rows, LISTING).write.mode("append").parquet(out)
+        rows.clear()
+
+    while found.hasNext():
+        status = found.next()
+        name, size = status.getPath().toString(), status.getLen()
+        below = name.removeprefix(root).split("/") if name != root else [name.rsplit("/", 1)[-1]]
+        if size == 0 or any(x[:1] in ("_", ".") for x in below):
+            rows.append((name, size))
+        if len(rows) == LISTING_ROWS:
+            put()
+    put()
+    return spark.read.schema(LISTING).parquet(out)
+
+
+def _read_passed_over(batches):
+    """The bytes of the listed files, opened where the task runs."""
+    import pyarrow as pa
+    from pyarrow import fs as pafs
+
+    for batch in batches:
+        for path, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            content = b""
+            if size:
+                uri = re.sub(r"^file:/(?!/)", "file:///", path)
+                system, name = pafs.FileSystem.from_uri(uri.replace(" ", "%20"))
+                with system.open_input_stream(name) as stream:
+                    content = stream.read()
+            yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([size], pa.int64()), pa.array([content], pa.binary())], names=["path", "length", "content"])
+
+
+def scan_files(spark: SparkSession, path: str, extensions=(), every: bool = False) -> DataFrame:
     """SRC-1: regular files under ``path`` (a directory, recursively, or a
     single file); a missing path is an error.  With ``extensions`` only
-    matching paths are kept (SRC-2).  Spark skips names starting with
-    ``_`` or ``.``."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    matching paths are kept (SRC-2).  Spark passes over empty files and names
+    starting with ``_`` or ``.``; with ``every`` they are listed and read too."""
+    fs, p = _fs(spark, path)
     if not fs.exists(p):
         raise FileNotFoundError(path)
-    df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    if extensions:
-        df = df.where(has_extension(F.col("path"), extensions))
-    return df
+    matching = has_extension(F.col("path"), extensions) if extensions else F.lit(True)
+    if not every:
+        return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).where(matching)
+    rest = _passed_over(spark, path).where(matching).repartition("path").mapInArrow(_read_passed_over, "path string, length long, content binary")
+    usual = spark.read.schema(BINARY).format("binaryFile").option("recursiveFileLookup", "true").load(path).where(matching)
+    return usual.where("length > 0").select("path", "length", "content").unionByName(rest)
 
 
 def has_extension(path: Column, extensions) -> Column:

@@ -55,6 +55,24 @@ def test_scan_extensions_and_types(spark, tree):
         SF.scan_files(spark, os.path.join(tree, "nope"))
 
 
+def test_every_file_is_listed(spark, tmpdir_fresh, monkeypatch):
+    monkeypatch.setattr(SF, "LISTING_ROWS", 3)
+    files = {"a.txt": "alpha", "empty.txt": "", "_hidden.txt": "hidden é", ".dot/in.txt": "inner", "sub/_x/y z.txt": "deep", "sub/b.bin": "\x00\x01",
+             ".git/config": "c", "sub/.e": "", "_SUCCESS": "", "sub/c.txt": "gamma"}
+    for name, text in files.items():
+        at = os.path.join(tmpdir_fresh, name)
+        os.makedirs(os.path.dirname(at), exist_ok=True)
+        with open(at, "w") as f:
+            f.write(text)
+    walked = {os.path.relpath(os.path.join(d, x), tmpdir_fresh) for d, _, names in os.walk(tmpdir_fresh) for x in names}
+    rows = SF.scan_files(spark, tmpdir_fresh, every=True).collect()
+    got = {os.path.relpath(r.path.removeprefix("file:").replace("%20", " "), tmpdir_fresh): bytes(r.content).decode() for r in rows}
+    assert got == files and set(got) == walked and len(rows) == len(walked)
+    texts = SF.scan_files(spark, tmpdir_fresh, "txt", every=True)
+    assert texts.count() == sum(n.endswith(".txt") for n in files)
+    assert [bytes(r.content) for r in SF.scan_files(spark, f"{tmpdir_fresh}/_hidden.txt", every=True).collect()] == ["hidden é".encode()]
+
+
 def test_extract_and_rejects(spark, tree):
     docs, rejects = SF.load_documents(spark, tree)
     got = {r.filename: r.text for r in docs.collect()}
