@@ -12,6 +12,7 @@ row; further columns are not read."""
 from __future__ import annotations
 
 import re
+from decimal import Decimal
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,12 +28,16 @@ FEATURES = 1 << BITS
 #: Documents a language in the learner's sample (expected; drawn by a hash of the id).
 PER_LANG = 700
 EPOCHS = 3
-_LETTER = re.compile(r"[^\W\d_]")
+_WORD = re.compile(r"[^\W\d_]")  # letters, and number signs such as \u00bd
 _M1, _M2 = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77)
 
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
+def has_letter(text: str) -> bool:
+    return any(found.group().isalpha() for found in _WORD.finditer(text))
+
+
 def buckets(text: str) -> np.ndarray:
     """A feature for each character n-gram of one to three characters of the
     lower-cased text, in order of occurrence."""
@@ -80,7 +85,8 @@ def sample(docs: DataFrame, per_lang: int) -> list[tuple[str, Row]]:
     """The bounded sample as sparse rows, in a fixed order."""
     # One row a language, as the model has a column for each: small enough to broadcast.
     sizes = docs.groupBy("lang").agg(F.count("*").alias("lang_rows"))
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)) * F.col("lang_rows") < 1_000_000 * per_lang
+    # The hash as 62 bits against a threshold in whole numbers: right for any number of rows.
+    draw = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(7)), 2) <= F.floor(F.lit(Decimal(per_lang << 62)) / F.col("lang_rows").cast("decimal(20,0)"))
     drawn = docs.join(F.broadcast(sizes), "lang").where(draw).select("doc_id", "lang", "text")
 
     def features(batch: pa.RecordBatch) -> dict:
@@ -117,7 +123,7 @@ def predict(docs: DataFrame, model: dict | None) -> DataFrame:
 
     def one(text: str | None) -> tuple[str, float]:
         m = shared.value
-        if m is None or text is None or not _LETTER.search(text):
+        if m is None or text is None or not has_letter(text):
             return "und", 0.0
         at = buckets(text)
         p = softmax(m["weights"][at].sum(axis=0, dtype=np.float64) / len(at) + m["bias"])

@@ -1,6 +1,7 @@
 """Operators that judge each row: repetition, licences, languages, URLs, packing."""
 
 import re
+import time
 import zlib
 
 import numpy as np
@@ -79,8 +80,23 @@ def test_licence_expressions():
     assert licences.evaluate("(MIT OR GPL-2.0) AND CC-BY-NC-4.0")[1] == 0.1
     assert licences.evaluate("MIT OR GPL-2.0 AND CC-BY-NC-4.0")[1] == 1.0  # and binds closer
     assert licences.evaluate("GPL-2.0 WITH Classpath-exception-2.0") == ({"gpl-2"}, 0.3)
-    for bad in ("", "AND", "(MIT", "MIT OR", "MIT )", "OR MIT", "()"):
-        assert licences.evaluate(bad) is None or bad == "MIT )"
+    for bad in ("", "AND", "(MIT", "OR MIT", "()", "Mitigated risk", "see file LICENSE", "x"):
+        assert licences.evaluate(bad) is None
+    for cut in ("MIT )", "MIT OR", "MIT or", "MIT AND (see LICENSE)", "MIT OR (Apache-2.0", "MIT AND so on", "MIT WITH", "MIT (ISC)"):
+        assert licences.evaluate(cut) == ({"mit"}, 1.0)
+
+
+def test_licence_tags_in_a_long_line(none):
+    phrases = tuple((p, x, True) for p, x in BASE.items())
+    begun = time.process_time()
+    row = licences.scan(b"SPDX-License-Identifier: MIT OR (x " * 100_000, phrases)
+    assert row[5] == "mit" and len(row[7]) == 100_000 and set(row[7]) == {"MIT"}
+    assert time.process_time() - begun < 5
+    assert licences.scan_licences(none).count() == 0 and repetition.repetition_rules(none).count() == 0
+
+
+def test_letters():
+    assert [language.has_letter(t) for t in ("a", "\u00e9", "\u4f60", "", "12 _ !", "\u00bd \u00b2 \u2167 _", "\u00bda")] == [True, True, True, False, False, False, True]
 
 
 def test_licence_expressions_within_prose():
