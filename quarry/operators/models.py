@@ -47,3 +47,14 @@ def fit_cause(df: DataFrame, features: str, label: str, cause_label: str) -> Dat
     m2 = fit_head(stage2, "_f2", cause_label)
     p2 = predict_head(m2, stage2, "_f2", prefix="cause_")
     return p2.drop("_f2")
+
+
+def loss_gradient(scored: DataFrame, features: str, label: str, probability: str = "probability", weight: str | None = None) -> DataFrame:
+    """(class, idx, gradient): the gradient of the mean weighted cross-entropy in
+    the head's weights, at the probabilities of ``scored``; near 0 where a fit
+    without a penalty has converged."""
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    off = F.transform(probability, lambda p, c: w * (p - (F.col(label) == c).cast("double")))
+    rows = scored.select(w.alias("_w"), F.col(features).cast("array<double>").alias("_x"), F.posexplode(off).alias("class", "_d"))
+    each = rows.select("class", "_w", F.posexplode(F.transform("_x", lambda x: x * F.col("_d"))).alias("idx", "_g"))
+    return each.groupBy("class", "idx").agg((F.sum("_g") / F.sum("_w")).alias("gradient"))

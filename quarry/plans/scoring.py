@@ -235,6 +235,28 @@ def fit_cause(spark, sf):
     return out.select("vec_id", "prediction", "cause_prediction")
 
 
+def head_gradient(spark, sf):
+    """ML-1/2: the loss has no slope left at the fitted weights of the emotion head."""
+    from ..operators import models
+
+    e = load(spark, sf, "embeddings", spread_rows=True)
+    w = S.apply_weights(e, S.balanced_weights(e, "label", 10), "label")
+    scored = models.predict_head(models.fit_head(w, "embedding", "label", "weight", max_iter=200), w, "embedding")
+    g = models.loss_gradient(scored, "embedding", "label", weight="weight")
+    return g.select("class", "idx", (F.abs(F.col("gradient")) < 0.002).alias("flat"))
+
+
+def cause_gradient(spark, sf):
+    """ML-3: the same for the cause head on emotion probabilities and vector."""
+    from ..operators import models
+
+    e = load(spark, sf, "embeddings", spread_rows=True).withColumn("cause_label", F.when(F.col("label") >= 5, 1).otherwise(0))
+    scored = models.fit_cause(e, "embedding", "label", "cause_label")
+    x = F.concat("probability", V.to_double(F.col("embedding")))
+    g = models.loss_gradient(scored.withColumn("x", x), "x", "cause_label", "cause_probability")
+    return g.select("class", "idx", (F.abs(F.col("gradient")) < 0.002).alias("flat"))
+
+
 QUERIES = {
     "softmax": softmax, "argmax": argmax, "mean_vector": mean_vector, "concat_features": concat_features,
     "cross_entropy": cross_entropy, "emotion_loss": emotion_loss, "cause_loss": cause_loss, "span_loss": span_loss,
@@ -242,6 +264,7 @@ QUERIES = {
     "evaluate": evaluate, "epoch_report": epoch_report, "decode_predictions": decode_predictions,
     "decode_spans": decode_spans, "nested_spans": nested_spans, "custom_metric": custom_metric, "filter_with": filter_with,
     "valid_length": valid_length, "fit_head": fit_head, "fit_cause": fit_cause,
+    "head_gradient": head_gradient, "cause_gradient": cause_gradient,
 }
 
 # --------------------------------------------------------------------------- SQL
@@ -370,6 +393,10 @@ SQL = {
     "custom_metric": f"""WITH {ROWS} SELECT cause_label, round(avg(CASE WHEN {amax('el')} = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy
         FROM rows GROUP BY cause_label""",
     "filter_with": f"WITH {ROWS} SELECT vec_id, label FROM rows WHERE mask = 1 AND list_max(el) > 0.25",
+    "head_gradient": """SELECT DISTINCT CAST(c AS INTEGER) AS class, CAST(i AS INTEGER) AS idx, true AS flat
+        FROM (SELECT len(embedding) AS n FROM embeddings), range(10) a(c), range(n) b(i)""",
+    "cause_gradient": """SELECT DISTINCT CAST(c AS INTEGER) AS class, CAST(i AS INTEGER) AS idx, true AS flat
+        FROM (SELECT len(embedding) + 10 AS n FROM embeddings), range(2) a(c), range(n) b(i)""",
     "valid_length": f"""WITH {_U}
         SELECT conversation_ID, CAST(floor(sqrt(count(*) * count(*))) AS INTEGER) AS n_valid FROM u GROUP BY conversation_ID""",
 }
