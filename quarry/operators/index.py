@@ -34,7 +34,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import stage_table
 from .analyzer import AnalyzerOptions, analyze, explode_token_rows
+from .rowindex import with_row_index
 
 INDEX_TABLES = ("postings", "terms", "docs", "stats")
 # Bytes of postings in a bucket of the layout by term.
@@ -136,12 +138,20 @@ class Index:
 
     def __init__(self, postings: DataFrame, terms: DataFrame, docs: DataFrame, stats: DataFrame,
                  deletions: DataFrame | None = None, grams: DataFrame | None = None):
+        self._numbered = None
         self.deletions, self.grams = deletions, grams  # see ``expansion``; None where not written
         self.postings = postings
         self.terms = terms
         self.docs = docs
         self.stats = stats
 
+    def numbered_docs(self) -> DataFrame:
+        """(doc_id, place): the documents numbered in index order, written once
+        for this handle."""
+        if self._numbered is None:
+            self._numbered = stage_table(with_row_index(self.docs.select("doc_id"), ["doc_id"], "place"), "places")
+        return self._numbered
+
     @property
     def by_term(self) -> bool:
         """Whether the postings lie in buckets that the term table names."""

@@ -30,13 +30,14 @@ from ..session import BROADCAST_MAX_ROWS, broadcast_if_small, ensure_checkpoint_
 from .analyzer import AnalyzerOptions, analyze, explode_token_rows
 from .expansion import fuzzy_candidates, pattern_candidates
 from .index import Index
-from .rowindex import with_row_index
 
 OCCURS = ("MUST", "SHOULD", "MUST_NOT")
 KINDS = ("term", "phrase", "prefix", "wildcard", "regex", "fuzzy", "range", "match_all")
 SCORE_DIGITS = 6
 # Literal term filters pushed to the postings scan up to this many terms.
 PUSHDOWN_MAX_TERMS = 5000
+# Places that are counted together where a query takes documents out.
+PLACE_BLOCK = 8192
 # Clauses whose predicates are compiled into one vocabulary scan at a time.
 PREDICATE_CHUNK = 200
 # Regex / range clause specs pass through the driver: bounded per batch.
@@ -654,18 +655,28 @@ def search(index: Index, clauses: DataFrame, k: int = P.TOP_K, stem: bool = True
 def match_rest(index: Index, queries: DataFrame, scored: DataFrame, negated: DataFrame, k: int = P.TOP_K) -> DataFrame:
     """Match-all next to optional and excluded clauses: every document but the
     ``negated`` ones (query_id, doc_id) matches, the ``scored`` ones with their
-    score, the rest with the boost.  The rest of a query's first k is among its
-    first k + scored + negated documents, so only those are looked up."""
+    score, the rest with the boost.  Only the first k of the rest can be among a
+    query's first k: taken documents are counted by blocks of places, and of the
+    first blocks with a free place, k at most, the places are looked at."""
     scored = scored.join(queries.select("query_id"), "query_id", "left_semi").checkpoint()
     negated = negated.join(queries.select("query_id"), "query_id", "left_semi").checkpoint()
-    taken = scored.select("query_id", "doc_id").union(negated).distinct()
+    numbered = index.numbered_docs()
+    taken = scored.select("query_id", "doc_id").union(negated).distinct().join(numbered, "doc_id")
+    taken = taken.select("query_id", "place", F.floor(F.col("place") / PLACE_BLOCK).cast("long").alias("block")).checkpoint()
     n_docs = F.broadcast(index.docs.agg(F.count(F.lit(1)).alias("n_docs")))  # one row
-    used = taken.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_taken"))
-    places = queries.join(used, "query_id", "left").crossJoin(n_docs).where("n_docs > 0")
-    last = F.least(F.col("n_docs"), F.lit(k) + F.coalesce("n_taken", F.lit(0))) - 1
-    places = places.select("query_id", "boost", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("place"))
-    numbered = with_row_index(index.docs.select("doc_id"), ["doc_id"], "place")
-    rest = places.join(numbered, "place").join(taken, ["query_id", "doc_id"], "left_anti").select("query_id", "doc_id", F.col("boost").alias("score"))
+    used = taken.groupBy("query_id", "block").agg(F.count(F.lit(1)).alias("n_taken"))
+    total = used.groupBy("query_id").agg(F.sum("n_taken").alias("n_all"))
+    last = F.least(F.col("n_docs"), F.lit(k) + F.coalesce("n_all", F.lit(0))) - 1
+    blocks = queries.join(total, "query_id", "left").crossJoin(n_docs).where("n_docs > 0")
+    blocks = blocks.select("query_id", "boost", "n_docs", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / PLACE_BLOCK).cast("long"))).alias("block"))
+    end = F.least(F.col("n_docs"), (F.col("block") + 1) * PLACE_BLOCK)
+    blocks = blocks.join(used, ["query_id", "block"], "left").withColumn("free", end - F.col("block") * PLACE_BLOCK - F.coalesce("n_taken", F.lit(0)))
+    earlier = Window.partitionBy("query_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("before", F.coalesce(F.sum("free").over(earlier), F.lit(0))).where((F.col("free") > 0) & (F.col("before") < k))
+    places = blocks.select("query_id", "boost", F.explode(F.sequence(F.col("block") * PLACE_BLOCK, end - 1)).alias("place"))
+    order = Window.partitionBy("query_id").orderBy("place")
+    free = places.join(taken, ["query_id", "place"], "left_anti").withColumn("r", F.row_number().over(order)).where(F.col("r") <= k)
+    rest = free.join(numbered, "place").select("query_id", "doc_id", F.col("boost").alias("score"))
     first = top_k(scored.unionByName(rest).select("query_id", "doc_id", F.round("score", SCORE_DIGITS).alias("score")), k)
     out = negated.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_out"))
     totals = queries.join(out, "query_id", "left").crossJoin(n_docs).select(

@@ -143,3 +143,25 @@ def test_match_all_next_to_other_clauses(spark, idx):
     assert run(every, ("MUST", "term", "banana", 1.0, 0), ("MUST_NOT", "term", "split", 1.0, 0)) == [(0, 1)]
     assert run(("MUST_NOT", "match_all", None, 1.0, 0), ("SHOULD", "term", "apple", 1.0, 0)) == []
     assert run(every, every) == [(i, 5) for i in range(5)]
+
+
+def test_rest_of_many_taken_documents(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(S, "PLACE_BLOCK", 7)
+    rnd, n, k = random.Random(8), 90, 5
+    docs = spark.createDataFrame([(i * 3, f"d{i}") for i in range(n)], "doc_id long, text string")
+    ix = I.build_index(docs, A.AnalyzerOptions(stem=False))
+    scored, negated, want = [], [], {}
+    for q, out in enumerate((0, 1, 30, 80, 88, 90)):
+        gone = set(rnd.sample(range(n), out)) if q != 2 else set(range(out))
+        hit = {i: round(2 + rnd.random(), 3) for i in set(range(n)) - gone if rnd.random() < 0.1}
+        negated += [(q, i * 3) for i in gone]
+        scored += [(q, i * 3, s) for i, s in hit.items()]
+        ranked = sorted(((-hit.get(i, 1.0), i * 3) for i in set(range(n)) - gone))[:k]
+        want[q] = [(d, -s, n - out) for s, d in ranked]
+    queries = spark.createDataFrame([(q, 1.0) for q in want], "query_id long, boost double")
+    rows = S.match_rest(ix, queries, spark.createDataFrame(scored, "query_id long, doc_id long, score double"),
+                        spark.createDataFrame(negated, "query_id long, doc_id long"), k).collect()
+    got = {q: [(r.doc_id, r.score, r.total_hits) for r in sorted((r for r in rows if r.query_id == q), key=lambda r: r.rank)] for q in want}
+    assert got == want
