@@ -6,12 +6,16 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Broadcast only below this many rows (sides whose size is counted first).
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 64 << 20
+# Known row counts up to this are broadcast without measuring their bytes.
+UNMEASURED_ROWS = 20_000
 
 
 def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "quarry") -> SparkSession:
@@ -58,12 +62,21 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """Roughly the bytes of a row in memory: the lengths of texts, 32 for an
+    element of an array, 8 for any other value, and 16 for the row."""
+    sizes = [F.octet_length(F.col(f"`{c}`")) if t in ("string", "binary") else F.size(F.col(f"`{c}`")) * 32 if t.startswith("array") else F.lit(8) for c, t in df.dtypes]
+    return reduce(lambda a, b: a + b, [F.coalesce(x, F.lit(0)).cast("long") for x in sizes], F.lit(16).cast("long"))
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, known_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only when its row count (counted, or a proven bound
-    passed as ``known_rows``) is below ``max_rows``; otherwise leave the
-    join strategy to the planner (shuffle join)."""
-    n = known_rows if known_rows is not None else df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    """Broadcast ``df`` only where its rows (counted, or a proven bound passed as
+    ``known_rows``) and its measured bytes allow; otherwise leave the join
+    strategy to the planner (shuffle join).  A few rows are not measured."""
+    if known_rows is not None and (known_rows > max_rows or known_rows <= UNMEASURED_ROWS):
+        return F.broadcast(df) if known_rows <= UNMEASURED_ROWS else df
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if size.n <= max_rows and size.bytes <= BROADCAST_MAX_BYTES else df
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

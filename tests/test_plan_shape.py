@@ -34,3 +34,16 @@ def test_row_index_with_payload_over_many_partitions(spark):
     out = with_row_index(df, ["h", "id"], "idx", num_partitions=9)
     row = out.agg(F.count("*").alias("n"), F.countDistinct("idx").alias("d"), F.min("idx").alias("a"), F.max("idx").alias("b")).first()
     assert tuple(row) == (400_000, 400_000, 0, 399_999)
+
+
+def test_broadcasts_are_measured_in_bytes(spark, monkeypatch):
+    from quarry import session
+
+    monkeypatch.setattr(session, "UNMEASURED_ROWS", 10)
+    monkeypatch.setattr(session, "BROADCAST_MAX_BYTES", 100_000)
+    hinted = lambda df: "strategy=broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+    wide = spark.range(50).select("id", F.expr("repeat('x', 5000)").alias("t"), F.array("id").alias("a"))
+    narrow = spark.range(50)
+    assert hinted(session.broadcast_if_small(narrow)) and not hinted(session.broadcast_if_small(wide))
+    assert hinted(session.broadcast_if_small(narrow, known_rows=50)) and not hinted(session.broadcast_if_small(wide, known_rows=50))
+    assert hinted(session.broadcast_if_small(wide, known_rows=9)) and not hinted(session.broadcast_if_small(narrow, known_rows=3_000_000))
