@@ -161,6 +161,8 @@ def fragments(ids: np.ndarray, origin: int, start: int, stop: int, lo: int, hi:
         if blocks <= 0 or len(ids) < 2 * block:
             continue
         at = np.flatnonzero(words.equal_blocks(first, blocks, block))
+        if not len(at):
+            continue
         c, p = first + at // block * block, block + at % block
         whole = primitive(words, c, p)
         c, p = c[whole], p[whole]
