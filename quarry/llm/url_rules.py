@@ -128,6 +128,11 @@ def _sweep(default: str):
     return run
 
 
+def draw_limit(total: int) -> int:
+    """Hashes of 62 bits below this draw about ``SAMPLE_KEYS`` of ``total`` rows."""
+    return (SAMPLE_KEYS << 62) // max(total, SAMPLE_KEYS)
+
+
 def url_verdicts(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFrame:
     """The rule and verdict of every page; ``default`` where no rule fits.
     ``rules``: host, path (with its leading slash), verdict."""
@@ -135,8 +140,7 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, default: str = "allow") ->
     keyed = pages.select("page_id", "url", F.xxhash64("page_id", "url").alias("salt"))
     total = keyed.count()
     ranges = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), total // RANGE_ROWS)
-    share = min(1.0, SAMPLE_KEYS / max(total, 1))
-    drawn = keyed.where(F.expr(f"pmod(xxhash64(salt), 1000000) < {int(share * 1e6)}")).select("url", "salt").limit(2 * SAMPLE_KEYS)
+    drawn = keyed.where(F.shiftrightunsigned(F.xxhash64("salt"), 2) < draw_limit(total)).select("url", "salt").limit(2 * SAMPLE_KEYS)
     sample = sorted(sort_key(split_url(r.url.encode() if r.url is not None else None)[0], r.salt) for r in drawn.toLocalIterator())
     bounds = sorted({sample[i * len(sample) // ranges] for i in range(1, ranges)}) if sample else []
     events = keyed.mapInArrow(_page_events(bounds), _EVENTS).unionByName(

@@ -95,6 +95,12 @@ def test_licence_tags_in_a_long_line(none):
     assert licences.scan_licences(none).count() == 0 and repetition.repetition_rules(none).count() == 0
 
 
+def test_samples_of_range_bounds_at_any_size():
+    assert url_rules.draw_limit(0) == url_rules.draw_limit(url_rules.SAMPLE_KEYS) == 1 << 62
+    for rows in (10**6, 10**11, 10**15):
+        assert url_rules.draw_limit(rows) * rows == pytest.approx(url_rules.SAMPLE_KEYS << 62, rel=1e-3)
+
+
 def test_letters():
     assert [language.has_letter(t) for t in ("a", "\u00e9", "\u4f60", "", "12 _ !", "\u00bd \u00b2 \u2167 _", "\u00bda")] == [True, True, True, False, False, False, True]
 
