@@ -196,7 +196,7 @@ def fold_ascii(term: Column) -> Column:
     for ch, rep in multi:
         out = F.replace(out, F.lit(ch), F.lit(rep))
     # pure-ASCII terms (most of them) have nothing to fold
-    return F.when(term.rlike(r"^[\x00-\x7F]*$"), term).otherwise(out)
+    return F.when(F.octet_length(term) == F.length(term), term).otherwise(out)
 
 
 def fold_ascii_py(s: str) -> str:

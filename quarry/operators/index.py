@@ -56,7 +56,7 @@ def build_postings(analyzed: DataFrame, norm: str = "lossy") -> DataFrame:
     starts, and slice the runs.  No aggregation and no exchange; postings
     stay with their document's partition."""
     dl = analyzed["dl"] if norm == "exact" else T.lossy_length(analyzed["dl"])
-    srt = F.array_sort(F.transform("tokens", lambda x: F.struct(x["term"].alias("term"), x["pos"].alias("pos"))))
+    srt = F.sort_array(F.transform("tokens", lambda x: F.struct(x["term"].alias("term"), x["pos"].alias("pos"))))
     a = analyzed.select("doc_id", dl.alias("dl"), F.col("dl").alias("dl_exact"), srt.alias("_s"))
     s = F.col("_s")
     n = F.size(s)
@@ -138,7 +138,7 @@ class Index:
 
     def __init__(self, postings: DataFrame, terms: DataFrame, docs: DataFrame, stats: DataFrame,
                  deletions: DataFrame | None = None, grams: DataFrame | None = None):
-        self._numbered = None
+        self._numbered = self._n_docs = None
         self.deletions, self.grams = deletions, grams  # see ``expansion``; None where not written
         self.postings = postings
         self.terms = terms
@@ -152,6 +152,14 @@ class Index:
             self._numbered = stage_table(with_row_index(self.docs.select("doc_id"), ["doc_id"], "place"), "places")
         return self._numbered
 
+    @property
+    def n_docs(self) -> int:
+        """Documents with a token, read once for this handle."""
+        if self._n_docs is None:
+            row = self.stats.select("n_docs").first()
+            self._n_docs = row.n_docs if row else 0
+        return self._n_docs
+
     @property
     def by_term(self) -> bool:
         """Whether the postings lie in buckets that the term table names."""

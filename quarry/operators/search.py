@@ -10,23 +10,25 @@ regex / fuzzy / range / match_all.
 
 Physical shape: the query side is small and is broadcast only behind a row
 count check; postings are scanned once per batch of queries with a
-``term IN`` filter pushed to parquet; candidates are repartitioned once by
-(query_id, doc_id) for the per-clause and per-query sums; top-k uses a
-window limited per query (partial limit before the exchange); stored
-fields are fetched for the k hits only.
+``term IN`` filter pushed to parquet and dealt once by document; equal clauses
+are scored once a document, and joined with the queries that ask for them only
+there, so that clause, query and document never meet in an exchange; each shard
+of documents gives its first k of a query and its count, and the first k of those
+are the result; stored fields are fetched for the k hits only.
 """
 
 from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..session import BROADCAST_MAX_ROWS, broadcast_if_small, ensure_checkpoint_dir
+from ..session import BROADCAST_MAX_ROWS, broadcast_if_small, ensure_checkpoint_dir, stage_table
 from .analyzer import AnalyzerOptions, analyze, explode_token_rows
 from .expansion import fuzzy_candidates, pattern_candidates
 from .index import Index
@@ -36,6 +38,10 @@ KINDS = ("term", "phrase", "prefix", "wildcard", "regex", "fuzzy", "range", "mat
 SCORE_DIGITS = 6
 # Literal term filters pushed to the postings scan up to this many terms.
 PUSHDOWN_MAX_TERMS = 5000
+# Documents of a shard, and shards of a task: a query's documents are ranked by shard first.
+SHARD_DOCS, TASK_SHARDS = 1024, 8
+# Weights of clause terms that are joined after the postings are dealt by document.
+LOCAL_WEIGHTS = 500_000
 # Places that are counted together where a query takes documents out.
 PLACE_BLOCK = 8192
 # Clauses whose predicates are compiled into one vocabulary scan at a time.
@@ -158,6 +164,22 @@ def free_text_groups(qtokens: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Top-k, totals, fetch
 # ---------------------------------------------------------------------------
+def by_document(index: Index, rows: DataFrame) -> DataFrame:
+    """``rows`` dealt by document, with the ``shard`` of each: what is grouped by
+    shard and document, or by shard and query, needs no further exchange."""
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-index.n_docs // (SHARD_DOCS * TASK_SHARDS)))
+    return rows.withColumn("shard", F.pmod(F.hash("doc_id"), F.lit(tasks * TASK_SHARDS))).repartition(tasks, "shard")
+
+
+def first_by_shard(scored: DataFrame, k: int) -> DataFrame:
+    """(query_id, doc_id, score, n): the best k of a query in every shard; ``n``
+    is the shard's number of matching documents, at the first of them only."""
+    w = Window.partitionBy("shard", "query_id")
+    ranked = scored.select("*", F.row_number().over(w.orderBy(F.desc("score"), F.asc("doc_id"))).alias("r"))
+    ranked = ranked.select("*", F.count(F.lit(1)).over(w).alias("_n")).where(F.col("r") <= k)
+    return ranked.select("query_id", "doc_id", "score", F.when(F.col("r") == 1, F.col("_n")).otherwise(0).alias("n"))
+
+
 def top_k(scored: DataFrame, k: int = P.TOP_K) -> DataFrame:
     """QRY-16: best k per query by score desc, then index order (doc_id)."""
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("doc_id"))
@@ -185,13 +207,15 @@ def fetch_docs(hits: DataFrame, index: Index, known_rows: int | None = None) ->
 
 
 def rank_results(index: Index, per_doc: DataFrame, k: int, n_queries: int) -> DataFrame:
-    """Round, rank, count and fetch: the common tail of every search."""
-    # top-k and the hit totals both read the scored candidates: write them
-    # once to the shared checkpoint folder instead of scoring twice
+    """Round, rank, count and fetch: the common tail of every search.  Scored
+    candidates are read once, where they are made; only the first k of each
+    shard of documents, with the shard's count, are written."""
     ensure_checkpoint_dir(per_doc.sparkSession)
-    scored = per_doc.select("query_id", "doc_id", F.round("score", SCORE_DIGITS).alias("score")).checkpoint()
-    hits = top_k(scored, k)
-    totals = broadcast_if_small(total_hits(scored), known_rows=n_queries)
+    dealt = per_doc if "shard" in per_doc.columns else by_document(index, per_doc)
+    scored = dealt.select("shard", "query_id", "doc_id", F.round("score", SCORE_DIGITS).alias("score"))
+    first = first_by_shard(scored, k).checkpoint()
+    hits = top_k(first.drop("n"), k)
+    totals = broadcast_if_small(first.groupBy("query_id").agg(F.sum("n").alias("total_hits")), known_rows=n_queries)
     hits = hits.join(totals, "query_id")
     out = fetch_docs(hits, index, known_rows=n_queries * k)
     return out.select(
@@ -220,24 +244,35 @@ def run_queries(index: Index, queries: DataFrame, k: int = P.TOP_K, stem: bool =
     n_multi = multi.count()
     per_doc = score_terms(index, single, known_rows=n_single)
     if n_multi:
-        per_doc = per_doc.unionByName(score_term_groups(index, multi, known_rows=n_multi).select("query_id", "doc_id", "score"))
-    per_doc = per_doc.groupBy("query_id", "doc_id").agg(F.sum("score").alias("score"))
+        groups = score_term_groups(index, multi, known_rows=n_multi).select("query_id", "doc_id", "score")
+        per_doc = by_document(index, per_doc.select("query_id", "doc_id", "score").unionByName(groups))
+        per_doc = per_doc.groupBy("shard", "query_id", "doc_id").agg(F.sum("score").alias("score"))
     return rank_results(index, per_doc, k, n_queries)
 
 
+def postings_by_document(index: Index, terms: DataFrame, n: int, *more: str) -> tuple[DataFrame, DataFrame]:
+    """The known ``terms`` (term, tid, df), numbered, and their postings (tid,
+    doc_id, tf, dl and the columns ``more``); not yet dealt."""
+    named, keys = _dealt(index, broadcast_if_small(terms.select("term").distinct(), known_rows=n))
+    known = named.select("term", "df").distinct().withColumn("tid", F.monotonically_increasing_id())
+    known = stage_table(known, "query-terms")
+    named = named.select(*keys).join(broadcast_if_small(known.select("term", "tid"), known_rows=n), "term")
+    post = _postings_for(index, terms, n, *more).join(broadcast_if_small(named, known_rows=n), keys)
+    return known, post.select("tid", "doc_id", "tf", "dl", *more)
+
+
 def score_terms(index: Index, qterms: DataFrame, known_rows: int | None = None) -> DataFrame:
-    """Single-term clauses: ``qterms(query_id, term, weight)`` →
-    (query_id, doc_id, score) with score = weight · bm25 summed per doc.  The
-    postings join is map-side (broadcast query side) and the sum is partially
-    aggregated before the one exchange on (query_id, doc_id)."""
+    """Single-term clauses: ``qterms(query_id, term, weight)`` → (shard, query_id,
+    doc_id, score) with score = weight · bm25 summed per doc.  The postings of the
+    query terms are dealt by document once; queries are joined behind that, so
+    that the sums need no exchange."""
     n = known_rows if known_rows is not None else qterms.count()
-    q = broadcast_if_small(qterms, known_rows=n)
-    with_df, keys = _dealt(index, q)
-    post = _postings_for(index, qterms, n)
-    cand = post.join(broadcast_if_small(with_df, known_rows=n), keys).crossJoin(_stats(index))
-    s = cand.select("query_id", "doc_id",
+    known, post = postings_by_document(index, qterms, n)
+    weights = qterms.join(broadcast_if_small(known, known_rows=n), "term").select("tid", "df", "query_id", "weight")
+    cand = by_document(index, post).join(broadcast_if_small(weights, known_rows=n), "tid").crossJoin(_stats(index))
+    s = cand.select("shard", "query_id", "doc_id",
                     (F.col("weight") * bm25(F.col("tf"), F.col("df"), F.col("dl"), F.col("n_docs"), F.col("avgdl"))).alias("score"))
-    return s.groupBy("query_id", "doc_id").agg(F.sum("score").alias("score"))
+    return s.groupBy("shard", "query_id", "doc_id").agg(F.sum("score").alias("score"))
 
 
 def format_results(results: DataFrame) -> DataFrame:
@@ -294,19 +329,17 @@ def _java_regex_error(spark, rx: str) -> str | None:
         return "invalid regex: " + str(e).splitlines()[-1][:200]
 
 
-def _analyzed_clause_terms(clauses: DataFrame, stem: bool) -> DataFrame:
-    """(query_id, clause_id, occur, boost, slop, pos, ord, term) for term and
-    phrase clauses; the text goes through the query-mode analyser."""
-    a = analyze(clauses.select(F.struct("query_id", "clause_id").alias("key"), "text"), "key", "text",
-                query_options(stem), keep=())
-    t = explode_token_rows(a, ["key"])
-    t = t.select(F.col("key.query_id").alias("query_id"), F.col("key.clause_id").alias("clause_id"),
-                 F.col("t.pos").alias("pos"), F.col("t.ord").alias("ord"), F.col("t.term").alias("term"))
-    return t.join(clauses.select("query_id", "clause_id", "occur", "boost", "slop", "kind"), ["query_id", "clause_id"])
+def _analyzed_unit_terms(units: DataFrame, stem: bool) -> DataFrame:
+    """(unit, kind, slop, pos, ord, term) for term and phrase clauses; the text
+    goes through the query-mode analyser."""
+    a = analyze(units, "unit", "text", query_options(stem), keep=("kind", "slop"))
+    t = explode_token_rows(a, ["unit", "kind", "slop"])
+    return t.select("unit", "kind", "slop", F.col("t.pos").alias("pos"), F.col("t.ord").alias("ord"), F.col("t.term").alias("term"))
 
 
 def _score_phrase(index: Index, pterms: DataFrame, n: int) -> DataFrame:
-    """QRY-7/8: phrase clauses → (query_id, clause_id, doc_id, score).
+    """QRY-7/8: phrase clauses ``pterms(unit, slop, pos, term)`` → (shard, unit,
+    doc_id, score).
 
     A phrase is a row of slots: the analysed positions, each with the set of
     terms there (URL subtokens share a position); any of them fills the slot.
@@ -314,37 +347,43 @@ def _score_phrase(index: Index, pterms: DataFrame, n: int) -> DataFrame:
     Exact (slop 0): tf is the number of starts that all slots share.  Sloppy:
     the least windows that hold a place of every slot, at most ``slop`` wide, no
     place of a term taken twice; each contributes 1 / (1 + width).  The idf is
-    the sum over the phrase's known terms."""
-    w = Window.partitionBy("query_id", "clause_id")
-    pt = pterms.select(
-        "query_id", "clause_id", "boost", "slop", "term",
-        (F.col("pos") - F.min("pos").over(w)).alias("off"),
-        F.dense_rank().over(w.orderBy("pos")).alias("i"))
-    pt = pt.withColumn("n_slots", F.max("i").over(w))
-    known, keys = _dealt(index, pt)
+    the sum over the phrase's known terms.
+
+    The positions of the phrases' terms are dealt by document once.  A place of a
+    phrase's rarest slot looks at the positions around it; only where every slot
+    has a place near enough, those places are kept.  Each window holds a place of
+    the rarest slot, so none is missed."""
+    w = Window.partitionBy("unit")
+    pt = pterms.select("unit", "slop", "term", (F.col("pos") - F.min("pos").over(w)).alias("off"), F.dense_rank().over(w.orderBy("pos")).alias("i"))
+    pt = pt.withColumn("n_slots", F.max("i").over(w)).dropDuplicates(["unit", "i", "term"])
+    known, post = postings_by_document(index, pterms, n, "positions")
     stats = _stats(index)
-    whole = known.dropDuplicates(["query_id", "clause_id", "i", "term"]).crossJoin(stats)
-    clause = whole.groupBy("query_id", "clause_id", "i").agg(F.sum(idf(F.col("df"), F.col("n_docs"))).alias("idf"), F.sum("df").alias("weight"), F.max("n_slots").alias("n_slots"))
-    clause = clause.groupBy("query_id", "clause_id").agg(
-        F.sum("idf").alias("idf_sum"), F.min(F.struct("weight", "i")).alias("rare"), F.count(F.lit(1)).alias("k"), F.max("n_slots").alias("n"))
+    slots = pt.join(broadcast_if_small(known, known_rows=n), "term").crossJoin(stats)
+    slot = slots.groupBy("unit", "i").agg(F.sum(idf(F.col("df"), F.col("n_docs"))).alias("idf"), F.sum("df").alias("weight"), F.max("n_slots").alias("n_slots"),
+                                          F.max("slop").alias("slop"), F.collect_list(F.struct("i", "off", "tid")).alias("s"))
+    phrase = slot.groupBy("unit").agg(F.sum("idf").alias("idf_sum"), F.min(F.struct("weight", "i")).alias("rare"), F.count(F.lit(1)).alias("k"),
+                                      F.max("n_slots").alias("n_slots"), F.max("slop").alias("slop"), F.flatten(F.collect_list("s")).alias("s"))
     # a slot without a known term can't be filled
-    clause = clause.where("k = n").select("query_id", "clause_id", "idf_sum", F.col("rare.i").alias("rare"))
-    known = broadcast_if_small(known.join(clause, ["query_id", "clause_id"]).drop("df"), known_rows=n)
-    hits = _postings_for(index, pterms, n, "positions").join(known, keys)
-    # documents of the rarest slot first: no other can hold the phrase
-    doc = ["query_id", "clause_id", "doc_id"]
-    seeds = hits.where("i = rare").select(*doc)
-    slots = hits.join(seeds, doc, "left_semi").groupBy(*doc, "dl", "boost", "slop", "idf_sum", "n_slots").agg(
-        F.collect_list(F.struct("i", "off", "term", "positions")).alias("s"))
-    slots = slots.where(F.size(F.array_distinct("s.i")) == F.col("n_slots"))
-    starts = lambda j: F.array_distinct(F.flatten(F.transform(
-        F.filter("s", lambda x: x["i"] == j), lambda x: F.transform(x["positions"], lambda p: p - x["off"]))))
-    shared = F.aggregate(F.sequence(F.lit(2), F.col("n_slots")), starts(F.lit(1)), lambda found, j: F.array_intersect(found, starts(j)))
-    exact = slots.where("slop = 0").withColumn("tf", F.size(shared).cast("double"))
-    sloppy = slots.where("slop > 0").withColumn("tf", _sloppy_udf()(F.col("s"), F.col("slop")))
-    both = exact.unionByName(sloppy).where("tf > 0").crossJoin(stats)
-    return both.select(
-        *doc, (F.col("boost") * bm25(F.col("tf"), F.lit(0), F.col("dl"), F.col("n_docs"), F.col("avgdl"), idf_col=F.col("idf_sum"))).alias("score"))
+    phrase = phrase.where("k = n_slots").select("unit", "slop", "n_slots", "idf_sum", F.col("rare.i").alias("rare"), "s")
+    phrase = stage_table(phrase, "phrases")
+    span = phrase.agg(F.max(F.expr("array_max(transform(s, x -> x.off))") + F.col("slop"))).first()[0] or 0
+    rare = phrase.select("*", F.explode("s").alias("x")).where("x.i = rare").select("unit", "slop", "n_slots", "idf_sum", "s", "x.tid", F.col("x.off").alias("at"))
+    places = by_document(index, post).select("shard", "doc_id", "dl", "tid", F.explode("positions").alias("p"))
+    around = Window.partitionBy("shard", "doc_id").orderBy("p").rangeBetween(-span, span)
+    places = places.withColumn("near", F.collect_list(F.struct("p", "tid")).over(around))
+    found = places.join(broadcast_if_small(rare, known_rows=n), "tid").withColumn("start", F.col("p") - F.col("at"))
+    filled = F.expr("""flatten(transform(s, x -> transform(filter(near, y -> y.tid = x.tid and abs(y.p - x.off - start) <= slop),
+        y -> struct(x.i as i, x.off as off, x.tid as term, array(y.p) as positions))))""")
+    found = found.withColumn("f", filled).where(F.size(F.array_distinct("f.i")) == F.col("n_slots"))
+    per = found.groupBy("shard", "unit", "doc_id", "dl", "slop", "idf_sum").agg(F.collect_set("start").alias("starts"), F.flatten(F.collect_list("f")).alias("f"))
+    exact = F.when(F.col("slop") == 0, F.size("starts").cast("double"))
+    if phrase.where("slop > 0").isEmpty():
+        per = per.withColumn("tf", exact)
+    else:
+        per = per.withColumn("_w", _sloppy_udf()(F.when(F.col("slop") > 0, F.col("f")).otherwise(F.expr("slice(f, 1, 0)")), F.col("slop")))
+        per = per.withColumn("tf", F.coalesce(exact, F.col("_w")))
+    return per.where("tf > 0").crossJoin(stats).select(
+        "shard", "unit", "doc_id", bm25(F.col("tf"), F.lit(0), F.col("dl"), F.col("n_docs"), F.col("avgdl"), idf_col=F.col("idf_sum")).alias("score"))
 
 
 def _least_end(slots: list[list[tuple]], shared: bool, start: int, slop: int) -> int | None:
@@ -411,12 +450,12 @@ def _expand_prefix(index: Index, clauses: DataFrame) -> DataFrame:
     keyed = clauses.where(F.length("key") > 0)
     lens = [r[0] for r in keyed.select(F.length("key")).distinct().collect()]
     if not lens:
-        return clauses.select("text", F.lit(None).cast("string").alias("term")).where(F.lit(False))
+        return clauses.withColumn("term", F.lit(None).cast("string")).where(F.lit(False))
     vocab = index.terms.select("term").where(F.col("term") >= min(
         [r[0] for r in keyed.select(F.min("key")).collect()]))
     vk = vocab.select("term", F.explode(F.array(*[
         F.when(F.length("term") >= L, F.substring("term", 1, L)) for L in sorted(lens)])).alias("key")).where(F.col("key").isNotNull())
-    return vk.join(broadcast_if_small(keyed), "key").select("text", "term")
+    return vk.join(broadcast_if_small(keyed), "key").select(*clauses.columns, "term")
 
 
 def _like_pattern(text: Column) -> Column:
@@ -424,12 +463,31 @@ def _like_pattern(text: Column) -> Column:
     return F.translate(esc, "*?", "%_")
 
 
+def _range_part(i: int) -> Column:
+    return F.regexp_extract("text", RANGE_RX, i)
+
+
+def _shared_beginning(a: Column, b: Column) -> Column:
+    """What both texts begin with; nothing where one is open (``*``)."""
+    n = F.least(F.length(a), F.length(b))
+    same = F.size(F.filter(F.sequence(F.lit(1), n), lambda i: F.substr(a, F.lit(1), i) == F.substr(b, F.lit(1), i)))
+    return F.when((n > 0) & (a != "*") & (b != "*"), F.substr(a, F.lit(1), same)).otherwise("")
+
+
 def _expand_patterns(index: Index, patterns: DataFrame, kinds) -> DataFrame:
     """QRY-9..11/13: (kind, text, term) for distinct patterns.  A prefix is
-    joined by its length; a wildcard or regular expression by the rarest gram of
-    its literal pieces, and then compared; patterns without such a piece, and
-    ranges, become literal predicates of one vocabulary scan per chunk."""
-    parts, rest = [], patterns.where("kind = 'range'")
+    joined by its length, and so is a range by the beginning that its ends share,
+    which all terms between them have; a wildcard or regular expression by the
+    rarest gram of its literal pieces, and then compared; patterns without such a
+    piece, and ranges without a shared beginning, become literal predicates of one
+    vocabulary scan per chunk."""
+    parts, rest = [], patterns.where("kind = 'range'").withColumn("key", _shared_beginning(_range_part(2), _range_part(3)))
+    if kinds.get("range"):
+        keyed = rest.where("key != ''").select("text", "key")
+        keyed = keyed.select("*", *[_range_part(i).alias(c) for i, c in ((1, "open"), (2, "lo"), (3, "hi"), (4, "close"))])
+        inside = F.expr("if(open = '[', term >= lo, term > lo) and if(close = ']', term <= hi, term < hi)")
+        parts.append(_expand_prefix(index, keyed).where(inside).select(F.lit("range").alias("kind"), "text", "term"))
+    rest = rest.where("key = ''").drop("key")
     if kinds.get("prefix"):
         keyed = patterns.where("kind = 'prefix'").select("text", F.col("text").alias("key"))
         parts.append(_expand_prefix(index, keyed).select(F.lit("prefix").alias("kind"), "text", "term"))
@@ -519,30 +577,39 @@ def _expand_fuzzy(index: Index, fz: DataFrame, max_edits: int) -> DataFrame:
     return best.join(broadcast_if_small(fz.select("query_id", "clause_id", "text")), "text").select("query_id", "clause_id", "term", "sim")
 
 
-def _score_constant(index: Index, expanded: DataFrame, clauses: DataFrame, n: int) -> DataFrame:
-    """Constant-score multi-term clauses: every matching document scores the
-    clause boost."""
-    e = expanded.join(clauses.select("query_id", "clause_id", "boost"), ["query_id", "clause_id"])
-    e = e.checkpoint()
-    n_terms = e.count()
-    named, keys = _dealt(index, e)
-    post = _postings_for(index, e, n_terms)
-    m = post.join(broadcast_if_small(named, known_rows=n_terms), keys).select("query_id", "clause_id", "doc_id", "boost").distinct()
-    return m.select("query_id", "clause_id", "doc_id", F.col("boost").alias("score"))
-
-
-def _score_fuzzy(index: Index, expanded: DataFrame, clauses: DataFrame) -> DataFrame:
-    """Blended scoring: df = max df over the clause's expansions; each term
-    contributes similarity · bm25(tf, blended df)."""
-    e = expanded.join(clauses.select("query_id", "clause_id", "boost"), ["query_id", "clause_id"]).checkpoint()
-    n_terms = e.count()
-    named, keys = _dealt(index, e)
-    named = named.select("*", F.max("df").over(Window.partitionBy("query_id", "clause_id")).alias("bdf"))
-    post = _postings_for(index, e, n_terms)
-    c = post.join(broadcast_if_small(named, known_rows=n_terms), keys).crossJoin(_stats(index))
-    s = c.select("query_id", "clause_id", "doc_id",
-                 (F.col("boost") * F.col("sim") * bm25(F.col("tf"), F.col("bdf"), F.col("dl"), F.col("n_docs"), F.col("avgdl"))).alias("score"))
-    return s.groupBy("query_id", "clause_id", "doc_id").agg(F.sum("score").alias("score"))
+def _score_units(index: Index, weights: DataFrame, n: int, all_documents: int | None = None) -> DataFrame:
+    """``weights(unit, sub, term, factor, df)`` → (shard, unit, doc_id, score).
+    Terms of a (unit, sub) are one synonym group: tf summed, df = max df; a unit's
+    score is the sum over its groups, factor · bm25 each.  Without a ``df`` the
+    score is 1 for every document with a term.  ``all_documents`` names a unit
+    that every document has.  Many weights are joined with the postings before
+    these are dealt by document, some behind that."""
+    shape = weights.groupBy("unit", "sub").agg(F.count(F.lit(1)).alias("n"), F.max("df").alias("df"))
+    shape = shape.groupBy("unit").agg(F.sum("n").alias("n"), F.max(F.when(F.col("df").isNotNull(), F.col("n"))).alias("m")).agg(F.max("n").alias("n"), F.max("m").alias("m")).first()
+    many, multi = (shape.n or 0) > 1, (shape.m or 0) > 1
+    every = index.docs.select("doc_id", F.lit(all_documents).cast("long").alias("unit")) if all_documents is not None else None
+    known, post = postings_by_document(index, weights, n)
+    weights = weights.join(broadcast_if_small(known.select("term", "tid"), known_rows=n), "term").select("tid", "unit", "sub", "factor", "df")
+    if n <= LOCAL_WEIGHTS:
+        if every is not None:  # a term of its own that each document has once
+            none = lambda t: F.lit(None).cast(t)
+            post = post.unionByName(every.select(F.lit(-1).cast("long").alias("tid"), "doc_id", F.lit(1).alias("tf"), F.lit(1).alias("dl")))
+            own = weights.sparkSession.range(1).select(F.lit(-1).cast("long").alias("tid"), F.lit(all_documents).cast("long").alias("unit"), F.lit(0).alias("sub"), F.lit(1.0).alias("factor"), none("long").alias("df"))
+            weights = weights.unionByName(own)
+        rows = by_document(index, post).join(broadcast_if_small(weights, known_rows=n + 1), "tid")
+    else:
+        rows = post.join(broadcast_if_small(weights, known_rows=n), "tid").drop("tid")
+        if every is not None:
+            rows = rows.unionByName(every.select("doc_id", F.lit(1).alias("tf"), F.lit(1).alias("dl"), "unit", F.lit(0).alias("sub"), F.lit(1.0).alias("factor"), F.lit(None).cast("long").alias("df")))
+        rows = by_document(index, rows)
+    if multi:
+        rows = rows.groupBy("shard", "doc_id", "unit", "sub", "dl", "factor", "df").agg(F.sum("tf").alias("tf"))
+    rows = rows.crossJoin(_stats(index))
+    score = F.when(F.col("df").isNull(), 1.0).otherwise(F.col("factor") * bm25(F.col("tf"), F.col("df"), F.col("dl"), F.col("n_docs"), F.col("avgdl")))
+    rows = rows.select("shard", "unit", "doc_id", score.alias("score"), F.col("df").isNull().alias("flat"))
+    if many:
+        rows = rows.groupBy("shard", "unit", "doc_id").agg(F.when(F.max("flat"), 1.0).otherwise(F.sum("score")).alias("score"))
+    return rows.select("shard", "unit", "doc_id", "score")
 
 
 def search(index: Index, clauses: DataFrame, k: int = P.TOP_K, stem: bool = True,
@@ -577,74 +644,66 @@ def search(index: Index, clauses: DataFrame, k: int = P.TOP_K, stem: bool = True
     mixed_q = all_q.where("not none").join(good.select("query_id").distinct(), "query_id", "left_semi").checkpoint()
     all_q = all_q.where("not none").join(mixed_q, "query_id", "left_anti").select("query_id", F.col("all_boost").alias("boost"))
     n = good.count()
-    good = broadcast_if_small(good, known_rows=n)
 
-    kinds = {r["kind"]: r["count"] for r in good.groupBy("kind").count().collect()}  # at most 8 rows
-    parts = []
+    # equal clauses are one unit, scored once a document with a boost of 1
+    units = good.select("kind", "text", "slop").distinct().withColumn("unit", F.monotonically_increasing_id()).checkpoint()
+    kinds = {r["kind"]: r["count"] for r in units.groupBy("kind").count().collect()}  # at most 8 rows
+    weights, live, phrases, n_phrase = [], [units.where(~F.col("kind").isin("term", "phrase")).select("unit")], None, 0
+    columns = lambda sub, factor, df: ["unit", sub.alias("sub"), "term", factor.alias("factor"), df.cast("long").alias("df")]
+    df_of = lambda t, *by: t.join(index.terms.select("term", "df"), "term").withColumn("df", F.max("df").over(Window.partitionBy(*by)))
     if kinds.get("term") or kinds.get("phrase"):
         # term clauses: each analysed position is a synonym group
-        tp = _analyzed_clause_terms(good.where(F.col("kind").isin("term", "phrase")), stem)
+        tp = _analyzed_unit_terms(units.where(F.col("kind").isin("term", "phrase")), stem)
         # a phrase of one position is a term clause
-        places = Window.partitionBy("query_id", "clause_id")
+        places = Window.partitionBy("unit")
         one = F.min("pos").over(places) == F.max("pos").over(places)
         tp = tp.withColumn("kind", F.when(one, "term").otherwise(F.col("kind"))).checkpoint()
-        n_tp = tp.count()
-    else:
-        tp = spark.createDataFrame([], "query_id long, clause_id int, occur string")
-        n_tp = 0
-    if n_tp:
-        terms = tp.where(F.col("kind") == "term").select("query_id", "clause_id", F.col("pos").alias("sub_id"), "term", "boost")
-        parts.append(score_term_groups(index, terms, known_rows=n_tp))
-    if kinds.get("phrase") and n_tp:
-        parts.append(_score_phrase(index, tp.where(F.col("kind") == "phrase"), n_tp))
-    const_exp = None
+        live.append(tp.select("unit").distinct())
+        phrases = tp.where(F.col("kind") == "phrase")
+        n_phrase = phrases.count()
+        weights.append(df_of(tp.where(F.col("kind") == "term"), "unit", "pos").select(*columns(F.col("pos"), F.lit(1.0), F.col("df"))))
     inexact = ("prefix", "wildcard", "regex", "range")
     if any(kinds.get(x) for x in inexact):
-        # every distinct pattern is expanded once, for all of its clauses
-        asked = good.where(F.col("kind").isin(*inexact)).select("query_id", "clause_id", "kind", "text")
-        matched = _expand_patterns(index, asked.select("kind", "text").distinct().checkpoint(), kinds)
-        const_exp = matched.join(broadcast_if_small(asked), ["kind", "text"]).select("query_id", "clause_id", "term")
-    if const_exp is not None:
-        parts.append(_score_constant(index, const_exp, good, n))
+        # every distinct pattern is expanded once, for all of its clauses; the score is constant
+        asked = units.where(F.col("kind").isin(*inexact)).select("unit", "kind", "text")
+        matched = _expand_patterns(index, asked.select("kind", "text"), kinds)
+        matched = matched.join(broadcast_if_small(asked), ["kind", "text"]).distinct()
+        weights.append(matched.select(*columns(F.lit(0), F.lit(1.0), F.lit(None))))
     if kinds.get("fuzzy"):
-        fz = good.where(F.col("kind") == "fuzzy").select("query_id", "clause_id", "text")
-        parts.append(_score_fuzzy(index, _expand_fuzzy(index, fz, max_edits), good))
+        # blended scoring: df = max df over the clause's expansions; each term adds similarity · bm25
+        fz = units.where(F.col("kind") == "fuzzy").select(F.col("unit").alias("query_id"), F.lit(0).alias("clause_id"), "text")
+        near = _expand_fuzzy(index, fz, max_edits).withColumnRenamed("query_id", "unit")
+        weights.append(df_of(near, "unit").select(*columns(F.row_number().over(Window.partitionBy("unit").orderBy("term")), F.col("sim"), F.col("df"))))
     # match_all queries are answered apart (first k documents, N hits)
+    open_unit = None if mixed_q.isEmpty() else -1
+    parts = []
+    if weights or open_unit is not None:
+        w = reduce(DataFrame.unionByName, weights) if weights else spark.createDataFrame([], "unit long, sub int, term string, factor double, df long")
+        w = stage_table(w, "clause-terms")
+        parts.append(_score_units(index, w, w.count(), open_unit))
+    if n_phrase:
+        parts.append(_score_phrase(index, phrases, n_phrase))
     if not parts:
-        parts.append(spark.createDataFrame([], "query_id long, clause_id int, doc_id long, score double"))
-    scored = parts[0]
-    for p in parts[1:]:
-        scored = scored.unionByName(p)
-    # read by the positive, negative and live branches: score once
-    scored = scored.checkpoint()
-    occ = good.select("query_id", "clause_id", "occur")
-    sc = scored.join(F.broadcast(occ) if n <= BROADCAST_MAX_ROWS else occ, ["query_id", "clause_id"])
-    pos = sc.where(F.col("occur") != "MUST_NOT")
-    neg = sc.where(F.col("occur") == "MUST_NOT").select("query_id", "doc_id").distinct()
+        parts.append(spark.createDataFrame([], "shard int, unit long, doc_id long, score double"))
+    scored = reduce(DataFrame.unionByName, parts)
+
+    count = lambda occur: F.sum(F.when(F.col("occur") == occur, 1).otherwise(0))
+    asked = good.join(units, (good["kind"] == units["kind"]) & good["text"].eqNullSafe(units["text"]) & (good["slop"] == units["slop"]))
     # clauses that analyse to nothing are dropped, as a parser would drop them
-    live = tp.select("query_id", "clause_id").distinct().unionByName(
-        good.where(~F.col("kind").isin("term", "phrase")).select("query_id", "clause_id")).join(occ, ["query_id", "clause_id"])
-    need = live.groupBy("query_id").agg(F.sum(F.when(F.col("occur") == "MUST", 1).otherwise(0)).alias("n_must"))
-    per_doc = pos.groupBy("query_id", "doc_id").agg(
-        F.sum("score").alias("score"),
-        F.countDistinct(F.when(F.col("occur") == "MUST", F.col("clause_id"))).alias("must_hit"),
-        F.count(F.when(F.col("occur") == "SHOULD", 1)).alias("should_hit"))
-    per_doc = per_doc.join(F.broadcast(need) if n <= BROADCAST_MAX_ROWS else need, "query_id")
-    per_doc = per_doc.where((F.col("must_hit") == F.col("n_must")) & ((F.col("n_must") > 0) | (F.col("should_hit") > 0)))
-    per_doc = per_doc.join(neg, ["query_id", "doc_id"], "left_anti").select("query_id", "doc_id", "score")
-    n_queries = good.select("query_id").distinct().count()
-    filled = None
-    if not mixed_q.isEmpty():
-        # with another MUST clause a match-all clause only adds its boost; else every document matches
-        held = need.where("n_must > 0").select("query_id")
-        per_doc = per_doc.join(mixed_q.drop("none"), "query_id", "left").select(
-            "query_id", "doc_id", (F.col("score") + F.coalesce("all_boost", F.lit(0.0))).alias("score"))
-        open_q = mixed_q.join(held, "query_id", "left_anti").select("query_id", F.col("all_boost").alias("boost"))
-        filled = match_rest(index, open_q, per_doc, neg, k)
-        per_doc = per_doc.join(open_q, "query_id", "left_anti")
+    asked = asked.join(reduce(DataFrame.unionByName, live), "unit", "left_semi").select("unit", "query_id", "occur", "boost")
+    # next to another MUST clause a match-all clause only adds its boost; else every document matches
+    asked = asked.unionByName(mixed_q.select(F.lit(-1).cast("long").alias("unit"), "query_id", F.lit("SHOULD").alias("occur"), F.col("all_boost").alias("boost")))
+    asked = asked.groupBy("unit", "query_id").agg(
+        F.sum(F.when(F.col("occur") == "MUST_NOT", 0.0).otherwise(F.col("boost"))).alias("boost"),
+        count("MUST").alias("must"), count("SHOULD").alias("should"), count("MUST_NOT").alias("never"))
+    asked = stage_table(asked, "clauses")
+    need = asked.groupBy("query_id").agg(F.sum("must").alias("n_must"))
+    per_doc = scored.join(broadcast_if_small(asked), "unit").groupBy("shard", "query_id", "doc_id").agg(
+        F.sum(F.col("score") * F.col("boost")).alias("score"), *[F.sum(c).alias(c) for c in ("must", "should", "never")])
+    n_queries = asked.select("query_id").distinct().count()
+    per_doc = per_doc.where("never = 0").join(broadcast_if_small(need, known_rows=n_queries), "query_id")
+    per_doc = per_doc.where("must = n_must and (n_must > 0 or should > 0)").select("shard", "query_id", "doc_id", "score")
     ok = rank_results(index, per_doc, k, max(n_queries, 1))
-    if filled is not None:
-        ok = ok.unionByName(filled)
     errors = bad_q.select(
         "query_id", F.lit(None).cast("int").alias("rank"), F.lit(None).cast("long").alias("doc_id"),
         F.lit(None).cast("string").alias("filepath"), F.lit(None).cast("double").alias("score"),
