@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import index as I
 from ..operators.analyzer import AnalyzerOptions
 from ..session import ensure_checkpoint_dir
 from ..sources import resources as SR
@@ -32,11 +33,19 @@ def stream_queries(spark, sf):
     return hits.join(SR.read_queries(spark, qdir).select("query_id", "query"), "query_id").drop("query_id").distinct()
 
 
+def _table_stream(spark, sf, name):
+    """A table as a stream of files: one file a trigger, or of a folder of part
+    files as many as the cluster has cores."""
+    path = f"{sf.rstrip('/')}/{name}.parquet"
+    rows = spark.readStream.schema(load(spark, sf, name).schema)
+    if I._is_dir(spark, path):
+        return rows.option("maxFilesPerTrigger", spark.sparkContext.defaultParallelism).parquet(path)
+    return rows.option("pathGlobFilter", f"{name}.parquet").option("maxFilesPerTrigger", 1).parquet(sf)
+
+
 def stream_index_terms(spark, sf):
     """STR-2: index built from a document stream; its term statistics."""
-    schema = load(spark, sf, "documents").schema
-    docs = (spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
-            .option("maxFilesPerTrigger", 1).parquet(sf))
+    docs = _table_stream(spark, sf, "documents")
     out = _scratch(spark, "stream-index")
     ST.stream_index(spark, docs, out, AnalyzerOptions(stem=False)).awaitTermination()
     return ST.read_stream_index(spark, out).terms.select("term", "df", "ttf")
@@ -44,10 +53,7 @@ def stream_index_terms(spark, sf):
 
 def stream_mean(spark, sf):
     """STR-3: running mean of event values per event type."""
-    schema = load(spark, sf, "events").schema
-    ev = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-          .option("maxFilesPerTrigger", 1).parquet(sf))
-    handle, out = ST.stream_mean(ev, "value", ["event_type"])
+    handle, out = ST.stream_mean(_table_stream(spark, sf, "events"), "value", ["event_type"])
     handle.awaitTermination()
     return ST.read_means(spark, out, ["event_type"]).select("event_type", F.round("value", 6).alias("value"), "n")
 
