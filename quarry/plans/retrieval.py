@@ -25,6 +25,8 @@ from . import sqlgen as G
 from .tables import load
 
 NOSTEM = A.AnalyzerOptions(stem=False)
+# Documents of a task whose synonym words are counted in memory.
+SYNONYM_DOCS = 512
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
@@ -112,8 +114,11 @@ def _synonym_pairs(spark, sf) -> DataFrame:
 
 
 def synonym_words(spark, sf):
-    """TXT-9: the synonym words that the passages' pairs add to the documents."""
-    tokens = _docs(spark, sf).select("doc_id", A.token_array(F.col("text"), lower=True).alias("t"))
+    """TXT-9: the synonym words that the passages' pairs add to the documents.
+    Texts are dealt by document, and not the many more words found in them."""
+    docs = load(spark, sf, "documents").select("doc_id", "text")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // SYNONYM_DOCS))
+    tokens = docs.repartition(tasks, "doc_id").select("doc_id", A.token_array(F.col("text"), lower=True).alias("t"))
     words = SY.synonym_words(tokens.select("doc_id", A._front(F.col("t"), NOSTEM).alias("tokens")), _synonym_pairs(spark, sf))
     return words.groupBy("doc_id", "pos", "word").agg(F.count("*").alias("n"))
 
