@@ -50,10 +50,10 @@ def allowed_documents(spark, sf):
     return SF.filter_media_type(media_types(spark, sf)).select("source", "id", "media_type")
 
 
-def _written(spark, lines, name):
+def _written(spark, lines, name, compression="none"):
     """A folder of text files with one line a row."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-{name}-{uuid.uuid4().hex}"
-    lines.write.text(path)
+    lines.write.option("compression", compression).text(path)
     return path
 
 
@@ -78,10 +78,11 @@ def read_stopwords(spark, sf):
 
 
 def read_synonyms(spark, sf):
-    """SRC-10: every three words in a row of every document, one and two words."""
+    """SRC-10: every three words in a row of every document, one and two words;
+    the lines repeat each word three times, so their files are compressed."""
     w = _words(spark, sf).select("w", F.explode(F.sequence(F.lit(1), F.size("w"))).alias("i"))
     lines = w.select(F.array_join(F.expr("slice(w, i, 3)"), " ").alias("line"))
-    pairs = SR.read_synonyms(spark, _written(spark, lines, "synonyms"))
+    pairs = SR.read_synonyms(spark, _written(spark, lines, "synonyms", "gzip"))
     return pairs.groupBy("term", "synonym").agg(F.count("*").alias("n"))
 
 
