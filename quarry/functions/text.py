@@ -199,12 +199,14 @@ def fold_ascii(term: Column) -> Column:
     return F.when(F.octet_length(term) == F.length(term), term).otherwise(out)
 
 
-def fold_ascii_py(s: str) -> str:
+@lru_cache(maxsize=1)
+def _fold_map() -> dict[int, str]:
     src, dst, multi = fold_tables()
-    s = s.translate(str.maketrans(src, dst))
-    for ch, rep in multi:
-        s = s.replace(ch, rep)
-    return s
+    return str.maketrans(dict(zip(src, dst, strict=True)) | dict(multi))
+
+
+def fold_ascii_py(s: str) -> str:
+    return s if s.isascii() else s.translate(_fold_map())
 
 
 # ---------------------------------------------------------------------------
@@ -257,3 +259,9 @@ def decode_length(b: Column) -> Column:
 
 def lossy_length(n: Column) -> Column:
     return decode_length(encode_length(n))
+
+
+def lossy_length_py(n: int) -> int:
+    free = P.NORM_FREE_VALUES
+    shift = max((n - free).bit_length() - 4, 0) if n >= free else 0
+    return free + ((n - free) >> shift << shift) if shift else n

@@ -9,9 +9,9 @@
 * ``docs(doc_id, filename, filepath, n_tokens, dl_exact, norm, dl)``.
 * ``stats(n_docs, sum_ttf, avgdl)`` — a single row.
 
-Build plan: the analyser runs per document row and the postings of a
-document are cut from its own sorted token array, so building postings
-needs no shuffle at all.  Two layouts can be written:
+Build plan: the postings of a document are cut from its own sorted tokens, so
+building postings needs no shuffle at all.  The analyser settles each distinct
+word of a batch of documents once.  Two layouts can be written:
 
 * ``document``: postings stay with their document's partition.  No exchange;
   a batch of many queries sums a document's terms before its one exchange, and
@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..session import stage_table
 from .analyzer import AnalyzerOptions, analyze, explode_token_rows
+from .posting_rows import batch_postings, by_words
 from .rowindex import with_row_index
 
 INDEX_TABLES = ("postings", "terms", "docs", "stats")
@@ -77,6 +78,18 @@ def build_postings(analyzed: DataFrame, norm: str = "lossy") -> DataFrame:
                     F.col("p.positions").alias("positions"), "dl", "dl_exact")
 
 
+def document_postings(docs: DataFrame, opts: AnalyzerOptions | None = None, id_col="doc_id", text_col="text", norm: str = "lossy") -> DataFrame:
+    """IDX-1 from texts: the rows of ``build_postings``.  Where the chain looks at
+    one token at a time (no synonyms, no rules of the user), an Arrow batch of
+    documents is analysed by its distinct words (``posting_rows``)."""
+    opts = opts or AnalyzerOptions()
+    if not by_words(opts):
+        return build_postings(analyze(docs, id_col, text_col, opts), norm)
+    words = docs.select(F.col(id_col).alias("doc_id"), T.tokenize(F.col(text_col)).alias("words"))
+    schema = f"term string, doc_id {words.schema['doc_id'].dataType.simpleString()}, tf int, positions array<int>, dl int, dl_exact int"
+    return words.mapInArrow(batch_postings(opts, norm), schema)
+
+
 def lengths_from_postings(postings: DataFrame) -> DataFrame:
     """IDX-3/4 from written postings (no second analysis pass): all tokens
     = Σ tf, ranking length carried in every posting."""
@@ -181,10 +194,9 @@ def build_index(
         F.col(text_col).alias("text"),
         (F.col(path_col) if path_col else F.col(id_col).cast("string")).alias("filepath"),
     )
-    analyzed = analyze(src, "doc_id", "text", opts)
-    postings = build_postings(analyzed, norm)
+    postings = document_postings(src, opts, norm=norm)
     stored = build_docs(src)
-    lengths = doc_lengths(analyzed)
+    lengths = doc_lengths(analyze(src, "doc_id", "text", opts))
     docs_table = stored.join(lengths, "doc_id", "left")
     return Index(postings, term_stats(postings), docs_table, collection_stats(postings))
 

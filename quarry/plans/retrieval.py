@@ -37,6 +37,10 @@ def _analyzed(spark, sf):
     return A.analyze(_docs(spark, sf), "doc_id", "text", NOSTEM)
 
 
+def _postings(spark, sf):
+    return I.document_postings(_docs(spark, sf), NOSTEM)
+
+
 def _stamp(spark, sf) -> int:
     fs, path = I._fs(spark, f"{sf}/documents.parquet")
     return fs.getFileStatus(path).getModificationTime()
@@ -140,7 +144,7 @@ def search_stemmed(spark, sf):
 
 # --------------------------------------------------------------------------- IDX
 def postings(spark, sf):
-    p = I.build_postings(_analyzed(spark, sf))
+    p = _postings(spark, sf)
     return p.select("term", "doc_id", "tf", F.array_join("positions", " ").alias("positions"), "dl")
 
 
@@ -149,16 +153,16 @@ def doc_lengths(spark, sf):
 
 
 def term_stats(spark, sf):
-    return I.term_stats(I.build_postings(_analyzed(spark, sf)))
+    return I.term_stats(_postings(spark, sf))
 
 
 def collection_stats(spark, sf):
-    s = I.collection_stats(I.build_postings(_analyzed(spark, sf)))
+    s = I.collection_stats(_postings(spark, sf))
     return s.select("n_docs", "sum_ttf", F.round("avgdl", 6).alias("avgdl"))
 
 
 def vocabulary(spark, sf):
-    return I.vocabulary(I.build_postings(_analyzed(spark, sf)))
+    return I.vocabulary(_postings(spark, sf))
 
 
 def docs_table(spark, sf):

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import index as I
-from ..operators.analyzer import AnalyzerOptions, analyze
+from ..operators.analyzer import AnalyzerOptions
 from ..operators.search import run_queries
 from ..session import ensure_checkpoint_dir, spread
 from ..sources.splittable import number_lines, text_blocks
@@ -71,7 +71,7 @@ def stream_index(spark: SparkSession, docs_stream: DataFrame, index_path: str, o
 
         src = spread(batch).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                                    F.col(id_col).cast("string").alias("filepath"))
-        put(I.build_postings(analyze(src, "doc_id", "text", opts)).sortWithinPartitions("term", "doc_id"), "postings")
+        put(I.document_postings(src, opts).sortWithinPartitions("term", "doc_id"), "postings")
         # the rest comes from the written postings: one analysis a batch
         session = batch.sparkSession
         path = os.path.join(index_path, "postings", f"batch_id={batch_id}")
