@@ -74,6 +74,9 @@ EMAIL_SUBTOKEN_RXS = [r"([a-zA-Z0-9_.+-]+)@", r"([a-zA-Z-_0-9]+|[a-zA-Z-_0-9]+\.
 # letter or digit.  Tokens longer than MAX_TOKEN_LENGTH are cut into pieces of that length.
 # ---------------------------------------------------------------------------
 TOKEN_RX = r"(?:\p{L}\p{M}*(?:[.:'’·]\p{L}\p{M}*)*|\p{N}(?:[.,;'’]\p{N})*|_)+"
+# The same words by runs that never give back a character (Java): which part a character
+# belongs to is settled by its neighbours.
+TOKEN_RUNS_RX = r"(?:\p{L}[\p{L}\p{M}]*+(?:[.:'’·]\p{L}[\p{L}\p{M}]*+)*+|\p{N}++(?:[.,;'’]\p{N}++)*+|_++)++"
 ALNUM_RX = r"[\p{L}\p{N}]"
 MAX_TOKEN_LENGTH = 255
 

@@ -41,7 +41,7 @@ def tokenize(text: Column) -> Column:
         return F.element_at(F.transform(F.array(F.regexp_extract_all(text, F.lit(pattern), 0)), pieces), 1)
 
     short = text.rlike(P.LATIN_TEXT_RX) | ~text.rlike(P.OTHER_SCRIPT_RX)
-    return F.when(short, words(P.TOKEN_RX, P.ALNUM_RX)).otherwise(words(P.TOKEN_RX_ALL, P.WORD_RX))
+    return F.when(short, words(P.TOKEN_RUNS_RX, P.ALNUM_RX)).otherwise(words(P.TOKEN_RX_ALL, P.WORD_RX))
 
 
 def whitespace_tokenize(text: Column) -> Column:
