@@ -235,7 +235,9 @@ def write_index(index: Index, path: str, postings_files: int | None = None, layo
     p = index.postings
     if postings_files and layout == "document":
         p = p.repartition(postings_files, "term")
-    p.sortWithinPartitions("term", "doc_id").write.mode("overwrite").parquet(by_document)
+    if layout == "document":  # else sorted when dealt by term
+        p = p.sortWithinPartitions("term", "doc_id")
+    p.write.mode("overwrite").parquet(by_document)
     written = spark.read.parquet(by_document)
     if layout == "document":
         term_stats(written).sortWithinPartitions("term").write.mode("overwrite").parquet(os.path.join(path, "terms"))

@@ -26,12 +26,15 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from ..functions import patterns as P
 from ..session import BROADCAST_MAX_ROWS, broadcast_if_small, ensure_checkpoint_dir, stage_table
 from .analyzer import AnalyzerOptions, analyze, explode_token_rows
 from .expansion import fuzzy_candidates, pattern_candidates
 from .index import Index
+from .shard_rank import Asked, first_of_shard
 
 OCCURS = ("MUST", "SHOULD", "MUST_NOT")
 KINDS = ("term", "phrase", "prefix", "wildcard", "regex", "fuzzy", "range", "match_all")
@@ -42,6 +45,8 @@ PUSHDOWN_MAX_TERMS = 5000
 SHARD_DOCS, TASK_SHARDS = 1024, 8
 # Weights of clause terms that are joined after the postings are dealt by document.
 LOCAL_WEIGHTS = 500_000
+# Clauses of a batch that every task holds; more are joined with the scores.
+HELD_CLAUSES = 500_000
 # Places that are counted together where a query takes documents out.
 PLACE_BLOCK = 8192
 # Clauses whose predicates are compiled into one vocabulary scan at a time.
@@ -213,7 +218,33 @@ def rank_results(index: Index, per_doc: DataFrame, k: int, n_queries: int) -> Da
     ensure_checkpoint_dir(per_doc.sparkSession)
     dealt = per_doc if "shard" in per_doc.columns else by_document(index, per_doc)
     scored = dealt.select("shard", "query_id", "doc_id", F.round("score", SCORE_DIGITS).alias("score"))
-    first = first_by_shard(scored, k).checkpoint()
+    return _fetched(index, first_by_shard(scored, k), k, n_queries)
+
+
+def rank_units(index: Index, scored: DataFrame, asked: DataFrame, k: int, n_queries: int, n_asked: int) -> DataFrame:
+    """The results from ``scored(shard, unit, doc_id, score)`` and the clauses
+    ``asked(unit, query_id, boost, must, should, never)``.  Every task holds the
+    clauses and multiplies them with its shards (``shard_rank``), so that a
+    document and a query never meet in a row; more than ``HELD_CLAUSES`` clauses
+    are joined with the scores."""
+    if n_asked > HELD_CLAUSES:
+        need = asked.groupBy("query_id").agg(F.sum("must").alias("n_must"))
+        per_doc = scored.join(broadcast_if_small(asked), "unit").groupBy("shard", "query_id", "doc_id").agg(
+            F.sum(F.col("score") * F.col("boost")).alias("score"), *[F.sum(c).alias(c) for c in ("must", "should", "never")])
+        per_doc = per_doc.where("never = 0").join(broadcast_if_small(need, known_rows=n_queries), "query_id")
+        per_doc = per_doc.where("must = n_must and (n_must > 0 or should > 0)").select("shard", "query_id", "doc_id", "score")
+        return rank_results(index, per_doc, k, n_queries)
+    clauses = asked.select("unit", "query_id", "boost", "must", "should", "never")
+    held = asked.sparkSession.sparkContext.broadcast(Asked(clauses.toArrow()))
+    schema = StructType([asked.schema["query_id"], scored.schema["doc_id"], StructField("score", DoubleType()), StructField("n", LongType())])
+    run = first_of_shard(held, k, SCORE_DIGITS, to_arrow_schema(schema))
+    return _fetched(index, scored.select("shard", "unit", "doc_id", "score").groupBy("shard").applyInArrow(run, schema), k, n_queries)
+
+
+def _fetched(index: Index, first: DataFrame, k: int, n_queries: int) -> DataFrame:
+    """The results from the first k (query_id, doc_id, score, n) of every shard."""
+    ensure_checkpoint_dir(first.sparkSession)
+    first = first.checkpoint()
     hits = top_k(first.drop("n"), k)
     totals = broadcast_if_small(first.groupBy("query_id").agg(F.sum("n").alias("total_hits")), known_rows=n_queries)
     hits = hits.join(totals, "query_id")
@@ -242,12 +273,19 @@ def run_queries(index: Index, queries: DataFrame, k: int = P.TOP_K, stem: bool =
     multi = g.where(F.col("_n") > 1).drop("_n")
     n_single = single.count()
     n_multi = multi.count()
-    per_doc = score_terms(index, single, known_rows=n_single)
-    if n_multi:
-        groups = score_term_groups(index, multi, known_rows=n_multi).select("query_id", "doc_id", "score")
-        per_doc = by_document(index, per_doc.select("query_id", "doc_id", "score").unionByName(groups))
-        per_doc = per_doc.groupBy("shard", "query_id", "doc_id").agg(F.sum("score").alias("score"))
-    return rank_results(index, per_doc, k, n_queries)
+    known, post = postings_by_document(index, single, n_single)
+    asked = single.join(broadcast_if_small(known, known_rows=n_single), "term").select(F.col("tid").alias("unit"), "query_id", F.col("weight").alias("boost"))
+    scored = by_document(index, post).join(broadcast_if_small(known.select("tid", "df"), known_rows=n_single), "tid").crossJoin(_stats(index))
+    score = bm25(F.col("tf"), F.col("df"), F.col("dl"), F.col("n_docs"), F.col("avgdl"))
+    scored = scored.select("shard", F.col("tid").alias("unit"), "doc_id", score.alias("score"))
+    if n_multi:  # each group is a unit of its query
+        own = multi.select("query_id", "clause_id").distinct().withColumn("unit", -1 - F.monotonically_increasing_id()).checkpoint()
+        named = multi.join(broadcast_if_small(own, known_rows=n_multi), ["query_id", "clause_id"]).select(F.col("unit").alias("query_id"), "clause_id", "sub_id", "term", "boost")
+        groups = score_term_groups(index, named, known_rows=n_multi).select(F.col("query_id").alias("unit"), "doc_id", "score")
+        scored = scored.unionByName(by_document(index, groups).select("shard", "unit", "doc_id", "score"))
+        asked = asked.unionByName(own.select("unit", "query_id", F.lit(1.0).alias("boost")))
+    asked = asked.select("*", F.lit(0).alias("must"), F.lit(1).alias("should"), F.lit(0).alias("never"))
+    return rank_units(index, scored, asked, k, n_queries, n_single + n_multi)
 
 
 def postings_by_document(index: Index, terms: DataFrame, n: int, *more: str) -> tuple[DataFrame, DataFrame]:
@@ -697,13 +735,8 @@ def search(index: Index, clauses: DataFrame, k: int = P.TOP_K, stem: bool = True
         F.sum(F.when(F.col("occur") == "MUST_NOT", 0.0).otherwise(F.col("boost"))).alias("boost"),
         count("MUST").alias("must"), count("SHOULD").alias("should"), count("MUST_NOT").alias("never"))
     asked = stage_table(asked, "clauses")
-    need = asked.groupBy("query_id").agg(F.sum("must").alias("n_must"))
-    per_doc = scored.join(broadcast_if_small(asked), "unit").groupBy("shard", "query_id", "doc_id").agg(
-        F.sum(F.col("score") * F.col("boost")).alias("score"), *[F.sum(c).alias(c) for c in ("must", "should", "never")])
-    n_queries = asked.select("query_id").distinct().count()
-    per_doc = per_doc.where("never = 0").join(broadcast_if_small(need, known_rows=n_queries), "query_id")
-    per_doc = per_doc.where("must = n_must and (n_must > 0 or should > 0)").select("shard", "query_id", "doc_id", "score")
-    ok = rank_results(index, per_doc, k, max(n_queries, 1))
+    size = asked.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("query_id").alias("queries")).first()
+    ok = rank_units(index, scored, asked, k, max(size.queries, 1), size.n)
     errors = bad_q.select(
         "query_id", F.lit(None).cast("int").alias("rank"), F.lit(None).cast("long").alias("doc_id"),
         F.lit(None).cast("string").alias("filepath"), F.lit(None).cast("double").alias("score"),

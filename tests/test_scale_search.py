@@ -1,11 +1,16 @@
 """Searches whose intermediate rows must not grow with clauses x documents."""
 
+from types import SimpleNamespace
+
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from quarry.operators import analyzer as A
 from quarry.operators import index as I
 from quarry.operators import search as S
+from quarry.operators import shard_rank
 
 
 @pytest.fixture(scope="module")
@@ -58,3 +63,35 @@ def test_excluded_words_next_to_every_document(spark, ix):
     ones = [i for i in range(60) if i % 7 == 1]
     assert [r.doc_id for r in got] == [*ones, *[i for i in range(60) if i % 7 > 1][:10 - len(ones)]]
     assert {r.total_hits for r in got} == {60 - 9} and got[-1].score == 1.0
+
+
+def test_a_document_and_a_query_never_meet_in_a_row(spark, ix, monkeypatch):
+    rows = [(q, c, o, "term", t, b, 0) for q in (1, 2) for c, (o, t, b) in enumerate([("MUST", "alpha", 1.0), ("SHOULD", f"beta{q}", 2.0), ("MUST_NOT", "abc1", 1.0)])]
+    rows += [(3, 0, "MUST", "term", "nowhere", 1.0, 0), (4, 0, "SHOULD", "prefix", "ab", 1.0, 0), (4, 1, "SHOULD", "term", "gamma", 3.0, 0), (5, 0, "MUST_NOT", "term", "alpha", 1.0, 0)]
+    clauses = spark.createDataFrame(rows, S.CLAUSE_SCHEMA)
+    free = spark.createDataFrame([(1, "alpha beta3 abc2 abc2"), (2, "nowhere"), (3, "www.beta3.gamma beta1")], "query_id long, query string")
+    plans = []
+    fetched = S._fetched
+    monkeypatch.setattr(S, "_fetched", lambda index, first, *a: (plans.append(first._jdf.queryExecution().executedPlan().toString()), fetched(index, first, *a))[1])
+    held = [sorted(S.search(ix, clauses, stem=False).collect()), sorted(S.run_queries(ix, free, stem=False).collect())]
+    assert len(plans) == 2 and all("FlatMapGroupsInArrow [shard" in p and "hashpartitioning(shard" in p for p in plans)
+    monkeypatch.setattr(S, "HELD_CLAUSES", 0)  # joined with the scores
+    joined = [sorted(S.search(ix, clauses, stem=False).collect()), sorted(S.run_queries(ix, free, stem=False).collect())]
+    assert held == joined and {r.query_id for r in held[0]} == {1, 2, 4} and {r.query_id for r in held[1]} == {1, 3}
+
+
+def test_shards_are_cut_to_bounded_matrices(monkeypatch):
+    clauses = pa.table({"unit": [7, 9, 9], "query_id": [1, 1, 2], "boost": [1.0, 2.0, 1.0], "must": [0, 1, 0], "should": [1, 0, 1], "never": [0, 0, 0]})
+    rows = pa.table({"unit": [7, 9, 9, 9, 7], "doc_id": [5, 5, None, 3, 4], "score": [1.0, 1.0, 1.0, 1.0, 8.0]})
+    schema = pa.schema([("query_id", pa.int64()), ("doc_id", pa.int64()), ("score", pa.float64()), ("n", pa.int64())])
+    run = shard_rank.first_of_shard(SimpleNamespace(value=shard_rank.Asked(clauses)), 2, 6, schema)
+    assert run(rows).to_pylist() == [dict(zip(schema.names, r)) for r in ((1, 5, 3.0, 3), (1, None, 2.0, 0), (2, None, 1.0, 3), (2, 3, 1.0, 0))]
+    monkeypatch.setattr(shard_rank, "CELLS", 2)  # one document at a time
+    assert sorted(r["n"] for r in run(rows).to_pylist()) == [1] * 6
+
+
+def test_scores_are_rounded_as_spark_rounds(spark):
+    rng = np.random.default_rng(3)
+    x = np.r_[rng.normal(0, 30, 4000), rng.integers(-10**9, 10**9, 4000) / 1e6 + 5e-7, 0.0, 1.0000005, 2.5e-7, 5e-7, -5e-7, 1e18, 12345678.1234565]
+    got = spark.createDataFrame([(float(v),) for v in x], "x double").select("x", F.round("x", 6).alias("r")).toPandas()
+    assert (shard_rank.rounded(got.x.to_numpy(), 6) == got.r.to_numpy()).all()
