@@ -249,6 +249,35 @@ def test_packing_searches_all_documents(spark, corpus, monkeypatch):
     assert len(chains) <= 1 + sum(r.size == 0 for r in at)  # all texts here are near to some other
 
 
+def test_packing_searches_by_cells(spark, monkeypatch):
+    """Cells keep nine of ten neighbours with a part of the pairs, and the chains
+    end as they do without cells."""
+    rnd = np.random.default_rng(4)
+    texts = [" ".join(f"{'abcdefgh'[i % 8]}{w}" for w in rnd.zipf(1.3, 60) % 300) for i in range(400)] + ["", "lone"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    monkeypatch.setattr(packing, "NEAR", 4)
+    monkeypatch.setattr(packing, "CENTRES", 8)
+    stages = Stages(spark, "packing-test")
+    rows = stages.write(packing.tokenised(df, packing.tokenizer_path()), "tokens")
+    stats = packing.statistics(rows)
+    common = stats[2][stats[3] * packing.COMMON > stats[0]]
+    dealt = packing.cells(rows, stats)
+    asked, index = packing.blocks(rows, stats, dealt, True), packing.blocks(rows, stats, dealt)
+    keys = lambda df: sorted(k for r in df.collect() for k in np.frombuffer(r.keys, "<i8").tolist())
+    own = sorted(r.key for r in rows.where("octet_length(terms) > 0").select("key").collect())
+    assert keys(index) == own and keys(asked) == sorted(own * packing.PROBES)
+    met = asked.alias("q").join(index.alias("i"), "cell").selectExpr("sum(length(q.keys) / 8 * (length(i.keys) / 8)) AS n").first().n
+    assert met < 0.7 * len(own) ** 2
+    near = lambda *b: {(r.a, r.b) for r in packing.neighbours(Stages(spark, "packing-test"), *b, common, "test").collect()}
+    whole = stages.write(packing.blocks(rows, stats), "whole")
+    want = near(whole, whole)
+    assert len(want & near(stages.write(asked, "asked"), stages.write(index, "index"))) >= 0.9 * len(want)
+    heads = lambda: packing.ordered(Stages(spark, "packing-test"), rows).groupBy("head").count().count()
+    whole = heads()
+    monkeypatch.setattr(packing, "EXACT", 100)
+    assert heads() == whole
+
+
 def test_packing_rounds_join_like_the_driver(spark, monkeypatch):
     nodes = spark.createDataFrame([(i, i, 0) for i in range(8)], "key long, head long, pos long")
     pairs = spark.createDataFrame([(a, b, float((a * 5 + b * 3) % 11)) for a in range(8) for b in range(8) if a != b], "a long, b long, score float")
