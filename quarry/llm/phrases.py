@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -36,12 +37,65 @@ from quarry.llm.common import Stages, map_batches, mix64, table
 WINDOW, SEED_WORDS = 13, 6
 #: Bytes of text a shard is meant to hold, and blocks in one automaton.
 SHARD_BYTES, BLOCKS = 4 << 20, 100_000
+#: Bytes of text that are hashed together.
+CHUNK = 1 << 18
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
+_POLY = 0x5851F42D4C957F2D
+_LETTERS = mix64(np.arange(1, 257, dtype=np.uint64))
+_IN_WORD = ~np.isin(np.arange(256), (9, 10, 11, 12, 13, 32))
 SCHEMA = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+@lru_cache(maxsize=2)
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.cumprod(np.r_[np.ones(1, np.uint64), np.full(n - 1, base, np.uint64)])
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    return _powers(base, 2 * CHUNK)[:n] if n <= 2 * CHUNK else _powers.__wrapped__(base, n)
+
+
+def chunk_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every word of the texts, and the number of its text.  The
+    bytes of a word are a polynomial, taken from sums over the whole chunk; long
+    words, where polynomials of different words may agree, are hashed apart."""
+    raw = b" ".join(texts)
+    b = np.frombuffer(raw, np.uint8)
+    inside = np.concatenate(([False], _IN_WORD[b], [False]))
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_LETTERS[b] * powers(_POLY, len(b)))))
+    h = mix64((total[ends] - total[starts]) * powers(pow(_POLY, -1, 1 << 64), len(b))[starts])
+    for i in np.flatnonzero(ends - starts > 64).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(raw[starts[i] : ends[i]])
+    first = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
+    return h, np.searchsorted(first, starts, "right") - 1
+
+
+def chunks(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
+    """Neighbouring texts of about ``CHUNK`` bytes, and the number of the first."""
+    first, size = 0, 0
+    for k, t in enumerate(texts):
+        size += len(t)
+        if size >= CHUNK or k == len(texts) - 1:
+            yield first, texts[first : k + 1]
+            first, size = k + 1, 0
+
+
+def chunk_seeds(texts: list[bytes], window: int) -> tuple[np.ndarray, ...] | None:
+    """The words' hashes; for all windows the first word, the text and the
+    seed; the first word of every text."""
+    h, doc = chunk_hashes(texts)
+    if len(h) < window:
+        return None
+    at = np.flatnonzero(doc[: len(h) - window + 1] == doc[window - 1 :])
+    seed = window_seeds(h, window)[at]
+    return (h, at, doc[at], seed, np.searchsorted(doc, np.arange(len(texts)))) if len(at) else None
+
+
+def run_heads(doc: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    """Where a document or a seed differs from the one before."""
+    return np.concatenate(([True], (doc[1:] != doc[:-1]) | (seed[1:] != seed[:-1])))
 
 
 def rolled(h: np.ndarray, n: int, base: np.uint64) -> np.ndarray:
@@ -73,12 +127,18 @@ def seeds(docs: DataFrame, window: int) -> DataFrame:
 
     def of(batch: pa.RecordBatch) -> dict:
         ids, out = [], []
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
-            words = text.split()
-            if len(words) >= window:
-                found = np.unique(window_seeds(word_hashes(words), window)).view(np.int64)
-                out.append(found)
-                ids.append(np.full(len(found), doc, np.int64))
+        docs = batch.column(0).to_numpy()
+        for first, texts in chunks(batch.column(1).cast(pa.binary()).to_pylist()):
+            found = chunk_seeds(texts, window)
+            if found:
+                _, _, doc, seed, _ = found
+                new = run_heads(doc, seed)
+                doc, seed = doc[new], seed[new]
+                order = np.lexsort((seed, doc))
+                doc, seed = doc[order], seed[order]
+                new = run_heads(doc, seed)
+                out.append(seed[new].view(np.int64))
+                ids.append(docs[first + doc[new]])
         none = np.zeros(0, np.int64)
         return {"seed": np.concatenate(out or [none]), "doc_id": np.concatenate(ids or [none])}
 
@@ -92,14 +152,24 @@ def occurrences(docs: DataFrame, shared: DataFrame, window: int) -> DataFrame:
 
     def of(batch: pa.RecordBatch) -> dict:
         out = []
-        for doc, text, own in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2)):
-            words = (text or b"").split()
-            if len(words) < window:
+        docs, own = batch.column(0).to_numpy(), batch.column(2)
+        lengths, shared = own.value_lengths().to_numpy(), own.flatten().to_numpy().view(np.uint64)
+        ends = np.cumsum(lengths)
+        for first, texts in chunks([t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]):
+            found = chunk_seeds(texts, window)
+            if not found:
                 continue
-            h = word_hashes(words)
-            at = np.flatnonzero(np.isin(window_seeds(h, window).view(np.int64), own.values.to_numpy()))
-            one, two = digests(h, window)
-            out.append((one[at], two[at], np.full(len(at), doc, np.int64), at))
+            h, at, doc, seed, starts = found
+            last = first + len(texts)
+            # A seed counts in its own document only: both are named by one number.
+            named = mix64(np.arange(len(texts), dtype=np.uint64) + np.uint64(1))
+            given = shared[ends[first] - lengths[first] : ends[last - 1]] ^ np.repeat(named, lengths[first:last])
+            new = np.flatnonzero(run_heads(doc, seed))
+            met = np.isin(seed[new] ^ named[doc[new]], given)
+            met = np.repeat(met, np.diff(np.append(new, len(at))))
+            at, doc = at[met], doc[met]
+            one, two = (x[at] for x in digests(h, window))
+            out.append((one, two, docs[first + doc], at - starts[doc]))
         none = np.zeros(0, np.int64)
         columns = [np.concatenate(x) for x in zip(*out)] or [none] * 4
         return dict(zip(("d1", "d2", "doc_id", "pos"), columns))

@@ -155,6 +155,19 @@ def test_phrases_with_many_automata(corpus_df, corpus, monkeypatch):
     assert not one.removed(corpus[20][1].encode().split(), None).any()
 
 
+def test_phrases_hash_texts_together(monkeypatch):
+    """A word has one hash wherever it stands, and no window reaches over two texts."""
+    texts = [b"one two  three", b"", b" \t", b"two\x0bone \xc3\xa9 " + b"x" * 100, b"three\r\n" + b"x" * 100 + b" ba ab"]
+    h, doc = phrases.chunk_hashes(texts)
+    words = [(k, w) for k, t in enumerate(texts) for w in t.split()]
+    assert doc.tolist() == [k for k, _ in words]
+    assert len(set(h.tolist())) == len({w for _, w in words}) == len({(w, x) for (_, w), x in zip(words, h.tolist())})
+    _, at, doc, seed, first = phrases.chunk_seeds(texts, 2)
+    assert list(zip(doc.tolist(), (at - first[doc]).tolist())) == [(k, i) for k, t in enumerate(texts) for i in range(len(t.split()) - 1)]
+    monkeypatch.setattr(phrases, "CHUNK", 10)
+    assert [t for _, part in phrases.chunks(texts) for t in part] == texts and [k for k, _ in phrases.chunks(texts)] == [0, 1, 4]
+
+
 def test_phrases_keep_the_rest_of_the_text(spark):
     passage = " ".join(f"p{i}" for i in range(20))
     docs = spark.createDataFrame([(1, passage), (2, f"one\n two  {passage}\n\nthree é\n"), (3, "own text\n as it  is")], "doc_id long, text string")
