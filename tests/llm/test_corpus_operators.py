@@ -283,6 +283,26 @@ def test_katz_without_learning_rows(spark, edge, none):
     assert katz.score(none, model, Stages(spark, "test")).count() == 0
 
 
+def test_katz_reads_texts_once_to_learn_and_once_to_score(spark, corpus_df, monkeypatch):
+    monkeypatch.setattr(katz, "CHUNK", 300, raising=False)  # many chunks and buckets give the same
+    monkeypatch.setattr(katz, "BUCKET", 1000, raising=False)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = corpus_df.select("doc_id", "text")
+    stages = Stages(spark, "test")
+    docs = df.mapInArrow(counted, df.schema)
+    got = sorted(map(tuple, katz.score(docs, katz.train(docs, stages), stages).collect()), key=str)
+    want = brute_katz([(r.doc_id, r.text) for r in df.collect()])
+    assert [g[:5] for g in got] == [w[:5] for w in want]
+    assert np.allclose([g[5:] for g in got], [w[5:] for w in want])
+    assert read.value == 2 * len(want)
+
+
 # --- quality classifier ----------------------------------------------------
 
 
