@@ -278,6 +278,25 @@ def test_packing_searches_by_cells(spark, monkeypatch):
     assert heads() == whole
 
 
+def test_packing_searches_a_cell_in_few_partitions(spark, monkeypatch):
+    """A query's best of its cells are few rows, however many tasks search."""
+    rnd = np.random.default_rng(8)
+    names = [[f"t{k}w{i}" for i in range(30)] for k in range(8)]
+    texts = [(i, " ".join(rnd.choice(names[i % 8], 12))) for i in range(400)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    for name, value in (("NEAR", 4), ("CENTRES", 8), ("PROBES", 2), ("BLOCK", 5), ("SIDE", 4)):
+        monkeypatch.setattr(packing, name, value)
+    stages = Stages(spark, "packing-test")
+    rows = stages.write(packing.tokenised(df, packing.tokenizer_path()), "tokens")
+    stats = packing.statistics(rows)
+    dealt = packing.cells(rows, stats)
+    asked, index = (stages.write(packing.blocks(rows, stats, dealt, x), str(x)) for x in (True, False))
+    near = packing.neighbours(stages, asked, index, stats[2][:0], "test")
+    assert near.groupBy("a").count().where("count = 4").count() == 400
+    # Over 20 partitions of the index: dealt at random most of them hold some of a query's cells.
+    assert spark.read.parquet(f"{stages.root}/found-test").count() < 400 * 4 * 10
+
+
 def test_packing_rounds_join_like_the_driver(spark, monkeypatch):
     nodes = spark.createDataFrame([(i, i, 0) for i in range(8)], "key long, head long, pos long")
     pairs = spark.createDataFrame([(a, b, float((a * 5 + b * 3) % 11)) for a in range(8) for b in range(8) if a != b], "a long, b long, score float")
