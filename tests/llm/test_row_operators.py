@@ -5,6 +5,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -297,6 +298,18 @@ def test_packing_searches_a_cell_in_few_partitions(spark, monkeypatch):
     assert spark.read.parquet(f"{stages.root}/found-test").count() < 400 * 4 * 10
 
 
+def test_packing_keeps_the_driver_small(spark, monkeypatch):
+    """Centres are fitted by a task; the joins of chains are columns."""
+    df = spark.createDataFrame([(i, f"a{i % 9} b{i % 7} c{i % 5}") for i in range(60)], "doc_id long, text string")
+    rows = Stages(spark, "packing-test").write(packing.tokenised(df, packing.tokenizer_path()), "tokens")
+    monkeypatch.setattr(packing, "CENTRES", 4)
+    monkeypatch.setattr(packing, "products", None)  # not called here
+    found = packing.cells(rows, packing.statistics(rows))
+    assert found.centres.shape == found.means.shape and found.centres.shape[1] == 4 and found.means.any()
+    pairs = pa.table({"a": [7, 3, 7], "b": [3, 7, 9], "score": [3.0, 2.0, 1.0], "size_a": [2, 1, 2], "size_b": [1, 2, 4]})
+    assert packing.greedy(pairs).to_pylist() == [{"head": 3, "to": 7, "shift": 2}]
+
+
 def test_packing_rounds_join_like_the_driver(spark, monkeypatch):
     nodes = spark.createDataFrame([(i, i, 0) for i in range(8)], "key long, head long, pos long")
     pairs = spark.createDataFrame([(a, b, float((a * 5 + b * 3) % 11)) for a in range(8) for b in range(8) if a != b], "a long, b long, score float")
