@@ -279,6 +279,38 @@ def test_packing_searches_by_cells(spark, monkeypatch):
     assert heads() == whole
 
 
+def test_packing_meets_all_documents_however_many(spark, monkeypatch):
+    """Neighbours of brute force, also above the size that once was searched by
+    cells; no join comes to the driver."""
+    rnd = np.random.default_rng(6)
+    texts = [" ".join(f"{'abcdefgh'[i % 8]}{w}" for w in rnd.zipf(1.3, 40) % 300) for i in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    for name, value in (("NEAR", 4), ("CENTRES", 8), ("PROBES", 1), ("EXACT", 50), ("BLOCK", 30), ("SIDE", 2), ("STREAMS", 3)):
+        monkeypatch.setattr(packing, name, value, raising=False)
+    stages = Stages(spark, "packing-test")
+    rows = stages.write(packing.tokenised(df, packing.tokenizer_path()), "tokens")
+    at = sorted(rows.collect(), key=lambda r: r.key)
+    index, place = packing.Bm25([np.frombuffer(r.ids, "<u4")[:-1] for r in at]), {r.key: i for i, r in enumerate(at)}
+    firsts, linked = [], packing.linked
+
+    def first(stages, nodes, pairs, name):
+        firsts.append(pairs.collect() if name == "0" else None)
+        return linked(stages, nodes, pairs, name)
+
+    monkeypatch.setattr(packing, "linked", first)
+    monkeypatch.setattr(type(spark), "createDataFrame", None)
+    packing.ordered(Stages(spark, "packing-test"), rows)
+    got = {}
+    for r in firsts[0]:
+        got.setdefault(place[r.a], []).append(place[r.b])
+    hits = 0
+    for i in range(len(at)):
+        best = index.near(i, np.arange(len(at)) == i)[:4]
+        assert len(got[i]) == len(best)
+        hits += len(set(best) & set(got[i]))
+    assert hits >= 0.99 * 4 * len(at)  # equal scores may stand in another order
+
+
 def test_packing_searches_a_cell_in_few_partitions(spark, monkeypatch):
     """A query's best of its cells are few rows, however many tasks search."""
     rnd = np.random.default_rng(8)
