@@ -2,7 +2,8 @@
 
 Each round is two small aggregations and joins over the edges, written to the
 shared folder; the number of rounds grows with the logarithm of the longest
-path.  A star's centre is met by partial aggregation and by skew-split joins."""
+path.  A star's centre is met by partial aggregation and by skew-split joins; no
+side is broadcast, as both grow with the edges."""
 
 from __future__ import annotations
 
@@ -15,13 +16,13 @@ from quarry.llm.common import Stages
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
+    return both.where("b > a").join(least.hint("merge"), "a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("low"))
-    moved = down.join(least, "a").where("b > low").select(F.col("b").alias("a"), F.col("low").alias("b"))
+    moved = down.join(least.hint("merge"), "a").where("b > low").select(F.col("b").alias("a"), F.col("low").alias("b"))
     return moved.union(least.select("a", F.col("low").alias("b"))).distinct()
 
 

@@ -105,7 +105,8 @@ def links(stages: Stages, distinct: DataFrame, radius: int = RADIUS, bucket: int
     tables = F.array(*[F.struct(F.lit(i).cast("short").alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(masks(radius))])
     entries = distinct.select("fp", F.explode(tables).alias("e")).select("fp", "e.t", "e.key")
     sizes = entries.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1")
-    members = stages.write(entries.join(sizes, ["t", "key"]), "members")
+    # An estimate knows nothing of the rows an explode makes: neither side may be broadcast.
+    members = stages.write(entries.join(sizes.hint("merge"), ["t", "key"]), "members")
     small = members.where(F.col("n") <= bucket).groupBy("t", "key").agg(F.collect_list("fp").alias("fps")).select("fps")
     edges = small.mapInArrow(_forest(radius), "a long, b long")
     large = members.where(F.col("n") > bucket).select("fp").distinct()
@@ -132,12 +133,12 @@ def component_rows(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS
     classes = stages.write(rows.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "classes")
     roots = components(stages, links(stages, classes.select("fp"), radius, bucket))
     rooted = stages.write(
-        classes.join(roots, classes.fp == roots.node, "left").select("fp", "first_doc", F.coalesce("root", "fp").alias("root")), "rooted"
+        classes.join(roots.hint("merge"), classes.fp == roots.node, "left").select("fp", "first_doc", F.coalesce("root", "fp").alias("root")), "rooted"
     )
     stages.drop("members")
     named = rooted.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    by_fp = rooted.join(named, "root").select("fp", "root", "component_id")
-    return rows.join(by_fp, "fp").select("doc_id", "fp", "text_hash", "root", "component_id")
+    by_fp = rooted.join(named.hint("merge"), "root").select("fp", "root", "component_id")
+    return rows.join(by_fp.hint("merge"), "fp").select("doc_id", "fp", "text_hash", "root", "component_id")
 
 
 def hexadecimal(fp: Column) -> Column:

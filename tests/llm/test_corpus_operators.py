@@ -72,6 +72,23 @@ def test_simhash_components(which, request):
     check_components([(r.doc_id, r.text) for r in df.collect()], found, 4)
 
 
+def test_simhash_broadcasts_nothing(spark, corpus, monkeypatch):
+    """No side that grows with the documents goes through the driver, however
+    small its estimate."""
+    plans, write = [], Stages.write
+
+    def kept(self, df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(self, df, name)
+
+    monkeypatch.setattr(Stages, "write", kept)
+    df = spark.createDataFrame([(i, t) for i, t in corpus], "doc_id long, text string")
+    found = simhash.near_duplicates(df)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in p for p in plans) >= 3
+    assert not any("Broadcast" in p for p in plans)
+
+
 def test_simhash_without_documents(none):
     assert simhash.near_duplicates(none).count() == 0
 
