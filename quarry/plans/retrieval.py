@@ -119,12 +119,12 @@ def _synonym_pairs(spark, sf) -> DataFrame:
 
 def synonym_words(spark, sf):
     """TXT-9: the synonym words that the passages' pairs add to the documents.
-    Texts are dealt by document, and not the many more words found in them."""
+    Texts are dealt by document, and not the many more words found in them; rows of
+    one document lie together, so that its words are counted there."""
     docs = load(spark, sf, "documents").select("doc_id", "text")
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // SYNONYM_DOCS))
-    tokens = docs.repartition(tasks, "doc_id").select("doc_id", A.token_array(F.col("text"), lower=True).alias("t"))
-    words = SY.synonym_words(tokens.select("doc_id", A._front(F.col("t"), NOSTEM).alias("tokens")), _synonym_pairs(spark, sf))
-    return words.groupBy("doc_id", "pos", "word").agg(F.count("*").alias("n"))
+    tokens = docs.repartition(tasks, "doc_id").sortWithinPartitions("doc_id").select("doc_id", A.token_array(F.col("text"), lower=True).alias("t"))
+    return SY.synonym_words(tokens.select("doc_id", A._front(F.col("t"), NOSTEM).alias("tokens")), _synonym_pairs(spark, sf), counted=True)
 
 
 def stem_terms(spark, sf):

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from quarry.operators import analyzer as A
 from quarry.operators import stem_table as ST
+from quarry.operators import synonym_rows
 from quarry.operators import synonyms as SY
 from quarry.operators.stemmer import stem_word
+from quarry.plans import retrieval
 
 NO_STOPWORDS = dict(stem=False, use_synonyms=True, stopwords=(), stopwords_folded=())
 
@@ -72,3 +74,33 @@ def test_stem_table_adds_new_terms_only(spark, tmpdir_fresh):
     tokens = spark.createDataFrame([(1, "casele", 0), (1, "unknownword", 1)], "doc_id long, term string, pos int")
     got = {r.pos: r.term for r in ST.stem_rows(tokens, ST.read_stems(spark, path)).collect()}
     assert got == {0: stem_word("casele"), 1: "unknownword"}
+
+
+def test_synonym_words_by_batches_are_those_of_the_join(spark, monkeypatch):
+    """Left sides of one to three words, URL pieces, gaps, texts without a token
+    and ids in several rows, in every cut of the batches."""
+    tok = lambda *x: [(p, o, t, ["Word"]) for p, o, t in x]
+    text = lambda s: tok(*[(i, 0, t) for i, t in enumerate(s.split())])
+    docs = [(1, text("a b c a b a a b c")), (1, text("b a b c")), (2, None), (2, []), (None, text("a b")), (3, tok((0, 0, "a"), (2, 0, "b"), (3, 0, "c"))),
+            (None, text("a c")), (4, tok((0, 0, "x.a"), (0, 1, "a"), (1, 0, "b"), (1, 1, "c"))), (5, text("z z")), (6, text("c c a"))]
+    df = spark.createDataFrame(docs, "doc_id long, tokens array<struct<pos: int, ord: int, term: string, flags: array<string>>>")
+    nul = "\0"
+    pairs = spark.createDataFrame([("a", "k"), ("a", f"k{nul}l"), (f"a{nul}b", "m"), (f"a{nul}b", f"k{nul}b{nul}n"), (f"A{nul}b{nul}c", "o"), ("c", "k"), (f"b{nul}c", "c"), ("none", "p"), (None, "q")], "term string, synonym string")
+    rows = lambda **x: sorted(map(str, SY.synonym_words(df.coalesce(1).sortWithinPartitions("doc_id"), pairs, **x).collect()))
+    monkeypatch.setattr(SY, "HELD_BRANCHES", -1)
+    words, counts = rows(), rows(counted=True)
+    assert len(words) > 40 and any("n=2" in x for x in counts) and any("doc_id=None" in x for x in counts)
+    monkeypatch.setattr(SY, "HELD_BRANCHES", 100)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size, tokens in ((1, 1), (2, 4), (3, 1 << 16), (1000, 3), (1000, 1 << 16)):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            monkeypatch.setattr(synonym_rows, "TOKENS", tokens)
+            assert rows() == words and rows(counted=True) == counts
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_synonym_words_of_the_tables_are_not_rows_before_they_are_counted(spark):
+    plan = retrieval.synonym_words(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Aggregate" not in plan and "Generate" not in plan
