@@ -34,6 +34,7 @@ from ..session import BROADCAST_MAX_ROWS, broadcast_if_small, ensure_checkpoint_
 from .analyzer import AnalyzerOptions, analyze, explode_token_rows
 from .expansion import fuzzy_candidates, pattern_candidates
 from .index import Index
+from .phrase_rows import Phrases, shard_phrases
 from .shard_rank import Asked, first_of_shard
 
 OCCURS = ("MUST", "SHOULD", "MUST_NOT")
@@ -47,6 +48,8 @@ SHARD_DOCS, TASK_SHARDS = 1024, 8
 LOCAL_WEIGHTS = 500_000
 # Clauses of a batch that every task holds; more are joined with the scores.
 HELD_CLAUSES = 500_000
+# Terms of phrases that every task holds; more are joined with the positions.
+HELD_TERMS = 200_000
 # Places that are counted together where a query takes documents out.
 PLACE_BLOCK = 8192
 # Clauses whose predicates are compiled into one vocabulary scan at a time.
@@ -387,7 +390,9 @@ def _score_phrase(index: Index, pterms: DataFrame, n: int) -> DataFrame:
     place of a term taken twice; each contributes 1 / (1 + width).  The idf is
     the sum over the phrase's known terms.
 
-    The positions of the phrases' terms are dealt by document once.  A place of a
+    The positions of the phrases' terms are dealt by document once.  Up to
+    ``HELD_TERMS`` terms of phrases are held by every task, which looks at the
+    documents of a few shards together (``phrase_rows``).  Of more, a place of a
     phrase's rarest slot looks at the positions around it; only where every slot
     has a place near enough, those places are kept.  Each window holds a place of
     the rarest slot, so none is missed."""
@@ -404,6 +409,13 @@ def _score_phrase(index: Index, pterms: DataFrame, n: int) -> DataFrame:
     # a slot without a known term can't be filled
     phrase = phrase.where("k = n_slots").select("unit", "slop", "n_slots", "idf_sum", F.col("rare.i").alias("rare"), "s")
     phrase = stage_table(phrase, "phrases")
+    if n <= HELD_TERMS:
+        held = phrase.sparkSession.sparkContext.broadcast(Phrases(phrase.collect()))
+        rows = by_document(index, post).select("shard", "doc_id", "dl", "tid", "positions").sortWithinPartitions("shard")
+        schema = StructType([rows.schema["shard"], StructField("unit", LongType()), rows.schema["doc_id"], rows.schema["dl"], StructField("idf_sum", DoubleType()), StructField("tf", DoubleType())])
+        per = rows.mapInArrow(shard_phrases(held, to_arrow_schema(schema), sloppy_frequency), schema)
+        return per.crossJoin(stats).select(
+            "shard", "unit", "doc_id", bm25(F.col("tf"), F.lit(0), F.col("dl"), F.col("n_docs"), F.col("avgdl"), idf_col=F.col("idf_sum")).alias("score"))
     span = phrase.agg(F.max(F.expr("array_max(transform(s, x -> x.off))") + F.col("slop"))).first()[0] or 0
     rare = phrase.select("*", F.explode("s").alias("x")).where("x.i = rare").select("unit", "slop", "n_slots", "idf_sum", "s", "x.tid", F.col("x.off").alias("at"))
     places = by_document(index, post).select("shard", "doc_id", "dl", "tid", F.explode("positions").alias("p"))

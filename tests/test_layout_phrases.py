@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import analyzer as A
 from quarry.operators import index as I
+from quarry.operators import phrase_rows
 from quarry.operators import search as S
 
 OPTS = A.AnalyzerOptions(stem=False, stopwords=(), stopwords_folded=())
@@ -141,6 +142,29 @@ def test_phrases_against_every_choice(spark, docs, layouts):
     assert all(r.score == pytest.approx(want[r.query_id, r.doc_id], abs=2e-6) for r in got)
 
 
+def test_phrases_held_by_tasks_are_those_of_the_join(spark, layouts, monkeypatch):
+    """In every cut of the postings, and without a row for each place."""
+    ix = layouts["document"]
+    rows = [(100 * slop + i, 0, "SHOULD", "phrase", t, 1.0, slop) for slop in (0, 1, 3) for i, t in enumerate([*PHRASES, "common common", "common rare7", "common common rare7"])]
+    clauses = spark.createDataFrame(rows, S.CLAUSE_SCHEMA)
+    scored, score = [], S._score_phrase
+    monkeypatch.setattr(S, "_score_phrase", lambda *a: (scored.append(score(*a)), scored[-1])[1])
+    found = lambda: sorted(map(str, S.search(ix, clauses, k=1000, stem=False).collect()))
+    got = found()
+    plan = scored[0]._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "collect_list" not in plan and "Generate" not in plan
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for postings, size in ((1, 7), (20, 7), (50, 1000)):
+            monkeypatch.setattr(phrase_rows, "POSTINGS", postings)
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            assert found() == got
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    monkeypatch.setattr(S, "HELD_TERMS", 0)
+    assert found() == got and len(got) > 300
+
+
 def test_least_windows_of_random_places():
     rnd = random.Random(2)
     for _ in range(400):
