@@ -20,6 +20,8 @@ word of a batch of documents once.  Two layouts can be written:
   document) into buckets of ``BUCKET_BYTES``, one folder each.  The range
   bounds come from a sample of the postings, so a frequent term is cut into as
   many buckets as its list needs, and a lookup opens the folders of its terms.
+  Many postings are dealt in passes over ranges of terms, so that shuffle files
+  hold those of one pass.
 
 Postings are sorted by term inside each file, so parquet min/max statistics
 prune row groups for term lookups.  Term and collection statistics are partial
@@ -34,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..session import stage_table
+from ..session import shuffle_cleanup, stage_table
 from .analyzer import AnalyzerOptions, analyze, explode_token_rows
 from .posting_rows import batch_postings, by_words
 from .rowindex import with_row_index
@@ -42,6 +44,10 @@ from .rowindex import with_row_index
 INDEX_TABLES = ("postings", "terms", "docs", "stats")
 # Bytes of postings in a bucket of the layout by term.
 BUCKET_BYTES = 64 << 20
+# Bytes of postings that are dealt by term at a time: only theirs lie in shuffle files.
+PASS_BYTES = 4 << 30
+# Terms drawn to find the bounds of the passes, for each pass.
+PASS_TERMS = 500
 
 
 def analyzed_docs(docs: DataFrame, opts: AnalyzerOptions | None = None, id_col="doc_id", text_col="text") -> DataFrame:
@@ -206,11 +212,28 @@ def posting_bytes() -> Column:
     return F.length("term") + 24 + 4 * F.col("tf")
 
 
-def deal_by_term(postings: DataFrame, buckets: int) -> DataFrame:
+def deal_by_term(postings: DataFrame, buckets: int, first: int = 0) -> DataFrame:
     """Postings in ``buckets`` ranges of (term, salt of the document), each in
-    the order of its terms, with the range's number in ``bucket``."""
+    the order of its terms, with the range's number, from ``first`` on, in
+    ``bucket``."""
     dealt = postings.repartitionByRange(buckets, F.col("term"), F.hash("doc_id"))
-    return dealt.withColumn("bucket", F.spark_partition_id()).sortWithinPartitions("bucket", "term", "doc_id")
+    return dealt.withColumn("bucket", F.spark_partition_id() + first).sortWithinPartitions("bucket", "term", "doc_id")
+
+
+def passes(postings: DataFrame, size: int, pass_bytes: int | None = None) -> list[Column]:
+    """Ranges of terms that hold all postings together, each about ``pass_bytes``
+    (``PASS_BYTES``) of the ``size``; terms that are drawn bound them."""
+    n = -(-size // (pass_bytes or PASS_BYTES))
+    if n <= 1:
+        return [F.lit(True)]
+    drawn = postings.select("term").sample(min(1.0, n * PASS_TERMS / max(postings.count(), 1)), 7).limit(4 * n * PASS_TERMS)
+    terms = sorted(r.term for r in drawn.collect())
+    bounds = sorted({terms[len(terms) * k // n] for k in range(1, n)}) if terms else []
+    if not bounds:
+        return [F.lit(True)]
+    term = F.col("term")
+    # A term without text would fit no range.
+    return [(term < bounds[0]) | term.isNull(), *[(term >= a) & (term < b) for a, b in zip(bounds, bounds[1:])], term >= bounds[-1]]
 
 
 def term_directory(postings: DataFrame) -> DataFrame:
@@ -235,7 +258,8 @@ def write_index(index: Index, path: str, postings_files: int | None = None, layo
     p = index.postings
     if postings_files and layout == "document":
         p = p.repartition(postings_files, "term")
-    p.sortWithinPartitions("term", "doc_id").write.mode("overwrite").parquet(by_document)
+    with shuffle_cleanup(spark):
+        p.sortWithinPartitions("term", "doc_id").write.mode("overwrite").parquet(by_document)
     written = spark.read.parquet(by_document)
     if layout == "document":
         term_stats(written).sortWithinPartitions("term").write.mode("overwrite").parquet(os.path.join(path, "terms"))
@@ -243,16 +267,23 @@ def write_index(index: Index, path: str, postings_files: int | None = None, layo
         size = written.agg(F.sum(posting_bytes()).alias("n")).first().n or 0
         buckets = postings_files or max(spark.sparkContext.defaultParallelism, -(-size // bucket_bytes))
         at = os.path.join(path, "postings")
-        deal_by_term(written, buckets).write.mode("overwrite").partitionBy("bucket").parquet(at)
+        parts = passes(written, size)
+        each = -(-buckets // len(parts))
+        for k, part in enumerate(parts):
+            with shuffle_cleanup(spark):
+                deal_by_term(written.where(part), each, k * each).write.mode("append" if k else "overwrite").partitionBy("bucket").parquet(at)
         dealt = spark.read.schema(f"{_ddl(written.schema)}, bucket int").parquet(at)
-        term_directory(dealt).sortWithinPartitions("term").write.mode("overwrite").parquet(os.path.join(path, "terms"))
-    collection_stats(written).coalesce(1).write.mode("overwrite").parquet(os.path.join(path, "stats"))
+        with shuffle_cleanup(spark):
+            term_directory(dealt).sortWithinPartitions("term").write.mode("overwrite").parquet(os.path.join(path, "terms"))
+    with shuffle_cleanup(spark):
+        collection_stats(written).coalesce(1).write.mode("overwrite").parquet(os.path.join(path, "stats"))
     stored = index.docs.select("doc_id", "filename", "filepath")
     lengths = lengths_from_postings(written)
     docs = stored.join(lengths, "doc_id", "left").select(
         "doc_id", "filename", "filepath",
         *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("n_tokens", "n_overlap", "dl_exact", "norm", "dl")])
-    docs.write.mode("overwrite").parquet(os.path.join(path, "docs"))
+    with shuffle_cleanup(spark):
+        docs.write.mode("overwrite").parquet(os.path.join(path, "docs"))
     if layout == "term":
         fs, staged = _fs(spark, by_document)
         fs.delete(staged, True)

@@ -8,6 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from quarry import session
 from quarry.operators import analyzer as A
 from quarry.operators import index as I
 from quarry.operators import phrase_rows
@@ -55,6 +56,31 @@ def test_frequent_terms_lie_in_many_buckets(layouts):
     assert len(held["rare7"]) == 1
 
 
+def test_postings_are_dealt_in_passes(spark, docs, layouts, tmp_path, monkeypatch):
+    """Only the postings of one pass lie in shuffle files, and these go with it;
+    the index is the same."""
+    monkeypatch.setattr(I, "PASS_BYTES", 3000)
+    dealt, deal = [], I.deal_by_term
+
+    def kept(postings, buckets, first=0):
+        dealt.append((postings.count(), buckets, first, spark.conf.get(session.CLEANUP, None)))
+        return deal(postings, buckets, first)
+
+    monkeypatch.setattr(I, "deal_by_term", kept)
+    I.write_index(I.build_index(docs, OPTS), str(tmp_path), layout="term", postings_files=12)
+    ix, columns = I.read_index(spark, str(tmp_path)), ["term", "doc_id", "tf", "positions", "dl"]
+    assert len(dealt) >= 3 and all(x[3] == "true" for x in dealt)
+    assert sorted(map(str, ix.postings.select(columns).collect())) == sorted(map(str, layouts["document"].postings.select(columns).collect()))
+    assert sum(x[0] for x in dealt) == ix.postings.count() > max(x[0] for x in dealt)
+    assert [x[2] for x in dealt] == [k * dealt[0][1] for k in range(len(dealt))]
+    held = {r.term: (r.a, r.b) for r in ix.postings.groupBy("term").agg(F.min("bucket").alias("a"), F.max("bucket").alias("b")).collect()}
+    assert held == {r.term: (r.first_bucket, r.last_bucket) for r in ix.terms.collect()}
+    monkeypatch.undo()
+    cl = spark.createDataFrame(CLAUSES, S.CLAUSE_SCHEMA)
+    rows = [sorted(map(str, S.search(x, cl, stem=False).collect())) for x in (ix, layouts["document"])]
+    assert rows[0] == rows[1]
+
+
 def test_a_lookup_opens_the_buckets_of_its_terms(spark, layouts):
     ix = layouts["term"]
     terms = ["alpha", *[f"rare{i}" for i in range(9)]]
